@@ -261,3 +261,219 @@ WHERE NOT EXISTS (
          OR abs((epoch_us(s.shift_start) // 1000000) - p.time_start_ts) < 3600
          OR (p.time_start_ts >= epoch_us(s.shift_start) // 1000000
              AND p.time_start_ts < epoch_us(s.shift_end) // 1000000)))"""
+
+# ---------------------------------------------------------------- shift + punch, staffing, periods
+from fieldlens.plans.oracle_roles import hrs, rn  # noqa: E402
+
+SQL["dedup_punches"] = W("schedule") + """
+SELECT assignment_id, source_database, time_id, clock_in_time FROM (
+  SELECT *, row_number() OVER (PARTITION BY assignment_id, source_database, COALESCE(time_id, -1)
+                               ORDER BY clock_in_time NULLS LAST) AS rk FROM schedule) x WHERE rk = 1"""
+
+SQL["schedule_fact"] = W("schedule", "periods") + """,
+cur AS (SELECT start_date, end_date FROM periods WHERE start_date <= DATE '2024-01-25' ORDER BY start_date DESC LIMIT 1),
+nxt AS (SELECT start_date, end_date FROM periods WHERE start_date > DATE '2024-01-25' ORDER BY start_date ASC LIMIT 1)
+SELECT s.assignment_id, s.time_id, s.assignment_status, round(s.scheduled_hours, 4) AS scheduled_hours,
+       round(s.open_hours, 4) AS open_hours, round(s.hours_worked, 4) AS hours_worked, s.has_timesheet,
+       s.is_clocked_in, s.timesheet_match_type, p.pay_period_number, p.start_date AS pay_period_start,
+       CASE WHEN p.start_date IS NOT NULL THEN CASE WHEN date_diff('day', p.start_date, s.date_line) < 7 THEN 1 ELSE 2 END END AS period_week,
+       COALESCE(s.date_line >= (SELECT start_date FROM cur) AND s.date_line <= (SELECT end_date FROM cur), FALSE) AS is_current_pay_period,
+       COALESCE(s.date_line >= (SELECT start_date FROM nxt) AND s.date_line <= (SELECT end_date FROM nxt), FALSE) AS is_next_pay_period
+FROM schedule s LEFT JOIN periods p ON s.date_line BETWEEN p.start_date AND p.end_date"""
+
+SQL["attendance_flags"] = W("seats") + """
+SELECT assignment_id, user_id IS NULL AS is_open,
+       user_id IS NOT NULL AND clock_in_time IS NULL AND date_line < DATE '2024-01-25' AS is_no_show,
+       COALESCE(user_id IS NOT NULL AND hours_worked IS NOT NULL AND hours_worked < scheduled_hours * 0.9, FALSE) AS is_partial_shift
+FROM seats"""
+
+SQL["hours_fallback"] = W("seats") + f"""
+SELECT assignment_id,
+       round(CASE WHEN COALESCE(scheduled_hours, 0.0) = 0 THEN {hrs('shift_end', 'shift_start')} ELSE scheduled_hours END, 4) AS report_hours
+FROM seats"""
+
+SQL["hours_variance"] = W("seats") + """
+SELECT assignment_id, round(hours_worked, 4) AS hours_worked, hours_variance FROM seats"""
+
+SQL["shift_flags"] = W("seats") + """
+SELECT assignment_id, is_training, is_special_event, is_orientation, is_field_shift FROM seats"""
+
+SQL["epoch_to_local"] = W("punches", "source_zones") + """
+SELECT p.time_id, p.source_database, z.local_tz,
+       CAST(to_timestamp(p.time_start_ts) AT TIME ZONE z.local_tz AS TIMESTAMP) AS clock_in_time,
+       CASE WHEN p.time_end_ts <> 0 THEN CAST(to_timestamp(p.time_end_ts) AT TIME ZONE z.local_tz AS TIMESTAMP) END AS clock_out_time
+FROM punches p LEFT JOIN source_zones z ON z.source_database = p.source_database"""
+
+SQL["interval_flatten"] = W("shifts") + f""",
+s AS (SELECT * FROM shifts WHERE unit_name IS NOT NULL AND shift_start IS NOT NULL),
+pts AS (SELECT source_database, unit_name, shift_start AS ts FROM s UNION SELECT source_database, unit_name, shift_end FROM s),
+sl AS (SELECT * FROM (SELECT source_database, unit_name, ts AS slice_start,
+                             lead(ts) OVER (PARTITION BY source_database, unit_name ORDER BY ts) AS slice_end FROM pts) x
+       WHERE slice_end IS NOT NULL)
+SELECT sl.source_database, sl.unit_name, sl.slice_start, sl.slice_end, count(s.assignment_id) AS seats,
+       count(s.user_id) AS filled_seats, count(s.assignment_id) - count(s.user_id) AS open_seats,
+       round({hrs('sl.slice_end', 'sl.slice_start')}, 4) AS slice_hours,
+       round(count(s.user_id) / count(s.assignment_id), 4) AS coverage_pct,
+       string_agg(CAST(s.assignment_id AS VARCHAR), ',' ORDER BY CAST(s.assignment_id AS VARCHAR)) AS crew_ids
+FROM sl JOIN s ON s.source_database = sl.source_database AND s.unit_name = sl.unit_name
+  AND s.shift_start <= sl.slice_start AND s.shift_end >= sl.slice_end
+GROUP BY sl.source_database, sl.unit_name, sl.slice_start, sl.slice_end"""
+
+SQL["shift_partners"] = W("seats") + """
+SELECT s1.assignment_id, s1.source_database,
+       count(DISTINCT s2.assignment_id) FILTER (WHERE s2.assignment_id <> s1.assignment_id) AS partner_count,
+       string_agg(DISTINCT s2.assigned_name, ', ' ORDER BY s2.assigned_name) FILTER (WHERE s2.assignment_id <> s1.assignment_id) AS partner_names
+FROM seats s1 LEFT JOIN seats s2 ON s1.unit_id = s2.unit_id AND s1.date_line = s2.date_line
+  AND s1.shift_start = s2.shift_start AND s1.source_database = s2.source_database
+GROUP BY s1.assignment_id, s1.source_database"""
+
+SQL["staffing_status"] = W("seats") + """,
+g AS (SELECT source_database, unit_id, date_line, shift_start, count(*) AS total_positions,
+             count(*) FILTER (WHERE assignment_status = 'ASSIGNED') AS filled_positions
+      FROM seats GROUP BY ALL)
+SELECT s.assignment_id, g.total_positions, g.filled_positions, g.total_positions - g.filled_positions AS open_positions,
+       CASE WHEN g.total_positions IS NULL THEN NULL WHEN g.filled_positions = 0 THEN 'COMPLETELY_OPEN'
+            WHEN g.total_positions - g.filled_positions > 0 THEN 'UNDERSTAFFED' ELSE 'FULLY_STAFFED' END AS staffing_status
+FROM seats s LEFT JOIN g ON g.source_database = s.source_database AND g.unit_id = s.unit_id
+  AND g.date_line = s.date_line AND g.shift_start = s.shift_start"""
+
+SQL["weekly_overtime"] = W("weekly") + """
+SELECT source_database, user_id, week_start, round(weekly_scheduled_hours, 4) AS weekly_scheduled_hours,
+       round(weekly_actual_hours, 4) AS weekly_actual_hours, shift_count, round(overtime_hours, 4) AS overtime_hours,
+       is_overtime FROM weekly"""
+
+SQL["period_overtime"] = W("weekly", "periods") + """
+SELECT w.source_database, w.user_id, p.start_date AS pay_period_start,
+       round(sum(w.overtime_hours), 4) AS period_overtime_hours,
+       round(sum(w.actual_overtime_hours), 4) AS period_actual_overtime_hours,
+       round(sum(w.weekly_scheduled_hours), 4) AS period_scheduled_hours, count(*) AS weeks
+FROM weekly w LEFT JOIN periods p ON w.week_start BETWEEN p.start_date AND p.end_date
+GROUP BY w.source_database, w.user_id, p.start_date"""
+
+SQL["overtime_summary"] = W("weekly") + """
+SELECT source_database, count(DISTINCT user_id) AS employees,
+       count(DISTINCT CASE WHEN is_overtime THEN user_id END) AS employees_with_overtime,
+       count_if(is_overtime) AS overtime_weeks, round(sum(overtime_hours), 4) AS total_overtime_hours
+FROM weekly GROUP BY source_database"""
+
+SQL["cumulative_hours"] = W("seats") + """
+SELECT assignment_id, user_id, week_start,
+       round(CASE WHEN user_id IS NOT NULL THEN sum(scheduled_hours) OVER (
+         PARTITION BY source_database, user_id, week_start ORDER BY shift_start, assignment_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END, 4) AS cumulative_hours
+FROM seats"""
+
+SQL["urgency_flags"] = W("seats") + """
+SELECT assignment_id, CAST(date_diff('day', DATE '2024-01-25', date_line) AS INTEGER) AS days_until_shift,
+       date_line = DATE '2024-01-25' AS is_today, date_line = DATE '2024-01-26' AS is_tomorrow,
+       date_line >= DATE '2024-01-25' AND date_line <= DATE '2024-01-28' AS is_within_3_days
+FROM seats"""
+
+SQL["daily_open_summary"] = W("seats") + """
+SELECT assignment_id, region, date_line,
+       count(*) FILTER (WHERE assignment_status = 'OPEN') OVER (PARTITION BY region, date_line) AS open_shift_count,
+       round(sum(CASE WHEN assignment_status = 'OPEN' THEN open_hours END) OVER (PARTITION BY region, date_line), 4) AS open_hours_day
+FROM seats"""
+
+SQL["scheduling_summary"] = W("seats") + """
+SELECT source_database, week_start, count(*) AS total_shifts,
+  count(*) FILTER (WHERE assignment_status = 'ASSIGNED') AS filled_shifts,
+  count(*) FILTER (WHERE assignment_status <> 'ASSIGNED') AS open_shifts,
+  count(DISTINCT user_id) FILTER (WHERE assignment_status = 'ASSIGNED') AS employees_scheduled,
+  count(DISTINCT (unit_id, date_line, shift_start)) FILTER (WHERE unit_id IS NOT NULL) AS distinct_unit_shifts,
+  """ + ",\n  ".join(f"count(*) FILTER (WHERE day_of_week = {i}) AS {d}_shifts"
+                     for i, d in enumerate(["sun", "mon", "tue", "wed", "thu", "fri", "sat"])) + """,
+  round(count(*) FILTER (WHERE assignment_status = 'ASSIGNED') / count(*), 4) AS coverage_pct,
+  round(sum(scheduled_hours) / NULLIF(sum(scheduled_hours) + sum(open_hours), 0), 4) AS hours_coverage_pct,
+  round(sum(scheduled_hours), 4) AS scheduled_hours, round(sum(open_hours), 4) AS open_hours,
+  round(sum(COALESCE(hours_worked, 0.0)), 4) AS worked_hours,
+  round(sum(COALESCE(hours_worked, 0.0)) - sum(scheduled_hours), 4) AS hours_variance
+FROM seats GROUP BY source_database, week_start"""
+
+SQL["dense_grid"] = W("seats", "cost_centers") + """,
+days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2023-12-21 00:00:00', TIMESTAMP '2024-02-07 00:00:00', INTERVAL 1 DAY)) AS DATE) AS grid_date),
+agg AS (SELECT date_line AS grid_date, cost_center_id, sum(scheduled_hours) AS sh, sum(open_hours) AS oh,
+               sum(COALESCE(hours_worked, 0.0)) AS wh, count(*) AS n
+        FROM seats WHERE date_line BETWEEN DATE '2023-12-21' AND DATE '2024-02-07' GROUP BY ALL)
+SELECT d.grid_date, c.cost_center_id, c.cost_center_name, round(COALESCE(a.sh, 0.0), 4) AS scheduled_hours,
+       round(COALESCE(a.oh, 0.0), 4) AS open_hours, round(COALESCE(a.wh, 0.0), 4) AS worked_hours,
+       COALESCE(a.n, 0) AS shifts
+FROM days d CROSS JOIN cost_centers c LEFT JOIN agg a ON a.grid_date = d.grid_date AND a.cost_center_id = c.cost_center_id"""
+
+SQL["shift_slice"] = W("seats", "periods") + f""",
+p AS (SELECT start_date, end_date FROM periods WHERE start_date <= DATE '2024-01-25' AND end_date >= DATE '2024-01-25'
+      ORDER BY start_date DESC LIMIT 1)
+SELECT s.assignment_id, s.region, s.date_line, s.assignment_status,
+       round(CASE WHEN COALESCE(s.scheduled_hours, 0.0) = 0 THEN {hrs('s.shift_end', 's.shift_start')} ELSE s.scheduled_hours END, 4) AS report_hours
+FROM seats s JOIN p ON s.date_line >= p.start_date AND s.date_line <= p.end_date
+WHERE s.region = 'south' AND NOT s.is_training"""
+
+SQL["assign_period"] = W("seat_periods") + """
+SELECT assignment_id, date_line, pay_period_year, pay_period_number, pay_period_start, pay_period_end, period_week
+FROM seat_periods"""
+
+SQL["current_next_period"] = W("periods") + """
+SELECT * FROM (SELECT 'current' AS which, pay_period_number, start_date, end_date FROM periods
+               WHERE start_date <= DATE '2024-01-25' ORDER BY start_date DESC LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT 'next', pay_period_number, start_date, end_date FROM periods
+               WHERE start_date > DATE '2024-01-25' ORDER BY start_date LIMIT 1)"""
+
+SQL["period_for_date"] = W("periods") + """
+SELECT pay_period_year, pay_period_number, start_date, end_date FROM periods
+WHERE start_date <= DATE '2024-01-25' AND end_date >= DATE '2024-01-25' ORDER BY start_date DESC LIMIT 1"""
+
+SQL["reports_due"] = W("seats", "periods") + """
+SELECT r.region, d.report_type, d.due_date, d.period_start, d.period_end
+FROM (SELECT DISTINCT region FROM seats) r CROSS JOIN (
+  SELECT 'schedule' AS report_type, start_date - 1 AS due_date, start_date AS period_start, end_date AS period_end FROM periods
+  UNION ALL
+  SELECT 'comparison', end_date + 1, start_date, end_date FROM periods) d"""
+
+SQL["employee_hours_report"] = W("report_shifts") + """,
+wk AS (
+  SELECT region, pay_period_start, user_id, assigned_name, calendar_week,
+    sum(CASE WHEN period_week = 1 THEN report_hours ELSE 0.0 END) AS w1,
+    sum(CASE WHEN period_week <> 1 THEN report_hours ELSE 0.0 END) AS w2,
+    sum(CASE WHEN is_training THEN report_hours ELSE 0.0 END) AS tr,
+    sum(CASE WHEN is_orientation THEN report_hours ELSE 0.0 END) AS ori,
+    sum(CASE WHEN NOT is_orientation AND is_special_event THEN report_hours ELSE 0.0 END) AS se,
+    sum(CASE WHEN NOT is_orientation AND NOT is_special_event AND is_field_shift THEN report_hours ELSE 0.0 END) AS fld,
+    sum(report_hours) AS week_hours, sum(COALESCE(hours_worked, 0.0)) AS act
+  FROM report_shifts WHERE NOT is_open GROUP BY ALL)
+SELECT region, pay_period_start, user_id, assigned_name,
+  round(sum(w1), 4) AS week1_hours, round(sum(w2), 4) AS week2_hours, round(sum(tr), 4) AS training_hours,
+  round(sum(ori), 4) AS orientation_hours, round(sum(se), 4) AS special_event_hours, round(sum(fld), 4) AS field_hours,
+  round(sum(greatest(week_hours - 40.0, 0.0)), 4) AS total_ot, round(sum(act), 4) AS actual_hours,
+  round(sum(w1) + sum(w2), 4) AS total_hours, round(sum(act) - (sum(w1) + sum(w2)), 4) AS variance
+FROM wk GROUP BY region, pay_period_start, user_id, assigned_name"""
+
+SQL["open_hours_report"] = W("report_shifts") + """
+SELECT region, pay_period_start, round(sum(report_hours), 4) AS open_total,
+  round(sum(CASE WHEN period_week = 1 THEN report_hours ELSE 0.0 END), 4) AS open_week1,
+  round(sum(CASE WHEN period_week <> 1 THEN report_hours ELSE 0.0 END), 4) AS open_week2,
+  round(sum(CASE WHEN is_training THEN report_hours ELSE 0.0 END), 4) AS open_training,
+  round(sum(CASE WHEN is_orientation THEN report_hours ELSE 0.0 END), 4) AS open_orientation,
+  round(sum(CASE WHEN NOT is_orientation AND is_special_event THEN report_hours ELSE 0.0 END), 4) AS open_special_event,
+  round(sum(CASE WHEN NOT is_orientation AND NOT is_special_event THEN report_hours ELSE 0.0 END), 4) AS open_field
+FROM report_shifts WHERE is_open GROUP BY region, pay_period_start"""
+
+SQL["report_with_totals"] = W("report_shifts") + """,
+d AS (SELECT *, CASE WHEN is_open THEN 'OPEN' ELSE COALESCE(assigned_name, 'user ' || CAST(user_id AS VARCHAR)) END AS row_label
+      FROM report_shifts)
+SELECT region, pay_period_start, row_label,
+       CASE WHEN row_label = 'OPEN' THEN 'open' ELSE 'employee' END AS row_kind,
+       round(sum(report_hours), 4) AS scheduled_hours, count(*) AS shifts
+FROM d GROUP BY region, pay_period_start, row_label
+UNION ALL
+SELECT region, pay_period_start, 'TOTAL', 'total', round(sum(report_hours), 4), count(*)
+FROM d GROUP BY region, pay_period_start"""
+
+SQL["daily_hours_variance"] = W("report_shifts") + """
+SELECT region, pay_period_start, date_line,
+  round(sum(CASE WHEN NOT is_open THEN report_hours ELSE 0.0 END), 4) AS scheduled_hours,
+  round(sum(CASE WHEN is_open THEN report_hours ELSE 0.0 END), 4) AS open_hours,
+  round(sum(COALESCE(hours_worked, 0.0)), 4) AS actual_hours,
+  round(sum(COALESCE(hours_worked, 0.0)) - sum(CASE WHEN NOT is_open THEN report_hours ELSE 0.0 END), 4) AS variance,
+  count(*) FILTER (WHERE NOT is_open) AS filled_shifts, count(*) FILTER (WHERE is_open) AS open_shifts
+FROM report_shifts GROUP BY region, pay_period_start, date_line"""

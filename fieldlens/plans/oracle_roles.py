@@ -229,6 +229,58 @@ LEFT JOIN (SELECT DISTINCT cost_center_id, source_database, TRUE AS is_allowed F
   ON vcc.cost_center_id = x.cost_center_id AND vcc.source_database = x.source_database""",
      "schedule", "valid_cost_centers")
 
+role("seat_punch", f"""
+SELECT assignment_id,
+       sum(CASE WHEN clock_in_time IS NOT NULL AND effective_clock_out IS NOT NULL
+                THEN {hrs('effective_clock_out', 'clock_in_time')} END) AS hours_worked,
+       min(clock_in_time) AS clock_in_time, count(*) AS punch_count
+FROM matches WHERE time_id IS NOT NULL GROUP BY assignment_id""", "matches")
+role("seats", f"""
+SELECT x.*, COALESCE(v.is_allowed, FALSE) AND NOT x.is_special_event AND NOT x.is_training AS is_field_shift
+FROM (
+  SELECT s.*, sp.hours_worked, sp.clock_in_time, COALESCE(sp.punch_count, 0) AS punch_count,
+    CASE WHEN s.user_id IS NULL THEN 'OPEN' ELSE 'ASSIGNED' END AS assignment_status,
+    s.user_id IS NULL AS is_open,
+    CASE WHEN s.user_id IS NOT NULL THEN {hrs('s.shift_end', 's.shift_start')} ELSE 0.0 END AS scheduled_hours,
+    CASE WHEN s.user_id IS NULL THEN {hrs('s.shift_end', 's.shift_start')} ELSE 0.0 END AS open_hours,
+    {sunday_week('s.date_line')} AS week_start, dayname(s.date_line) AS day_name,
+    CAST(dayofweek(s.date_line) AS INTEGER) AS day_of_week,
+    {region_cc_sql('s.cost_center_name', 's.source_database')} AS region,
+    {level_sql('s.cost_center_name')} AS level_of_service,
+    CASE WHEN sp.hours_worked IS NOT NULL THEN {rn("sp.hours_worked - CASE WHEN s.user_id IS NOT NULL THEN " + hrs('s.shift_end', 's.shift_start') + " ELSE 0.0 END")} END AS hours_variance,
+    u.last_name || ', ' || u.first_name AS assigned_name, u.job_title,
+    COALESCE(s.cost_center_name LIKE '%PROMO%', FALSE) AS is_training,
+    COALESCE(s.cost_center_name LIKE 'LARGE%', FALSE) AS is_special_event,
+    COALESCE(s.cost_center_name LIKE 'ECON%', FALSE) AS is_orientation
+  FROM shifts s
+  LEFT JOIN seat_punch sp ON sp.assignment_id = s.assignment_id
+  LEFT JOIN users u ON u.user_id = s.user_id AND u.source_database = s.source_database) x
+LEFT JOIN (SELECT DISTINCT cost_center_id, source_database, TRUE AS is_allowed FROM valid_cost_centers) v
+  ON v.cost_center_id = x.cost_center_id AND v.source_database = x.source_database""",
+     "shifts", "seat_punch", "users", "valid_cost_centers")
+role("periods", """
+SELECT CAST(year(start_date) AS INTEGER) AS pay_period_year,
+       CAST(floor(date_diff('day', DATE '2023-12-24', start_date) / 14) + 1 AS INTEGER) AS pay_period_number,
+       start_date, start_date + 13 AS end_date
+FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '2023-12-24 00:00:00',
+                                         CAST((SELECT max(date_line) FROM shifts) AS TIMESTAMP),
+                                         INTERVAL 14 DAY)) AS DATE) AS start_date) g""", "shifts")
+role("seat_periods", """
+SELECT s.*, p.pay_period_year, p.pay_period_number, p.start_date AS pay_period_start, p.end_date AS pay_period_end,
+       CASE WHEN p.start_date IS NOT NULL THEN CASE WHEN date_diff('day', p.start_date, s.date_line) < 7 THEN 1 ELSE 2 END END AS period_week
+FROM seats s LEFT JOIN periods p ON s.date_line BETWEEN p.start_date AND p.end_date""", "seats", "periods")
+role("report_shifts", f"""
+SELECT *, CASE WHEN COALESCE(scheduled_hours, 0.0) = 0 THEN {hrs('shift_end', 'shift_start')} ELSE scheduled_hours END AS report_hours,
+       {sunday_week('date_line')} AS calendar_week
+FROM seat_periods WHERE pay_period_start IS NOT NULL""", "seat_periods")
+role("weekly", """
+SELECT source_database, user_id, week_start, sum(scheduled_hours) AS weekly_scheduled_hours,
+       sum(COALESCE(hours_worked, 0.0)) AS weekly_actual_hours, count(*) AS shift_count,
+       greatest(sum(scheduled_hours) - 40.0, 0.0) AS overtime_hours,
+       greatest(sum(COALESCE(hours_worked, 0.0)) - 40.0, 0.0) AS actual_overtime_hours,
+       sum(scheduled_hours) > 40.0 AS is_overtime
+FROM seats WHERE user_id IS NOT NULL GROUP BY source_database, user_id, week_start""", "seats")
+
 
 def with_roles(*names: str) -> str:
     """``WITH`` clause containing the named roles and everything they depend on."""

@@ -243,3 +243,225 @@ QUERIES = {
     "match_intervals": q_match_intervals,
     "orphan_intervals": q_orphan_intervals,
 }
+
+
+# ---------------------------------------------------------------- seats, staffing, periods
+from fieldlens.operators import reports, staffing  # noqa: E402
+
+
+def seats(spark, root) -> DataFrame:
+    sh, pu, zones, pairs = _pairs_and_matches(spark, root)
+    m = matching.match_intervals(sh, pu, zones, pairs=pairs)
+    return staffing.seat_fact(sh, m, roles.users(spark, root), roles.valid_cost_centers(spark))
+
+
+def event_periods(spark, root) -> DataFrame:
+    return roles.periods(spark, roles.shifts(spark, root), "date_line")
+
+
+def q_dedup_punches(spark, root):
+    sc = schedule(spark, root)
+    d = keys.distinct_on(sc.withColumn("_tid", F.coalesce("time_id", F.lit(-1))),
+                         ["assignment_id", "source_database", "_tid"], [("clock_in_time", "asc_nulls_last")])
+    return d.select("assignment_id", "source_database", "time_id", "clock_in_time")
+
+
+def q_schedule_fact(spark, root):
+    sc = schedule(spark, root)
+    per = event_periods(spark, root)
+    sc = calendar.assign_period(sc, per, "date_line")
+    sc = calendar.flag_current_next(sc, per, AS_OF_EVENTS)
+    return sc.select("assignment_id", "time_id", "assignment_status", r4("scheduled_hours").alias("scheduled_hours"),
+                     r4("open_hours").alias("open_hours"), r4("hours_worked").alias("hours_worked"),
+                     "has_timesheet", "is_clocked_in", "timesheet_match_type", "pay_period_number",
+                     "pay_period_start", "period_week", "is_current_pay_period", "is_next_pay_period")
+
+
+def q_attendance_flags(spark, root):
+    s = classify.attendance_flags(seats(spark, root), AS_OF_EVENTS)
+    return s.select("assignment_id", "is_open", "is_no_show", "is_partial_shift")
+
+
+def q_hours_fallback(spark, root):
+    s = seats(spark, root)
+    return s.select("assignment_id", r4(classify.hours_fallback()).alias("report_hours"))
+
+
+def q_hours_variance(spark, root):
+    s = seats(spark, root)
+    return s.select("assignment_id", r4("hours_worked").alias("hours_worked"), "hours_variance")
+
+
+def q_shift_flags(spark, root):
+    s = seats(spark, root)
+    return s.select("assignment_id", "is_training", "is_special_event", "is_orientation", "is_field_shift")
+
+
+def q_epoch_to_local(spark, root):
+    p = roles.punches(spark, root).join(roles.source_zones(spark), "source_database", "left")
+    return p.select("time_id", "source_database", "local_tz",
+                    S.epoch_to_local("time_start_ts", "local_tz").alias("clock_in_time"),
+                    F.when(F.col("time_end_ts") != 0, S.epoch_to_local("time_end_ts", "local_tz"))
+                    .alias("clock_out_time"))
+
+
+def q_interval_flatten(spark, root):
+    f = matching.interval_flatten(roles.shifts(spark, root))
+    return f.select("source_database", "unit_name", "slice_start", "slice_end", "seats", "filled_seats",
+                    "open_seats", r4("slice_hours").alias("slice_hours"), "coverage_pct", "crew_ids")
+
+
+def q_shift_partners(spark, root):
+    p = staffing.shift_partners(seats(spark, root))
+    return p.select("assignment_id", "source_database", "partner_count", "partner_names")
+
+
+def q_staffing_status(spark, root):
+    p = staffing.staffing(seats(spark, root))
+    return p.select("assignment_id", "total_positions", "filled_positions", "open_positions", "staffing_status")
+
+
+def _weekly(spark, root):
+    return staffing.weekly_hours(seats(spark, root))
+
+
+def q_weekly_overtime(spark, root):
+    w = _weekly(spark, root)
+    return w.select("source_database", "user_id", "week_start",
+                    r4("weekly_scheduled_hours").alias("weekly_scheduled_hours"),
+                    r4("weekly_actual_hours").alias("weekly_actual_hours"), "shift_count",
+                    r4("overtime_hours").alias("overtime_hours"), "is_overtime")
+
+
+def q_period_overtime(spark, root):
+    p = staffing.period_overtime(_weekly(spark, root), event_periods(spark, root))
+    return p.select("source_database", "user_id", "pay_period_start",
+                    r4("period_overtime_hours").alias("period_overtime_hours"),
+                    r4("period_actual_overtime_hours").alias("period_actual_overtime_hours"),
+                    r4("period_scheduled_hours").alias("period_scheduled_hours"), "weeks")
+
+
+def q_overtime_summary(spark, root):
+    o = staffing.overtime_summary(_weekly(spark, root))
+    return o.select("source_database", "employees", "employees_with_overtime", "overtime_weeks",
+                    r4("total_overtime_hours").alias("total_overtime_hours"))
+
+
+def q_cumulative_hours(spark, root):
+    c = staffing.cumulative_hours(seats(spark, root))
+    return c.select("assignment_id", "user_id", "week_start", r4("cumulative_hours").alias("cumulative_hours"))
+
+
+def q_urgency_flags(spark, root):
+    u = classify.urgency_flags(seats(spark, root), AS_OF_EVENTS)
+    return u.select("assignment_id", "days_until_shift", "is_today", "is_tomorrow", "is_within_3_days")
+
+
+def q_daily_open_summary(spark, root):
+    d = staffing.daily_open_summary(seats(spark, root))
+    return d.select("assignment_id", "region", "date_line", "open_shift_count",
+                    r4("open_hours_day").alias("open_hours_day"))
+
+
+def q_scheduling_summary(spark, root):
+    s = staffing.scheduling_summary(seats(spark, root))
+    cols = [c for c in s.columns if c not in ("scheduled_hours", "open_hours", "worked_hours", "hours_variance")]
+    return s.select(*cols, *[r4(c).alias(c) for c in ("scheduled_hours", "open_hours", "worked_hours",
+                                                      "hours_variance")])
+
+
+def q_dense_grid(spark, root):
+    g = staffing.hours_grid(spark, seats(spark, root), roles.cost_centers(spark, root),
+                            AS_OF_EVENTS - dt.timedelta(days=35), AS_OF_EVENTS + dt.timedelta(days=13))
+    return g.select("grid_date", "cost_center_id", "cost_center_name", r4("scheduled_hours").alias("scheduled_hours"),
+                    r4("open_hours").alias("open_hours"), r4("worked_hours").alias("worked_hours"), "shifts")
+
+
+def q_shift_slice(spark, root):
+    per = calendar.period_for(event_periods(spark, root), AS_OF_EVENTS)
+    s = seats(spark, root).join(F.broadcast(per.select("start_date", "end_date")),
+                                (F.col("date_line") >= F.col("start_date")) & (F.col("date_line") <= F.col("end_date")))
+    s = s.where((F.col("region") == "south") & ~F.col("is_training"))
+    return s.select("assignment_id", "region", "date_line", "assignment_status",
+                    r4(classify.hours_fallback()).alias("report_hours"))
+
+
+def q_assign_period(spark, root):
+    s = calendar.assign_period(seats(spark, root), event_periods(spark, root), "date_line")
+    return s.select("assignment_id", "date_line", "pay_period_year", "pay_period_number", "pay_period_start",
+                    "pay_period_end", "period_week")
+
+
+def q_current_next_period(spark, root):
+    c = calendar.current_next_period(event_periods(spark, root), AS_OF_EVENTS)
+    return c.select("which", "pay_period_number", "start_date", "end_date")
+
+
+def q_period_for_date(spark, root):
+    p = calendar.period_for(event_periods(spark, root), AS_OF_EVENTS)
+    return p.select("pay_period_year", "pay_period_number", "start_date", "end_date")
+
+
+def _report_shifts(spark, root):
+    return reports.report_shifts(seats(spark, root), event_periods(spark, root))
+
+
+def q_reports_due(spark, root):
+    d = reports.reports_due(event_periods(spark, root), seats(spark, root))
+    return d.select("region", "report_type", "due_date", "period_start", "period_end")
+
+
+def q_employee_hours_report(spark, root):
+    e = reports.employee_hours(_report_shifts(spark, root))
+    hcols = ["week1_hours", "week2_hours", "training_hours", "orientation_hours", "special_event_hours",
+             "field_hours", "total_ot", "actual_hours", "total_hours", "variance"]
+    return e.select("region", "pay_period_start", "user_id", "assigned_name", *[r4(c).alias(c) for c in hcols])
+
+
+def q_open_hours_report(spark, root):
+    o = reports.open_hours(_report_shifts(spark, root))
+    return o.select("region", "pay_period_start", *[r4(c).alias(c) for c in o.columns
+                                                   if c.startswith("open_")])
+
+
+def q_report_with_totals(spark, root):
+    t = reports.report_with_totals(_report_shifts(spark, root))
+    return t.select("region", "pay_period_start", "row_label", "row_kind",
+                    r4("scheduled_hours").alias("scheduled_hours"), "shifts")
+
+
+def q_daily_hours_variance(spark, root):
+    d = reports.daily_hours_variance(_report_shifts(spark, root))
+    return d.select("region", "pay_period_start", "date_line", *[r4(c).alias(c) for c in
+                    ("scheduled_hours", "open_hours", "actual_hours", "variance")], "filled_shifts", "open_shifts")
+
+
+QUERIES.update({
+    "dedup_punches": q_dedup_punches,
+    "schedule_fact": q_schedule_fact,
+    "attendance_flags": q_attendance_flags,
+    "hours_fallback": q_hours_fallback,
+    "hours_variance": q_hours_variance,
+    "shift_flags": q_shift_flags,
+    "epoch_to_local": q_epoch_to_local,
+    "interval_flatten": q_interval_flatten,
+    "shift_partners": q_shift_partners,
+    "staffing_status": q_staffing_status,
+    "weekly_overtime": q_weekly_overtime,
+    "period_overtime": q_period_overtime,
+    "overtime_summary": q_overtime_summary,
+    "cumulative_hours": q_cumulative_hours,
+    "urgency_flags": q_urgency_flags,
+    "daily_open_summary": q_daily_open_summary,
+    "scheduling_summary": q_scheduling_summary,
+    "dense_grid": q_dense_grid,
+    "shift_slice": q_shift_slice,
+    "assign_period": q_assign_period,
+    "current_next_period": q_current_next_period,
+    "period_for_date": q_period_for_date,
+    "reports_due": q_reports_due,
+    "employee_hours_report": q_employee_hours_report,
+    "open_hours_report": q_open_hours_report,
+    "report_with_totals": q_report_with_totals,
+    "daily_hours_variance": q_daily_hours_variance,
+})
