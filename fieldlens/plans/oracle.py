@@ -3,7 +3,8 @@ same parquet tables, used by the correctness check."""
 
 from __future__ import annotations
 
-from fieldlens.plans.oracle_roles import OUTCOME_SQL, level_sql, mins, region_cc_sql, region_market_sql, with_roles
+from fieldlens.plans.oracle_roles import (OUTCOME_SQL, level_sql, mins, region_cc_sql, region_market_sql, sunday_week,
+                                          with_roles)
 
 W = with_roles
 SQL: dict[str, str] = {}
@@ -477,3 +478,178 @@ SELECT region, pay_period_start, date_line,
   round(sum(COALESCE(hours_worked, 0.0)) - sum(CASE WHEN NOT is_open THEN report_hours ELSE 0.0 END), 4) AS variance,
   count(*) FILTER (WHERE NOT is_open) AS filled_shifts, count(*) FILTER (WHERE is_open) AS open_shifts
 FROM report_shifts GROUP BY region, pay_period_start, date_line"""
+
+# ---------------------------------------------------------------- runs x crew x shift, audit, quality
+SQL["run_crew"] = W("run_crew") + """
+SELECT leg_id, assignment_id, user_id, shift_date, cost_center_name, special_event,
+       round(time_on_task_minutes, 4) AS time_on_task_minutes FROM run_crew"""
+
+SQL["shift_metrics"] = W("shift_metrics") + """
+SELECT assignment_id, total_runs, round(total_time_on_task_hours, 4) AS total_time_on_task_hours,
+       round(avg_time_on_task_minutes, 4) AS avg_time_on_task_minutes,
+       round(avg_response_time_minutes, 4) AS avg_response_time_minutes,
+       round(time_on_task_pct, 4) AS time_on_task_pct, round(unit_hour_utilization, 4) AS unit_hour_utilization,
+       round(active_shift_hours, 4) AS active_shift_hours, first_run_assigned_time, last_run_clear_time
+FROM shift_metrics"""
+
+SQL["crew_daily"] = W("shift_metrics") + """,
+p AS (SELECT a.assignment_id,
+             string_agg(DISTINCT b.assigned_name, ', ' ORDER BY b.assigned_name) FILTER (WHERE b.assignment_id <> a.assignment_id) AS partner_crew_members
+      FROM shift_metrics a LEFT JOIN shift_metrics b ON a.unit_name = b.unit_name AND a.shift_date = b.shift_date
+        AND a.source_database = b.source_database
+      GROUP BY a.assignment_id)
+SELECT m.assignment_id, m.shift_date, p.partner_crew_members,
+       round(CASE WHEN active_shift_hours > 0 THEN total_time_on_task_hours / active_shift_hours * 100 END, 4) AS active_time_efficiency_pct,
+       round(CASE WHEN actual_hours_worked > 0 THEN total_time_on_task_hours / actual_hours_worked * 100 END, 4) AS actual_hours_efficiency_pct,
+       CAST(dayofweek(m.shift_date) AS INTEGER) AS day_of_week, dayname(m.shift_date) AS day_name,
+       CAST(date_trunc('week', m.shift_date) AS DATE) AS week_start, CAST(date_trunc('month', m.shift_date) AS DATE) AS month_start
+FROM shift_metrics m LEFT JOIN p ON p.assignment_id = m.assignment_id"""
+
+SQL["crew_efficiency_weekly"] = W("shift_metrics") + f"""
+SELECT user_id, source_database, week_start, week_start + 6 AS week_end, shifts_worked, total_calls_ran,
+       round(avg_time_on_task_minutes, 4) AS avg_time_on_task_minutes, round(avg_daily_uhu, 4) AS avg_daily_uhu,
+       round(CASE WHEN total_scheduled_hours > 0 THEN total_calls_ran / total_scheduled_hours END, 4) AS weekly_uhu,
+       round(CASE WHEN total_scheduled_hours > 0 THEN total_time_on_task_hours / total_scheduled_hours * 100 END, 4) AS time_on_task_pct,
+       round(total_active_hours, 4) AS total_active_hours, cost_centers_worked
+FROM (SELECT user_id, assigned_name, job_title, {sunday_week('shift_date')} AS week_start, source_database,
+             sum(total_runs) AS total_calls_ran, sum(scheduled_hours) AS total_scheduled_hours,
+             sum(total_time_on_task_hours) AS total_time_on_task_hours,
+             sum(avg_time_on_task_minutes * total_runs) / NULLIF(sum(total_runs), 0) AS avg_time_on_task_minutes,
+             avg(unit_hour_utilization) AS avg_daily_uhu, count(*) AS shifts_worked,
+             sum(active_shift_hours) AS total_active_hours,
+             string_agg(DISTINCT cost_center_name, ', ' ORDER BY cost_center_name) AS cost_centers_worked
+      FROM shift_metrics WHERE NOT is_training GROUP BY ALL) w"""
+
+SQL["run_metrics"] = W("run_metrics") + """
+SELECT leg_id, assignment_id, region, service_date, round(time_on_task_hours, 4) AS time_on_task_hours FROM run_metrics"""
+
+SQL["sequence_in_group"] = W("run_crew") + """
+SELECT assignment_id, leg_id, row_number() OVER (PARTITION BY assignment_id ORDER BY assigned_time, leg_id) AS run_sequence
+FROM run_crew"""
+
+SQL["reconcile_daily"] = W("reconcile") + """
+SELECT service_date, source_database, region, total_runs, round(total_time_on_task_hours, 4) AS total_time_on_task_hours,
+       round(total_time_on_task_excl_transport_hours, 4) AS total_time_on_task_excl_transport_hours,
+       round(avg_time_on_task_minutes, 4) AS avg_time_on_task_minutes,
+       round(total_scheduled_hours, 4) AS total_scheduled_hours, total_units
+FROM reconcile"""
+
+_MEAS = ["total_runs", "total_time_on_task_hours", "total_time_on_task_excl_transport_hours", "total_scheduled_hours",
+         "time_on_task_pct", "uhu"]
+SQL["time_on_task_daily"] = W("reconcile") + """,
+d AS (SELECT service_date, region, sum(total_runs) AS total_runs, sum(total_time_on_task_hours) AS total_time_on_task_hours,
+             sum(total_time_on_task_excl_transport_hours) AS total_time_on_task_excl_transport_hours,
+             sum(total_scheduled_hours) AS total_scheduled_hours, sum(total_units) AS total_units
+      FROM reconcile GROUP BY service_date, region),
+d2 AS (SELECT *, total_time_on_task_hours / NULLIF(total_scheduled_hours, 0) AS time_on_task_pct,
+              total_runs / NULLIF(total_scheduled_hours, 0) AS uhu FROM d)
+SELECT service_date, region, """ + ", ".join(f"round({m}, 4) AS {m}" for m in _MEAS + ["total_units"]) + ", " + ", ".join(
+    f"round(avg({m}) OVER w, 4) AS {m}_ma35" for m in _MEAS) + """
+FROM d2 WINDOW w AS (PARTITION BY region ORDER BY service_date ROWS BETWEEN 34 PRECEDING AND CURRENT ROW)"""
+
+SQL["labour_hours"] = W("shift_mart", "users") + """
+SELECT s.region, s.shift_date,
+  count(DISTINCT CASE WHEN hour(s.shift_start) < 12 THEN s.unit_name END) AS ambulances_up_am,
+  count(DISTINCT CASE WHEN hour(s.shift_start) >= 19 THEN s.unit_name END) AS ambulances_up_pm,
+  count(DISTINCT s.unit_name) AS total_ambulances,
+  round(sum(CASE WHEN s.is_field_shift AND NOT s.is_training AND NOT s.is_orientation AND s.actual_hours_worked > 0
+           AND s.cost_center_name NOT IN ('PROMO') THEN s.actual_hours_worked ELSE 0 END), 4) AS clean_labor_hours,
+  round(sum(CASE WHEN s.cost_center_name IN ('PROMO') THEN COALESCE(s.actual_hours_worked, 0) ELSE 0 END), 4) AS hours_worked_911,
+  round(sum(CASE WHEN (s.is_field_shift OR s.is_special_event OR s.is_orientation OR s.is_training)
+           AND s.actual_hours_worked > 0 THEN s.actual_hours_worked ELSE 0 END), 4) AS fully_loaded_hours,
+  round(sum(CASE WHEN s.is_special_event THEN COALESCE(s.actual_hours_worked, 0) ELSE 0 END), 4) AS special_event_hours,
+  round(sum(CASE WHEN s.is_orientation OR s.is_training THEN COALESCE(s.actual_hours_worked, 0) ELSE 0 END), 4) AS orientation_hours,
+  round(sum(CASE WHEN s.is_special_event AND u.job_title IN ('AUTOMOBILE', 'BUILDING') THEN COALESCE(s.actual_hours_worked, 0) ELSE 0 END), 4) AS emt_special_event_hours,
+  round(sum(CASE WHEN s.is_special_event AND u.job_title IN ('MACHINERY') THEN COALESCE(s.actual_hours_worked, 0) ELSE 0 END), 4) AS medic_special_event_hours
+FROM shift_mart s LEFT JOIN users u ON s.user_id = u.user_id AND s.source_database = u.source_database
+WHERE s.shift_date IS NOT NULL AND s.region IS NOT NULL AND s.is_assigned
+  AND s.region IN ('west', 'east', 'south', 'middle')
+  AND (s.is_field_shift OR s.is_special_event OR s.is_orientation OR s.cost_center_name IN ('PROMO'))
+GROUP BY s.region, s.shift_date"""
+
+SQL["last_change_actor"] = W("runs", "history_log") + """
+SELECT r.leg_id, r.run_outcome, concat('Reason: ', r.lost_call_status) AS cancel_reason, h.id AS last_change_id,
+       h.user_id AS last_actor_id
+FROM runs r LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY leg_id ORDER BY id DESC) AS rk
+                                      FROM history_log WHERE field = 'status') x WHERE rk = 1) h ON h.leg_id = r.leg_id
+WHERE r.run_outcome = 'cancelled'"""
+
+SQL["distinct_list"] = W("uploads") + """
+SELECT leg_id, count(*) AS attachment_count, count(DISTINCT uploader_id) AS uploaders,
+       string_agg(DISTINCT COALESCE(type_name, 'Unknown'), ', ' ORDER BY COALESCE(type_name, 'Unknown')) AS attachment_types,
+       max(uploaded_at) AS last_uploaded_at
+FROM uploads GROUP BY leg_id"""
+
+SQL["compliance"] = W("runs", "crew_link", "uploads") + """,
+legs AS (SELECT leg_id, NOT COALESCE(calltype_name IN ('Medicar', 'Standby - BLS'), FALSE) AS is_required
+         FROM runs WHERE run_outcome = 'ran'),
+crew AS (SELECT DISTINCT leg_id, crew_user_id FROM crew_link),
+up AS (SELECT DISTINCT leg_id, uploader_id AS crew_user_id FROM uploads),
+crew_up AS (SELECT c.leg_id, count(*) AS crew_uploads FROM crew c
+            WHERE EXISTS (SELECT 1 FROM up WHERE up.leg_id = c.leg_id AND up.crew_user_id = c.crew_user_id) GROUP BY c.leg_id),
+fin AS (SELECT o_orderkey AS leg_id, o_custkey % 100 AS finalizer_id FROM orders),
+fin_crew AS (SELECT f.leg_id FROM fin f WHERE EXISTS (SELECT 1 FROM crew c WHERE c.leg_id = f.leg_id AND c.crew_user_id = f.finalizer_id)),
+leg AS (SELECT l.leg_id, l.is_required, COALESCE(cu.crew_uploads, 0) > 0 AS is_compliant, f.finalizer_id,
+               fc.leg_id IS NOT NULL AS finalizer_on_crew
+        FROM legs l LEFT JOIN crew_up cu ON cu.leg_id = l.leg_id LEFT JOIN fin f ON f.leg_id = l.leg_id
+        LEFT JOIN fin_crew fc ON fc.leg_id = l.leg_id)
+SELECT c.crew_user_id AS user_id, count(*) AS legs_attributed, count_if(is_required) AS legs_required,
+       count_if(is_required AND is_compliant) AS legs_compliant, count_if(finalizer_on_crew) AS legs_as_finalizer,
+       round(count_if(is_required AND is_compliant) / NULLIF(count_if(is_required), 0), 4) AS compliance_pct
+FROM leg JOIN crew c ON c.leg_id = leg.leg_id
+WHERE NOT finalizer_on_crew OR c.crew_user_id = leg.finalizer_id
+GROUP BY c.crew_user_id"""
+
+SQL["qa_recon"] = W("qa_runs") + """
+SELECT doc_id AS run_id, source,
+       CASE WHEN quality = 1 THEN 'Exported' WHEN quality = 0 THEN 'Failed' ELSE 'Not Exported' END AS export_status,
+       quality IS NOT NULL AS has_export_row,
+       COALESCE(CASE WHEN toxic = 1 THEN 'Flagged' END,
+                CASE WHEN quality = 1 THEN 'Exported' WHEN quality = 0 THEN 'Failed' ELSE 'Not Exported' END) AS display_status
+FROM qa_runs"""
+
+SQL["qa_status"] = W("qa_runs") + """,
+st AS (SELECT doc_id AS run_id, CAST(quality + 1 AS INTEGER) AS status_id, toxic AS removed FROM qa_runs WHERE quality IS NOT NULL),
+s AS (SELECT st.*, v.status_name FROM st LEFT JOIN (VALUES (1, 'Reviewed'), (2, 'Approved')) v(status_id, status_name)
+      ON v.status_id = st.status_id)
+SELECT r.doc_id AS run_id, r.source, s.status_id, s.status_name
+FROM qa_runs r LEFT JOIN s ON s.run_id = r.doc_id AND s.removed = 0"""
+
+SQL["pay_list"] = W("run_crew", "users") + """
+SELECT g.user_id, g.assigned_name, g.source_database, round(g.hours_on_task, 4) AS hours_on_task, g.runs,
+       u.hourly_wage, round(g.hours_on_task * u.hourly_wage, 4) AS pay_amount
+FROM (SELECT user_id, assigned_name, source_database, sum(time_on_task_minutes) / 60.0 AS hours_on_task, count(leg_id) AS runs
+      FROM (SELECT DISTINCT leg_id, user_id, assigned_name, source_database, time_on_task_minutes FROM run_crew
+            WHERE source_database IN ('src0', 'src1')) t
+      GROUP BY ALL) g
+LEFT JOIN users u ON u.user_id = g.user_id"""
+
+SQL["active_users"] = W("users") + """
+SELECT user_id, source_database, CAST(user_id AS VARCHAR) || '_' || source_database AS surrogate_key,
+       last_name || ', ' || first_name AS full_name, job_title, state,
+       NOT (lower(trim(CAST(disabled AS VARCHAR))) IN ('1', 'true', 't', 'yes', 'y')) AS is_active
+FROM users"""
+
+SQL["dq_invalid_durations"] = W("runs") + f"""
+SELECT leg_id, run_number, source_database, service_date, round({mins('clear_time', 'enroute_time')}, 4) AS duration_minutes,
+       CASE WHEN {mins('clear_time', 'enroute_time')} < 0 THEN 'negative_duration' ELSE 'exceeds_12_hours' END AS issue
+FROM runs WHERE enroute_time IS NOT NULL AND clear_time IS NOT NULL
+  AND ({mins('clear_time', 'enroute_time')} < 0 OR {mins('clear_time', 'enroute_time')} > 720)"""
+
+SQL["dq_column_checks"] = W("users", "seats") + """,
+u AS (SELECT user_id, CAST(user_id AS VARCHAR) || '_' || source_database AS surrogate_key FROM users),
+c AS (
+  SELECT 'users' AS table_name, 'user_id' AS column_name, 'not_null' AS test, count_if(user_id IS NULL) AS failures FROM u
+  UNION ALL SELECT 'users', 'surrogate_key', 'not_null', count_if(surrogate_key IS NULL) FROM u
+  UNION ALL SELECT 'users', 'surrogate_key', 'unique', count(surrogate_key) - count(DISTINCT surrogate_key) FROM u
+  UNION ALL SELECT 'schedule', 'assignment_id', 'not_null', count_if(assignment_id IS NULL) FROM seats
+  UNION ALL SELECT 'schedule', 'source_database', 'not_null', count_if(source_database IS NULL) FROM seats
+  UNION ALL SELECT 'schedule', 'date_line', 'not_null', count_if(date_line IS NULL) FROM seats
+  UNION ALL SELECT 'schedule', 'user_id', 'not_null', count_if(user_id IS NULL) FROM seats
+  UNION ALL SELECT 'schedule', 'assignment_id', 'unique', count(assignment_id) - count(DISTINCT assignment_id) FROM seats)
+SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM c"""
+
+SQL["null_sentinel_dates"] = """
+SELECT o_orderkey AS run_id, CASE WHEN s LIKE '0000-00-00%' THEN NULL ELSE TRY_CAST(s AS TIMESTAMP) END AS finalize_date
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN '0000-00-00 00:00:00' ELSE CAST(o_orderdate AS VARCHAR) END AS s
+      FROM orders) x"""

@@ -281,6 +281,91 @@ SELECT source_database, user_id, week_start, sum(scheduled_hours) AS weekly_sche
        sum(scheduled_hours) > 40.0 AS is_overtime
 FROM seats WHERE user_id IS NOT NULL GROUP BY source_database, user_id, week_start""", "seats")
 
+role("crew_link", """
+SELECT l.l_orderkey AS leg_id, l.l_suppkey AS crew_user_id,
+       l.l_suppkey * 100000 + date_diff('day', DATE '1994-12-25', CAST(o.o_orderdate AS DATE)) AS shift_assignment_id
+FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
+role("crew_shifts", """
+SELECT shift_assignment_id AS assignment_id, crew_user_id AS user_id,
+       'src' || CAST(crew_user_id % 3 AS VARCHAR) AS source_database,
+       DATE '1994-12-25' + CAST(shift_assignment_id % 100000 AS INTEGER) AS date_line,
+       CAST(DATE '1994-12-25' + CAST(shift_assignment_id % 100000 AS INTEGER) AS TIMESTAMP) + INTERVAL 6 HOUR AS shift_start,
+       CAST(DATE '1994-12-25' + CAST(shift_assignment_id % 100000 AS INTEGER) AS TIMESTAMP) + INTERVAL 18 HOUR AS shift_end,
+       'Unit ' || CAST(crew_user_id % 20 AS VARCHAR) AS unit_name,
+       CAST(crew_user_id % 6 AS INTEGER) AS cost_center_id
+FROM (SELECT DISTINCT crew_user_id, shift_assignment_id FROM crew_link) x""", "crew_link")
+role("crew_seats", f"""
+SELECT s.*, cc.cost_center_name, u.last_name || ', ' || u.first_name AS assigned_name, u.job_title, v.special_event,
+       {hrs('s.shift_end', 's.shift_start')} AS scheduled_hours,
+       {hrs('s.shift_end', 's.shift_start')} - (s.user_id % 3) AS actual_hours_worked,
+       s.date_line AS shift_date, COALESCE(cc.cost_center_name LIKE '%PROMO%', FALSE) AS is_training
+FROM crew_shifts s
+LEFT JOIN cost_centers cc ON cc.cost_center_id = s.cost_center_id
+LEFT JOIN users u ON u.user_id = s.user_id
+JOIN valid_cost_centers v ON v.cost_center_id = s.cost_center_id AND v.source_database = s.source_database""",
+     "crew_shifts", "cost_centers", "users", "valid_cost_centers")
+role("run_crew", f"""
+SELECT r.leg_id, r.run_number, r.source_database AS run_source, r.service_date, r.calltype_name, r.pickup_time,
+       r.assigned_time, r.at_scene_time, r.clear_time,
+       {mins('r.clear_time', 'r.assigned_time')} AS time_on_task_minutes,
+       {mins('r.transporting_time', 'r.at_scene_time')} + {mins('r.clear_time', 'r.at_destination_time')} AS time_on_task_excl_transport_minutes,
+       {mins('r.transporting_time', 'r.at_scene_time')} AS scene_time_minutes,
+       {mins('r.at_destination_time', 'r.transporting_time')} AS transport_time_minutes,
+       {mins('r.clear_time', 'r.at_destination_time')} AS destination_to_clear_minutes,
+       {mins('r.at_scene_time', 'r.acknowledged_time')} AS response_time_minutes,
+       l.shift_assignment_id, s.assignment_id, s.source_database, s.user_id, s.assigned_name, s.job_title,
+       s.shift_date, s.shift_start, s.shift_end, s.scheduled_hours, s.actual_hours_worked, s.unit_name,
+       s.cost_center_id, s.cost_center_name, s.is_training, s.special_event
+FROM stage_times r
+JOIN crew_link l ON l.leg_id = r.leg_id
+JOIN crew_seats s ON l.shift_assignment_id = s.assignment_id
+WHERE r.canceled_time IS NULL AND r.assigned_time IS NOT NULL AND r.clear_time IS NOT NULL
+  AND r.clear_time > r.assigned_time AND {mins('r.clear_time', 'r.assigned_time')} > 0
+  AND {mins('r.clear_time', 'r.assigned_time')} < 720""", "stage_times", "crew_link", "crew_seats")
+role("shift_metrics", f"""
+SELECT *,
+  CASE WHEN scheduled_hours > 0 THEN total_time_on_task_hours / scheduled_hours END AS time_on_task_pct,
+  CASE WHEN scheduled_hours > 0 THEN total_runs / scheduled_hours END AS unit_hour_utilization,
+  {hrs('last_run_clear_time', 'first_run_assigned_time')} AS active_shift_hours
+FROM (
+  SELECT assignment_id, source_database, user_id, assigned_name, job_title, shift_date, shift_start, shift_end,
+         scheduled_hours, actual_hours_worked, unit_name, cost_center_id, cost_center_name, is_training, special_event,
+         count(leg_id) AS total_runs, sum(time_on_task_minutes) / 60.0 AS total_time_on_task_hours,
+         avg(time_on_task_minutes) AS avg_time_on_task_minutes, avg(scene_time_minutes) AS avg_scene_time_minutes,
+         avg(response_time_minutes) AS avg_response_time_minutes,
+         min(assigned_time) AS first_run_assigned_time, max(clear_time) AS last_run_clear_time
+  FROM run_crew GROUP BY ALL) g""", "run_crew")
+role("run_metrics", f"""
+SELECT *, {region_cc_sql()} AS region, time_on_task_minutes / 60.0 AS time_on_task_hours,
+       time_on_task_excl_transport_minutes / 60.0 AS time_on_task_excl_transport_hours
+FROM (SELECT *, row_number() OVER (PARTITION BY leg_id ORDER BY shift_start, assignment_id) AS rk FROM run_crew) x
+WHERE rk = 1""", "run_crew")
+role("reconcile", f"""
+SELECT COALESCE(r.d, h.d) AS service_date, COALESCE(r.source_database, h.source_database) AS source_database,
+       COALESCE(r.region, h.region) AS region, COALESCE(r.total_runs, 0) AS total_runs,
+       COALESCE(r.tot_h, 0.0) AS total_time_on_task_hours, COALESCE(r.tot_x, 0.0) AS total_time_on_task_excl_transport_hours,
+       r.avg_tot AS avg_time_on_task_minutes, COALESCE(h.sched, 0.0) AS total_scheduled_hours,
+       COALESCE(h.units, 0) AS total_units
+FROM (SELECT service_date AS d, source_database, region, count(leg_id) AS total_runs, sum(time_on_task_hours) AS tot_h,
+             sum(time_on_task_excl_transport_hours) AS tot_x, avg(time_on_task_minutes) AS avg_tot
+      FROM run_metrics GROUP BY ALL) r
+FULL OUTER JOIN (
+      SELECT shift_date AS d, source_database, {region_cc_sql()} AS region,
+             sum(CASE WHEN NOT special_event AND NOT COALESCE(is_training, FALSE) THEN actual_hours_worked ELSE 0.0 END) / 2.0 AS sched,
+             count(DISTINCT CASE WHEN NOT special_event AND NOT COALESCE(is_training, FALSE) AND actual_hours_worked > 0 THEN unit_name END) AS units
+      FROM crew_seats GROUP BY ALL) h
+  ON r.d = h.d AND r.source_database = h.source_database AND r.region = h.region""", "run_metrics", "crew_seats")
+role("history_log", """
+SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS leg_id, 'status' AS field, user_id,
+       ts AS changed_at
+FROM events WHERE event_type = 'error'""")
+role("uploads", """
+SELECT l.l_orderkey AS leg_id, l.l_suppkey AS uploader_id, l.l_linenumber AS link_no, p.p_type AS type_name,
+       l.l_shipdate AS uploaded_at
+FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_returnflag = 'R'""")
+role("qa_runs", """
+SELECT d.doc_id, d.source, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)""")
+
 
 def with_roles(*names: str) -> str:
     """``WITH`` clause containing the named roles and everything they depend on."""

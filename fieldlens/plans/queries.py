@@ -465,3 +465,166 @@ QUERIES.update({
     "report_with_totals": q_report_with_totals,
     "daily_hours_variance": q_daily_hours_variance,
 })
+
+
+# ---------------------------------------------------------------- runs x crew x shift, audit, quality
+from fieldlens.operators import audit, crew, quality  # noqa: E402
+
+
+def crew_seats(spark, root) -> DataFrame:
+    return crew.crew_seats(roles.crew_shifts(spark, root), roles.cost_centers(spark, root),
+                           roles.users(spark, root), roles.valid_cost_centers(spark))
+
+
+def run_crew(spark, root) -> DataFrame:
+    return crew.run_crew(roles.stage_times(spark, root), roles.crew_link(spark, root), crew_seats(spark, root))
+
+
+def _shift_metrics(spark, root):
+    return crew.shift_metrics(run_crew(spark, root))
+
+
+def q_run_crew(spark, root):
+    rc = run_crew(spark, root)
+    return rc.select("leg_id", "assignment_id", "user_id", "shift_date", "cost_center_name", "special_event",
+                     r4("time_on_task_minutes").alias("time_on_task_minutes"))
+
+
+def q_shift_metrics(spark, root):
+    sm = _shift_metrics(spark, root)
+    return sm.select("assignment_id", "total_runs", *[r4(c).alias(c) for c in (
+        "total_time_on_task_hours", "avg_time_on_task_minutes", "avg_response_time_minutes", "time_on_task_pct",
+        "unit_hour_utilization", "active_shift_hours")], "first_run_assigned_time", "last_run_clear_time")
+
+
+def q_crew_daily(spark, root):
+    cd = crew.crew_daily(_shift_metrics(spark, root))
+    return cd.select("assignment_id", "shift_date", "partner_crew_members",
+                     r4("active_time_efficiency_pct").alias("active_time_efficiency_pct"),
+                     r4("actual_hours_efficiency_pct").alias("actual_hours_efficiency_pct"),
+                     "day_of_week", "day_name", "week_start", "month_start")
+
+
+def q_crew_efficiency_weekly(spark, root):
+    w = crew.crew_weekly(_shift_metrics(spark, root))
+    return w.select("user_id", "source_database", "week_start", "week_end", "shifts_worked", "total_calls_ran",
+                    *[r4(c).alias(c) for c in ("avg_time_on_task_minutes", "avg_daily_uhu", "weekly_uhu",
+                                               "time_on_task_pct", "total_active_hours")], "cost_centers_worked")
+
+
+def _run_metrics(spark, root):
+    return crew.run_metrics(run_crew(spark, root), weeks=None)
+
+
+def q_run_metrics(spark, root):
+    rm = _run_metrics(spark, root)
+    return rm.select("leg_id", "assignment_id", "region", "service_date",
+                     r4("time_on_task_hours").alias("time_on_task_hours"))
+
+
+def q_sequence_in_group(spark, root):
+    s = crew.run_sequence(run_crew(spark, root))
+    return s.select("assignment_id", "leg_id", "run_sequence")
+
+
+def _reconcile(spark, root):
+    return crew.daily_reconcile(_run_metrics(spark, root), crew_seats(spark, root))
+
+
+def q_reconcile_daily(spark, root):
+    r = _reconcile(spark, root)
+    return r.select("service_date", "source_database", "region", "total_runs",
+                    *[r4(c).alias(c) for c in ("total_time_on_task_hours", "total_time_on_task_excl_transport_hours",
+                                               "avg_time_on_task_minutes", "total_scheduled_hours")], "total_units")
+
+
+def q_time_on_task_daily(spark, root):
+    t = crew.tot_daily(_reconcile(spark, root))
+    return t.select("service_date", "region", *[r4(c).alias(c) for c in t.columns
+                                                if c not in ("service_date", "region")])
+
+
+def q_labour_hours(spark, root):
+    lh = metrics.labour_hours(shift_mart(spark, root), roles.users(spark, root))
+    return lh.select(*[r4(c).alias(c) if "hours" in c else F.col(c) for c in lh.columns])
+
+
+def q_last_change_actor(spark, root):
+    a = audit.cancel_audit(runs(spark, root), roles.history_log(spark, root))
+    return a.select("leg_id", "run_outcome", "cancel_reason", "last_change_id", "last_actor_id")
+
+
+def q_distinct_list(spark, root):
+    return audit.attachment_log(roles.uploads(spark, root))
+
+
+def q_compliance(spark, root):
+    o = tables.load_table(spark, root, "orders", ["o_orderkey", "o_custkey"])
+    fin = o.select(F.col("o_orderkey").alias("leg_id"), (F.col("o_custkey") % 100).alias("finalizer_id"))
+    return audit.compliance(runs(spark, root), roles.crew_link(spark, root), roles.uploads(spark, root), fin)
+
+
+def q_qa_recon(spark, root):
+    q = audit.qa_recon(roles.qa_runs(spark, root))
+    return q.select(F.col("doc_id").alias("run_id"), "source", "export_status", "has_export_row", "display_status")
+
+
+def q_qa_status(spark, root):
+    st = tables.values_relation(spark, audit.QA_STATUS_NAMES, "status_id int, status_name string")
+    return audit.qa_status(roles.qa_runs(spark, root), st)
+
+
+def q_pay_list(spark, root):
+    p = audit.pay_list(run_crew(spark, root), roles.users(spark, root))
+    return p.select("user_id", "assigned_name", "source_database", r4("hours_on_task").alias("hours_on_task"),
+                    "runs", "hourly_wage", r4("pay_amount").alias("pay_amount"))
+
+
+def q_active_users(spark, root):
+    return audit.user_dim(roles.users(spark, root))
+
+
+def q_dq_invalid_durations(spark, root):
+    d = quality.dq_invalid_durations(runs(spark, root))
+    return d.select("leg_id", "run_number", "source_database", "service_date",
+                    r4("duration_minutes").alias("duration_minutes"), "issue")
+
+
+def q_dq_column_checks(spark, root):
+    u = audit.user_dim(roles.users(spark, root))
+    a = quality.dq_column_checks(u, "users", not_null=["user_id", "surrogate_key"], unique=["surrogate_key"])
+    s = quality.dq_column_checks(seats(spark, root), "schedule",
+                                 not_null=["assignment_id", "source_database", "date_line", "user_id"],
+                                 unique=["assignment_id"])
+    return a.unionByName(s)
+
+
+def q_null_sentinel_dates(spark, root):
+    o = tables.load_table(spark, root, "orders", ["o_orderkey", "o_orderdate"])
+    raw = o.select(F.col("o_orderkey").alias("run_id"),
+                   F.when(F.col("o_orderkey") % 4 == 0, F.lit("0000-00-00 00:00:00"))
+                   .otherwise(F.col("o_orderdate").cast("string")).alias("finalize_date"))
+    return tables.null_zero_dates(raw, ["finalize_date"])
+
+
+QUERIES.update({
+    "run_crew": q_run_crew,
+    "shift_metrics": q_shift_metrics,
+    "crew_daily": q_crew_daily,
+    "crew_efficiency_weekly": q_crew_efficiency_weekly,
+    "run_metrics": q_run_metrics,
+    "sequence_in_group": q_sequence_in_group,
+    "reconcile_daily": q_reconcile_daily,
+    "time_on_task_daily": q_time_on_task_daily,
+    "labour_hours": q_labour_hours,
+    "last_change_actor": q_last_change_actor,
+    "distinct_list": q_distinct_list,
+    "compliance": q_compliance,
+    "qa_recon": q_qa_recon,
+    "qa_status": q_qa_status,
+    "pay_list": q_pay_list,
+    "active_users": q_active_users,
+    "dq_invalid_durations": q_dq_invalid_durations,
+    "dq_column_checks": q_dq_column_checks,
+    "null_sentinel_dates": q_null_sentinel_dates,
+})
