@@ -653,3 +653,71 @@ SQL["null_sentinel_dates"] = """
 SELECT o_orderkey AS run_id, CASE WHEN s LIKE '0000-00-00%' THEN NULL ELSE TRY_CAST(s AS TIMESTAMP) END AS finalize_date
 FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN '0000-00-00 00:00:00' ELSE CAST(o_orderdate AS VARCHAR) END AS s
       FROM orders) x"""
+
+# ---------------------------------------------------------------- delta / stream
+_UPSERT = """
+WITH t AS (SELECT event_id, ts, user_id, event_type, value, 0 AS d FROM events WHERE ts < TIMESTAMP '2024-01-25 00:00:00'),
+dl AS (SELECT event_id, ts, user_id, event_type, round(value + 1.0, 2) AS value, 1 AS d FROM events
+       WHERE ts >= TIMESTAMP '2024-01-24 00:00:00')
+SELECT event_id, ts, user_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY d DESC) AS rk FROM (SELECT * FROM t UNION ALL SELECT * FROM dl) u) x
+WHERE rk = 1"""
+SQL["upsert_merge"] = _UPSERT
+SQL["stream_upsert"] = _UPSERT
+
+SQL["upsert_composite"] = """
+WITH t AS (SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS day, 0 AS d FROM events
+           WHERE ts < TIMESTAMP '2024-01-25 00:00:00'),
+dl AS (SELECT event_id, ts, user_id, event_type, round(value + 1.0, 2) AS value, CAST(ts AS DATE) AS day, 1 AS d FROM events
+       WHERE ts >= TIMESTAMP '2024-01-24 00:00:00')
+SELECT user_id, event_type, day, event_id, ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type, day ORDER BY d DESC, ts DESC, event_id DESC) AS rk
+  FROM (SELECT * FROM t UNION ALL SELECT * FROM dl) u) x
+WHERE rk = 1"""
+
+SQL["incremental_scan"] = """
+SELECT event_id, ts, user_id, event_type FROM events
+WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-25 00:00:00')"""
+
+SQL["snapshot_tag"] = W("shifts") + """
+SELECT assignment_id, user_id, date_line, shift_start, DATE '2024-01-28' AS snapshot_week_start
+FROM shifts WHERE date_line BETWEEN DATE '2024-01-28' AND DATE '2024-02-03'"""
+
+SQL["snapshot_diff"] = W("seats", "cost_centers") + f""",
+snap AS (
+  SELECT event_id AS assignment_id, CAST(CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id END AS BIGINT) AS planned_user_id,
+         CAST(4 + event_id % 9 AS DOUBLE) AS planned_hours
+  FROM events WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-01-25 00:00:00'
+    AND CAST(ts AS DATE) BETWEEN DATE '2024-01-21' AND DATE '2024-01-27'),
+act AS (SELECT assignment_id, user_id AS actual_user_id, hours_worked FROM seats
+        WHERE date_line BETWEEN DATE '2024-01-21' AND DATE '2024-01-27')
+SELECT COALESCE(s.assignment_id, a.assignment_id) AS assignment_id, s.planned_user_id, a.actual_user_id,
+       round(s.planned_hours, 4) AS planned_hours, round(a.hours_worked, 4) AS actual_hours,
+       CASE WHEN s.planned_hours IS NULL THEN 'added'
+            WHEN a.actual_user_id IS NULL AND s.planned_user_id IS NULL AND a.hours_worked IS NULL THEN 'unchanged'
+            WHEN a.actual_user_id IS DISTINCT FROM s.planned_user_id THEN 'reassigned'
+            WHEN a.hours_worked IS NULL THEN 'not_worked' ELSE 'worked' END AS change_type
+FROM snap s FULL OUTER JOIN act a ON s.assignment_id = a.assignment_id"""
+
+SQL["reconcile_weekly"] = """
+SELECT o_orderkey AS leg_id, CAST(o_orderdate AS DATE) AS service_date, DATE '2001-07-22' AS range_start,
+       DATE '2001-08-05' AS range_end, CAST(date_trunc('week', CAST(o_orderdate AS DATE) + 1) AS DATE) - 1 AS week_start
+FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '2001-07-22' AND CAST(o_orderdate AS DATE) < DATE '2001-08-05'"""
+
+SQL["week_chunks"] = """
+WITH m AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start FROM orders),
+c AS (SELECT month_start, CAST(month_start + INTERVAL 1 MONTH AS DATE) AS month_end,
+             CAST(unnest(generate_series(CAST(month_start AS TIMESTAMP),
+                                         CAST(CAST(month_start + INTERVAL 1 MONTH AS DATE) - 1 AS TIMESTAMP),
+                                         INTERVAL 7 DAY)) AS DATE) AS chunk_start FROM m)
+SELECT month_start, month_end, CAST(floor(date_diff('day', month_start, chunk_start) / 7) + 1 AS INTEGER) AS chunk_no,
+       chunk_start, least(chunk_start + 7, month_end) AS chunk_end
+FROM c"""
+
+SQL["stream_dedup"] = """
+SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events"""
+
+SQL["stream_daily_counts"] = """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type,
+       count(*) AS events, round(sum(value), 4) AS value_sum
+FROM events GROUP BY ALL"""

@@ -628,3 +628,111 @@ QUERIES.update({
     "dq_column_checks": q_dq_column_checks,
     "null_sentinel_dates": q_null_sentinel_dates,
 })
+
+
+# ---------------------------------------------------------------- delta / stream
+from fieldlens import sinks  # noqa: E402
+from fieldlens.streaming import jobs  # noqa: E402
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
+DELTA_START = dt.datetime(2024, 1, 24)
+
+
+def _delta_transform(df: DataFrame) -> DataFrame:
+    return df.where(F.col("ts") >= F.lit(DELTA_START)).select(*EVENT_COLS) \
+        .withColumn("value", F.round(F.col("value") + 1.0, 2))
+
+
+def q_upsert_merge(spark, root):
+    m = sinks.merge_frames(roles.event_delta(spark, root, True), roles.event_delta(spark, root, False),
+                           ["event_id"])
+    return m.select(*EVENT_COLS)
+
+
+def q_upsert_composite(spark, root):
+    day = F.col("ts").cast("date").alias("day")
+    t = roles.event_delta(spark, root, True).select("*", day)
+    d = roles.event_delta(spark, root, False).select("*", day)
+    m = sinks.merge_frames(t, d, ["user_id", "event_type", "day"], [("ts", "desc"), ("event_id", "desc")])
+    return m.select("user_id", "event_type", "day", "event_id", "ts", "value")
+
+
+def q_incremental_scan(spark, root):
+    base = roles.event_delta(spark, root, True)
+    hwm = base.agg(F.max("ts")).scalar()  # scalar subquery: the stored high-water mark
+    e = tables.load_table(spark, root, "events", ["event_id", "ts", "user_id", "event_type"])
+    return tables.incremental_scan(e, "ts", hwm)
+
+
+def _next_week(as_of: dt.date) -> tuple[dt.date, dt.date]:
+    start = as_of + dt.timedelta(days=(6 - as_of.weekday()) % 7 or 7)
+    return start, start + dt.timedelta(days=6)
+
+
+def q_snapshot_tag(spark, root):
+    start, end = _next_week(AS_OF_EVENTS)
+    s = roles.shifts(spark, root).where(F.col("date_line").between(F.lit(start), F.lit(end)))
+    s = sinks.tag_snapshot(s, "snapshot_week_start", start)
+    return s.select("assignment_id", "user_id", "date_line", "shift_start", "snapshot_week_start")
+
+
+def q_snapshot_diff(spark, root):
+    week_start = AS_OF_EVENTS - dt.timedelta(days=(AS_OF_EVENTS.weekday() + 1) % 7)
+    week_end = week_start + dt.timedelta(days=6)
+    ev = tables.load_table(spark, root, "events")
+    snap = roles.shifts(spark, root, ev.where(F.col("ts") < F.lit(dt.datetime.combine(AS_OF_EVENTS, dt.time()))))
+    snap = snap.where(F.col("date_line").between(F.lit(week_start), F.lit(week_end))).select(
+        "assignment_id", F.col("user_id").alias("planned_user_id"),
+        S.hours_between("shift_end", "shift_start").alias("planned_hours"))
+    act = seats(spark, root).where(F.col("date_line").between(F.lit(week_start), F.lit(week_end))).select(
+        "assignment_id", F.col("user_id").alias("actual_user_id"), "hours_worked")
+    j = snap.join(act, "assignment_id", "full_outer")
+    change = (F.when(F.col("planned_hours").isNull(), "added")
+               .when(F.col("actual_user_id").isNull() & F.col("planned_user_id").isNull()
+                     & F.col("hours_worked").isNull(), "unchanged")
+               .when(~F.col("actual_user_id").eqNullSafe(F.col("planned_user_id")), "reassigned")
+               .when(F.col("hours_worked").isNull(), "not_worked")
+               .otherwise("worked"))
+    return j.select("assignment_id", "planned_user_id", "actual_user_id", r4("planned_hours").alias("planned_hours"),
+                    r4("hours_worked").alias("actual_hours"), change.alias("change_type"))
+
+
+def q_reconcile_weekly(spark, root):
+    h = roles.run_header(spark, root).select("leg_id", "service_date")
+    return calendar.reconcile_weeks(h, "service_date", AS_OF_ORDERS, extra_days=7)
+
+
+def q_week_chunks(spark, root):
+    h = roles.run_header(spark, root).select(S.month_start("service_date").alias("month_start"))
+    return calendar.week_chunks(h).select("month_start", "month_end", "chunk_no", "chunk_start", "chunk_end")
+
+
+def q_stream_upsert(spark, root):
+    out = jobs.stream_upsert(spark, tables.table_path(root, "events"),
+                             roles.event_delta(spark, root, True).select(*EVENT_COLS), ["event_id"],
+                             transform=_delta_transform)
+    return out.select(*EVENT_COLS)
+
+
+def q_stream_dedup(spark, root):
+    out = jobs.stream_dedup(spark, tables.table_path(root, "events"), ["event_id"])
+    return out.select(*EVENT_COLS)
+
+
+def q_stream_daily_counts(spark, root):
+    out = jobs.stream_window_counts(spark, tables.table_path(root, "events"), by=["event_type"])
+    return out.select("window_start", "window_end", "event_type", "events", r4("value_sum").alias("value_sum"))
+
+
+QUERIES.update({
+    "upsert_merge": q_upsert_merge,
+    "upsert_composite": q_upsert_composite,
+    "incremental_scan": q_incremental_scan,
+    "snapshot_tag": q_snapshot_tag,
+    "snapshot_diff": q_snapshot_diff,
+    "reconcile_weekly": q_reconcile_weekly,
+    "week_chunks": q_week_chunks,
+    "stream_upsert": q_stream_upsert,
+    "stream_dedup": q_stream_dedup,
+    "stream_daily_counts": q_stream_daily_counts,
+})

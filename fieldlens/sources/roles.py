@@ -155,10 +155,11 @@ def cost_centers(spark: SparkSession, root: str) -> DataFrame:
         F.col("p_type").alias("cost_center_name"))
 
 
-def shifts(spark: SparkSession, root: str) -> DataFrame:
-    """shift seats from ``signup`` events: open seat (NULL user) every 10th, 6-hour starts."""
-    e = load_table(spark, root, "events", ["event_id", "ts", "user_id", "event_type"]) \
-        .where(F.col("event_type") == "signup")
+def shifts(spark: SparkSession, root: str, events: DataFrame | None = None) -> DataFrame:
+    """shift seats from ``signup`` events: open seat (NULL user) every 10th, 6-hour starts.
+    ``events`` replaces the events table (e.g. an earlier snapshot of it)."""
+    e = events if events is not None else load_table(spark, root, "events")
+    e = e.select("event_id", "ts", "user_id", "event_type").where(F.col("event_type") == "signup")
     eid = F.col("event_id")
     start = add_hours(F.col("ts").cast("date").cast("timestamp_ntz"),
                       (F.floor(F.hour("ts") / 6) * 6).cast("int"))
