@@ -121,10 +121,18 @@ def last_first(last: ColumnOrName, first: ColumnOrName) -> Column:
     return F.concat(col(last), F.lit(", "), col(first))
 
 
+def round_half(c: ColumnOrName, scale: int) -> Column:
+    """Round a double to ``scale`` decimals, half away from zero, in double arithmetic
+    (``round(x * 10^n) / 10^n``): the same IEEE steps SQL engines use for a double
+    ``round(x, n)``, so results agree bit for bit on equal inputs."""
+    m = float(10 ** scale)
+    return F.round(col(c) * F.lit(m)) / F.lit(m)
+
+
 def safe_ratio(num: ColumnOrName, den: ColumnOrName, scale: int | None = None) -> Column:
     """``num / NULLIF(den, 0)`` as double, optionally rounded (AG-13)."""
     r = F.try_divide(col(num).cast("double"), F.nullif(col(den).cast("double"), F.lit(0.0)))
-    return F.round(r, scale) if scale is not None else r
+    return round_half(r, scale) if scale is not None else r
 
 
 def null_zero_date(c: ColumnOrName) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import concat_skip_null, last_first, truthy
+from fieldlens.functions.scalars import concat_skip_null, last_first, round_half, truthy
 from fieldlens.operators.keys import latest_by
 
 # ---------------------------------------------------------------------------
@@ -68,7 +68,7 @@ def compliance(runs: DataFrame, crew: DataFrame, uploads: DataFrame, finalizer:
         F.count_if(F.col("is_required")).alias("legs_required"),
         F.count_if(F.col("is_required") & F.col("is_compliant")).alias("legs_compliant"),
         F.count_if(F.col("finalizer_on_crew")).alias("legs_as_finalizer"),
-    ).withColumn("compliance_pct", F.round(F.try_divide(F.col("legs_compliant").cast("double"),
+    ).withColumn("compliance_pct", round_half(F.try_divide(F.col("legs_compliant").cast("double"),
                                                         F.nullif(F.col("legs_required"), F.lit(0)).cast("double")), 4))
 
 

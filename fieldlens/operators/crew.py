@@ -152,8 +152,9 @@ def daily_reconcile(rm: DataFrame, seats: DataFrame) -> DataFrame:
     keys and zero-filled measures (JN-5). Crew hours are halved (two per unit)."""
     runs = rm.groupBy(F.col("service_date").alias("d"), "source_database", "region").agg(
         F.count("leg_id").alias("total_runs"),
-        F.sum("time_on_task_hours").alias("total_time_on_task_hours"),
-        F.sum("time_on_task_excl_transport_hours").alias("total_time_on_task_excl_transport_hours"),
+        # minutes are whole numbers, so their sums are exact in any order; divide once
+        F.sum("time_on_task_minutes").alias("tot_minutes"),
+        F.sum("time_on_task_excl_transport_minutes").alias("tot_x_minutes"),
         F.avg("time_on_task_minutes").alias("avg_time_on_task_minutes"))
     keep = ~F.col("special_event") & ~F.coalesce(F.col("is_training"), F.lit(False))
     hours = seats.withColumn("region", region_from_cost_center()).groupBy(
@@ -167,9 +168,10 @@ def daily_reconcile(rm: DataFrame, seats: DataFrame) -> DataFrame:
         F.coalesce("r.source_database", "h.source_database").alias("source_database"),
         F.coalesce("r.region", "h.region").alias("region"),
         F.coalesce("r.total_runs", F.lit(0)).alias("total_runs"),
-        F.coalesce("r.total_time_on_task_hours", F.lit(0.0)).alias("total_time_on_task_hours"),
-        F.coalesce("r.total_time_on_task_excl_transport_hours", F.lit(0.0))
-         .alias("total_time_on_task_excl_transport_hours"),
+        F.coalesce("r.tot_minutes", F.lit(0.0)).alias("total_time_on_task_minutes"),
+        F.coalesce("r.tot_x_minutes", F.lit(0.0)).alias("total_time_on_task_excl_transport_minutes"),
+        (F.coalesce("r.tot_minutes", F.lit(0.0)) / 60.0).alias("total_time_on_task_hours"),
+        (F.coalesce("r.tot_x_minutes", F.lit(0.0)) / 60.0).alias("total_time_on_task_excl_transport_hours"),
         F.col("r.avg_time_on_task_minutes").alias("avg_time_on_task_minutes"),
         F.coalesce("h.total_scheduled_hours", F.lit(0.0)).alias("total_scheduled_hours"),
         F.coalesce("h.total_units", F.lit(0)).alias("total_units"))
@@ -181,8 +183,8 @@ def tot_daily(rec: DataFrame, rows: int = 35, keys: Sequence[str] = ("region",))
     (day, region); the window then holds one region's days, a calendar-bounded set."""
     d = rec.groupBy("service_date", *keys).agg(
         F.sum("total_runs").alias("total_runs"),
-        F.sum("total_time_on_task_hours").alias("total_time_on_task_hours"),
-        F.sum("total_time_on_task_excl_transport_hours").alias("total_time_on_task_excl_transport_hours"),
+        (F.sum("total_time_on_task_minutes") / 60.0).alias("total_time_on_task_hours"),
+        (F.sum("total_time_on_task_excl_transport_minutes") / 60.0).alias("total_time_on_task_excl_transport_hours"),
         F.sum("total_scheduled_hours").alias("total_scheduled_hours"),
         F.sum("total_units").alias("total_units"))
     d = d.withColumns({

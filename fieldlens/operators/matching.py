@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import epoch_seconds, epoch_to_local, hours_between
+from fieldlens.functions.scalars import epoch_seconds, epoch_to_local, hours_between, round_half
 
 
 def _prepare_shifts(shifts: DataFrame) -> DataFrame:
@@ -180,5 +180,5 @@ def interval_flatten(shifts: DataFrame, by: list[str] | None = None,
     ).withColumns({
         "open_seats": F.col("seats") - F.col("filled_seats"),
         "slice_hours": hours_between("slice_end", "slice_start"),
-        "coverage_pct": F.round(F.col("filled_seats") / F.col("seats"), 4),
+        "coverage_pct": round_half(F.col("filled_seats") / F.col("seats"), 4),
     })

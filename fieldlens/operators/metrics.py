@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import day_name, dow0, hour_bucket, month_label, safe_ratio, us_date
+from fieldlens.functions.scalars import day_name, dow0, hour_bucket, month_label, round_half, safe_ratio, us_date
 from fieldlens.operators.classify import TRANSPORT_LEVEL_PATTERNS, run_outcome
 
 # ---------------------------------------------------------------------------
@@ -98,7 +98,7 @@ def daily_operations(runs: DataFrame, shifts: DataFrame, users: DataFrame) -> Da
     region = F.coalesce(F.col("t.region"), F.col("s.region"))
     day = F.coalesce(F.col("t.service_date"), F.col("s.shift_date"))
     z = lambda c, side: F.coalesce(F.col(f"{side}.{c}"), F.lit(0))
-    zd = lambda c, side: F.round(F.coalesce(F.col(f"{side}.{c}"), F.lit(0.0)), 4)
+    zd = lambda c, side: round_half(F.coalesce(F.col(f"{side}.{c}"), F.lit(0.0)), 4)
     tot_hours = F.coalesce(F.col("t.total_time_on_task_minutes") / 60.0, F.lit(0.0))
     return j.select(
         region.alias("region"),
@@ -119,9 +119,9 @@ def daily_operations(runs: DataFrame, shifts: DataFrame, users: DataFrame) -> Da
         z("on_time_eligible_count", "t").alias("on_time_eligible_count"),
         safe_ratio("t.on_time_count", "t.on_time_eligible_count", 4).alias("on_time_percentage"),
         zd("total_time_on_task_minutes", "t").alias("total_time_on_task_minutes"),
-        F.round(safe_ratio(tot_hours, "s.clean_labor_hours") * 2, 4).alias("time_on_task_percent"),
-        F.round(safe_ratio("t.total_transports", "s.fully_loaded_hours") * 2, 4).alias("fully_loaded_uhu"),
-        F.round(safe_ratio("t.total_transports", "s.clean_labor_hours") * 2, 4).alias("clean_uhu"),
+        round_half(safe_ratio(tot_hours, "s.clean_labor_hours") * 2, 4).alias("time_on_task_percent"),
+        round_half(safe_ratio("t.total_transports", "s.fully_loaded_hours") * 2, 4).alias("fully_loaded_uhu"),
+        round_half(safe_ratio("t.total_transports", "s.clean_labor_hours") * 2, 4).alias("clean_uhu"),
         z("cancelled_calls", "t").alias("cancelled_calls"),
         z("turned_calls", "t").alias("turned_calls"),
     )
@@ -147,8 +147,9 @@ def demand_heatmap(spark: SparkSession, runs: DataFrame, as_of: dt.date, weeks:
     ceil(count / weeks), zero-filled over the dense 24 x 7 grid (JN-7: a cross join of
     two fixed-size relations, 168 rows)."""
     hours = spark.range(24).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hh"))
-    days = spark.createDataFrame([(d,) for d in WEEKDAYS], "day_of_week string")
-    grid = hours.select(F.concat("hh", F.lit("00")).alias("hour_of_day")).crossJoin(days)
+    # the dense 24 x 7 grid is generated, not joined: one exploded weekday array per hour
+    grid = hours.select(F.concat("hh", F.lit("00")).alias("hour_of_day"),
+                        F.explode(F.array(*[F.lit(d) for d in WEEKDAYS])).alias("day_of_week"))
     start = dt.date.fromordinal(as_of.toordinal() - 7 * weeks)
     o = F.col("run_outcome")
     agg = runs.where((F.col("date_of_service") >= F.lit(start)) & (F.col("date_of_service") < F.lit(as_of))) \
@@ -211,10 +212,10 @@ def on_time_ma(sla_runs: DataFrame, rows: int = 7, type_col: str = "sla_type",
         F.grouping(type_col).alias("_g"))
     g = g.withColumn("sla_type", F.when(F.col("_g") == 1, F.lit(combined_label)).otherwise(F.col(type_col))) \
         .drop("_g")
-    g = g.withColumn("on_time_pct", F.round(F.col("on_time_runs") / F.col("eligible_runs"), 6))
+    g = g.withColumn("on_time_pct", round_half(F.col("on_time_runs") / F.col("eligible_runs"), 6))
     w = Window.partitionBy("sla_type").orderBy("service_date").rowsBetween(-(rows - 1), 0)
     return g.withColumns({
-        "on_time_pct_ma": F.round(F.avg("on_time_pct").over(w), 6),
+        "on_time_pct_ma": round_half(F.avg("on_time_pct").over(w), 6),
         "days_in_window": F.count(F.lit(1)).over(w),
     })
 

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import day_name, dow0, hours_between, last_first, round_numeric, week_start
+from fieldlens.functions.scalars import (day_name, dow0, hours_between, last_first, round_half, round_numeric,
+                                         week_start)
 from fieldlens.operators.classify import (hours_variance, level_from_name, region_from_cost_center,
                                           shift_flags)
 
@@ -167,8 +168,8 @@ def scheduling_summary(df: DataFrame, keys: Sequence[str] = ("source_database",
         aggs.append(F.count_if(F.col("day_of_week") == i).alias(f"{d}_shifts"))
     g = df.groupBy(*keys).agg(*aggs)
     return g.withColumns({
-        "coverage_pct": F.round(F.col("filled_shifts") / F.col("total_shifts"), 4),
-        "hours_coverage_pct": F.round(F.try_divide(F.col("scheduled_hours"),
+        "coverage_pct": round_half(F.col("filled_shifts") / F.col("total_shifts"), 4),
+        "hours_coverage_pct": round_half(F.try_divide(F.col("scheduled_hours"),
                                                    F.nullif(F.col("scheduled_hours") + F.col("open_hours"),
                                                             F.lit(0.0))), 4),
         "hours_variance": F.col("worked_hours") - F.col("scheduled_hours"),

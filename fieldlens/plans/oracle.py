@@ -537,8 +537,8 @@ FROM reconcile"""
 _MEAS = ["total_runs", "total_time_on_task_hours", "total_time_on_task_excl_transport_hours", "total_scheduled_hours",
          "time_on_task_pct", "uhu"]
 SQL["time_on_task_daily"] = W("reconcile") + """,
-d AS (SELECT service_date, region, sum(total_runs) AS total_runs, sum(total_time_on_task_hours) AS total_time_on_task_hours,
-             sum(total_time_on_task_excl_transport_hours) AS total_time_on_task_excl_transport_hours,
+d AS (SELECT service_date, region, sum(total_runs) AS total_runs, sum(total_time_on_task_minutes) / 60.0 AS total_time_on_task_hours,
+             sum(total_time_on_task_excl_transport_minutes) / 60.0 AS total_time_on_task_excl_transport_hours,
              sum(total_scheduled_hours) AS total_scheduled_hours, sum(total_units) AS total_units
       FROM reconcile GROUP BY service_date, region),
 d2 AS (SELECT *, total_time_on_task_hours / NULLIF(total_scheduled_hours, 0) AS time_on_task_pct,

@@ -343,11 +343,12 @@ WHERE rk = 1""", "run_crew")
 role("reconcile", f"""
 SELECT COALESCE(r.d, h.d) AS service_date, COALESCE(r.source_database, h.source_database) AS source_database,
        COALESCE(r.region, h.region) AS region, COALESCE(r.total_runs, 0) AS total_runs,
-       COALESCE(r.tot_h, 0.0) AS total_time_on_task_hours, COALESCE(r.tot_x, 0.0) AS total_time_on_task_excl_transport_hours,
+       COALESCE(r.tot_m, 0.0) AS total_time_on_task_minutes, COALESCE(r.tot_xm, 0.0) AS total_time_on_task_excl_transport_minutes,
+       COALESCE(r.tot_m, 0.0) / 60.0 AS total_time_on_task_hours, COALESCE(r.tot_xm, 0.0) / 60.0 AS total_time_on_task_excl_transport_hours,
        r.avg_tot AS avg_time_on_task_minutes, COALESCE(h.sched, 0.0) AS total_scheduled_hours,
        COALESCE(h.units, 0) AS total_units
-FROM (SELECT service_date AS d, source_database, region, count(leg_id) AS total_runs, sum(time_on_task_hours) AS tot_h,
-             sum(time_on_task_excl_transport_hours) AS tot_x, avg(time_on_task_minutes) AS avg_tot
+FROM (SELECT service_date AS d, source_database, region, count(leg_id) AS total_runs, sum(time_on_task_minutes) AS tot_m,
+             sum(time_on_task_excl_transport_minutes) AS tot_xm, avg(time_on_task_minutes) AS avg_tot
       FROM run_metrics GROUP BY ALL) r
 FULL OUTER JOIN (
       SELECT shift_date AS d, source_database, {region_cc_sql()} AS region,

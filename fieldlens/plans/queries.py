@@ -18,7 +18,7 @@ R4 = 4
 
 
 def r4(c) -> F.Column:
-    return F.round(S.col(c), R4)
+    return S.round_half(c, R4)
 
 
 # ---------------------------------------------------------------- shared role builders
@@ -540,8 +540,9 @@ def q_reconcile_daily(spark, root):
 
 def q_time_on_task_daily(spark, root):
     t = crew.tot_daily(_reconcile(spark, root))
-    return t.select("service_date", "region", *[r4(c).alias(c) for c in t.columns
-                                                if c not in ("service_date", "region")])
+    ints = ("total_runs", "total_units")
+    return t.select("service_date", "region", *ints, *[r4(c).alias(c) for c in t.columns
+                                                       if c not in ("service_date", "region") + ints])
 
 
 def q_labour_hours(spark, root):

@@ -88,14 +88,27 @@ def customer_regions(spark: SparkSession, root: str) -> DataFrame:
              .select("c_custkey", "n_name", F.lower("r_name").alias("market")))
 
 
-def run_header(spark: SparkSession, root: str, revs: DataFrame | None = None) -> DataFrame:
-    """run_header: one row per order; ``rev`` points at the highest revision (NULL if none)."""
+def current_revisions(spark: SparkSession, root: str) -> DataFrame:
+    """Current revision of every leg in one pass: the highest revision number, and within
+    it the first row by the revision total order.
+
+    This is DISTINCT ON (leg, rev) + header pointer max(rev) + the (leg, rev) join fused
+    into one top-1 window keyed by the leg: ``row_number() = 1`` gets a partial
+    WindowGroupLimit before the shuffle, so even a hot leg sends one row per map task."""
+    li = load_table(spark, root, "lineitem")
+    cur = distinct_on(li, ["l_orderkey"], [("l_linenumber", "desc_nulls_last"), *REVISION_ORDER])
+    return cur.select(
+        F.col("l_orderkey").alias("leg_id"), F.col("l_linenumber").alias("rev"),
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def header_base(spark: SparkSession, root: str) -> DataFrame:
+    """run header columns derived from orders (without the revision pointer)."""
     o = load_table(spark, root, "orders")
-    revs = revs if revs is not None else revisions(spark, root)
-    ptr = current_pointer(revs, "leg_id", "rev")
     key = F.col("o_orderkey")
     pickup = add_hours(F.col("o_orderdate"), key % 24)
-    hdr = (o.join(call_types(spark), "o_orderpriority", "left")
+    return (o.join(call_types(spark), "o_orderpriority", "left")
              .join(customer_regions(spark, root), F.col("o_custkey") == F.col("c_custkey"), "left")
              .select(
                  key.alias("leg_id"), key.alias("run_number"),
@@ -113,14 +126,20 @@ def run_header(spark: SparkSession, root: str, revs: DataFrame | None = None) ->
                  "calltype_name",
                  (F.col("o_totalprice") / 900.0).alias("mileage"),
                  F.col("market"), F.col("n_name").alias("state")))
-    return hdr.join(ptr, "leg_id", "left")
+
+
+def run_header(spark: SparkSession, root: str, revs: DataFrame | None = None) -> DataFrame:
+    """run_header: one row per order; ``rev`` points at the highest revision (NULL if none)."""
+    revs = revs if revs is not None else revisions(spark, root)
+    return header_base(spark, root).join(current_pointer(revs, "leg_id", "rev"), "leg_id", "left")
 
 
 def stage_times(spark: SparkSession, root: str) -> DataFrame:
-    """Current revision of each run with its status timestamps (NULL paths injected)."""
-    revs = revisions(spark, root)
-    hdr = run_header(spark, root, revs)
-    cur = current_revision(hdr, revs, ["leg_id"])
+    """Current revision of each run with its status timestamps (NULL paths injected).
+
+    Equivalent to ``current_revision(run_header, revisions)`` (BO-1, see
+    :func:`fieldlens.operators.keys.current_revision`), planned as one top-1 window."""
+    cur = header_base(spark, root).join(current_revisions(spark, root), "leg_id", "inner")
     q = F.col("l_quantity").cast("bigint")
     d = F.round(F.col("l_discount") * 100).cast("bigint")
     t = F.round(F.col("l_tax") * 10000).cast("bigint")

@@ -73,9 +73,14 @@ def union_sources(frames: Mapping[str, DataFrame], tag: str = "source_database")
 
 
 def values_relation(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
-    """Inline ``VALUES`` relation (SRC-8). Its size is fixed by the code, so it is marked
-    for broadcast."""
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """Inline ``VALUES`` relation (SRC-8), built JVM-side (an inline generator over a
+    one-row range, no Python RDD), typed by ``schema``. Its size is fixed by the code, so
+    it is marked for broadcast."""
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    names = [f.name for f in st.fields]
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
+    df = spark.range(1).select(F.inline(F.array(*structs))).select(*names)
+    return F.broadcast(df)
 
 
 def load_seed(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
