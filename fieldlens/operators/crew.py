@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import (day_name, dow0, hours_between, last_first, month_start, safe_ratio,
-                                         week_start_monday, week_start_sunday)
+from fieldlens.functions.scalars import (day_name, dow0, exact_window_avg, hours_between, last_first, month_start,
+                                         safe_ratio, week_start_monday, week_start_sunday)
 from fieldlens.operators.classify import any_like, region_from_cost_center, TRAINING_PATTERNS
 from fieldlens.operators.keys import distinct_on
 from fieldlens.operators.staffing import shift_partners
@@ -194,4 +194,4 @@ def tot_daily(rec: DataFrame, rows: int = 35, keys: Sequence[str] = ("region",))
     w = Window.partitionBy(*keys).orderBy("service_date").rowsBetween(-(rows - 1), 0)
     measures = ["total_runs", "total_time_on_task_hours", "total_time_on_task_excl_transport_hours",
                 "total_scheduled_hours", "time_on_task_pct", "uhu"]
-    return d.withColumns({f"{m}_ma{rows}": F.avg(m).over(w) for m in measures})
+    return d.withColumns({f"{m}_ma{rows}": exact_window_avg(m, w) for m in measures})

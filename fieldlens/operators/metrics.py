@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import day_name, dow0, hour_bucket, month_label, round_half, safe_ratio, us_date
+from fieldlens.functions.scalars import (day_name, dow0, exact_window_avg, hour_bucket, month_label, round_half,
+                                         safe_ratio, us_date)
 from fieldlens.operators.classify import TRANSPORT_LEVEL_PATTERNS, run_outcome
 
 # ---------------------------------------------------------------------------
@@ -215,7 +216,7 @@ def on_time_ma(sla_runs: DataFrame, rows: int = 7, type_col: str = "sla_type",
     g = g.withColumn("on_time_pct", round_half(F.col("on_time_runs") / F.col("eligible_runs"), 6))
     w = Window.partitionBy("sla_type").orderBy("service_date").rowsBetween(-(rows - 1), 0)
     return g.withColumns({
-        "on_time_pct_ma": round_half(F.avg("on_time_pct").over(w), 6),
+        "on_time_pct_ma": round_half(exact_window_avg("on_time_pct", w), 6),
         "days_in_window": F.count(F.lit(1)).over(w),
     })
 

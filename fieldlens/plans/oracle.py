@@ -123,7 +123,8 @@ daily AS (
   GROUP BY GROUPING SETS ((service_date, sla_type), (service_date)))
 SELECT service_date, sla_type, eligible_runs, on_time_runs,
        round(on_time_runs / eligible_runs, 6) AS on_time_pct,
-       round(avg(round(on_time_runs / eligible_runs, 6)) OVER w, 6) AS on_time_pct_ma,
+       round(sum(CAST(round(round(on_time_runs / eligible_runs, 6) * 1000000.0) AS BIGINT)) OVER w
+             / count(*) OVER w / 1000000.0, 6) AS on_time_pct_ma,
        count(*) OVER w AS days_in_window
 FROM daily
 WINDOW w AS (PARTITION BY sla_type ORDER BY service_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
@@ -544,7 +545,8 @@ d AS (SELECT service_date, region, sum(total_runs) AS total_runs, sum(total_time
 d2 AS (SELECT *, total_time_on_task_hours / NULLIF(total_scheduled_hours, 0) AS time_on_task_pct,
               total_runs / NULLIF(total_scheduled_hours, 0) AS uhu FROM d)
 SELECT service_date, region, """ + ", ".join(f"round({m}, 4) AS {m}" for m in _MEAS + ["total_units"]) + ", " + ", ".join(
-    f"round(avg({m}) OVER w, 4) AS {m}_ma35" for m in _MEAS) + """
+    f"round(sum(CAST(round({m} * 1000000.0) AS BIGINT)) OVER w / count({m}) OVER w / 1000000.0, 4) AS {m}_ma35"
+    for m in _MEAS) + """
 FROM d2 WINDOW w AS (PARTITION BY region ORDER BY service_date ROWS BETWEEN 34 PRECEDING AND CURRENT ROW)"""
 
 SQL["labour_hours"] = W("shift_mart", "users") + """
