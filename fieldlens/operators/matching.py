@@ -155,14 +155,25 @@ def interval_flatten(shifts: DataFrame, by: list[str] | None = None,
     it (equi-join on the unit plus a range residual), with coverage counts.
 
     The range join keeps the unit as the equi-key and never forms a cross product; a
-    unit's slices grow as 2 x its shifts."""
+    unit's slices grow as 2 x its shifts.
+
+    Skew: a busy unit must not put its whole timeline into one task. The next boundary
+    (LEAD) is therefore found per (unit, day); the last boundary of a day takes the first
+    boundary of the unit's next non-empty day, from a LEAD over one summary row per
+    unit-day (a calendar-sized input, not a data-sized one)."""
     by = by or ["source_database", "unit_name"]
     s = shifts.where(F.col("unit_name").isNotNull() & F.col("shift_start").isNotNull())
     pts = (s.select(*by, F.col("shift_start").alias("ts"))
-            .union(s.select(*by, F.col("shift_end").alias("ts"))).distinct())
-    w = Window.partitionBy(*by).orderBy("ts")
-    slices = pts.withColumn("slice_end", F.lead("ts").over(w)) \
-        .where(F.col("slice_end").isNotNull()).withColumnRenamed("ts", "slice_start")
+            .union(s.select(*by, F.col("shift_end").alias("ts"))).distinct()
+            .withColumn("_pday", F.col("ts").cast("date")))
+    in_day = pts.withColumn("_next", F.lead("ts").over(Window.partitionBy(*by, "_pday").orderBy("ts")))
+    days = pts.groupBy(*by, "_pday").agg(F.min("ts").alias("_first"))
+    days = days.withColumn("_next_day_first",
+                           F.lead("_first").over(Window.partitionBy(*by).orderBy("_pday"))).drop("_first")
+    slices = in_day.join(days, [*by, "_pday"]) \
+        .withColumn("slice_end", F.coalesce("_next", "_next_day_first")) \
+        .where(F.col("slice_end").isNotNull()).withColumnRenamed("ts", "slice_start") \
+        .drop("_pday", "_next", "_next_day_first")
     # Day buckets keep the range join from comparing a busy unit's every shift with every
     # slice: a shift is exploded to the (at most two) days it touches, a slice belongs to
     # the day it starts, so each (slice, seat) pair meets exactly once.

@@ -76,17 +76,18 @@ def shift_partners(df: DataFrame, group: Sequence[str] = SEAT_GROUP, id_col: str
 def staffing(df: DataFrame, group: Sequence[str] = SEAT_GROUP) -> DataFrame:
     """Positions per shift (BO-23): total / filled / open over the group, and the
     status COMPLETELY_OPEN, UNDERSTAFFED or FULLY_STAFFED. A NULL group key gives NULL
-    counts, like the reference's equality join."""
-    w = Window.partitionBy(*group)
-    null_key = F.lit(False)
+    counts, like the reference's equality join.
+
+    Counted with a grouped aggregation (partial counts before the shuffle) joined back
+    on the group key, so a hot group is reduced map-side instead of sorted in one task."""
+    keys_ok = F.lit(True)
     for g in group:
-        null_key = null_key | F.col(g).isNull()
-    total = F.count(F.lit(1)).over(w)
-    filled = F.count(F.when(F.col("assignment_status") == "ASSIGNED", 1)).over(w)
-    out = df.withColumns({
-        "total_positions": F.when(~null_key, total),
-        "filled_positions": F.when(~null_key, filled),
-    }).withColumn("open_positions", F.col("total_positions") - F.col("filled_positions"))
+        keys_ok = keys_ok & F.col(g).isNotNull()
+    agg = df.where(keys_ok).groupBy(*group).agg(
+        F.count(F.lit(1)).alias("total_positions"),
+        F.count(F.when(F.col("assignment_status") == "ASSIGNED", 1)).alias("filled_positions"))
+    out = df.join(agg, list(group), "left") \
+        .withColumn("open_positions", F.col("total_positions") - F.col("filled_positions"))
     return out.withColumn(
         "staffing_status",
         F.when(F.col("total_positions").isNull(), F.lit(None).cast("string"))
@@ -142,12 +143,14 @@ def cumulative_hours(df: DataFrame) -> DataFrame:
 
 def daily_open_summary(df: DataFrame, keys: Sequence[str] = ("region", "date_line")) -> DataFrame:
     """Open seats and open hours per day and region, attached to every detail row
-    (BO-31); uses ``open_hours`` (Q-7 corrected)."""
-    w = Window.partitionBy(*keys)
-    return df.withColumns({
-        "open_shift_count": F.count(F.when(F.col("assignment_status") == "OPEN", 1)).over(w),
-        "open_hours_day": F.sum(F.when(F.col("assignment_status") == "OPEN", F.col("open_hours"))).over(w),
-    })
+    (BO-31); uses ``open_hours`` (Q-7 corrected). Aggregated per key (partial sums before
+    the shuffle) and joined back null-safely, like a window over the key would."""
+    is_open = F.col("assignment_status") == "OPEN"
+    agg = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.count(F.when(is_open, 1)).alias("open_shift_count"),
+        F.sum(F.when(is_open, F.col("open_hours"))).alias("open_hours_day"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return df.join(agg, cond, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def scheduling_summary(df: DataFrame, keys: Sequence[str] = ("source_database", "week_start")) -> DataFrame:
