@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import scalars as S
 from fieldlens.operators import calendar, classify, keys, marts, matching, metrics, timeline
 from fieldlens.sources import roles, tables
+from fieldlens.plans.models import table_model
 from fieldlens.sources.roles import AS_OF_EVENTS, AS_OF_ORDERS
 
 R4 = 4
@@ -22,28 +23,35 @@ def r4(c) -> F.Column:
 
 
 # ---------------------------------------------------------------- shared role builders
+# Shared intermediates are table models (written once per build, see plans/models.py),
+# mirroring the reference's table materializations of its timesheet and run models.
+
+def stage_times(spark: SparkSession, root: str) -> DataFrame:
+    return table_model(spark, root, "stage_times", lambda: roles.stage_times(spark, root))
+
 
 def runs(spark: SparkSession, root: str) -> DataFrame:
-    return marts.run_mart(roles.stage_times(spark, root))
+    return table_model(spark, root, "runs", lambda: marts.run_mart(stage_times(spark, root)))
+
+
+def _pairs(spark: SparkSession, root: str) -> DataFrame:
+    return table_model(spark, root, "pairs", lambda: matching.matched_pairs(roles.shifts(spark, root),
+                                                                            roles.punches(spark, root)))
 
 
 def _pairs_and_matches(spark: SparkSession, root: str):
-    sh = roles.shifts(spark, root)
-    pu = roles.punches(spark, root)
-    zones = roles.source_zones(spark)
-    pairs = matching.matched_pairs(sh, pu)
-    return sh, pu, zones, pairs
+    return roles.shifts(spark, root), roles.punches(spark, root), roles.source_zones(spark), _pairs(spark, root)
 
 
 def matches(spark: SparkSession, root: str) -> DataFrame:
-    sh, pu, zones, pairs = _pairs_and_matches(spark, root)
-    return matching.match_intervals(sh, pu, zones, pairs=pairs)
+    def build():
+        sh, pu, zones, pairs = _pairs_and_matches(spark, root)
+        return matching.match_intervals(sh, pu, zones, pairs=pairs)
+    return table_model(spark, root, "matches", build)
 
 
 def schedule(spark: SparkSession, root: str) -> DataFrame:
-    sh, pu, zones, pairs = _pairs_and_matches(spark, root)
-    m = matching.match_intervals(sh, pu, zones, pairs=pairs)
-    return matching.schedule_fact(sh, m)
+    return matching.schedule_fact(roles.shifts(spark, root), matches(spark, root))
 
 
 def shift_mart(spark: SparkSession, root: str) -> DataFrame:
@@ -58,7 +66,7 @@ def q_distinct_on(spark, root):
 
 
 def q_current_revision(spark, root):
-    return roles.stage_times(spark, root).select("leg_id", "rev", "source_database", "service_date",
+    return stage_times(spark, root).select("leg_id", "rev", "source_database", "service_date",
                                                  "l_partkey", "l_quantity")
 
 
@@ -70,7 +78,7 @@ def q_revision_full_join(spark, root):
 
 
 def q_star_enrich(spark, root):
-    st = roles.stage_times(spark, root).select("leg_id", "rev", "user_id", "l_partkey", "l_suppkey", "market")
+    st = stage_times(spark, root).select("leg_id", "rev", "user_id", "l_partkey", "l_suppkey", "market")
     part = tables.load_table(spark, root, "part", ["p_partkey", "p_type", "p_brand"])
     supp = tables.load_table(spark, root, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
     nat = tables.load_table(spark, root, "nation", ["n_nationkey", "n_name"])
@@ -131,18 +139,18 @@ def q_case_outcome(spark, root):
 
 
 def q_stage_durations(spark, root):
-    df = timeline.stage_durations(roles.stage_times(spark, root))
+    df = timeline.stage_durations(stage_times(spark, root))
     return df.select("leg_id", *[r4(n).alias(n) for n, _, _ in timeline.DEFAULT_STAGES])
 
 
 def q_time_on_task(spark, root):
-    df = timeline.time_on_task(roles.stage_times(spark, root))
+    df = timeline.time_on_task(stage_times(spark, root))
     return df.select("leg_id", r4("time_on_task_minutes").alias("time_on_task_minutes"),
                      r4("time_on_task_excl_transport_minutes").alias("time_on_task_excl_transport_minutes"))
 
 
 def q_valid_runs(spark, root):
-    df = timeline.valid_runs(timeline.time_on_task(roles.stage_times(spark, root)))
+    df = timeline.valid_runs(timeline.time_on_task(stage_times(spark, root)))
     return df.select("leg_id", "source_database", r4("time_on_task_minutes").alias("time_on_task_minutes"))
 
 
@@ -250,9 +258,8 @@ from fieldlens.operators import reports, staffing  # noqa: E402
 
 
 def seats(spark, root) -> DataFrame:
-    sh, pu, zones, pairs = _pairs_and_matches(spark, root)
-    m = matching.match_intervals(sh, pu, zones, pairs=pairs)
-    return staffing.seat_fact(sh, m, roles.users(spark, root), roles.valid_cost_centers(spark))
+    return table_model(spark, root, "seats", lambda: staffing.seat_fact(
+        roles.shifts(spark, root), matches(spark, root), roles.users(spark, root), roles.valid_cost_centers(spark)))
 
 
 def event_periods(spark, root) -> DataFrame:
@@ -472,12 +479,14 @@ from fieldlens.operators import audit, crew, quality  # noqa: E402
 
 
 def crew_seats(spark, root) -> DataFrame:
-    return crew.crew_seats(roles.crew_shifts(spark, root), roles.cost_centers(spark, root),
-                           roles.users(spark, root), roles.valid_cost_centers(spark))
+    return table_model(spark, root, "crew_seats", lambda: crew.crew_seats(
+        roles.crew_shifts(spark, root), roles.cost_centers(spark, root), roles.users(spark, root),
+        roles.valid_cost_centers(spark)))
 
 
 def run_crew(spark, root) -> DataFrame:
-    return crew.run_crew(roles.stage_times(spark, root), roles.crew_link(spark, root), crew_seats(spark, root))
+    return table_model(spark, root, "run_crew", lambda: crew.run_crew(
+        stage_times(spark, root), roles.crew_link(spark, root), crew_seats(spark, root)))
 
 
 def _shift_metrics(spark, root):
