@@ -52,19 +52,20 @@ def current_next_period(periods: DataFrame, as_of: dt.date, start: str = "start_
 
 def flag_current_next(df: DataFrame, periods: DataFrame, as_of: dt.date, date_col: str = "date_line",
                       start: str = "start_date", end: str = "end_date") -> DataFrame:
-    """is_current_pay_period / is_next_pay_period flags via the two top-1 periods."""
+    """is_current_pay_period / is_next_pay_period flags. The two period bounds are
+    uncorrelated scalar subqueries over the top-1 periods (JN-20), so the detail rows are
+    filtered against constants and no join is planned."""
     cn = current_next_period(periods, as_of, start)
-    bounds = cn.groupBy().agg(
-        F.max(F.when(F.col("which") == "current", F.col(start))).alias("_cs"),
-        F.max(F.when(F.col("which") == "current", F.col(end))).alias("_ce"),
-        F.max(F.when(F.col("which") == "next", F.col(start))).alias("_ns"),
-        F.max(F.when(F.col("which") == "next", F.col(end))).alias("_ne"))
+
+    def bound(which: str, c: str):
+        return cn.where(F.col("which") == which).select(F.max(c)).scalar()
+
     d = F.col(date_col)
-    out = df.crossJoin(F.broadcast(bounds))  # one-row parameter relation (JN-8)
-    return out.withColumns({
-        "is_current_pay_period": F.coalesce((d >= F.col("_cs")) & (d <= F.col("_ce")), F.lit(False)),
-        "is_next_pay_period": F.coalesce((d >= F.col("_ns")) & (d <= F.col("_ne")), F.lit(False)),
-    }).drop("_cs", "_ce", "_ns", "_ne")
+    return df.withColumns({
+        "is_current_pay_period": F.coalesce((d >= bound("current", start)) & (d <= bound("current", end)),
+                                            F.lit(False)),
+        "is_next_pay_period": F.coalesce((d >= bound("next", start)) & (d <= bound("next", end)), F.lit(False)),
+    })
 
 
 def period_for(periods: DataFrame, day: dt.date, start: str = "start_date", end: str = "end_date") -> DataFrame:

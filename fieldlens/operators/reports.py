@@ -105,7 +105,10 @@ def reports_due(periods: DataFrame, regions: DataFrame) -> DataFrame:
                      F.col("start_date").alias("period_start"), F.col("end_date").alias("period_end"))
     comp = p.select(F.lit("comparison").alias("report_type"), F.date_add("end_date", 1).alias("due_date"),
                     F.col("start_date").alias("period_start"), F.col("end_date").alias("period_end"))
-    return regions.select("region").distinct().crossJoin(F.broadcast(sched.unionByName(comp)))
+    # the distinct region list is a scalar subquery (bounded domain); each due-date row is
+    # expanded over it by a generator, so no join is planned
+    region_list = regions.select(F.array_sort(F.collect_set("region"))).scalar()
+    return sched.unionByName(comp).select(F.explode(region_list).alias("region"), "*")
 
 
 def due_on(due: DataFrame, as_of: dt.date) -> DataFrame:

@@ -181,10 +181,12 @@ def scheduling_summary(df: DataFrame, keys: Sequence[str] = ("source_database",
 
 def hours_grid(spark, seats: DataFrame, centers: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Dense hours grid (BO-21, JN-7): every date in ``[start, end]`` x every cost center,
-    zero-filled scheduled / open / worked hours. The date domain is limited before the
-    cross join (both sides are bounded: days in range x centers)."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("grid_date"))
-    grid = days.crossJoin(F.broadcast(centers.select("cost_center_id", "cost_center_name")))
+    zero-filled scheduled / open / worked hours. The date domain is limited first and the
+    grid is generated from the centers (``explode(sequence)``), then left-joined to the
+    aggregated hours."""
+    # grid = every center x every day, generated per center row (no join at all)
+    grid = centers.select("cost_center_id", "cost_center_name",
+                          F.explode(F.sequence(F.lit(start), F.lit(end))).alias("grid_date"))
     agg = seats.where((F.col("date_line") >= F.lit(start)) & (F.col("date_line") <= F.lit(end))) \
         .groupBy(F.col("date_line").alias("grid_date"), "cost_center_id").agg(
             F.sum("scheduled_hours").alias("scheduled_hours"), F.sum("open_hours").alias("open_hours"),

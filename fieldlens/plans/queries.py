@@ -386,8 +386,8 @@ def q_dense_grid(spark, root):
 
 def q_shift_slice(spark, root):
     per = calendar.period_for(event_periods(spark, root), AS_OF_EVENTS)
-    s = seats(spark, root).join(F.broadcast(per.select("start_date", "end_date")),
-                                (F.col("date_line") >= F.col("start_date")) & (F.col("date_line") <= F.col("end_date")))
+    lo, hi = per.select(F.max("start_date")).scalar(), per.select(F.max("end_date")).scalar()
+    s = seats(spark, root).where((F.col("date_line") >= lo) & (F.col("date_line") <= hi))
     s = s.where((F.col("region") == "south") & ~F.col("is_training"))
     return s.select("assignment_id", "region", "date_line", "assignment_status",
                     r4(classify.hours_fallback()).alias("report_hours"))
