@@ -64,15 +64,26 @@ def valid_runs(df: DataFrame, tot: str = "time_on_task_minutes", max_minutes: fl
 
 
 def otp(df: DataFrame, scheduled: str = "pickup_time", arrival: str = "at_scene_time",
-        grace_minutes: float = 15.0) -> DataFrame:
+        grace_minutes: float = 15.0, levels: Sequence[str] | None = ("ALS", "BLS", "CCT"),
+        as_of=None, weeks: int | None = None) -> DataFrame:
     """Pickup on-time (BO-33): delay = max(arrival - scheduled, 0); strict on time when
-    the delay is 0, on time within grace when it is <= ``grace_minutes``. NULL arrival
-    leaves all three NULL."""
-    delay = F.greatest(minutes_between(arrival, scheduled), F.lit(0.0))
+    the delay is 0, on time within grace when it is <= ``grace_minutes``. A missing
+    arrival or schedule leaves all three NULL (``GREATEST`` would otherwise turn a NULL
+    delay into 0). ``levels`` keeps transport call types; ``as_of``/``weeks`` optionally
+    keep the recent weeks before ``as_of`` (the reference's 5-week view)."""
+    if levels is not None:
+        df = df.where(F.col("calltype_name").isin(*levels))
+    if as_of is not None and weeks is not None:
+        import datetime as _dt
+        df = df.where((F.col(scheduled) >= F.lit(as_of - _dt.timedelta(weeks=weeks)))
+                      & (F.col(scheduled) < F.lit(as_of)))
+    known = col(arrival).isNotNull() & col(scheduled).isNotNull()
+    delay = F.when(known, F.greatest(minutes_between(arrival, scheduled), F.lit(0.0)))
     return df.withColumns({
         "pickup_delay_minutes": delay,
         "is_on_time_strict": delay == 0,
         "is_on_time_grace": delay <= grace_minutes,
+        "pickup_week_start": F.trunc(col(scheduled).cast("date"), "week"),
     })
 
 

@@ -93,11 +93,12 @@ SQL["run_flags"] = W("runs") + """
 SELECT leg_id, is_long_distance, is_transport_run, is_critical_care, is_flight_crew,
        round(pickup_variance_minutes, 4) AS pickup_variance_minutes, is_on_time FROM runs"""
 
-_DELAY = f"greatest({mins('at_scene_time', 'pickup_time')}, 0.0)"
+_DELAY = f"CASE WHEN at_scene_time IS NOT NULL AND pickup_time IS NOT NULL THEN greatest({mins('at_scene_time', 'pickup_time')}, 0.0) END"
 SQL["otp"] = W("runs") + f"""
-SELECT leg_id, region, {r4(_DELAY)} AS pickup_delay_minutes, {_DELAY} = 0 AS is_on_time_strict,
-       {_DELAY} <= 15 AS is_on_time_grace
-FROM runs WHERE run_outcome = 'ran'"""
+SELECT leg_id, region, calltype_name, CAST(date_trunc('week', pickup_time) AS DATE) AS pickup_week_start,
+       {r4(_DELAY)} AS pickup_delay_minutes, ({_DELAY}) = 0 AS is_on_time_strict,
+       ({_DELAY}) <= 15 AS is_on_time_grace
+FROM runs WHERE run_outcome = 'ran' AND calltype_name IN ('ALS', 'BLS', 'CCT')"""
 
 _SLA_BASE = f"""
 sla AS (

@@ -169,8 +169,8 @@ def q_run_flags(spark, root):
 
 def q_otp(spark, root):
     df = timeline.otp(runs(spark, root).where(F.col("run_outcome") == "ran"))
-    return df.select("leg_id", "region", r4("pickup_delay_minutes").alias("pickup_delay_minutes"),
-                     "is_on_time_strict", "is_on_time_grace")
+    return df.select("leg_id", "region", "calltype_name", "pickup_week_start",
+                     r4("pickup_delay_minutes").alias("pickup_delay_minutes"), "is_on_time_strict", "is_on_time_grace")
 
 
 def _sla_runs(spark, root):
