@@ -13,7 +13,7 @@ from fieldlens.operators.keys import latest_by
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture (names in the driver tables).
-ATTACHMENT_EXEMPT_CALL_TYPES = ["Medicar", "Standby - BLS"]
+ATTACHMENT_REQUIRED_CALL_TYPES = ["ALS", "BLS", "CCT"]
 QA_STATUS_NAMES = [(1, "Reviewed"), (2, "Approved")]
 PAY_SOURCES = ["src0", "src1"]
 # ---------------------------------------------------------------------------
@@ -42,34 +42,51 @@ def attachment_log(uploads: DataFrame, key: str = "leg_id", default: str = "Unkn
 
 
 def compliance(runs: DataFrame, crew: DataFrame, uploads: DataFrame, finalizer: DataFrame,
-               exempt: Sequence[str] = ATTACHMENT_EXEMPT_CALL_TYPES) -> DataFrame:
-    """Attachment compliance (BO-42). A ran leg requires an attachment unless its call type
-    is exempt (a NULL call type is required, Q-15). It is compliant when any crew member
-    uploaded one. Attribution: the finalizer if they were crew, else every crew member;
-    crew is distinct per leg (Q-14 corrected)."""
-    legs = runs.where(F.col("run_outcome") == "ran").select(
-        "leg_id", (~F.coalesce(F.col("calltype_name").isin(*exempt), F.lit(False))).alias("is_required"))
-    crew = crew.select("leg_id", F.col("crew_user_id")).distinct()
-    up = uploads.select("leg_id", F.col("uploader_id").alias("crew_user_id")).distinct()
-    crew_up = crew.join(up, ["leg_id", "crew_user_id"], "left_semi") \
-        .groupBy("leg_id").agg(F.count(F.lit(1)).alias("crew_uploads"))
+               required_types: Sequence[str] = ATTACHMENT_REQUIRED_CALL_TYPES) -> DataFrame:
+    """Attachment compliance (BO-42): one row per attributed crew member per ran leg.
+
+    A leg requires an attachment unless its call type is outside ``required_types`` (a
+    NULL call type is required, Q-15). It is compliant when it is not required or any
+    crew member uploaded one (team effort). Attribution: only the finalizer when they
+    were crew; every crew member when the finalizer was not crew or the record is not
+    finalized. Crew is distinct per leg (Q-14 corrected)."""
+    legs = runs.where(F.col("run_outcome") == "ran").select("leg_id", "calltype_name")
+    crew = crew.select("leg_id", "crew_user_id").distinct()
+    up = uploads.select("leg_id", F.col("uploader_id").alias("crew_user_id"))
+    flagged = up.join(crew.withColumn("_is_crew", F.lit(True)), ["leg_id", "crew_user_id"], "left")
+    summary = flagged.groupBy("leg_id").agg(
+        F.count(F.lit(1)).alias("total_attachments"),
+        F.count_if(F.coalesce("_is_crew", F.lit(False))).alias("crew_attachments"))
     fin = finalizer.select("leg_id", "finalizer_id")
-    fin_is_crew = fin.join(crew, (fin.leg_id == crew.leg_id) & (fin.finalizer_id == crew.crew_user_id),
-                           "left_semi").select("leg_id", F.lit(True).alias("finalizer_on_crew"))
-    leg = legs.join(crew_up, "leg_id", "left").join(fin, "leg_id", "left").join(fin_is_crew, "leg_id", "left") \
+    fin_crew = fin.join(crew, (fin.leg_id == crew.leg_id) & (fin.finalizer_id == crew.crew_user_id),
+                        "left_semi").select("leg_id", F.lit(True).alias("finalizer_is_crew_member"))
+    exempt = F.coalesce(~F.col("calltype_name").isin(*required_types), F.lit(False))
+    leg = legs.join(summary, "leg_id", "left").join(fin, "leg_id", "left").join(fin_crew, "leg_id", "left") \
         .withColumns({
-            "is_compliant": F.coalesce(F.col("crew_uploads"), F.lit(0)) > 0,
-            "finalizer_on_crew": F.coalesce("finalizer_on_crew", F.lit(False)),
-        })
-    attributed = leg.join(crew, "leg_id", "inner").where(
-        ~F.col("finalizer_on_crew") | (F.col("crew_user_id") == F.col("finalizer_id")))
-    return attributed.groupBy(F.col("crew_user_id").alias("user_id")).agg(
-        F.count(F.lit(1)).alias("legs_attributed"),
-        F.count_if(F.col("is_required")).alias("legs_required"),
-        F.count_if(F.col("is_required") & F.col("is_compliant")).alias("legs_compliant"),
-        F.count_if(F.col("finalizer_on_crew")).alias("legs_as_finalizer"),
-    ).withColumn("compliance_pct", round_half(F.try_divide(F.col("legs_compliant").cast("double"),
-                                                        F.nullif(F.col("legs_required"), F.lit(0)).cast("double")), 4))
+            "finalizer_is_crew_member": F.coalesce("finalizer_is_crew_member", F.lit(False)),
+            "total_attachments": F.coalesce("total_attachments", F.lit(0)),
+            "crew_attachments": F.coalesce("crew_attachments", F.lit(0)),
+            "requires_attachment": ~exempt,
+            "is_compliant": exempt | F.coalesce(F.col("crew_attachments") > 0, F.lit(False)),
+        }).withColumn("has_crew_attachment", F.col("crew_attachments") > 0)
+    rows = crew.join(leg, "leg_id").where(
+        (F.col("crew_user_id") == F.col("finalizer_id")) | ~F.col("finalizer_is_crew_member")
+        | F.col("finalizer_id").isNull())
+    return rows.select(
+        "leg_id", F.col("crew_user_id").alias("user_id"), "calltype_name", "finalizer_id",
+        "finalizer_is_crew_member",
+        F.coalesce(F.col("crew_user_id") == F.col("finalizer_id"), F.lit(False)).alias("is_finalizer"),
+        "total_attachments", "crew_attachments", "has_crew_attachment", "requires_attachment", "is_compliant")
+
+
+def compliance_rate(rows: DataFrame, by: Sequence[str] = ("user_id",)) -> DataFrame:
+    """Compliance rate per crew member (or any key): compliant / required runs."""
+    g = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("runs_attributed"),
+        F.count_if(F.col("requires_attachment")).alias("runs_required"),
+        F.count_if(F.col("requires_attachment") & F.col("is_compliant")).alias("runs_compliant"))
+    return g.withColumn("compliance_pct", round_half(
+        F.try_divide(F.col("runs_compliant").cast("double"), F.nullif(F.col("runs_required"), F.lit(0)).cast("double")), 4))
 
 
 def qa_recon(records: DataFrame) -> DataFrame:

@@ -584,24 +584,24 @@ SELECT leg_id, count(*) AS attachment_count, count(DISTINCT uploader_id) AS uplo
 FROM uploads GROUP BY leg_id"""
 
 SQL["compliance"] = W("runs", "crew_link", "uploads") + """,
-legs AS (SELECT leg_id, NOT COALESCE(calltype_name IN ('Medicar', 'Standby - BLS'), FALSE) AS is_required
-         FROM runs WHERE run_outcome = 'ran'),
+legs AS (SELECT leg_id, calltype_name FROM runs WHERE run_outcome = 'ran'),
 crew AS (SELECT DISTINCT leg_id, crew_user_id FROM crew_link),
-up AS (SELECT DISTINCT leg_id, uploader_id AS crew_user_id FROM uploads),
-crew_up AS (SELECT c.leg_id, count(*) AS crew_uploads FROM crew c
-            WHERE EXISTS (SELECT 1 FROM up WHERE up.leg_id = c.leg_id AND up.crew_user_id = c.crew_user_id) GROUP BY c.leg_id),
+summary AS (SELECT u.leg_id, count(*) AS total_attachments, count_if(c.crew_user_id IS NOT NULL) AS crew_attachments
+            FROM uploads u LEFT JOIN crew c ON c.leg_id = u.leg_id AND c.crew_user_id = u.uploader_id
+            GROUP BY u.leg_id),
 fin AS (SELECT o_orderkey AS leg_id, o_custkey % 100 AS finalizer_id FROM orders),
-fin_crew AS (SELECT f.leg_id FROM fin f WHERE EXISTS (SELECT 1 FROM crew c WHERE c.leg_id = f.leg_id AND c.crew_user_id = f.finalizer_id)),
-leg AS (SELECT l.leg_id, l.is_required, COALESCE(cu.crew_uploads, 0) > 0 AS is_compliant, f.finalizer_id,
-               fc.leg_id IS NOT NULL AS finalizer_on_crew
-        FROM legs l LEFT JOIN crew_up cu ON cu.leg_id = l.leg_id LEFT JOIN fin f ON f.leg_id = l.leg_id
-        LEFT JOIN fin_crew fc ON fc.leg_id = l.leg_id)
-SELECT c.crew_user_id AS user_id, count(*) AS legs_attributed, count_if(is_required) AS legs_required,
-       count_if(is_required AND is_compliant) AS legs_compliant, count_if(finalizer_on_crew) AS legs_as_finalizer,
-       round(count_if(is_required AND is_compliant) / NULLIF(count_if(is_required), 0), 4) AS compliance_pct
-FROM leg JOIN crew c ON c.leg_id = leg.leg_id
-WHERE NOT finalizer_on_crew OR c.crew_user_id = leg.finalizer_id
-GROUP BY c.crew_user_id"""
+leg AS (
+  SELECT l.leg_id, l.calltype_name, f.finalizer_id,
+         EXISTS (SELECT 1 FROM crew c WHERE c.leg_id = l.leg_id AND c.crew_user_id = f.finalizer_id) AS finalizer_is_crew_member,
+         COALESCE(s.total_attachments, 0) AS total_attachments, COALESCE(s.crew_attachments, 0) AS crew_attachments,
+         NOT COALESCE(l.calltype_name NOT IN ('ALS', 'BLS', 'CCT'), FALSE) AS requires_attachment,
+         COALESCE(l.calltype_name NOT IN ('ALS', 'BLS', 'CCT'), FALSE) OR COALESCE(s.crew_attachments, 0) > 0 AS is_compliant
+  FROM legs l LEFT JOIN summary s ON s.leg_id = l.leg_id LEFT JOIN fin f ON f.leg_id = l.leg_id)
+SELECT leg.leg_id, c.crew_user_id AS user_id, leg.calltype_name, leg.finalizer_id, leg.finalizer_is_crew_member,
+       COALESCE(c.crew_user_id = leg.finalizer_id, FALSE) AS is_finalizer, leg.total_attachments, leg.crew_attachments,
+       leg.crew_attachments > 0 AS has_crew_attachment, leg.requires_attachment, leg.is_compliant
+FROM crew c JOIN leg ON leg.leg_id = c.leg_id
+WHERE c.crew_user_id = leg.finalizer_id OR NOT leg.finalizer_is_crew_member OR leg.finalizer_id IS NULL"""
 
 SQL["qa_recon"] = W("qa_runs") + """
 SELECT doc_id AS run_id, source,
