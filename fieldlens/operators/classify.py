@@ -40,14 +40,14 @@ TRAINING_PATTERNS = ["%PROMO%"]
 SPECIAL_EVENT_PATTERNS = ["LARGE%"]
 ORIENTATION_PATTERNS = ["ECON%"]
 # Call types that count as a transport level (daily dashboard "ran" rule).
-TRANSPORT_LEVEL_PATTERNS = ["%ls%", "%cct%"]
+TRANSPORT_LEVEL_PATTERNS = ["%ALS%", "%BLS%", "%CCT%", "%SCT%"]
 # ---------------------------------------------------------------------------
 
 
 def run_outcome(status: str = "last_status_id", lost: str = "lost_call_status",
-                require: Column | None = None) -> Column:
+                require: Column | None = None, other: str = "unknown") -> Column:
     """Run outcome (BO-3): status > 0 ran; < 0 with a lost reason turned; < 0 without
-    one, or NULL, cancelled; anything else unknown. ``require`` adds a condition to the
+    one, or NULL, cancelled; anything else ``other``. ``require`` adds a condition to the
     'ran' branch (BO-4: only transport levels count as ran)."""
     s, lo = col(status), col(lost)
     ran = s > 0 if require is None else (s > 0) & require
@@ -55,7 +55,7 @@ def run_outcome(status: str = "last_status_id", lost: str = "lost_call_status",
              .when((s < 0) & lo.isNotNull(), "turned")
              .when((s < 0) & lo.isNull(), "cancelled")
              .when(s.isNull(), "cancelled")
-             .otherwise("unknown"))
+             .otherwise(other))
 
 
 def ordered_like(c: ColumnOrStr, rules: Sequence[tuple[str, str]], default: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions.scalars import (day_name, dow0, exact_window_avg, hour_bucket, month_label, round_half,
-                                         safe_ratio, us_date)
+                                         round_numeric, safe_ratio, us_date)
 from fieldlens.operators.classify import TRANSPORT_LEVEL_PATTERNS, run_outcome
 
 # ---------------------------------------------------------------------------
@@ -172,31 +172,45 @@ def demand_heatmap(spark: SparkSession, runs: DataFrame, as_of: dt.date, weeks:
 
 
 def daily_dashboard(runs: DataFrame, cutoff_hour: int = 15) -> DataFrame:
-    """Daily dashboard (BO-38, BO-4): counts and rates per region-day. A run counts as
-    'ran' only when its call type is a transport level (ILIKE rules); pre-scheduled means
-    created before ``cutoff_hour`` on the day before service."""
+    """Daily dashboard (BO-38, BO-4) per service day and region. A run counts as 'ran'
+    only when its call type is a transport level (ILIKE rules); pre-scheduled means
+    created before ``cutoff_hour`` on the day before service. Percentages are rounded
+    like PostgreSQL numerics and are 0 when the base is 0."""
+    ct = F.col("calltype_name")
     lvl = F.lit(False)
     for p in TRANSPORT_LEVEL_PATTERNS:
-        lvl = lvl | F.coalesce(F.col("calltype_name").ilike(p), F.lit(False))
-    df = runs.withColumn("dash_outcome", run_outcome(require=lvl))
-    cutoff = F.timestamp_add("HOUR", F.lit(cutoff_hour - 24), F.col("service_date").cast("timestamp_ntz"))
-    pre = F.col("created") < cutoff
-    o = F.col("dash_outcome")
-    agg = df.groupBy("region", "service_date").agg(
-        F.count(F.lit(1)).alias("total_calls"),
-        F.count(F.when(o == "ran", 1)).alias("ran_calls"),
-        F.count(F.when(o == "turned", 1)).alias("turned_calls"),
-        F.count(F.when(o == "cancelled", 1)).alias("cancelled_calls"),
-        F.count(F.when(o == "unknown", 1)).alias("unknown_calls"),
-        F.count(F.when(pre, 1)).alias("prescheduled_calls"),
-        F.count(F.when(~pre, 1)).alias("same_day_calls"),
-        F.count(F.when(F.col("emergency"), 1)).alias("emergency_calls"),
-        F.count(F.when((o == "ran") & pre, 1)).alias("prescheduled_ran_calls"))
-    return agg.withColumns({
-        "ran_rate": safe_ratio("ran_calls", "total_calls", 4),
-        "turn_rate": safe_ratio("turned_calls", "total_calls", 4),
-        "cancel_rate": safe_ratio("cancelled_calls", "total_calls", 4),
-        "prescheduled_rate": safe_ratio("prescheduled_calls", "total_calls", 4),
+        lvl = lvl | F.coalesce(ct.ilike(p), F.lit(False))
+    o = run_outcome(require=lvl, other="other")
+    cutoff = F.timestamp_add("HOUR", F.lit(cutoff_hour - 24), F.col("date_of_service").cast("timestamp_ntz"))
+    df = runs.where(F.col("date_of_service").isNotNull()).select(
+        "date_of_service", "region", "leg_id", "mileage", "scene_time_minutes", "destination_to_clear_minutes", ct,
+        o.alias("o"), F.coalesce(F.col("created") < cutoff, F.lit(False)).alias("pre"))
+    ran = F.col("o") == "ran"
+
+    def cnt(cond):
+        return F.count(F.when(cond, F.col("leg_id")))
+
+    g = df.groupBy("date_of_service", "region").agg(
+        cnt(ran).alias("total_transports"),
+        cnt(ran & ct.ilike("%ALS%")).alias("transports_als"),
+        cnt(ran & ct.ilike("%BLS%")).alias("transports_bls"),
+        cnt(ran & (ct.ilike("%SCT%") | ct.ilike("%CCT%"))).alias("transports_sct_cct"),
+        cnt(F.col("pre")).alias("prescheduled_runs"),
+        cnt(ran & (F.col("mileage") > 50)).alias("runs_over_50_miles"),
+        cnt(ran & (F.col("scene_time_minutes") > 45)).alias("scene_time_over_45_min"),
+        cnt(ran & (F.col("destination_to_clear_minutes") > 45)).alias("destination_time_over_45_min"),
+        cnt(F.col("o") == "turned").alias("turns"),
+        cnt(F.col("o") == "cancelled").alias("cancels"),
+        F.count("leg_id").alias("total_calls"))
+
+    def pct(num, den):
+        return F.when(F.col(den) > 0, round_numeric(F.lit(100.0) * F.col(num) / F.col(den), 1)).otherwise(F.lit(0.0))
+
+    return g.withColumns({
+        "prescheduled_pct": pct("prescheduled_runs", "total_calls"),
+        "long_distance_pct": pct("runs_over_50_miles", "total_transports"),
+        "turn_rate_pct": pct("turns", "total_calls"),
+        "cancel_rate_pct": pct("cancels", "total_calls"),
     })
 
 

@@ -3,8 +3,8 @@ same parquet tables, used by the correctness check."""
 
 from __future__ import annotations
 
-from fieldlens.plans.oracle_roles import (OUTCOME_SQL, level_sql, mins, region_cc_sql, region_market_sql, sunday_week,
-                                          with_roles)
+from fieldlens.plans.oracle_roles import (OUTCOME_SQL, level_sql, mins, region_cc_sql, region_market_sql, rn,
+                                          sunday_week, with_roles)
 
 W = with_roles
 SQL: dict[str, str] = {}
@@ -141,28 +141,35 @@ SELECT region, date_of_service, count(*) AS total_calls,
        dayofweek(date_of_service) IN (0, 6) AS is_weekend
 FROM runs WHERE date_of_service IS NOT NULL GROUP BY region, date_of_service"""
 
-SQL["daily_dashboard"] = W("runs") + f"""
-SELECT region, service_date, count(*) AS total_calls,
-  count(*) FILTER (WHERE o = 'ran') AS ran_calls,
-  count(*) FILTER (WHERE o = 'turned') AS turned_calls,
-  count(*) FILTER (WHERE o = 'cancelled') AS cancelled_calls,
-  count(*) FILTER (WHERE o = 'unknown') AS unknown_calls,
-  count(*) FILTER (WHERE pre) AS prescheduled_calls,
-  count(*) FILTER (WHERE NOT pre) AS same_day_calls,
-  count(*) FILTER (WHERE emergency) AS emergency_calls,
-  count(*) FILTER (WHERE o = 'ran' AND pre) AS prescheduled_ran_calls,
-  round(count(*) FILTER (WHERE o = 'ran') / count(*), 4) AS ran_rate,
-  round(count(*) FILTER (WHERE o = 'turned') / count(*), 4) AS turn_rate,
-  round(count(*) FILTER (WHERE o = 'cancelled') / count(*), 4) AS cancel_rate,
-  round(count(*) FILTER (WHERE pre) / count(*), 4) AS prescheduled_rate
-FROM (SELECT *,
-        CASE WHEN last_status_id > 0 AND (calltype_name ILIKE '%ls%' OR calltype_name ILIKE '%cct%') THEN 'ran'
-             WHEN last_status_id < 0 AND lost_call_status IS NOT NULL THEN 'turned'
-             WHEN last_status_id < 0 AND lost_call_status IS NULL THEN 'cancelled'
-             WHEN last_status_id IS NULL THEN 'cancelled' ELSE 'unknown' END AS o,
-        created < CAST(service_date AS TIMESTAMP) - to_hours(9) AS pre
-      FROM runs) x
-GROUP BY region, service_date"""
+SQL["daily_dashboard"] = W("runs") + """,
+d AS (
+  SELECT *, COALESCE(created < CAST(date_of_service AS TIMESTAMP) - INTERVAL 1 DAY + INTERVAL 15 HOUR, FALSE) AS pre,
+    CASE WHEN last_status_id > 0 AND (calltype_name ILIKE '%ALS%' OR calltype_name ILIKE '%BLS%'
+                                      OR calltype_name ILIKE '%CCT%' OR calltype_name ILIKE '%SCT%') THEN 'ran'
+         WHEN last_status_id < 0 AND lost_call_status IS NOT NULL THEN 'turned'
+         WHEN last_status_id < 0 AND lost_call_status IS NULL THEN 'cancelled'
+         WHEN last_status_id IS NULL THEN 'cancelled' ELSE 'other' END AS o
+  FROM runs WHERE date_of_service IS NOT NULL),
+m AS (
+  SELECT date_of_service, region,
+    count(CASE WHEN o = 'ran' THEN leg_id END) AS total_transports,
+    count(CASE WHEN o = 'ran' AND calltype_name ILIKE '%ALS%' THEN leg_id END) AS transports_als,
+    count(CASE WHEN o = 'ran' AND calltype_name ILIKE '%BLS%' THEN leg_id END) AS transports_bls,
+    count(CASE WHEN o = 'ran' AND (calltype_name ILIKE '%SCT%' OR calltype_name ILIKE '%CCT%') THEN leg_id END) AS transports_sct_cct,
+    count(CASE WHEN pre THEN leg_id END) AS prescheduled_runs,
+    count(CASE WHEN o = 'ran' AND mileage > 50 THEN leg_id END) AS runs_over_50_miles,
+    count(CASE WHEN o = 'ran' AND scene_time_minutes > 45 THEN leg_id END) AS scene_time_over_45_min,
+    count(CASE WHEN o = 'ran' AND destination_to_clear_minutes > 45 THEN leg_id END) AS destination_time_over_45_min,
+    count(CASE WHEN o = 'turned' THEN leg_id END) AS turns,
+    count(CASE WHEN o = 'cancelled' THEN leg_id END) AS cancels,
+    count(leg_id) AS total_calls
+  FROM d GROUP BY date_of_service, region)
+SELECT *,
+  CASE WHEN total_calls > 0 THEN """ + rn("100.0 * prescheduled_runs / total_calls", 1) + """ ELSE 0.0 END AS prescheduled_pct,
+  CASE WHEN total_transports > 0 THEN """ + rn("100.0 * runs_over_50_miles / total_transports", 1) + """ ELSE 0.0 END AS long_distance_pct,
+  CASE WHEN total_calls > 0 THEN """ + rn("100.0 * turns / total_calls", 1) + """ ELSE 0.0 END AS turn_rate_pct,
+  CASE WHEN total_calls > 0 THEN """ + rn("100.0 * cancels / total_calls", 1) + """ ELSE 0.0 END AS cancel_rate_pct
+FROM m"""
 
 SQL["demand_heatmap"] = W("runs") + """,
 grid AS (

@@ -126,6 +126,8 @@ SELECT *,
   COALESCE(starts_with(calltype_name, 'Flight Crew'), FALSE) AS is_flight_crew,
   {mins('at_scene_time', 'pickup_time')} AS pickup_variance_minutes,
   COALESCE({mins('at_scene_time', 'pickup_time')} <= 15, FALSE) AS is_on_time,
+  {mins('transporting_time', 'at_scene_time')} AS scene_time_minutes,
+  {mins('clear_time', 'at_destination_time')} AS destination_to_clear_minutes,
   {mins('clear_time', 'enroute_time')} AS raw_time_on_task_minutes,
   CASE WHEN {mins('clear_time', 'enroute_time')} IS NULL THEN NULL
        WHEN {mins('clear_time', 'enroute_time')} <= 720 THEN {mins('clear_time', 'enroute_time')}
