@@ -214,23 +214,27 @@ def daily_dashboard(runs: DataFrame, cutoff_hour: int = 15) -> DataFrame:
     })
 
 
-def on_time_ma(sla_runs: DataFrame, rows: int = 7, type_col: str = "sla_type",
-               combined_label: str = "Combined") -> DataFrame:
-    """Daily on-time % by type and combined, with a trailing ``rows``-row moving average
-    and the window fill count (BO-35, WN-6/7, SET-3). One GROUPING SETS aggregation gives
-    both grains; the window is partitioned by the type label, and the frame counts rows,
-    not calendar days (missing days widen it, as in the reference)."""
-    base = sla_runs.where(F.col("is_sla_on_time").isNotNull())
-    g = base.groupingSets([["service_date", type_col], ["service_date"]], "service_date", type_col).agg(
-        F.count(F.lit(1)).alias("eligible_runs"),
-        F.count_if(F.col("is_sla_on_time")).alias("on_time_runs"),
+def on_time_ma(sla_runs: DataFrame, rows: int = 7, type_col: str = "call_type",
+               combined_label: str = "Combined", max_response: float = 120.0) -> DataFrame:
+    """Daily on-time % by call type and combined, with a trailing ``rows``-row moving
+    average and the window fill count (BO-35, WN-6/7, SET-3). Runs with a response time
+    outside ``[0, max_response]`` minutes are left out. One GROUPING SETS aggregation gives
+    both grains; the window is partitioned by the type label and holds one label's days
+    (calendar-bounded). The frame counts rows, not calendar days (missing days widen it),
+    as in the reference. Percentages round like PostgreSQL numerics."""
+    r = F.col("sla_response_minutes")
+    base = sla_runs.where(r.isNotNull() & (r >= 0) & (r <= max_response))
+    g = base.groupingSets([["date_of_service", type_col], ["date_of_service"]], "date_of_service", type_col).agg(
+        F.count(F.lit(1)).alias("total_calls"),
+        F.sum(F.when(F.col("is_sla_on_time"), 1).otherwise(0)).cast("bigint").alias("on_time_calls"),
         F.grouping(type_col).alias("_g"))
-    g = g.withColumn("sla_type", F.when(F.col("_g") == 1, F.lit(combined_label)).otherwise(F.col(type_col))) \
+    g = g.withColumn(type_col, F.when(F.col("_g") == 1, F.lit(combined_label)).otherwise(F.col(type_col))) \
         .drop("_g")
-    g = g.withColumn("on_time_pct", round_half(F.col("on_time_runs") / F.col("eligible_runs"), 6))
-    w = Window.partitionBy("sla_type").orderBy("service_date").rowsBetween(-(rows - 1), 0)
+    g = g.withColumn("on_time_percentage",
+                     round_numeric(F.lit(100.0) * F.col("on_time_calls") / F.col("total_calls"), 2))
+    w = Window.partitionBy(type_col).orderBy("date_of_service").rowsBetween(-(rows - 1), 0)
     return g.withColumns({
-        "on_time_pct_ma": round_half(exact_window_avg("on_time_pct", w), 6),
+        f"on_time_percentage_{rows}day_ma": round_numeric(exact_window_avg("on_time_percentage", w), 2),
         "days_in_window": F.count(F.lit(1)).over(w),
     })
 

@@ -103,6 +103,7 @@ def sla_on_time(df: DataFrame, requested: str = "requested_time", scheduled: str
     return df.withColumns({
         "sla_anchor_time": anchor,
         "sla_threshold_minutes": threshold,
+        "sla_response_minutes": minutes_between(arrival, anchor),
         "minutes_from_sla": minutes_from,
         "is_sla_on_time": F.when(col(arrival).isNull(), F.lit(None).cast("boolean"))
                            .otherwise(minutes_from <= 0),

@@ -102,33 +102,33 @@ FROM runs WHERE run_outcome = 'ran' AND calltype_name IN ('ALS', 'BLS', 'CCT')""
 
 _SLA_BASE = f"""
 sla AS (
-  SELECT *, {mins('at_scene_time', 'anchor + to_minutes(threshold)')} AS minutes_from_sla
+  SELECT *, {mins('at_scene_time', 'anchor + to_minutes(threshold)')} AS minutes_from_sla,
+         {mins('at_scene_time', 'anchor')} AS response
   FROM (SELECT *,
           COALESCE(requested_time, CASE WHEN emergency THEN pickup_time ELSE pickup_time + to_minutes(15) END) AS anchor,
           CASE WHEN emergency THEN 30 ELSE 60 END AS threshold,
-          CASE WHEN emergency THEN 'Emergent' ELSE 'Non-Emergent' END AS sla_type
+          CASE WHEN emergency THEN 'Emergency' ELSE 'Non-Emergency' END AS call_type
         FROM (SELECT *, CASE WHEN leg_id % 4 = 0 THEN pickup_time - to_minutes(10) END AS requested_time
               FROM runs WHERE run_outcome = 'ran') a) b)
 """
 SQL["sla_on_time"] = W("runs").rstrip() + "," + _SLA_BASE + """
-SELECT leg_id, sla_type, anchor AS sla_anchor_time, threshold AS sla_threshold_minutes,
-       round(minutes_from_sla, 4) AS minutes_from_sla,
+SELECT leg_id, call_type, anchor AS sla_anchor_time, threshold AS sla_threshold_minutes,
+       round(response, 4) AS sla_response_minutes, round(minutes_from_sla, 4) AS minutes_from_sla,
        CASE WHEN at_scene_time IS NULL THEN NULL ELSE minutes_from_sla <= 0 END AS is_sla_on_time
 FROM sla"""
 
 SQL["on_time_7row_ma"] = W("runs").rstrip() + "," + _SLA_BASE + """,
 daily AS (
-  SELECT service_date, COALESCE(sla_type, 'Combined') AS sla_type, count(*) AS eligible_runs,
-         count_if(minutes_from_sla <= 0) AS on_time_runs
-  FROM sla WHERE at_scene_time IS NOT NULL
-  GROUP BY GROUPING SETS ((service_date, sla_type), (service_date)))
-SELECT service_date, sla_type, eligible_runs, on_time_runs,
-       round(on_time_runs / eligible_runs, 6) AS on_time_pct,
-       round(sum(CAST(round(round(on_time_runs / eligible_runs, 6) * 1000000.0) AS BIGINT)) OVER w
-             / count(*) OVER w / 1000000.0, 6) AS on_time_pct_ma,
+  SELECT date_of_service, COALESCE(call_type, 'Combined') AS call_type, count(*) AS total_calls,
+         CAST(sum(CASE WHEN minutes_from_sla <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS on_time_calls
+  FROM sla WHERE response IS NOT NULL AND response >= 0 AND response <= 120
+  GROUP BY GROUPING SETS ((date_of_service, call_type), (date_of_service))),
+pct AS (SELECT *, """ + rn("100.0 * on_time_calls / total_calls", 2) + """ AS on_time_percentage FROM daily)
+SELECT date_of_service, call_type, total_calls, on_time_calls, on_time_percentage,
+       """ + rn("sum(CAST(round(on_time_percentage * 1000000.0) AS BIGINT)) OVER w / count(on_time_percentage) OVER w / 1000000.0", 2) + """ AS on_time_percentage_7day_ma,
        count(*) OVER w AS days_in_window
-FROM daily
-WINDOW w AS (PARTITION BY sla_type ORDER BY service_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+FROM pct
+WINDOW w AS (PARTITION BY call_type ORDER BY date_of_service ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
 
 SQL["daily_demand"] = W("runs") + """
 SELECT region, date_of_service, count(*) AS total_calls,

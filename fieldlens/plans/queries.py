@@ -178,19 +178,20 @@ def _sla_runs(spark, root):
     df = df.withColumn("requested_time", F.when(F.col("leg_id") % 4 == 0,
                                                 S.add_minutes("pickup_time", F.lit(-10))))
     df = timeline.sla_on_time(df)
-    return df.withColumn("sla_type", F.when(F.col("emergency"), "Emergent").otherwise("Non-Emergent"))
+    return df.withColumn("call_type", F.when(F.col("emergency"), "Emergency").otherwise("Non-Emergency"))
 
 
 def q_sla_on_time(spark, root):
     df = _sla_runs(spark, root)
-    return df.select("leg_id", "sla_type", "sla_anchor_time", "sla_threshold_minutes",
+    return df.select("leg_id", "call_type", "sla_anchor_time", "sla_threshold_minutes",
+                     r4("sla_response_minutes").alias("sla_response_minutes"),
                      r4("minutes_from_sla").alias("minutes_from_sla"), "is_sla_on_time")
 
 
 def q_on_time_7row_ma(spark, root):
     df = metrics.on_time_ma(_sla_runs(spark, root))
-    return df.select("service_date", "sla_type", "eligible_runs", "on_time_runs", "on_time_pct",
-                     "on_time_pct_ma", "days_in_window")
+    return df.select("date_of_service", "call_type", "total_calls", "on_time_calls", "on_time_percentage",
+                     "on_time_percentage_7day_ma", "days_in_window")
 
 
 def q_daily_demand(spark, root):
