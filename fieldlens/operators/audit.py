@@ -89,17 +89,30 @@ def compliance_rate(rows: DataFrame, by: Sequence[str] = ("user_id",)) -> DataFr
         F.try_divide(F.col("runs_compliant").cast("double"), F.nullif(F.col("runs_required"), F.lit(0)).cast("double")), 4))
 
 
-def qa_recon(records: DataFrame) -> DataFrame:
-    """QA/export reconciliation (BO-43): Exported (quality 1), Failed (0), Not Exported
-    (no export row); the display status falls back to the export status."""
-    status = F.when(F.col("quality") == 1, "Exported").when(F.col("quality") == 0, "Failed") \
-        .otherwise("Not Exported")
-    return records.withColumns({
-        "export_status": status,
-        "has_export_row": F.col("quality").isNotNull(),
-        "display_status": F.coalesce(
-            F.when(F.col("toxic") == 1, F.lit("Flagged")), status),
-    })
+def qa_recon(records: DataFrame, export_log: DataFrame, qa: DataFrame, users: DataFrame) -> DataFrame:
+    """QA/export reconciliation (BO-43, JN-19). ``records``: run_id, finalized, create_user;
+    ``export_log``: run_id, errors; ``qa``: run_id, status_name, set_by_user.
+
+    Export status: Exported (log row, no errors), Failed (log row with errors), Not
+    Exported (no log row). The QA status falls back to Submitted / Not Finalized. The
+    user dimension is joined twice, as reviewer and as lead crew member."""
+    names = users.select("user_id", last_first("last_name", "first_name").alias("_name"))
+    reviewer = names.select(F.col("user_id").alias("_rid"), F.col("_name").alias("reviewer_name"))
+    lead = names.select(F.col("user_id").alias("_lid"), F.col("_name").alias("crew_name"))
+    j = (records.join(qa, "run_id", "left").join(export_log.withColumn("_logged", F.lit(True)), "run_id", "left")
+                .join(reviewer, F.col("set_by_user") == F.col("_rid"), "left")
+                .join(lead, F.col("create_user") == F.col("_lid"), "left"))
+    fin = F.col("finalized") == 1
+    out = j.select(
+        "run_id", "source_database",
+        F.when(fin, "Yes").otherwise("No").alias("finalized"),
+        F.coalesce(F.col("status_name"), F.when(fin, "Submitted").otherwise("Not Finalized")).alias("status_name"),
+        "reviewer_name", "crew_name",
+        F.when(F.col("_logged") & F.col("errors").isNull(), "Exported")
+         .when(F.col("_logged") & F.col("errors").isNotNull(), "Failed")
+         .when(F.col("_logged").isNull(), "Not Exported").alias("exported"),
+        "errors")
+    return out.distinct()
 
 
 def qa_status(records: DataFrame, statuses: DataFrame) -> DataFrame:

@@ -610,13 +610,20 @@ SELECT leg.leg_id, c.crew_user_id AS user_id, leg.calltype_name, leg.finalizer_i
 FROM crew c JOIN leg ON leg.leg_id = c.leg_id
 WHERE c.crew_user_id = leg.finalizer_id OR NOT leg.finalizer_is_crew_member OR leg.finalizer_id IS NULL"""
 
-SQL["qa_recon"] = W("qa_runs") + """
-SELECT doc_id AS run_id, source,
-       CASE WHEN quality = 1 THEN 'Exported' WHEN quality = 0 THEN 'Failed' ELSE 'Not Exported' END AS export_status,
-       quality IS NOT NULL AS has_export_row,
-       COALESCE(CASE WHEN toxic = 1 THEN 'Flagged' END,
-                CASE WHEN quality = 1 THEN 'Exported' WHEN quality = 0 THEN 'Failed' ELSE 'Not Exported' END) AS display_status
-FROM qa_runs"""
+SQL["qa_recon"] = W("users") + """,
+rec AS (SELECT doc_id AS run_id, source AS source_database, CAST(n_chars % 2 = 0 AS INTEGER) AS finalized,
+               doc_id % 150 AS create_user FROM documents),
+xlog AS (SELECT doc_id AS run_id, CASE WHEN quality = 0 THEN 'validation failed' END AS errors FROM labels),
+qa AS (SELECT doc_id AS run_id, 'Flagged' AS status_name, doc_id % 100 AS set_by_user FROM labels WHERE toxic = 1)
+SELECT DISTINCT r.run_id, r.source_database, CASE WHEN r.finalized = 1 THEN 'Yes' ELSE 'No' END AS finalized,
+       COALESCE(q.status_name, CASE WHEN r.finalized = 1 THEN 'Submitted' ELSE 'Not Finalized' END) AS status_name,
+       rv.last_name || ', ' || rv.first_name AS reviewer_name, lc.last_name || ', ' || lc.first_name AS crew_name,
+       CASE WHEN x.run_id IS NOT NULL AND x.errors IS NULL THEN 'Exported'
+            WHEN x.run_id IS NOT NULL AND x.errors IS NOT NULL THEN 'Failed'
+            WHEN x.run_id IS NULL THEN 'Not Exported' END AS exported,
+       x.errors
+FROM rec r LEFT JOIN qa q ON q.run_id = r.run_id LEFT JOIN xlog x ON x.run_id = r.run_id
+LEFT JOIN users rv ON q.set_by_user = rv.user_id LEFT JOIN users lc ON r.create_user = lc.user_id"""
 
 SQL["qa_status"] = W("qa_runs") + """,
 st AS (SELECT doc_id AS run_id, CAST(quality + 1 AS INTEGER) AS status_id, toxic AS removed FROM qa_runs WHERE quality IS NOT NULL),

@@ -576,8 +576,8 @@ def q_compliance(spark, root):
 
 
 def q_qa_recon(spark, root):
-    q = audit.qa_recon(roles.qa_runs(spark, root))
-    return q.select(F.col("doc_id").alias("run_id"), "source", "export_status", "has_export_row", "display_status")
+    return audit.qa_recon(roles.care_records(spark, root), roles.export_log(spark, root),
+                          roles.qa_statuses(spark, root), roles.users(spark, root))
 
 
 def q_qa_status(spark, root):

@@ -306,3 +306,26 @@ def qa_runs(spark: SparkSession, root: str) -> DataFrame:
     d = load_table(spark, root, "documents", ["doc_id", "source", "lang", "n_chars"])
     lab = load_table(spark, root, "labels", ["doc_id", "quality", "toxic"])
     return d.join(lab, "doc_id", "left")
+
+
+def care_records(spark: SparkSession, root: str) -> DataFrame:
+    """patient-care records: finalized when the text length is even; the lead crew
+    member (record creator) is a user id."""
+    d = load_table(spark, root, "documents", ["doc_id", "source", "n_chars"])
+    return d.select(F.col("doc_id").alias("run_id"), F.col("source").alias("source_database"),
+                    (F.col("n_chars") % 2 == 0).cast("int").alias("finalized"),
+                    (F.col("doc_id") % 150).alias("create_user"))
+
+
+def export_log(spark: SparkSession, root: str) -> DataFrame:
+    """export trigger log: a labelled record was exported; quality 0 logged an error."""
+    lab = load_table(spark, root, "labels", ["doc_id", "quality"])
+    return lab.select(F.col("doc_id").alias("run_id"),
+                      F.when(F.col("quality") == 0, F.lit("validation failed")).alias("errors"))
+
+
+def qa_statuses(spark: SparkSession, root: str) -> DataFrame:
+    """QA review status: toxic-labelled records are flagged by a reviewer."""
+    lab = load_table(spark, root, "labels", ["doc_id", "toxic"]).where(F.col("toxic") == 1)
+    return lab.select(F.col("doc_id").alias("run_id"), F.lit("Flagged").alias("status_name"),
+                      (F.col("doc_id") % 100).alias("set_by_user"))
