@@ -19,15 +19,18 @@ PAY_SOURCES = ["src0", "src1"]
 # ---------------------------------------------------------------------------
 
 
-def cancel_audit(runs: DataFrame, log: DataFrame, field: str = "status") -> DataFrame:
-    """Cancelled runs with their reason and the last actor who changed ``field`` (BO-40,
-    JN-18, WN-1): the log is cut to its latest row per leg (top-1 per key, pruned before
-    the shuffle), then left-joined."""
+def cancel_audit(runs: DataFrame, log: DataFrame, users: DataFrame, field: str = "canceled_time") -> DataFrame:
+    """Cancelled or turned runs (status < 0) with the reason and the last user who set
+    ``field`` (BO-40, JN-18, WN-1). The log is cut to its latest row per leg (a top-1
+    window, pruned before the shuffle) and left-joined; the actor's name is
+    ``CONCAT(last, ', ', first)`` with PostgreSQL's NULL-skipping CONCAT."""
     last = latest_by(log.where(F.col("field") == field), ["leg_id"], "id") \
-        .select("leg_id", F.col("id").alias("last_change_id"), F.col("user_id").alias("last_actor_id"))
-    c = runs.where(F.col("run_outcome") == "cancelled")
-    return c.join(last, "leg_id", "left").withColumn(
-        "cancel_reason", concat_skip_null(F.lit("Reason: "), F.col("lost_call_status")))
+        .select("leg_id", F.col("id").alias("last_change_id"), F.col("user_id").alias("canceled_by_user_id"))
+    names = users.select(F.col("user_id").alias("_uid"), "last_name", "first_name")
+    c = runs.where(F.col("last_status_id") < 0)
+    j = c.join(last, "leg_id", "left").join(names, F.col("canceled_by_user_id") == F.col("_uid"), "left")
+    return j.withColumn("canceled_by", concat_skip_null("last_name", F.lit(", "), "first_name")) \
+        .drop("_uid", "last_name", "first_name")
 
 
 def attachment_log(uploads: DataFrame, key: str = "leg_id", default: str = "Unknown") -> DataFrame:
@@ -140,10 +143,17 @@ def pay_list(rc: DataFrame, users: DataFrame, sources: Sequence[str] = PAY_SOURC
 
 
 def user_dim(users: DataFrame) -> DataFrame:
-    """User dimension (BO-46): surrogate key, 'Last, First', state, active flag from a
-    truthiness test over mixed encodings."""
+    """User dimension (BO-46): surrogate key, names only when both parts are present,
+    disabled/deactivated/active flags over mixed boolean encodings (SC-25)."""
+    both = F.col("first_name").isNotNull() & F.col("last_name").isNotNull()
+    disabled_txt = F.lower(F.trim(F.col("disabled").cast("string")))
     return users.select(
         "user_id", "source_database",
         F.concat(F.col("user_id").cast("string"), F.lit("_"), F.col("source_database")).alias("surrogate_key"),
-        last_first("last_name", "first_name").alias("full_name"), "job_title", "state",
-        (~truthy("disabled")).alias("is_active"))
+        F.when(both, F.concat("first_name", F.lit(" "), "last_name")).alias("full_name"),
+        F.when(both, last_first("last_name", "first_name")).alias("display_name"),
+        "job_title", "state",
+        truthy("disabled").alias("is_disabled"),
+        F.coalesce(F.col("deactivated") == 1, F.lit(False)).alias("is_deactivated"),
+        F.coalesce((disabled_txt.isin("0", "false") | F.col("disabled").isNull()) & (F.col("deactivated") == 0),
+                   F.lit(False)).alias("is_active"))

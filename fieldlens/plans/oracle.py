@@ -577,12 +577,14 @@ WHERE s.shift_date IS NOT NULL AND s.region IS NOT NULL AND s.is_assigned
   AND (s.is_field_shift OR s.is_special_event OR s.is_orientation OR s.cost_center_name IN ('PROMO'))
 GROUP BY s.region, s.shift_date"""
 
-SQL["last_change_actor"] = W("runs", "history_log") + """
-SELECT r.leg_id, r.run_outcome, concat('Reason: ', r.lost_call_status) AS cancel_reason, h.id AS last_change_id,
-       h.user_id AS last_actor_id
-FROM runs r LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY leg_id ORDER BY id DESC) AS rk
-                                      FROM history_log WHERE field = 'status') x WHERE rk = 1) h ON h.leg_id = r.leg_id
-WHERE r.run_outcome = 'cancelled'"""
+SQL["last_change_actor"] = W("runs", "history_log", "users") + """
+SELECT r.leg_id, r.run_number, r.canceled_time, r.lost_call_status, r.run_outcome, h.id AS last_change_id,
+       h.user_id AS canceled_by_user_id, concat(u.last_name, ', ', u.first_name) AS canceled_by
+FROM runs r
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY leg_id ORDER BY id DESC) AS rk
+                          FROM history_log WHERE field = 'canceled_time') x WHERE rk = 1) h ON h.leg_id = r.leg_id
+LEFT JOIN users u ON u.user_id = h.user_id
+WHERE r.last_status_id < 0"""
 
 SQL["distinct_list"] = W("uploads") + """
 SELECT leg_id, count(*) AS attachment_count, count(DISTINCT uploader_id) AS uploaders,
@@ -643,8 +645,12 @@ LEFT JOIN users u ON u.user_id = g.user_id"""
 
 SQL["active_users"] = W("users") + """
 SELECT user_id, source_database, CAST(user_id AS VARCHAR) || '_' || source_database AS surrogate_key,
-       last_name || ', ' || first_name AS full_name, job_title, state,
-       NOT (lower(trim(CAST(disabled AS VARCHAR))) IN ('1', 'true', 't', 'yes', 'y')) AS is_active
+       CASE WHEN first_name IS NOT NULL AND last_name IS NOT NULL THEN first_name || ' ' || last_name END AS full_name,
+       CASE WHEN first_name IS NOT NULL AND last_name IS NOT NULL THEN last_name || ', ' || first_name END AS display_name,
+       job_title, state,
+       lower(trim(CAST(disabled AS VARCHAR))) IN ('1', 'true', 't', 'yes', 'y') AS is_disabled,
+       COALESCE(deactivated = 1, FALSE) AS is_deactivated,
+       COALESCE((lower(trim(CAST(disabled AS VARCHAR))) IN ('0', 'false') OR disabled IS NULL) AND deactivated = 0, FALSE) AS is_active
 FROM users"""
 
 SQL["dq_invalid_durations"] = W("runs") + f"""

@@ -206,6 +206,7 @@ SELECT c_custkey AS user_id, 'src' || CAST(c_custkey % 3 AS VARCHAR) AS source_d
        c_name AS username, split_part(c_name, '#', 1) AS last_name, split_part(c_name, '#', 2) AS first_name,
        c_mktsegment AS job_title, cr.n_name AS state, cr.market,
        CASE WHEN c_acctbal < 0 THEN '1' ELSE '0' END AS disabled,
+       CASE WHEN c_custkey % 50 = 0 THEN 1 ELSE 0 END AS deactivated,
        round(abs(c_acctbal) / 100.0, 2) AS hourly_wage
 FROM customer c LEFT JOIN cust_region cr USING (c_custkey)""", "cust_region")
 role("shift_mart", f"""
@@ -359,7 +360,7 @@ FULL OUTER JOIN (
       FROM crew_seats GROUP BY ALL) h
   ON r.d = h.d AND r.source_database = h.source_database AND r.region = h.region""", "run_metrics", "crew_seats")
 role("history_log", """
-SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS leg_id, 'status' AS field, user_id,
+SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS leg_id, 'canceled_time' AS field, user_id,
        ts AS changed_at
 FROM events WHERE event_type = 'error'""")
 role("uploads", """

@@ -561,8 +561,9 @@ def q_labour_hours(spark, root):
 
 
 def q_last_change_actor(spark, root):
-    a = audit.cancel_audit(runs(spark, root), roles.history_log(spark, root))
-    return a.select("leg_id", "run_outcome", "cancel_reason", "last_change_id", "last_actor_id")
+    a = audit.cancel_audit(runs(spark, root), roles.history_log(spark, root), roles.users(spark, root))
+    return a.select("leg_id", "run_number", "canceled_time", "lost_call_status", "run_outcome", "last_change_id",
+                    "canceled_by_user_id", "canceled_by")
 
 
 def q_distinct_list(spark, root):

@@ -220,7 +220,7 @@ def history_log(spark: SparkSession, root: str) -> DataFrame:
     return e.select(
         F.col("event_id").alias("id"),
         F.get_json_object("props", "$.k").cast("bigint").alias("leg_id"),
-        F.lit("status").alias("field"),
+        F.lit("canceled_time").alias("field"),
         F.col("user_id"), F.col("ts").alias("changed_at"))
 
 
@@ -252,6 +252,7 @@ def users(spark: SparkSession, root: str) -> DataFrame:
         F.col("c_mktsegment").alias("job_title"),
         F.col("n_name").alias("state"), "market",
         F.when(F.col("c_acctbal") < 0, F.lit("1")).otherwise(F.lit("0")).alias("disabled"),
+        F.when(F.col("c_custkey") % 50 == 0, 1).otherwise(0).alias("deactivated"),
         F.round(F.abs(F.col("c_acctbal")) / 100.0, 2).alias("hourly_wage"))
 
 
