@@ -33,15 +33,16 @@ def cancel_audit(runs: DataFrame, log: DataFrame, users: DataFrame, field: str =
         .drop("_uid", "last_name", "first_name")
 
 
-def attachment_log(uploads: DataFrame, key: str = "leg_id", default: str = "Unknown") -> DataFrame:
-    """Per-link attachment summary (BO-41): count and the sorted distinct type list
-    (``STRING_AGG(DISTINCT x ORDER BY x)``, AG-8); missing types get ``default``."""
-    t = F.coalesce(F.col("type_name"), F.lit(default))
-    return uploads.groupBy(key).agg(
-        F.count(F.lit(1)).alias("attachment_count"),
-        F.countDistinct("uploader_id").alias("uploaders"),
-        F.array_join(F.array_sort(F.collect_set(t)), ", ").alias("attachment_types"),
-        F.max("uploaded_at").alias("last_uploaded_at"))
+def attachment_log(uploads: DataFrame, link_types: DataFrame, link: str = "leg_attachment_id",
+                   default: str = "Unspecified") -> DataFrame:
+    """Attachment log (BO-41): every upload event with its link's sorted distinct type
+    list (``STRING_AGG(DISTINCT name ORDER BY name)``, AG-8), ``default`` when the link
+    has no type. Types are aggregated per link first (bounded by the type domain), then
+    joined to the events."""
+    types = link_types.groupBy(link).agg(
+        F.array_join(F.array_sort(F.collect_set("type_name")), ", ").alias("attachment_types"))
+    return uploads.join(types, link, "left").withColumn(
+        "attachment_types", F.coalesce(F.col("attachment_types"), F.lit(default)))
 
 
 def compliance(runs: DataFrame, crew: DataFrame, uploads: DataFrame, finalizer: DataFrame,

@@ -586,11 +586,13 @@ LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY leg_id ORDER
 LEFT JOIN users u ON u.user_id = h.user_id
 WHERE r.last_status_id < 0"""
 
-SQL["distinct_list"] = W("uploads") + """
-SELECT leg_id, count(*) AS attachment_count, count(DISTINCT uploader_id) AS uploaders,
-       string_agg(DISTINCT COALESCE(type_name, 'Unknown'), ', ' ORDER BY COALESCE(type_name, 'Unknown')) AS attachment_types,
-       max(uploaded_at) AS last_uploaded_at
-FROM uploads GROUP BY leg_id"""
+SQL["distinct_list"] = W("uploads") + """,
+t AS (SELECT l.l_orderkey * 100 + l.l_linenumber AS leg_attachment_id,
+             string_agg(DISTINCT p.p_type, ', ' ORDER BY p.p_type) AS attachment_types
+      FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_linestatus = 'F'
+      GROUP BY 1)
+SELECT u.leg_id, u.leg_attachment_id, u.uploader_id, u.uploaded_at, COALESCE(t.attachment_types, 'Unspecified') AS attachment_types
+FROM uploads u LEFT JOIN t ON t.leg_attachment_id = u.leg_attachment_id"""
 
 SQL["compliance"] = W("runs", "crew_link", "uploads") + """,
 legs AS (SELECT leg_id, calltype_name FROM runs WHERE run_outcome = 'ran'),

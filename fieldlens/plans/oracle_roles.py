@@ -364,9 +364,9 @@ SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS leg_
        ts AS changed_at
 FROM events WHERE event_type = 'error'""")
 role("uploads", """
-SELECT l.l_orderkey AS leg_id, l.l_suppkey AS uploader_id, l.l_linenumber AS link_no, p.p_type AS type_name,
-       l.l_shipdate AS uploaded_at
-FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_returnflag = 'R'""")
+SELECT l_orderkey AS leg_id, l_suppkey AS uploader_id, l_orderkey * 100 + l_linenumber AS leg_attachment_id,
+       l_shipdate AS uploaded_at
+FROM lineitem WHERE l_returnflag = 'R'""")
 role("qa_runs", """
 SELECT d.doc_id, d.source, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)""")
 

@@ -567,7 +567,8 @@ def q_last_change_actor(spark, root):
 
 
 def q_distinct_list(spark, root):
-    return audit.attachment_log(roles.uploads(spark, root))
+    a = audit.attachment_log(roles.uploads(spark, root), roles.attachment_types(spark, root))
+    return a.select("leg_id", "leg_attachment_id", "uploader_id", "uploaded_at", "attachment_types")
 
 
 def q_compliance(spark, root):

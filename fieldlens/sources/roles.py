@@ -282,17 +282,27 @@ def crew_shifts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def uploads(spark: SparkSession, root: str) -> DataFrame:
-    """attachment uploads: returned line items, typed by part type, uploaded by the crew member."""
+    """attachment uploads ('create' events): returned line items, uploaded by the crew
+    member; the leg-attachment link is (order, line number)."""
     li = load_table(spark, root, "lineitem",
-                    ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"]) \
+                    ["l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"]) \
         .where(F.col("l_returnflag") == "R")
-    p = load_table(spark, root, "part", ["p_partkey", "p_type"])
-    return li.join(p, li.l_partkey == p.p_partkey, "left").select(
+    return li.select(
         F.col("l_orderkey").alias("leg_id"), F.col("l_suppkey").alias("uploader_id"),
-        F.col("l_linenumber").alias("link_no"), F.col("p_type").alias("type_name"),
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("leg_attachment_id"),
         F.col("l_shipdate").alias("uploaded_at"))
 
 
+def attachment_types(spark: SparkSession, root: str) -> DataFrame:
+    """types tagged on each leg-attachment link: the part types of its finished lines."""
+    li = load_table(spark, root, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_linestatus"]) \
+        .where(F.col("l_linestatus") == "F")
+    p = load_table(spark, root, "part", ["p_partkey", "p_type"])
+    return li.join(p, li.l_partkey == p.p_partkey, "left").select(
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("leg_attachment_id"),
+        F.col("p_type").alias("type_name"))
+
+
 def event_delta(spark: SparkSession, root: str, base: bool) -> DataFrame:
     """Base load (ts < 2024-01-25) or delta load (ts >= 2024-01-24, changed value)."""
     e = load_table(spark, root, "events", ["event_id", "ts", "user_id", "event_type", "value"])
