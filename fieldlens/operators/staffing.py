@@ -153,29 +153,71 @@ def daily_open_summary(df: DataFrame, keys: Sequence[str] = ("region", "date_lin
     return df.join(agg, cond, "left").drop(*[f"_k_{k}" for k in keys])
 
 
-def scheduling_summary(df: DataFrame, keys: Sequence[str] = ("source_database", "week_start")) -> DataFrame:
-    """Scheduling summary (BO-32): positions, coverage %, hours coverage %, worked vs
-    scheduled variance, employees, per-weekday seat counts."""
+def scheduling_summary(seats: DataFrame, threshold: float = 40.0, first_day: str = "mon") -> DataFrame:
+    """Weekly scheduling summary per source (BO-32, AG-16, AG-6/7): positions filled and
+    open, completely open and understaffed shifts, employees, scheduled/filled/open/worked
+    hours, scheduled and worked overtime over ``threshold`` per employee-week, coverage
+    percentages and per-weekday seat counts. Training seats are excluded. Weeks start on
+    Monday as the reference's ``date_trunc('week')`` does (Q-6; ``first_day`` changes it).
+    Every level is a grouped aggregation; the four results are joined on (source, week)."""
+    s = seats.where(~F.coalesce(F.col("is_training"), F.lit(False))) \
+        .withColumn("week_start", week_start("date_line", first_day))
+    k = ["source_database", "week_start"]
     assigned = F.col("assignment_status") == "ASSIGNED"
+
+    emp = s.where(assigned & F.col("user_id").isNotNull()).groupBy(*k, "user_id").agg(
+        F.sum("scheduled_hours").alias("sh"), F.sum("hours_worked").alias("wh"))
+    ot = emp.groupBy(*k).agg(
+        F.count_if(F.col("sh") > threshold).alias("employees_with_scheduled_overtime"),
+        F.sum(F.when(F.col("sh") > threshold, F.col("sh") - threshold)).alias("total_overtime_hours_scheduled"),
+        F.sum(F.when(F.col("wh") > threshold, F.col("wh") - threshold)).alias("total_overtime_hours_worked"))
+
+    shifts = s.groupBy(*k, "unit_id", "unit_name", "date_line", "shift_start").agg(
+        F.count(F.lit(1)).alias("tp"), F.count_if(assigned).alias("fp"))
+    prob = shifts.groupBy(*k).agg(
+        F.count_if((F.col("tp") - F.col("fp") > 0) & (F.col("fp") > 0)).alias("understaffed_shifts"),
+        F.sum(F.when((F.col("tp") - F.col("fp") > 0) & (F.col("fp") > 0), F.col("tp") - F.col("fp")))
+         .alias("understaffed_positions"),
+        F.count_if(F.col("fp") == 0).alias("completely_open_shifts"),
+        F.sum(F.when(F.col("fp") == 0, F.col("tp"))).alias("completely_open_positions"))
+
+    shift_key = F.concat_ws("", F.col("unit_id").cast("string"), F.lit("_"), F.col("date_line").cast("string"),
+                            F.lit("_"), F.col("shift_start").cast("string"))
     aggs = [
-        F.count(F.lit(1)).alias("total_shifts"),
-        F.count_if(assigned).alias("filled_shifts"),
-        F.count_if(~assigned).alias("open_shifts"),
-        F.countDistinct(F.when(assigned, F.col("user_id"))).alias("employees_scheduled"),
-        F.countDistinct(F.col("unit_id"), F.col("date_line"), F.col("shift_start")).alias("distinct_unit_shifts"),
-        F.sum("scheduled_hours").alias("scheduled_hours"),
-        F.sum("open_hours").alias("open_hours"),
-        F.sum(F.coalesce("hours_worked", F.lit(0.0))).alias("worked_hours"),
+        F.countDistinct(shift_key).alias("total_shifts_scheduled"),
+        F.count(F.lit(1)).alias("total_shift_positions_scheduled"),
+        F.count_if(assigned).alias("positions_filled"),
+        F.count_if(F.col("assignment_status") == "OPEN").alias("positions_open"),
+        F.countDistinct(F.when(assigned, F.col("user_id"))).alias("unique_employees_worked"),
+        round_numeric(F.sum("scheduled_hours"), 1).alias("total_scheduled_hours"),
+        round_numeric(F.sum(F.when(assigned, F.col("scheduled_hours"))), 1).alias("scheduled_hours_filled"),
+        round_numeric(F.sum("open_hours"), 1).alias("scheduled_hours_open"),
+        round_numeric(F.sum(F.when(assigned, F.col("hours_worked"))), 1).alias("actual_hours_worked"),
+        F.max(F.date_add("week_start", 6)).alias("week_end"),
     ]
-    for i, d in enumerate(["sun", "mon", "tue", "wed", "thu", "fri", "sat"]):
-        aggs.append(F.count_if(F.col("day_of_week") == i).alias(f"{d}_shifts"))
-    g = df.groupBy(*keys).agg(*aggs)
-    return g.withColumns({
-        "coverage_pct": round_half(F.col("filled_shifts") / F.col("total_shifts"), 4),
-        "hours_coverage_pct": round_half(F.try_divide(F.col("scheduled_hours"),
-                                                   F.nullif(F.col("scheduled_hours") + F.col("open_hours"),
-                                                            F.lit(0.0))), 4),
-        "hours_variance": F.col("worked_hours") - F.col("scheduled_hours"),
+    for i, d in enumerate(["sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"]):
+        aggs.append(F.countDistinct(F.when(F.col("day_of_week") == i, F.col("assignment_id"))).alias(f"{d}_shifts"))
+    rs = s.groupBy(*k).agg(*aggs)
+
+    out = rs.join(ot, k, "left").join(prob, k, "left")
+    z = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("completely_open_shifts", "completely_open_positions",
+                                                    "understaffed_shifts", "understaffed_positions",
+                                                    "employees_with_scheduled_overtime")}
+    z.update({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("total_overtime_hours_scheduled",
+                                                            "total_overtime_hours_worked")})
+    out = out.withColumns(z)
+
+    def pct(a, b):
+        return round_numeric(F.try_divide(F.col(a).cast("double"), F.nullif(F.col(b).cast("double"), F.lit(0.0)))
+                             * 100, 1)
+
+    return out.withColumns({
+        "total_problem_shifts": F.col("completely_open_shifts") + F.col("understaffed_shifts"),
+        "total_problem_positions": F.col("completely_open_positions") + F.col("understaffed_positions"),
+        "coverage_pct": pct("positions_filled", "total_shift_positions_scheduled"),
+        "scheduled_hours_coverage_pct": pct("scheduled_hours_filled", "total_scheduled_hours"),
+        "hours_worked_vs_scheduled_pct": pct("actual_hours_worked", "scheduled_hours_filled"),
+        "hours_variance": round_numeric(F.col("scheduled_hours_filled") - F.col("actual_hours_worked"), 1),
     })
 
 

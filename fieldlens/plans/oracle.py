@@ -385,20 +385,58 @@ SELECT assignment_id, region, date_line,
        round(sum(CASE WHEN assignment_status = 'OPEN' THEN open_hours END) OVER (PARTITION BY region, date_line), 4) AS open_hours_day
 FROM seats"""
 
-SQL["scheduling_summary"] = W("seats") + """
-SELECT source_database, week_start, count(*) AS total_shifts,
-  count(*) FILTER (WHERE assignment_status = 'ASSIGNED') AS filled_shifts,
-  count(*) FILTER (WHERE assignment_status <> 'ASSIGNED') AS open_shifts,
-  count(DISTINCT user_id) FILTER (WHERE assignment_status = 'ASSIGNED') AS employees_scheduled,
-  count(DISTINCT (unit_id, date_line, shift_start)) FILTER (WHERE unit_id IS NOT NULL) AS distinct_unit_shifts,
-  """ + ",\n  ".join(f"count(*) FILTER (WHERE day_of_week = {i}) AS {d}_shifts"
-                     for i, d in enumerate(["sun", "mon", "tue", "wed", "thu", "fri", "sat"])) + """,
-  round(count(*) FILTER (WHERE assignment_status = 'ASSIGNED') / count(*), 4) AS coverage_pct,
-  round(sum(scheduled_hours) / NULLIF(sum(scheduled_hours) + sum(open_hours), 0), 4) AS hours_coverage_pct,
-  round(sum(scheduled_hours), 4) AS scheduled_hours, round(sum(open_hours), 4) AS open_hours,
-  round(sum(COALESCE(hours_worked, 0.0)), 4) AS worked_hours,
-  round(sum(COALESCE(hours_worked, 0.0)) - sum(scheduled_hours), 4) AS hours_variance
-FROM seats GROUP BY source_database, week_start"""
+SQL["scheduling_summary"] = W("seats") + """,
+s AS (SELECT *, CAST(date_trunc('week', date_line) AS DATE) AS wk FROM seats WHERE NOT COALESCE(is_training, FALSE)),
+emp AS (SELECT source_database, wk, user_id, sum(scheduled_hours) AS sh, sum(hours_worked) AS wh
+        FROM s WHERE assignment_status = 'ASSIGNED' AND user_id IS NOT NULL GROUP BY ALL),
+ot AS (SELECT source_database, wk, count(*) FILTER (WHERE sh > 40) AS employees_with_scheduled_overtime,
+              sum(sh - 40) FILTER (WHERE sh > 40) AS ot_s, sum(wh - 40) FILTER (WHERE wh > 40) AS ot_w
+       FROM emp GROUP BY ALL),
+sh AS (SELECT source_database, wk, unit_id, unit_name, date_line, shift_start, count(*) AS tp,
+              count(*) FILTER (WHERE assignment_status = 'ASSIGNED') AS fp FROM s GROUP BY ALL),
+prob AS (SELECT source_database, wk,
+                count(*) FILTER (WHERE tp - fp > 0 AND fp > 0) AS understaffed_shifts,
+                sum(tp - fp) FILTER (WHERE tp - fp > 0 AND fp > 0) AS understaffed_positions,
+                count(*) FILTER (WHERE fp = 0) AS completely_open_shifts,
+                sum(tp) FILTER (WHERE fp = 0) AS completely_open_positions
+         FROM sh GROUP BY ALL),
+rs AS (
+  SELECT source_database, wk,
+    count(DISTINCT concat(CAST(unit_id AS VARCHAR), '_', CAST(date_line AS VARCHAR), '_', CAST(shift_start AS VARCHAR))) AS total_shifts_scheduled,
+    count(*) AS total_shift_positions_scheduled,
+    count(*) FILTER (WHERE assignment_status = 'ASSIGNED') AS positions_filled,
+    count(*) FILTER (WHERE assignment_status = 'OPEN') AS positions_open,
+    count(DISTINCT user_id) FILTER (WHERE assignment_status = 'ASSIGNED') AS unique_employees_worked,
+    """ + rn("sum(scheduled_hours)", 1) + """ AS total_scheduled_hours,
+    """ + rn("sum(scheduled_hours) FILTER (WHERE assignment_status = 'ASSIGNED')", 1) + """ AS scheduled_hours_filled,
+    """ + rn("sum(open_hours)", 1) + """ AS scheduled_hours_open,
+    """ + rn("sum(hours_worked) FILTER (WHERE assignment_status = 'ASSIGNED')", 1) + """ AS actual_hours_worked,
+    max(wk + 6) AS week_end,
+    """ + ",\n    ".join(f"count(DISTINCT assignment_id) FILTER (WHERE day_of_week = {i}) AS {d}_shifts"
+                         for i, d in enumerate(["sunday", "monday", "tuesday", "wednesday", "thursday", "friday",
+                                                "saturday"])) + """
+  FROM s GROUP BY ALL)
+SELECT rs.source_database, rs.wk AS week_start, rs.week_end, rs.total_shifts_scheduled, rs.total_shift_positions_scheduled,
+  rs.positions_filled, rs.positions_open,
+  COALESCE(prob.completely_open_shifts, 0) AS completely_open_shifts,
+  COALESCE(prob.completely_open_positions, 0) AS completely_open_positions,
+  COALESCE(prob.understaffed_shifts, 0) AS understaffed_shifts,
+  COALESCE(prob.understaffed_positions, 0) AS understaffed_positions,
+  COALESCE(prob.completely_open_shifts, 0) + COALESCE(prob.understaffed_shifts, 0) AS total_problem_shifts,
+  COALESCE(prob.completely_open_positions, 0) + COALESCE(prob.understaffed_positions, 0) AS total_problem_positions,
+  rs.unique_employees_worked, rs.total_scheduled_hours, rs.scheduled_hours_filled, rs.scheduled_hours_open,
+  rs.actual_hours_worked,
+  COALESCE(ot.employees_with_scheduled_overtime, 0) AS employees_with_scheduled_overtime,
+  round(COALESCE(ot.ot_s, 0.0), 4) AS total_overtime_hours_scheduled,
+  round(COALESCE(ot.ot_w, 0.0), 4) AS total_overtime_hours_worked,
+  """ + rn("rs.positions_filled / NULLIF(rs.total_shift_positions_scheduled, 0) * 100", 1) + """ AS coverage_pct,
+  """ + rn("rs.scheduled_hours_filled / NULLIF(rs.total_scheduled_hours, 0) * 100", 1) + """ AS scheduled_hours_coverage_pct,
+  """ + rn("rs.actual_hours_worked / NULLIF(rs.scheduled_hours_filled, 0) * 100", 1) + """ AS hours_worked_vs_scheduled_pct,
+  """ + rn("rs.scheduled_hours_filled - rs.actual_hours_worked", 1) + """ AS hours_variance,
+  rs.sunday_shifts, rs.monday_shifts, rs.tuesday_shifts, rs.wednesday_shifts, rs.thursday_shifts, rs.friday_shifts,
+  rs.saturday_shifts
+FROM rs LEFT JOIN ot ON ot.source_database = rs.source_database AND ot.wk = rs.wk
+LEFT JOIN prob ON prob.source_database = rs.source_database AND prob.wk = rs.wk"""
 
 SQL["dense_grid"] = W("seats", "cost_centers") + """,
 days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2023-12-21 00:00:00', TIMESTAMP '2024-02-07 00:00:00', INTERVAL 1 DAY)) AS DATE) AS grid_date),

@@ -373,9 +373,8 @@ def q_daily_open_summary(spark, root):
 
 def q_scheduling_summary(spark, root):
     s = staffing.scheduling_summary(seats(spark, root))
-    cols = [c for c in s.columns if c not in ("scheduled_hours", "open_hours", "worked_hours", "hours_variance")]
-    return s.select(*cols, *[r4(c).alias(c) for c in ("scheduled_hours", "open_hours", "worked_hours",
-                                                      "hours_variance")])
+    ot = ("total_overtime_hours_scheduled", "total_overtime_hours_worked")
+    return s.select(*[r4(c).alias(c) if c in ot else F.col(c) for c in s.columns])
 
 
 def q_dense_grid(spark, root):
