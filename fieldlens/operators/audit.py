@@ -48,20 +48,24 @@ def attachment_log(uploads: DataFrame, link_types: DataFrame, link: str = "leg_a
 def compliance(runs: DataFrame, crew: DataFrame, uploads: DataFrame, finalizer: DataFrame,
                required_types: Sequence[str] = ATTACHMENT_REQUIRED_CALL_TYPES) -> DataFrame:
     """Attachment compliance (BO-42): one row per attributed crew member per ran leg.
+    ``finalizer``: care records with a text ``run_number`` and ``finalizer_id``.
 
     A leg requires an attachment unless its call type is outside ``required_types`` (a
     NULL call type is required, Q-15). It is compliant when it is not required or any
     crew member uploaded one (team effort). Attribution: only the finalizer when they
     were crew; every crew member when the finalizer was not crew or the record is not
     finalized. Crew is distinct per leg (Q-14 corrected)."""
-    legs = runs.where(F.col("run_outcome") == "ran").select("leg_id", "calltype_name")
+    legs = runs.where(F.col("run_outcome") == "ran").select("leg_id", "run_number", "calltype_name")
     crew = crew.select("leg_id", "crew_user_id").distinct()
     up = uploads.select("leg_id", F.col("uploader_id").alias("crew_user_id"))
     flagged = up.join(crew.withColumn("_is_crew", F.lit(True)), ["leg_id", "crew_user_id"], "left")
     summary = flagged.groupBy("leg_id").agg(
         F.count(F.lit(1)).alias("total_attachments"),
         F.count_if(F.coalesce("_is_crew", F.lit(False))).alias("crew_attachments"))
-    fin = finalizer.select("leg_id", "finalizer_id")
+    # the care-record side keys runs by a text run number: join with a cast key (JN-17)
+    fin = legs.select("leg_id", "run_number").join(
+        finalizer.select(F.col("run_number").alias("_rn"), "finalizer_id"),
+        F.col("run_number").cast("string") == F.col("_rn")).select("leg_id", "finalizer_id")
     fin_crew = fin.join(crew, (fin.leg_id == crew.leg_id) & (fin.finalizer_id == crew.crew_user_id),
                         "left_semi").select("leg_id", F.lit(True).alias("finalizer_is_crew_member"))
     exempt = F.coalesce(~F.col("calltype_name").isin(*required_types), F.lit(False))

@@ -108,6 +108,15 @@ def week_chunks(df: DataFrame, month_col: str = "month_start") -> DataFrame:
     })
 
 
+def backfill_chunks(spark, start: dt.date, end: dt.date, chunk_days: int = 7) -> DataFrame:
+    """Manual backfill over any range (ST-6): the half-open range ``[start, end)`` cut
+    into ``chunk_days`` chunks, as rows (one job processes all chunks, no driver loop)."""
+    s = F.lit(start)
+    last = F.date_sub(F.lit(end), 1)
+    out = spark.range(1).select(F.explode(F.sequence(s, last, F.expr(f"INTERVAL {chunk_days} DAYS"))).alias("chunk_start"))
+    return out.withColumn("chunk_end", F.least(F.date_add("chunk_start", chunk_days), F.lit(end)))
+
+
 def dense_dates(start, end) -> F.Column:
     return F.explode(F.sequence(F.lit(start), F.lit(end)))
 

@@ -186,8 +186,10 @@ def interval_flatten(shifts: DataFrame, by: list[str] | None = None,
     return j.groupBy(*[F.col(f"sl.{k}").alias(k) for k in by], "sl.slice_start", "sl.slice_end").agg(
         F.count("a.assignment_id").alias("seats"),
         F.count("a.user_id").alias("filled_seats"),
-        F.array_join(F.array_sort(F.collect_list(F.col("a.assignment_id").cast("string"))), ",")
-         .alias("crew_ids"),
+        # ARRAY_AGG(id ORDER BY start, id): sort (start, id) structs, keep the ids (AG-10)
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("a.shift_start").alias("s"),
+                                                                        F.col("a.assignment_id").alias("i")))),
+                                 lambda x: x["i"].cast("string")), ",").alias("crew_ids"),
     ).withColumns({
         "open_seats": F.col("seats") - F.col("filled_seats"),
         "slice_hours": hours_between("slice_end", "slice_start"),

@@ -21,6 +21,7 @@ NON_TRANSPORT_CALL_TYPES = ["Medicar", "NEV - Wheelchair", "Standby - ALS", "Sta
 FLIGHT_CALL_TYPES = ["Flight Crew", "Flight Crew Return Only"]
 EMERGENCY_LEVELS = ["1-URGENT"]
 EMERGENCY_COST_CENTERS = ["PROMO"]
+EMERGENCY_REGIONS = ["west", "east"]
 OPERATIONS_REGIONS = ["west", "east", "south", "middle"]
 EMT_TITLES = ["AUTOMOBILE", "BUILDING"]
 MEDIC_TITLES = ["MACHINERY"]
@@ -50,12 +51,14 @@ def daily_transports(runs: DataFrame) -> DataFrame:
             _cnt(ct.isin(*FLIGHT_CALL_TYPES) & ran).alias("flight_transports"),
             _cnt(transport).alias("total_transports"),
             _cnt(transport & (F.col("mileage") > 50)).alias("ldt_over_50_miles"),
-            _cnt(F.col("level_of_service").isin(*EMERGENCY_LEVELS)).alias("calls_911"),
+            _cnt(F.col("level_of_service").isin(*EMERGENCY_LEVELS)).alias("_calls_911"),
             _cnt(ran & (F.col("is_on_time") == F.lit(True))).alias("on_time_count"),
             _cnt(ran & F.col("is_on_time").isNotNull()).alias("on_time_eligible_count"),
             _sum_if(transport, F.col("time_on_task_minutes")).alias("total_time_on_task_minutes"),
             _cnt(F.col("run_outcome") == "cancelled").alias("cancelled_calls"),
-            _cnt(F.col("run_outcome") == "turned").alias("turned_calls"))
+            _cnt(F.col("run_outcome") == "turned").alias("turned_calls")) \
+        .withColumn("calls_911", F.when(F.col("region").isin(*EMERGENCY_REGIONS), F.col("_calls_911"))
+                    .otherwise(F.lit(0).cast("bigint"))).drop("_calls_911")  # CASE on the group key (AG-15)
 
 
 def labour_hours(shifts: DataFrame, users: DataFrame, regions: Sequence[str] = OPERATIONS_REGIONS) -> DataFrame:

@@ -119,7 +119,8 @@ def period_overtime(weekly: DataFrame, periods: DataFrame) -> DataFrame:
         F.sum("overtime_hours").alias("period_overtime_hours"),
         F.sum("actual_overtime_hours").alias("period_actual_overtime_hours"),
         F.sum("weekly_scheduled_hours").alias("period_scheduled_hours"),
-        F.count(F.lit(1)).alias("weeks"))
+        F.count(F.lit(1)).alias("weeks"),
+        F.bool_or("is_overtime").alias("has_overtime_week"))
 
 
 def overtime_summary(weekly: DataFrame) -> DataFrame:

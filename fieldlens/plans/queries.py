@@ -346,7 +346,7 @@ def q_period_overtime(spark, root):
     return p.select("source_database", "user_id", "pay_period_start",
                     r4("period_overtime_hours").alias("period_overtime_hours"),
                     r4("period_actual_overtime_hours").alias("period_actual_overtime_hours"),
-                    r4("period_scheduled_hours").alias("period_scheduled_hours"), "weeks")
+                    r4("period_scheduled_hours").alias("period_scheduled_hours"), "weeks", "has_overtime_week")
 
 
 def q_overtime_summary(spark, root):
@@ -572,7 +572,8 @@ def q_distinct_list(spark, root):
 
 def q_compliance(spark, root):
     o = tables.load_table(spark, root, "orders", ["o_orderkey", "o_custkey"])
-    fin = o.select(F.col("o_orderkey").alias("leg_id"), (F.col("o_custkey") % 100).alias("finalizer_id"))
+    fin = o.select(F.col("o_orderkey").cast("string").alias("run_number"),
+                   (F.col("o_custkey") % 100).alias("finalizer_id"))
     return audit.compliance(runs(spark, root), roles.crew_link(spark, root), roles.uploads(spark, root), fin)
 
 
