@@ -61,9 +61,11 @@ def month_start(d: ColumnOrName) -> Column:
     return F.trunc(col(d).cast("date"), "month")
 
 
-def day_name(d: ColumnOrName) -> Column:
-    """Full weekday name without padding (``to_char(d, 'FMDay')``), SC-9."""
-    return F.date_format(col(d), "EEEE")
+def day_name(d: ColumnOrName, pad: bool = False) -> Column:
+    """Full weekday name (``to_char(d, 'FMDay')``), SC-9; ``pad=True`` gives the
+    blank-padded ``to_char(d, 'Day')`` form (9 characters)."""
+    name = F.date_format(col(d), "EEEE")
+    return F.rpad(name, 9, " ") if pad else name
 
 
 def hour_bucket(ts: ColumnOrName) -> Column:

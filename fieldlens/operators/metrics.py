@@ -25,6 +25,12 @@ EMERGENCY_REGIONS = ["west", "east"]
 OPERATIONS_REGIONS = ["west", "east", "south", "middle"]
 EMT_TITLES = ["AUTOMOBILE", "BUILDING"]
 MEDIC_TITLES = ["MACHINERY"]
+MARKET_NAMES = [
+    ("west", "Western Market"),
+    ("east", "Eastern Market"),
+    ("south", "Southern Market"),
+    ("middle", "Central Market"),
+]
 WEEKDAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 # ---------------------------------------------------------------------------
 
@@ -106,7 +112,9 @@ def daily_operations(runs: DataFrame, shifts: DataFrame, users: DataFrame) -> Da
     tot_hours = F.coalesce(F.col("t.total_time_on_task_minutes") / 60.0, F.lit(0.0))
     return j.select(
         region.alias("region"),
-        F.initcap(region).alias("market_name"),
+        # simple CASE region WHEN ... ELSE region (PRJ-4) as a literal map lookup
+        F.coalesce(F.create_map(*[F.lit(x) for kv in MARKET_NAMES for x in kv])[region], region)
+         .alias("market_name"),
         day.alias("report_date"),
         F.concat(us_date(day), F.lit("\n"), day_name(day)).alias("report_date_display"),
         F.year(day).alias("report_year"), F.month(day).alias("report_month"),

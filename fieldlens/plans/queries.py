@@ -388,7 +388,8 @@ def q_shift_slice(spark, root):
     per = calendar.period_for(event_periods(spark, root), AS_OF_EVENTS)
     lo, hi = per.select(F.max("start_date")).scalar(), per.select(F.max("end_date")).scalar()
     s = seats(spark, root).where((F.col("date_line") >= lo) & (F.col("date_line") <= hi))
-    s = s.where((F.col("region") == "south") & ~F.col("is_training"))
+    s = s.where((F.col("region") == "south") & ~F.col("is_training")
+                & ~((F.col("assignment_status") == "OPEN") & F.col("is_special_event")))  # NOT (a AND b), FLT-10
     return s.select("assignment_id", "region", "date_line", "assignment_status",
                     r4(classify.hours_fallback()).alias("report_hours"))
 

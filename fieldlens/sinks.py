@@ -55,9 +55,22 @@ def tag_snapshot(df: DataFrame, tag_col: str, tag: dt.date) -> DataFrame:
 def append_snapshot(df: DataFrame, path: str, tag_col: str, tag: dt.date) -> None:
     """Append with a snapshot tag (SNK-4); rerun-safe because only the tagged partition is
     overwritten (dynamic partition overwrite)."""
+    tag_snapshot(df, tag_col, tag).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(tag_col).parquet(path)
+
+
+def register(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
+    """Materialize a model (SNK-6): ``view`` registers a temp view (recomputed on read);
+    ``table`` writes Parquet under the shared checkpoint folder and registers a view over
+    the written files (computed once)."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    tag_snapshot(df, tag_col, tag).write.mode("overwrite").partitionBy(tag_col).parquet(path)
+    if kind == "table":
+        from fieldlens.session import scratch_path
+        path = scratch_path(spark, f"table-{name}")
+        df.write.mode("overwrite").parquet(path)
+        df = spark.read.parquet(path)
+    df.createOrReplaceTempView(name)
+    return df
 
 
 def quarantine(failing: DataFrame, path: str) -> None:

@@ -23,10 +23,20 @@ def table_path(root: str, name: str) -> str:
 
 
 def load_table(spark: SparkSession, root: str, name: str, columns: Sequence[str] | None = None,
-               source: str | None = None) -> DataFrame:
+               source: str | None = None, fmt: str = "parquet",
+               options: Mapping[str, str] | None = None) -> DataFrame:
     """Scan one table (SRC-1); ``columns`` prunes the read schema (SRC-2); ``source``
-    tags rows with ``source_database`` (SRC-6)."""
-    df = spark.read.parquet(table_path(root, name))
+    tags rows with ``source_database`` (SRC-6). ``fmt``/``options`` switch the reader,
+    e.g. ``fmt="jdbc"`` with ``dbtable``, ``partitionColumn``, ``lowerBound``,
+    ``upperBound`` and ``numPartitions`` for a parallel read of an operational database
+    (the column list and predicates are then pushed into the database query)."""
+    if fmt == "parquet" and not options:
+        df = spark.read.parquet(table_path(root, name))
+    else:
+        reader = spark.read.format(fmt)
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        df = reader.load() if fmt == "jdbc" else reader.load(table_path(root, name).replace(".parquet", f".{fmt}"))
     if columns:
         df = df.select(*columns)
     if source is not None:

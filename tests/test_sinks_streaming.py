@@ -43,3 +43,25 @@ def test_stream_equals_batch(spark, root):
     batch = spark.read.parquet(f"{root}/events.parquet").groupBy(
         F.date_trunc("DAY", "ts").cast("timestamp_ntz").alias("window_start"), "event_type").count()
     assert rows(counts.select("window_start", "event_type", "events")) == rows(batch)
+
+
+def test_register_quarantine_export_report(spark, root):
+    from fieldlens.functions.scalars import day_name
+    from fieldlens.operators import quality
+    runs = Q.runs(spark, root)
+    bad = quality.dq_invalid_durations(runs)
+    q = scratch_path(spark, "quarantine")
+    sinks.quarantine(bad, q)
+    sinks.quarantine(bad, q)
+    assert spark.read.parquet(q).count() == 2 * bad.count()
+    t = sinks.register(bad.select("leg_id", "issue"), "dq_failures", kind="table")
+    assert spark.table("dq_failures").count() == t.count() == bad.count()
+    out = scratch_path(spark, "marts")
+    sinks.export_marts({"runs": runs.select("leg_id", "region")}, out)
+    assert spark.read.parquet(f"{out}/runs").count() == runs.count()
+    rep = scratch_path(spark, "report")
+    daily = runs.groupBy("region", F.col("service_date").alias("pay_period_start")).count()
+    sinks.write_report(daily, rep)
+    assert spark.read.parquet(rep).count() == daily.count()
+    padded = spark.range(1).select(day_name(F.lit(dt.date(2024, 1, 7)), pad=True).alias("d")).first().d
+    assert padded == "Sunday   "
