@@ -88,6 +88,27 @@ def clock_12h(ts: ColumnOrName) -> Column:
     return F.date_format(col(ts), "hh:mm a")
 
 
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a ``datetime`` or text, independent of the session and
+    the JVM time zones (a naive ``datetime`` literal would be read in a zone)."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def utc_instant(ts: ColumnOrName) -> Column:
+    """The instant whose UTC wall clock is ``ts`` (TIMESTAMP_NTZ -> TIMESTAMP), without
+    going through the session zone. Used where Spark needs an instant (watermarks)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), col(ts)))
+
+
+def instant_to_ntz(ts: ColumnOrName) -> Column:
+    """Inverse of :func:`utc_instant`: the UTC wall clock of an instant as TIMESTAMP_NTZ."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col(ts)), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def epoch_ntz(epoch_seconds: ColumnOrName) -> Column:
     """UTC wall clock of a Unix epoch (seconds) as TIMESTAMP_NTZ, independent of session zone."""
     return F.timestamp_add("SECOND", col(epoch_seconds),
@@ -150,7 +171,7 @@ def null_zero_date(c: ColumnOrName) -> Column:
     """Zero-date sentinel text ('0000-00-00 ...') to NULL, else a timestamp (SRC-9)."""
     s = col(c).cast("string")
     return F.when(s.startswith("0000-00-00"), F.lit(None).cast("timestamp_ntz")).otherwise(
-        F.try_to_timestamp(s).cast("timestamp_ntz"))
+        s.try_cast("timestamp_ntz"))
 
 
 def round_numeric(c: ColumnOrName, scale: int = 2) -> Column:

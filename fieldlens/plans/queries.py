@@ -653,7 +653,7 @@ DELTA_START = dt.datetime(2024, 1, 24)
 
 
 def _delta_transform(df: DataFrame) -> DataFrame:
-    return df.where(F.col("ts") >= F.lit(DELTA_START)).select(*EVENT_COLS) \
+    return df.where(F.col("ts") >= S.ntz_lit(DELTA_START)).select(*EVENT_COLS) \
         .withColumn("value", F.round(F.col("value") + 1.0, 2))
 
 
@@ -694,7 +694,7 @@ def q_snapshot_diff(spark, root):
     week_start = AS_OF_EVENTS - dt.timedelta(days=(AS_OF_EVENTS.weekday() + 1) % 7)
     week_end = week_start + dt.timedelta(days=6)
     ev = tables.load_table(spark, root, "events")
-    snap = roles.shifts(spark, root, ev.where(F.col("ts") < F.lit(dt.datetime.combine(AS_OF_EVENTS, dt.time()))))
+    snap = roles.shifts(spark, root, ev.where(F.col("ts") < S.ntz_lit(dt.datetime.combine(AS_OF_EVENTS, dt.time()))))
     snap = snap.where(F.col("date_line").between(F.lit(week_start), F.lit(week_end))).select(
         "assignment_id", F.col("user_id").alias("planned_user_id"),
         S.hours_between("shift_end", "shift_start").alias("planned_hours"))

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import add_hours, add_minutes, add_seconds, epoch_seconds
+from fieldlens.functions.scalars import add_hours, add_minutes, epoch_seconds, ntz_lit
 from fieldlens.operators.keys import current_pointer, current_revision, distinct_on
 from fieldlens.sources.tables import load_table, values_relation
 
@@ -307,8 +307,8 @@ def event_delta(spark: SparkSession, root: str, base: bool) -> DataFrame:
     """Base load (ts < 2024-01-25) or delta load (ts >= 2024-01-24, changed value)."""
     e = load_table(spark, root, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     if base:
-        return e.where(F.col("ts") < F.lit(dt.datetime(2024, 1, 25)))
-    return e.where(F.col("ts") >= F.lit(dt.datetime(2024, 1, 24))) \
+        return e.where(F.col("ts") < ntz_lit(dt.datetime(2024, 1, 25)))
+    return e.where(F.col("ts") >= ntz_lit(dt.datetime(2024, 1, 24))) \
         .withColumn("value", F.round(F.col("value") + 1.0, 2))
 
 

@@ -4,6 +4,7 @@ pushes the filters and the column list into the Parquet (or JDBC) reader."""
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 import os
 from collections.abc import Mapping, Sequence
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fieldlens.functions.scalars import null_zero_date
+from fieldlens.functions.scalars import ntz_lit, null_zero_date
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -49,10 +50,15 @@ def load_table(spark: SparkSession, root: str, name: str, columns: Sequence[str]
 DEFAULT_POLICY_COLUMNS = {"modified": "modified", "business": "service_date"}
 
 
+def _bound(v):
+    # wall-clock datetimes become TIMESTAMP_NTZ literals (zone independent); dates stay dates
+    return ntz_lit(v) if isinstance(v, dt.datetime) else F.lit(v)
+
+
 def window_scan(df: DataFrame, date_col: str, start, end) -> DataFrame:
     """Half-open window ``start <= c < end`` (SRC-3); pushed to the Parquet scan."""
     c = F.col(date_col)
-    return df.where((c >= F.lit(start)) & (c < F.lit(end)))
+    return df.where((c >= _bound(start)) & (c < _bound(end)))
 
 
 def window_scan_policy(df: DataFrame, policy: str, start, end,
@@ -67,7 +73,7 @@ def incremental_scan(df: DataFrame, cursor: str, high_water_mark, initial=None)
     hwm = high_water_mark if high_water_mark is not None else initial
     if hwm is None:
         return df
-    return df.where(F.col(cursor) >= F.lit(hwm))
+    return df.where(F.col(cursor) >= (hwm if isinstance(hwm, Column) else _bound(hwm)))
 
 
 def next_high_water_mark(df: DataFrame, cursor: str) -> DataFrame:

@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlens.functions.scalars import instant_to_ntz, utc_instant
 from fieldlens.session import scratch_path
 from fieldlens.sinks import merge_frames
 
@@ -67,10 +68,11 @@ def stream_upsert(spark: SparkSession, source_path: str, target: DataFrame, keys
 def stream_dedup(spark: SparkSession, source_path: str, keys: Sequence[str], event_time: str = "ts",
                  delay: str = "1 day", name: str = "stream-dedup") -> DataFrame:
     """ST-3: drop duplicate keys within the watermark delay; state is bounded by the
-    watermark. Event time is cast to TIMESTAMP (watermarks reject TIMESTAMP_NTZ)."""
+    watermark. Watermarks need an instant, so the wall-clock event time is read as UTC
+    (zone independent: the session zone does not move the windows)."""
     root = scratch_path(spark, name)
     out = os.path.join(root, "out")
-    s = file_stream(spark, source_path).withColumn("_et", F.col(event_time).cast("timestamp"))
+    s = file_stream(spark, source_path).withColumn("_et", utc_instant(event_time))
     d = s.withWatermark("_et", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_et")
     _run(d.writeStream.format("parquet").option("path", out).outputMode("append"),
          os.path.join(root, "_checkpoint"))
@@ -84,7 +86,7 @@ def stream_window_counts(spark: SparkSession, source_path: str, by: Sequence[str
     mode and upserted per micro-batch on (window, keys), so windows still open at the
     end of the stream are included (append mode would withhold them)."""
     root = scratch_path(spark, name)
-    s = file_stream(spark, source_path).withColumn("_et", F.col(event_time).cast("timestamp"))
+    s = file_stream(spark, source_path).withColumn("_et", utc_instant(event_time))
     agg = (s.withWatermark("_et", delay)
              .groupBy(F.window("_et", size).alias("w"), *by)
              .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum")))
@@ -92,8 +94,8 @@ def stream_window_counts(spark: SparkSession, source_path: str, by: Sequence[str
     versions: list[str] = []
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        delta = batch.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                             F.col("w.end").cast("timestamp_ntz").alias("window_end"), *by, "events", "value_sum")
+        delta = batch.select(instant_to_ntz("w.start").alias("window_start"),
+                             instant_to_ntz("w.end").alias("window_end"), *by, "events", "value_sum")
         out = os.path.join(root, f"v{batch_id:06d}")
         merged = delta if not versions else merge_frames(spark.read.parquet(versions[-1]), delta, keys)
         merged.write.mode("overwrite").parquet(out)
