@@ -31,7 +31,8 @@ def stage_times(spark: SparkSession, root: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, root: str) -> DataFrame:
-    return table_model(spark, root, "runs", lambda: marts.run_mart(stage_times(spark, root)))
+    # a projection over the stage-times model: cheaper to recompute than to store again
+    return marts.run_mart(stage_times(spark, root))
 
 
 def _pairs(spark: SparkSession, root: str) -> DataFrame:
@@ -479,15 +480,19 @@ QUERIES.update({
 from fieldlens.operators import audit, crew, quality  # noqa: E402
 
 
+def crew_link(spark, root) -> DataFrame:
+    return table_model(spark, root, "crew_link", lambda: roles.crew_link(spark, root))
+
+
 def crew_seats(spark, root) -> DataFrame:
     return table_model(spark, root, "crew_seats", lambda: crew.crew_seats(
-        roles.crew_shifts(spark, root), roles.cost_centers(spark, root), roles.users(spark, root),
-        roles.valid_cost_centers(spark)))
+        roles.crew_shifts(spark, root, crew_link(spark, root)), roles.cost_centers(spark, root),
+        roles.users(spark, root), roles.valid_cost_centers(spark)))
 
 
 def run_crew(spark, root) -> DataFrame:
     return table_model(spark, root, "run_crew", lambda: crew.run_crew(
-        stage_times(spark, root), roles.crew_link(spark, root), crew_seats(spark, root)))
+        stage_times(spark, root), crew_link(spark, root), crew_seats(spark, root)))
 
 
 def _shift_metrics(spark, root):
@@ -575,7 +580,7 @@ def q_compliance(spark, root):
     o = tables.load_table(spark, root, "orders", ["o_orderkey", "o_custkey"])
     fin = o.select(F.col("o_orderkey").cast("string").alias("run_number"),
                    (F.col("o_custkey") % 100).alias("finalizer_id"))
-    return audit.compliance(runs(spark, root), roles.crew_link(spark, root), roles.uploads(spark, root), fin)
+    return audit.compliance(runs(spark, root), crew_link(spark, root), roles.uploads(spark, root), fin)
 
 
 def q_qa_recon(spark, root):

@@ -266,9 +266,10 @@ def crew_link(spark: SparkSession, root: str) -> DataFrame:
                     (F.col("l_suppkey") * 100000 + day).alias("shift_assignment_id"))
 
 
-def crew_shifts(spark: SparkSession, root: str) -> DataFrame:
+def crew_shifts(spark: SparkSession, root: str, link: DataFrame | None = None) -> DataFrame:
     """crew seats: one 12-hour day seat (06:00-18:00) per crew member and service day."""
-    link = crew_link(spark, root).select("crew_user_id", "shift_assignment_id").distinct()
+    link = (link if link is not None else crew_link(spark, root)) \
+        .select("crew_user_id", "shift_assignment_id").distinct()
     day = (F.col("shift_assignment_id") % 100000).cast("int")
     date_line = F.date_add(F.lit(PERIOD_ANCHOR_ORDERS), day)
     start = add_hours(date_line.cast("timestamp_ntz"), F.lit(6))
