@@ -81,3 +81,27 @@ def test_interval_flatten_slices_cover_shift_hours(spark, root):
     sliced = f.select(F.sum(F.col("slice_hours") * F.col("seats"))).first()[0]
     assert abs(seat_hours - sliced) < 1e-6
     assert f.where(F.col("seats") == 0).count() == 0
+
+
+def test_staffing_filled_plus_open_is_total(spark, root):
+    from fieldlens.plans import queries as Q
+    st = Q.q_staffing_status(spark, root).where(F.col("total_positions").isNotNull())
+    assert st.where(F.col("filled_positions") + F.col("open_positions") != F.col("total_positions")).count() == 0
+    assert st.where(F.col("open_positions") < 0).count() == 0
+
+
+def test_dense_grid_is_dates_times_centers(spark, root):
+    from fieldlens.plans import queries as Q
+    g = Q.q_dense_grid(spark, root)
+    days = g.select("grid_date").distinct().count()
+    centers = roles.cost_centers(spark, root).count()
+    assert days == 49 and g.count() == days * centers
+
+
+def test_daily_operations_keeps_both_sides(spark, root):
+    """FULL OUTER JOIN: every run day and every labour day appears exactly once per region."""
+    from fieldlens.plans import queries as Q
+    ops = Q.q_daily_operations(spark, root)
+    assert ops.groupBy("region", "report_date").count().where("count > 1").count() == 0
+    run_days = Q.runs(spark, root).where(F.col("region").isNotNull()).select("region", "service_date").distinct().count()
+    assert ops.where((F.col("total_transports") + F.col("cancelled_calls") + F.col("turned_calls")) >= 0).count() >= run_days
