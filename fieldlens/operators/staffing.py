@@ -2,8 +2,8 @@
 open-shift summaries, scheduling summary and the dense hours grid (BO-21..26, BO-31,
 BO-32).
 
-Group-wise metrics use window aggregates over the group key (one shuffle, no self-join).
-A seat group (one unit, day and start) is bounded by the unit's seat count."""
+Group-wise metrics are partial aggregations joined back on the group key (no self-join,
+and a hot group is reduced map-side instead of being gathered into one task)."""
 
 from __future__ import annotations
 
@@ -54,23 +54,36 @@ def seat_fact(shifts: DataFrame, matches: DataFrame, users: DataFrame | None = N
 
 def shift_partners(df: DataFrame, group: Sequence[str] = SEAT_GROUP, id_col: str = "assignment_id",
                    name_col: str = "assigned_name") -> DataFrame:
-    """Other names/ids on the same unit, day and start (BO-22, JN-14): one window
-    ``collect_set(struct(id, name))`` over the group, then filter out the row's own id.
-    Open seats count as partners but give no name; rows with a NULL group key have no
-    partners (equality never matches NULL)."""
-    w = Window.partitionBy(*group)
-    members = F.collect_set(F.struct(F.col(id_col).alias("i"), F.col(name_col).alias("n"))).over(w)
-    null_key = F.lit(False)
+    """Other names/ids on the same unit, day and start (BO-22, JN-14), without a self-join
+    and without gathering a group's rows into one task.
+
+    Per group, the member count and the distinct names with their id counts are
+    aggregated (partial aggregation before the shuffle; the name list is bounded by the
+    distinct names of the group) and joined back to the rows. A row's partners are the
+    other members: the count excludes the row itself, and its own name is left out
+    unless another member carries the same name. Open seats count as partners but give
+    no name; rows with a NULL group key have no partners (equality never matches NULL).
+    Assumes one row per ``id_col``."""
+    keys_ok = F.lit(True)
     for g in group:
-        null_key = null_key | F.col(g).isNull()
-    others = F.filter(members, lambda m: m["i"] != F.col(id_col))
-    names = F.array_sort(F.array_distinct(F.filter(F.transform(others, lambda m: m["n"]),
-                                                   lambda n: n.isNotNull())))
-    out = df.withColumn("_others", F.when(~null_key, others))
+        keys_ok = keys_ok & F.col(g).isNotNull()
+    members = df.where(keys_ok)
+    counts = members.groupBy(*group).agg(F.countDistinct(id_col).alias("_members"))
+    per_name = members.where(F.col(name_col).isNotNull()).groupBy(*group, name_col) \
+        .agg(F.countDistinct(id_col).alias("_c"))
+    names = per_name.groupBy(*group).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(name_col).alias("n"), F.col("_c").alias("c")))).alias("_names"))
+    g = counts.join(names, list(group), "left")
+    out = df.join(g, list(group), "left")
+    mine = F.col(name_col)
+    partner_names = F.transform(
+        F.filter(F.coalesce(F.col("_names"), F.array()),
+                 lambda x: mine.isNull() | (x["n"] != mine) | (x["c"] > 1)),
+        lambda x: x["n"])
     return out.withColumns({
-        "partner_count": F.coalesce(F.size("_others"), F.lit(0)).cast("bigint"),
-        "partner_names": F.when(~null_key & (F.size(names) > 0), F.array_join(names, ", ")),
-    }).drop("_others")
+        "partner_count": F.coalesce(F.col("_members") - 1, F.lit(0)).cast("bigint"),
+        "partner_names": F.when(F.size(partner_names) > 0, F.array_join(partner_names, ", ")),
+    }).drop("_members", "_names")
 
 
 def staffing(df: DataFrame, group: Sequence[str] = SEAT_GROUP) -> DataFrame:
