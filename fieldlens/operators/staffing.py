@@ -145,14 +145,25 @@ def overtime_summary(weekly: DataFrame) -> DataFrame:
         F.sum("overtime_hours").alias("total_overtime_hours"))
 
 
-def cumulative_hours(df: DataFrame) -> DataFrame:
+def cumulative_hours(df: DataFrame, hours: str = "scheduled_hours") -> DataFrame:
     """Running scheduled hours within the employee-week in shift order (BO-26, WN-5),
-    with the seat id as tie-breaker (Q-22); open seats (NULL user) get NULL."""
-    w = (Window.partitionBy("source_database", "user_id", "week_start")
-         .orderBy("shift_start", "assignment_id")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn("cumulative_hours",
-                         F.when(F.col("user_id").isNotNull(), F.sum("scheduled_hours").over(w)))
+    with the seat id as tie-breaker (Q-22); open seats (NULL user) get NULL.
+
+    Computed in two exact parts so a busy employee-week is not one sequential task: a
+    running sum within each (employee, week, day), plus the total of the earlier days of
+    that week (a running sum over at most seven day totals). Shifts of a later day start
+    later, so the order is the same as one running sum over the week."""
+    k = ["source_database", "user_id", "week_start"]
+    d = df.withColumn("_day", F.col("shift_start").cast("date"))
+    in_day = Window.partitionBy(*k, "_day").orderBy("shift_start", "assignment_id") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    days = d.where(F.col("user_id").isNotNull()).groupBy(*k, "_day").agg(F.sum(hours).alias("_day_total"))
+    before = Window.partitionBy(*k).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("_before", F.coalesce(F.sum("_day_total").over(before), F.lit(0.0))).drop("_day_total")
+    out = d.withColumn("_run", F.sum(hours).over(in_day)).join(days, [*k, "_day"], "left")
+    return out.withColumn("cumulative_hours",
+                          F.when(F.col("user_id").isNotNull(), F.col("_run") + F.col("_before"))) \
+        .drop("_day", "_run", "_before")
 
 
 def daily_open_summary(df: DataFrame, keys: Sequence[str] = ("region", "date_line")) -> DataFrame:
