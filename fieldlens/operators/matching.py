@@ -148,8 +148,7 @@ def schedule_fact(shifts: DataFrame, matches: DataFrame, periods: DataFrame | No
     return out
 
 
-def interval_flatten(shifts: DataFrame, by: list[str] | None = None,
-                     hours_col: str = "hours_worked") -> DataFrame:
+def interval_flatten(shifts: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Interval flattening (BO-20): per unit, the distinct start/end boundaries cut time
     into slices (UNION of boundary points + LEAD); each slice lists the seats active in
     it (equi-join on the unit plus a range residual), with coverage counts.

@@ -3,7 +3,7 @@ same parquet tables, used by the correctness check."""
 
 from __future__ import annotations
 
-from fieldlens.plans.oracle_roles import (OUTCOME_SQL, level_sql, mins, region_cc_sql, region_market_sql, rn,
+from fieldlens.plans.oracle_roles import (level_sql, mins, region_cc_sql, region_market_sql, rn,
                                           sunday_week, with_roles)
 
 W = with_roles

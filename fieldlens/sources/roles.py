@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.functions.scalars import add_hours, add_minutes, epoch_seconds, ntz_lit
-from fieldlens.operators.keys import current_pointer, current_revision, distinct_on
+from fieldlens.operators.keys import current_pointer, distinct_on
 from fieldlens.sources.tables import load_table, values_relation
 
 # ---------------------------------------------------------------------------
