@@ -120,3 +120,22 @@ def report_order(df: DataFrame) -> DataFrame:
     first, then shift start and name."""
     return df.orderBy((~F.col("is_open")).asc(), F.col("shift_start").asc_nulls_last(),
                       F.col("assigned_name").asc_nulls_last())
+
+
+def shift_report(seats: DataFrame, as_of: dt.date) -> DataFrame:
+    """Shift detail report (the weekly / upcoming shift report models): every seat with
+    its partners, staffing status, employee-week hours and overtime, cumulative hours,
+    attendance and urgency flags, and the day's open-shift summary. Each part is one of
+    the library operators; group metrics are aggregated and joined back on their keys."""
+    from fieldlens.operators.classify import attendance_flags, urgency_flags
+    from fieldlens.operators.staffing import (cumulative_hours, daily_open_summary, shift_partners, staffing,
+                                              weekly_hours)
+    s = shift_partners(seats)
+    s = staffing(s)
+    s = cumulative_hours(s)
+    wk = weekly_hours(seats).select("source_database", "user_id", "week_start", "weekly_scheduled_hours",
+                                    "overtime_hours", "is_overtime")
+    s = s.join(wk, ["source_database", "user_id", "week_start"], "left")
+    s = attendance_flags(s, as_of)
+    s = urgency_flags(s, as_of)
+    return daily_open_summary(s)

@@ -786,3 +786,18 @@ SQL["stream_daily_counts"] = """
 SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type,
        count(*) AS events, round(sum(value), 4) AS value_sum
 FROM events GROUP BY ALL"""
+
+# ---------------------------------------------------------------- composite report
+SQL["shift_report"] = W("seats") + """
+SELECT s.assignment_id, s.date_line, s.unit_name, s.assigned_name, p.partner_names, p.partner_count,
+       st.staffing_status, round(w.weekly_scheduled_hours, 4) AS weekly_scheduled_hours, w.is_overtime,
+       c.cumulative_hours, a.is_no_show, a.is_partial_shift, u.days_until_shift, o.open_shift_count
+FROM seats s
+JOIN (""" + SQL["shift_partners"] + """) p ON p.assignment_id = s.assignment_id
+JOIN (""" + SQL["staffing_status"] + """) st ON st.assignment_id = s.assignment_id
+JOIN (""" + SQL["cumulative_hours"] + """) c ON c.assignment_id = s.assignment_id
+LEFT JOIN (""" + SQL["weekly_overtime"] + """) w ON w.source_database = s.source_database AND w.user_id = s.user_id
+     AND w.week_start = s.week_start
+JOIN (""" + SQL["attendance_flags"] + """) a ON a.assignment_id = s.assignment_id
+JOIN (""" + SQL["urgency_flags"] + """) u ON u.assignment_id = s.assignment_id
+JOIN (""" + SQL["daily_open_summary"] + """) o ON o.assignment_id = s.assignment_id"""

@@ -445,7 +445,16 @@ def q_daily_hours_variance(spark, root):
                     ("scheduled_hours", "open_hours", "actual_hours", "variance")], "filled_shifts", "open_shifts")
 
 
+def q_shift_report(spark, root):
+    r = reports.shift_report(seats(spark, root), AS_OF_EVENTS)
+    return r.select("assignment_id", "date_line", "unit_name", "assigned_name", "partner_names", "partner_count",
+                    "staffing_status", r4("weekly_scheduled_hours").alias("weekly_scheduled_hours"), "is_overtime",
+                    r4("cumulative_hours").alias("cumulative_hours"), "is_no_show", "is_partial_shift",
+                    "days_until_shift", "open_shift_count")
+
+
 QUERIES.update({
+    "shift_report": q_shift_report,
     "dedup_punches": q_dedup_punches,
     "schedule_fact": q_schedule_fact,
     "attendance_flags": q_attendance_flags,
