@@ -801,3 +801,17 @@ LEFT JOIN (""" + SQL["weekly_overtime"] + """) w ON w.source_database = s.source
 JOIN (""" + SQL["attendance_flags"] + """) a ON a.assignment_id = s.assignment_id
 JOIN (""" + SQL["urgency_flags"] + """) u ON u.assignment_id = s.assignment_id
 JOIN (""" + SQL["daily_open_summary"] + """) o ON o.assignment_id = s.assignment_id"""
+
+SQL["run_mart"] = W("runs") + """,
+per AS (
+  SELECT CAST(year(start_date) AS INTEGER) AS pay_period_year,
+         CAST(floor(date_diff('day', DATE '1994-12-25', start_date) / 14) + 1 AS INTEGER) AS pay_period_number,
+         start_date, start_date + 13 AS end_date
+  FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1994-12-25 00:00:00',
+                                           CAST((SELECT max(service_date) FROM runs) AS TIMESTAMP),
+                                           INTERVAL 14 DAY)) AS DATE) AS start_date) g)
+SELECT r.leg_id, r.run_number, r.source_database, r.region, r.service_date, r.calltype_name, r.run_outcome,
+       r.is_long_distance, r.is_on_time, round(r.time_on_task_minutes, 4) AS time_on_task_minutes,
+       p.pay_period_year, p.pay_period_number, p.start_date AS pay_period_start,
+       CASE WHEN p.start_date IS NOT NULL THEN CASE WHEN date_diff('day', p.start_date, r.service_date) < 7 THEN 1 ELSE 2 END END AS period_week
+FROM runs r LEFT JOIN per p ON r.service_date BETWEEN p.start_date AND p.end_date"""

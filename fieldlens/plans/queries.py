@@ -453,7 +453,19 @@ def q_shift_report(spark, root):
                     "days_until_shift", "open_shift_count")
 
 
+def q_run_mart(spark, root):
+    """The run mart (one row per run): outcome, region, flags, repaired time on task and
+    the global pay period of the service day (range join as calendar explode, JN-10)."""
+    r = runs(spark, root)
+    per = roles.periods(spark, r, "service_date", roles.PERIOD_ANCHOR_ORDERS)
+    r = calendar.assign_period(r, per, "service_date")
+    return r.select("leg_id", "run_number", "source_database", "region", "service_date", "calltype_name",
+                    "run_outcome", "is_long_distance", "is_on_time", r4("time_on_task_minutes").alias("time_on_task_minutes"),
+                    "pay_period_year", "pay_period_number", "pay_period_start", "period_week")
+
+
 QUERIES.update({
+    "run_mart": q_run_mart,
     "shift_report": q_shift_report,
     "dedup_punches": q_dedup_punches,
     "schedule_fact": q_schedule_fact,
