@@ -246,23 +246,28 @@ def scheduling_summary(seats: DataFrame, threshold: float = 40.0, first_day: str
 
 
 def hours_grid(spark, seats: DataFrame, centers: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Dense hours grid (BO-21, JN-7): every date in ``[start, end]`` x every cost center,
-    zero-filled scheduled / open / worked hours. The date domain is limited first and the
-    grid is generated from the centers (``explode(sequence)``), then left-joined to the
-    aggregated hours."""
-    # grid = every center x every day, generated per center row (no join at all)
-    grid = centers.select("cost_center_id", "cost_center_name",
-                          F.explode(F.sequence(F.lit(start), F.lit(end))).alias("grid_date"))
-    agg = seats.where((F.col("date_line") >= F.lit(start)) & (F.col("date_line") <= F.lit(end))) \
-        .groupBy(F.col("date_line").alias("grid_date"), "cost_center_id").agg(
-            F.sum("scheduled_hours").alias("scheduled_hours"), F.sum("open_hours").alias("open_hours"),
-            F.sum(F.coalesce("hours_worked", F.lit(0.0))).alias("worked_hours"),
-            F.count(F.lit(1)).alias("shifts"))
-    j = grid.join(agg, ["grid_date", "cost_center_id"], "left")
-    return j.select("grid_date", "cost_center_id", "cost_center_name",
-                    *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("scheduled_hours", "open_hours",
-                                                                          "worked_hours")],
-                    F.coalesce("shifts", F.lit(0)).alias("shifts"))
+    """Hours grid (BO-21, JN-7): every schedule date in ``[start, end]`` x every
+    allow-listed cost center of each source, with scheduled / open / worked hours
+    (rounded like numerics, worked hours floored at 0) per training flag, zero-filled.
+
+    The date domain is limited first: the distinct dates form a bounded list (a scalar
+    subquery), and the grid is generated from the fixed-size center list by exploding
+    it, so no join builds the grid; the aggregated hours are then left-joined."""
+    in_range = (F.col("date_line") >= F.lit(start)) & (F.col("date_line") <= F.lit(end))
+    dates = seats.where(in_range).select(F.array_sort(F.collect_set("date_line"))).scalar()
+    grid = centers.select("cost_center_id", "cost_center_name", "source_database", "special_event",
+                          F.explode(dates).alias("date_line"))
+    agg = seats.where(in_range & F.col("cost_center_id").isNotNull()) \
+        .groupBy("date_line", "cost_center_id", "source_database", "is_training").agg(
+            round_numeric(F.sum("scheduled_hours"), 2).alias("scheduled_hours"),
+            round_numeric(F.sum("open_hours"), 2).alias("open_hours"),
+            round_numeric(F.sum(F.coalesce("hours_worked", F.lit(0.0))), 2).alias("worked_hours"))
+    j = grid.join(agg, ["date_line", "cost_center_id", "source_database"], "left")
+    return j.select("date_line", "cost_center_id", "cost_center_name", "source_database", "special_event",
+                    "is_training",
+                    F.coalesce("scheduled_hours", F.lit(0.0)).alias("scheduled_hours"),
+                    F.coalesce("open_hours", F.lit(0.0)).alias("open_hours"),
+                    F.greatest(F.coalesce("worked_hours", F.lit(0.0)), F.lit(0.0)).alias("worked_hours"))
 
 
 def round_hours(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFrame:

@@ -440,15 +440,17 @@ SELECT rs.source_database, rs.wk AS week_start, rs.week_end, rs.total_shifts_sch
 FROM rs LEFT JOIN ot ON ot.source_database = rs.source_database AND ot.wk = rs.wk
 LEFT JOIN prob ON prob.source_database = rs.source_database AND prob.wk = rs.wk"""
 
-SQL["dense_grid"] = W("seats", "cost_centers") + """,
-days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2023-12-21 00:00:00', TIMESTAMP '2024-02-07 00:00:00', INTERVAL 1 DAY)) AS DATE) AS grid_date),
-agg AS (SELECT date_line AS grid_date, cost_center_id, sum(scheduled_hours) AS sh, sum(open_hours) AS oh,
-               sum(COALESCE(hours_worked, 0.0)) AS wh, count(*) AS n
-        FROM seats WHERE date_line BETWEEN DATE '2023-12-21' AND DATE '2024-02-07' GROUP BY ALL)
-SELECT d.grid_date, c.cost_center_id, c.cost_center_name, round(COALESCE(a.sh, 0.0), 4) AS scheduled_hours,
-       round(COALESCE(a.oh, 0.0), 4) AS open_hours, round(COALESCE(a.wh, 0.0), 4) AS worked_hours,
-       COALESCE(a.n, 0) AS shifts
-FROM days d CROSS JOIN cost_centers c LEFT JOIN agg a ON a.grid_date = d.grid_date AND a.cost_center_id = c.cost_center_id"""
+SQL["dense_grid"] = W("seats", "valid_cost_centers") + """,
+d AS (SELECT DISTINCT date_line FROM seats WHERE date_line >= DATE '2023-12-21' AND date_line <= DATE '2024-01-25'),
+ah AS (SELECT date_line, cost_center_id, source_database, is_training,
+              """ + rn("sum(scheduled_hours)", 2) + """ AS scheduled_hours, """ + rn("sum(open_hours)", 2) + """ AS open_hours,
+              """ + rn("sum(COALESCE(hours_worked, 0.0))", 2) + """ AS worked_hours
+       FROM seats WHERE cost_center_id IS NOT NULL GROUP BY ALL)
+SELECT d.date_line, c.cost_center_id, c.cost_center_name, c.source_database, c.special_event, ah.is_training,
+       COALESCE(ah.scheduled_hours, 0.0) AS scheduled_hours, COALESCE(ah.open_hours, 0.0) AS open_hours,
+       greatest(COALESCE(ah.worked_hours, 0.0), 0.0) AS worked_hours
+FROM d CROSS JOIN valid_cost_centers c
+LEFT JOIN ah ON ah.date_line = d.date_line AND ah.cost_center_id = c.cost_center_id AND ah.source_database = c.source_database"""
 
 SQL["shift_slice"] = W("seats", "periods") + f""",
 p AS (SELECT start_date, end_date FROM periods WHERE start_date <= DATE '2024-01-25' AND end_date >= DATE '2024-01-25'

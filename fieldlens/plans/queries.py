@@ -379,10 +379,8 @@ def q_scheduling_summary(spark, root):
 
 
 def q_dense_grid(spark, root):
-    g = staffing.hours_grid(spark, seats(spark, root), roles.cost_centers(spark, root),
-                            AS_OF_EVENTS - dt.timedelta(days=35), AS_OF_EVENTS + dt.timedelta(days=13))
-    return g.select("grid_date", "cost_center_id", "cost_center_name", r4("scheduled_hours").alias("scheduled_hours"),
-                    r4("open_hours").alias("open_hours"), r4("worked_hours").alias("worked_hours"), "shifts")
+    return staffing.hours_grid(spark, seats(spark, root), roles.valid_cost_centers(spark),
+                               AS_OF_EVENTS - dt.timedelta(days=35), AS_OF_EVENTS)
 
 
 def q_shift_slice(spark, root):
