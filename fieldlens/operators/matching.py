@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import epoch_seconds, epoch_to_local, hours_between, round_half
+from fieldlens.functions.scalars import (day_name, dow0, epoch_seconds, epoch_to_local, hours_between, month_start,
+                                         round_half, week_start_monday)
 
 
 def _prepare_shifts(shifts: DataFrame) -> DataFrame:
@@ -136,10 +137,17 @@ def schedule_fact(shifts: DataFrame, matches: DataFrame, periods: DataFrame | No
         "is_clocked_in": F.coalesce("is_clocked_in", F.lit(False)),
         "is_clocked_out": F.coalesce("is_clocked_out", F.lit(False)),
     })
+    out = out.withColumns({
+        "day_of_week": dow0("date_line"),
+        "day_name": day_name("date_line"),
+        "week_start": week_start_monday("date_line"),
+        "month_start": month_start("date_line"),
+    })
     if as_of is not None:
         out = out.withColumns({
             "is_today": F.col("date_line") == F.lit(as_of),
             "is_future": F.col("date_line") > F.lit(as_of),
+            "is_today_or_future": F.col("date_line") >= F.lit(as_of),
             "days_from_today": F.datediff("date_line", F.lit(as_of)),
         })
     if periods is not None:

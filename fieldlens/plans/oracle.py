@@ -289,7 +289,12 @@ SELECT s.assignment_id, s.time_id, s.assignment_status, round(s.scheduled_hours,
        s.is_clocked_in, s.timesheet_match_type, p.pay_period_number, p.start_date AS pay_period_start,
        CASE WHEN p.start_date IS NOT NULL THEN CASE WHEN date_diff('day', p.start_date, s.date_line) < 7 THEN 1 ELSE 2 END END AS period_week,
        COALESCE(s.date_line >= (SELECT start_date FROM cur) AND s.date_line <= (SELECT end_date FROM cur), FALSE) AS is_current_pay_period,
-       COALESCE(s.date_line >= (SELECT start_date FROM nxt) AND s.date_line <= (SELECT end_date FROM nxt), FALSE) AS is_next_pay_period
+       COALESCE(s.date_line >= (SELECT start_date FROM nxt) AND s.date_line <= (SELECT end_date FROM nxt), FALSE) AS is_next_pay_period,
+       CAST(dayofweek(s.date_line) AS INTEGER) AS day_of_week, dayname(s.date_line) AS day_name,
+       CAST(date_trunc('week', s.date_line) AS DATE) AS week_start, CAST(date_trunc('month', s.date_line) AS DATE) AS month_start,
+       s.date_line = DATE '2024-01-25' AS is_today, s.date_line > DATE '2024-01-25' AS is_future,
+       s.date_line >= DATE '2024-01-25' AS is_today_or_future,
+       CAST(date_diff('day', DATE '2024-01-25', s.date_line) AS INTEGER) AS days_from_today
 FROM schedule s LEFT JOIN periods p ON s.date_line BETWEEN p.start_date AND p.end_date"""
 
 SQL["attendance_flags"] = W("seats") + """

@@ -276,14 +276,16 @@ def q_dedup_punches(spark, root):
 
 
 def q_schedule_fact(spark, root):
-    sc = schedule(spark, root)
+    sc = matching.schedule_fact(roles.shifts(spark, root), matches(spark, root), as_of=AS_OF_EVENTS)
     per = event_periods(spark, root)
     sc = calendar.assign_period(sc, per, "date_line")
     sc = calendar.flag_current_next(sc, per, AS_OF_EVENTS)
     return sc.select("assignment_id", "time_id", "assignment_status", r4("scheduled_hours").alias("scheduled_hours"),
                      r4("open_hours").alias("open_hours"), r4("hours_worked").alias("hours_worked"),
                      "has_timesheet", "is_clocked_in", "timesheet_match_type", "pay_period_number",
-                     "pay_period_start", "period_week", "is_current_pay_period", "is_next_pay_period")
+                     "pay_period_start", "period_week", "is_current_pay_period", "is_next_pay_period",
+                     "day_of_week", "day_name", "week_start", "month_start", "is_today", "is_future",
+                     "is_today_or_future", "days_from_today")
 
 
 def q_attendance_flags(spark, root):
