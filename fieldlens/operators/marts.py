@@ -20,7 +20,8 @@ def run_mart(stage_times: DataFrame) -> DataFrame:
     repaired enroute-to-clear time on task."""
     df = stage_durations(stage_times)
     df = run_flags(df)
-    raw_tot = minutes_between("clear_time", "enroute_time")
+    raw_tot = F.when(F.col("clear_time") > F.col("enroute_time"),
+                     round_numeric(minutes_between("clear_time", "enroute_time"), 2))
     return df.withColumns({
         "run_outcome": run_outcome(),
         "region": region_from_market(),

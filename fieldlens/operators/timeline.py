@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import add_minutes, col, minutes_between
+from fieldlens.functions.scalars import add_minutes, col, minutes_between, round_numeric
 
 # (output column, end stage, start stage): consecutive status times and totals.
 DEFAULT_STAGES: tuple[tuple[str, str, str], ...] = (
@@ -49,9 +49,8 @@ def repair_duration(x, miles, limit: float = 720.0, short_value: float = 100.0,
     x, miles = col(x), col(miles)
     return (F.when(x.isNull(), F.lit(None).cast("double"))
              .when(x <= limit, x)
-             .when(miles < long_miles, F.lit(short_value))
-             .when(miles >= long_miles, F.least(x, F.lit(cap)))
-             .otherwise(x))
+             .when(F.coalesce(miles, F.lit(0.0)) < long_miles, F.lit(short_value))
+             .when(miles >= long_miles, F.least(x, F.lit(cap))))
 
 
 def valid_runs(df: DataFrame, tot: str = "time_on_task_minutes", max_minutes: float = 720.0) -> DataFrame:
@@ -111,16 +110,19 @@ def sla_on_time(df: DataFrame, requested: str = "requested_time", scheduled: str
 
 
 def run_flags(df: DataFrame, miles: str = "mileage", long_miles: float = 50.0,
-              grace_minutes: float = 15.0) -> DataFrame:
-    """Run flags (BO-53): long distance, transport run, critical care, flight crew,
-    pickup variance, on time within grace (never NULL, Q-8)."""
+              grace_minutes: float = 15.0, transport_types: Sequence[str] = ("ALS", "BLS", "CCT")) -> DataFrame:
+    """Run flags (BO-53): long distance, transport run (transport call type), critical
+    care, flight crew (level or call type), pickup variance, on time within grace (never
+    NULL, Q-8)."""
     variance = minutes_between("at_scene_time", "pickup_time")
     ct = F.col("calltype_name")
+    flight = F.coalesce(F.col("level_of_service").like("%Flight%"), F.lit(False)) | \
+        F.coalesce(ct.like("%Flight%"), F.lit(False))
     return df.withColumns({
         "is_long_distance": F.coalesce(F.col(miles) > long_miles, F.lit(False)),
-        "is_transport_run": F.col("transporting_time").isNotNull(),
+        "is_transport_run": F.coalesce(ct.isin(*transport_types), F.lit(False)),
         "is_critical_care": F.coalesce(ct == "CCT", F.lit(False)),
-        "is_flight_crew": F.coalesce(ct.startswith("Flight Crew"), F.lit(False)),
-        "pickup_variance_minutes": variance,
+        "is_flight_crew": flight,
+        "pickup_variance_minutes": round_numeric(variance, 2),
         "is_on_time": F.coalesce(variance <= grace_minutes, F.lit(False)),
     })

@@ -113,7 +113,7 @@ SELECT * EXCLUDE (scene_raw, clear_off),
        scene_raw + to_minutes(clear_off) AS clear_time,
        CASE WHEN last_status_id IS NULL OR last_status_id < 0 THEN pickup_time - to_minutes(30) END AS canceled_time
 FROM stage_base""", "stage_base")
-role("runs", f"""
+role("runs_base", f"""
 SELECT *,
   {OUTCOME_SQL} AS run_outcome,
   {region_market_sql()} AS region,
@@ -121,20 +121,22 @@ SELECT *,
   dayname(pickup_time) AS day_of_week,
   strftime(pickup_time, '%H') || '00' AS hour_of_day,
   COALESCE(mileage > 50, FALSE) AS is_long_distance,
-  transporting_time IS NOT NULL AS is_transport_run,
+  COALESCE(calltype_name IN ('ALS', 'BLS', 'CCT'), FALSE) AS is_transport_run,
   COALESCE(calltype_name = 'CCT', FALSE) AS is_critical_care,
-  COALESCE(starts_with(calltype_name, 'Flight Crew'), FALSE) AS is_flight_crew,
-  {mins('at_scene_time', 'pickup_time')} AS pickup_variance_minutes,
+  COALESCE(level_of_service LIKE '%Flight%', FALSE) OR COALESCE(calltype_name LIKE '%Flight%', FALSE) AS is_flight_crew,
+  {rn(mins('at_scene_time', 'pickup_time'))} AS pickup_variance_minutes,
   COALESCE({mins('at_scene_time', 'pickup_time')} <= 15, FALSE) AS is_on_time,
   {mins('transporting_time', 'at_scene_time')} AS scene_time_minutes,
-  {mins('clear_time', 'at_destination_time')} AS destination_to_clear_minutes,
-  {mins('clear_time', 'enroute_time')} AS raw_time_on_task_minutes,
-  CASE WHEN {mins('clear_time', 'enroute_time')} IS NULL THEN NULL
-       WHEN {mins('clear_time', 'enroute_time')} <= 720 THEN {mins('clear_time', 'enroute_time')}
-       WHEN mileage < 500 THEN 100.0
-       WHEN mileage >= 500 THEN least({mins('clear_time', 'enroute_time')}, 1440.0)
-       ELSE {mins('clear_time', 'enroute_time')} END AS time_on_task_minutes
+  {mins('clear_time', 'at_destination_time')} AS destination_to_clear_minutes
 FROM stage_times""", "stage_times")
+role("runs", f"""
+SELECT *,
+  CASE WHEN raw_time_on_task_minutes IS NULL THEN NULL
+       WHEN raw_time_on_task_minutes <= 720 THEN raw_time_on_task_minutes
+       WHEN COALESCE(mileage, 0) < 500 THEN 100.0
+       WHEN mileage >= 500 THEN least(raw_time_on_task_minutes, 1440.0) END AS time_on_task_minutes
+FROM (SELECT *, CASE WHEN clear_time > enroute_time THEN {rn(mins('clear_time', 'enroute_time'))} END AS raw_time_on_task_minutes
+      FROM runs_base) x""", "runs_base")
 role("cost_centers", """
 SELECT CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS cost_center_id, p_type AS cost_center_name
 FROM (SELECT DISTINCT p_type FROM part) t""")
