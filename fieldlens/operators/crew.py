@@ -126,18 +126,29 @@ def crew_weekly(sm: DataFrame) -> DataFrame:
     })
 
 
-def run_metrics(rc: DataFrame, as_of: dt.date | None = None, weeks: int | None = 5) -> DataFrame:
-    """One row per leg (BO-15): the first seat by start then seat id (DISTINCT ON), the
-    region of that seat, hours, restricted to the last ``weeks`` weeks (None: all)."""
+def run_metrics(rc: DataFrame, as_of: dt.date | None = None, weeks: int | None = 5,
+                levels: Sequence[str] | None = ("ALS", "BLS", "CCT")) -> DataFrame:
+    """One row per leg (BO-15): the leg's first seat by seat id (DISTINCT ON leg), the
+    region of that seat, hours, share of the shift, calendar columns; transport call
+    types only; optionally the last ``weeks`` weeks before ``as_of`` (None: all)."""
     df = rc
+    if levels is not None:
+        df = df.where(F.col("calltype_name").isin(*levels))
     if as_of is not None and weeks is not None:
         df = df.where((F.col("service_date") >= F.lit(as_of - dt.timedelta(days=7 * weeks)))
-                      & (F.col("service_date") < F.lit(as_of)))
-    one = distinct_on(df, ["leg_id"], ["shift_start", "assignment_id"])
+                      & (F.col("service_date") <= F.lit(as_of)))
+    one = distinct_on(df, ["leg_id", "run_source"], ["shift_assignment_id"])
     return one.withColumns({
         "region": region_from_cost_center(),
         "time_on_task_hours": F.col("time_on_task_minutes") / 60.0,
         "time_on_task_excl_transport_hours": F.col("time_on_task_excl_transport_minutes") / 60.0,
+        "run_tot_pct_of_shift": F.when(F.col("scheduled_hours") > 0,
+                                       F.col("time_on_task_minutes") / 60.0 / F.col("scheduled_hours") * 100),
+        "assigned_hour": F.hour("assigned_time"),
+        "day_of_week": dow0("service_date"),
+        "day_name": day_name("service_date"),
+        "week_start": week_start_monday("service_date"),
+        "month_start": month_start("service_date"),
     })
 
 

@@ -577,7 +577,9 @@ FROM (SELECT user_id, assigned_name, job_title, {sunday_week('shift_date')} AS w
       FROM shift_metrics WHERE NOT is_training GROUP BY ALL) w"""
 
 SQL["run_metrics"] = W("run_metrics") + """
-SELECT leg_id, assignment_id, region, service_date, round(time_on_task_hours, 4) AS time_on_task_hours FROM run_metrics"""
+SELECT leg_id, assignment_id, region, service_date, round(time_on_task_hours, 4) AS time_on_task_hours,
+       round(run_tot_pct_of_shift, 4) AS run_tot_pct_of_shift, assigned_hour, day_of_week, day_name, week_start,
+       month_start FROM run_metrics"""
 
 SQL["sequence_in_group"] = W("run_crew") + """
 SELECT assignment_id, leg_id, row_number() OVER (PARTITION BY assignment_id ORDER BY assigned_time, leg_id) AS run_sequence

@@ -342,8 +342,13 @@ FROM (
   FROM run_crew GROUP BY ALL) g""", "run_crew")
 role("run_metrics", f"""
 SELECT *, {region_cc_sql()} AS region, time_on_task_minutes / 60.0 AS time_on_task_hours,
-       time_on_task_excl_transport_minutes / 60.0 AS time_on_task_excl_transport_hours
-FROM (SELECT *, row_number() OVER (PARTITION BY leg_id ORDER BY shift_start, assignment_id) AS rk FROM run_crew) x
+       time_on_task_excl_transport_minutes / 60.0 AS time_on_task_excl_transport_hours,
+       CASE WHEN scheduled_hours > 0 THEN time_on_task_minutes / 60.0 / scheduled_hours * 100 END AS run_tot_pct_of_shift,
+       CAST(hour(assigned_time) AS INTEGER) AS assigned_hour, CAST(dayofweek(service_date) AS INTEGER) AS day_of_week,
+       dayname(service_date) AS day_name, CAST(date_trunc('week', service_date) AS DATE) AS week_start,
+       CAST(date_trunc('month', service_date) AS DATE) AS month_start
+FROM (SELECT *, row_number() OVER (PARTITION BY leg_id, run_source ORDER BY shift_assignment_id) AS rk
+      FROM run_crew WHERE calltype_name IN ('ALS', 'BLS', 'CCT')) x
 WHERE rk = 1""", "run_crew")
 role("reconcile", f"""
 SELECT COALESCE(r.d, h.d) AS service_date, COALESCE(r.source_database, h.source_database) AS source_database,

@@ -555,7 +555,9 @@ def _run_metrics(spark, root):
 def q_run_metrics(spark, root):
     rm = _run_metrics(spark, root)
     return rm.select("leg_id", "assignment_id", "region", "service_date",
-                     r4("time_on_task_hours").alias("time_on_task_hours"))
+                     r4("time_on_task_hours").alias("time_on_task_hours"),
+                     r4("run_tot_pct_of_shift").alias("run_tot_pct_of_shift"), "assigned_hour", "day_of_week",
+                     "day_name", "week_start", "month_start")
 
 
 def q_sequence_in_group(spark, root):
