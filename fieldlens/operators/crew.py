@@ -152,10 +152,11 @@ def run_metrics(rc: DataFrame, as_of: dt.date | None = None, weeks: int | None =
     })
 
 
-def run_sequence(rc: DataFrame) -> DataFrame:
-    """Run sequence within each seat by assigned time (BO-16, WN-3)."""
-    w = Window.partitionBy("assignment_id").orderBy("assigned_time", "leg_id")
-    return rc.withColumn("run_sequence", F.row_number().over(w))
+def run_sequence(rm: DataFrame) -> DataFrame:
+    """Shift drill-down (BO-16, WN-3): each run's sequence within its seat and shift day
+    by assigned time (leg id breaks ties)."""
+    w = Window.partitionBy("assignment_id", "shift_date").orderBy("assigned_time", "leg_id")
+    return rm.withColumn("run_sequence", F.row_number().over(w))
 
 
 def daily_reconcile(rm: DataFrame, seats: DataFrame) -> DataFrame:

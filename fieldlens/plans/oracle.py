@@ -581,9 +581,10 @@ SELECT leg_id, assignment_id, region, service_date, round(time_on_task_hours, 4)
        round(run_tot_pct_of_shift, 4) AS run_tot_pct_of_shift, assigned_hour, day_of_week, day_name, week_start,
        month_start FROM run_metrics"""
 
-SQL["sequence_in_group"] = W("run_crew") + """
-SELECT assignment_id, leg_id, row_number() OVER (PARTITION BY assignment_id ORDER BY assigned_time, leg_id) AS run_sequence
-FROM run_crew"""
+SQL["sequence_in_group"] = W("run_metrics") + """
+SELECT assignment_id, shift_date, leg_id, assigned_time,
+       row_number() OVER (PARTITION BY assignment_id, shift_date ORDER BY assigned_time, leg_id) AS run_sequence
+FROM run_metrics"""
 
 SQL["reconcile_daily"] = W("reconcile") + """
 SELECT service_date, source_database, region, total_runs, round(total_time_on_task_hours, 4) AS total_time_on_task_hours,

@@ -561,8 +561,8 @@ def q_run_metrics(spark, root):
 
 
 def q_sequence_in_group(spark, root):
-    s = crew.run_sequence(run_crew(spark, root))
-    return s.select("assignment_id", "leg_id", "run_sequence")
+    s = crew.run_sequence(_run_metrics(spark, root))
+    return s.select("assignment_id", "shift_date", "leg_id", "assigned_time", "run_sequence")
 
 
 def _reconcile(spark, root):
