@@ -122,17 +122,36 @@ def weekly_hours(df: DataFrame, threshold: float = 40.0,
     })
 
 
-def period_overtime(weekly: DataFrame, periods: DataFrame) -> DataFrame:
-    """Pay-period overtime = sum of weekly overtime of the (Sunday) weeks inside the period
-    (BO-25, Q-26), keyed on the period start (Q-5 corrected)."""
-    from fieldlens.operators.calendar import assign_period
-    w = assign_period(weekly, periods, "week_start")
-    return w.groupBy("source_database", "user_id", "pay_period_start").agg(
-        F.sum("overtime_hours").alias("period_overtime_hours"),
-        F.sum("actual_overtime_hours").alias("period_actual_overtime_hours"),
-        F.sum("weekly_scheduled_hours").alias("period_scheduled_hours"),
-        F.count(F.lit(1)).alias("weeks"),
-        F.bool_or("is_overtime").alias("has_overtime_week"))
+def crew_field_shifts(df: DataFrame) -> DataFrame:
+    """Field crew seats only: no special events, no orientation, no open training seats,
+    a unit is set (the pay-period crew report's population)."""
+    return df.where(F.col("is_field_shift") & ~F.col("is_special_event") & ~F.col("is_orientation")
+                    & ~(F.col("is_open") & F.col("is_training")) & F.col("unit_name").isNotNull())
+
+
+def period_overtime(rs: DataFrame, threshold: float = 40.0) -> DataFrame:
+    """Pay-period overtime per employee (BO-25, Q-26): hours per pay-period week, the
+    excess over ``threshold`` per week, summed over the period; keyed on the period start
+    (Q-5 corrected). ``rs`` is seats with their pay period (``assign_period``)."""
+    a = crew_field_shifts(rs).where((F.col("assignment_status") == "ASSIGNED") & F.col("user_id").isNotNull())
+    k = ["source_database", "user_id", "pay_period_start"]
+    wk = a.groupBy(*k, "period_week").agg(
+        F.sum("scheduled_hours").alias("week_scheduled_hours"),
+        F.sum("hours_worked").alias("week_actual_hours"),
+        F.count(F.lit(1)).alias("week_shift_count"))
+    wk = wk.withColumns({
+        "week_scheduled_ot": F.when(F.col("week_scheduled_hours") > threshold,
+                                    F.col("week_scheduled_hours") - threshold).otherwise(F.lit(0.0)),
+        "week_actual_ot": F.when(F.col("week_actual_hours") > threshold,
+                                 F.col("week_actual_hours") - threshold).otherwise(F.lit(0.0)),
+    })
+    return wk.groupBy(*k).agg(
+        F.sum("week_scheduled_hours").alias("pp_scheduled_hours"),
+        F.sum("week_actual_hours").alias("pp_actual_hours"),
+        F.sum("week_scheduled_ot").alias("pp_scheduled_ot"),
+        F.sum("week_actual_ot").alias("pp_actual_ot"),
+        F.sum("week_shift_count").alias("pp_shift_count"),
+        F.bool_or(F.col("week_scheduled_ot") > 0).alias("has_overtime_week"))
 
 
 def overtime_summary(weekly: DataFrame) -> DataFrame:

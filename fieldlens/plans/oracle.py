@@ -358,14 +358,19 @@ SELECT source_database, user_id, week_start, round(weekly_scheduled_hours, 4) AS
        round(weekly_actual_hours, 4) AS weekly_actual_hours, shift_count, round(overtime_hours, 4) AS overtime_hours,
        is_overtime FROM weekly"""
 
-SQL["period_overtime"] = W("weekly", "periods") + """
-SELECT w.source_database, w.user_id, p.start_date AS pay_period_start,
-       round(sum(w.overtime_hours), 4) AS period_overtime_hours,
-       round(sum(w.actual_overtime_hours), 4) AS period_actual_overtime_hours,
-       round(sum(w.weekly_scheduled_hours), 4) AS period_scheduled_hours, count(*) AS weeks,
-       bool_or(w.is_overtime) AS has_overtime_week
-FROM weekly w LEFT JOIN periods p ON w.week_start BETWEEN p.start_date AND p.end_date
-GROUP BY w.source_database, w.user_id, p.start_date"""
+SQL["period_overtime"] = W("seat_periods") + """,
+wk AS (
+  SELECT source_database, user_id, pay_period_start, period_week, sum(scheduled_hours) AS ws, sum(hours_worked) AS wa,
+         count(*) AS wc
+  FROM seat_periods
+  WHERE is_field_shift AND NOT is_special_event AND NOT is_orientation AND NOT (is_open AND is_training)
+    AND unit_name IS NOT NULL AND assignment_status = 'ASSIGNED' AND user_id IS NOT NULL
+  GROUP BY ALL),
+ot AS (SELECT *, CASE WHEN ws > 40 THEN ws - 40 ELSE 0.0 END AS wso, CASE WHEN wa > 40 THEN wa - 40 ELSE 0.0 END AS wao FROM wk)
+SELECT source_database, user_id, pay_period_start, round(sum(ws), 4) AS pp_scheduled_hours,
+       round(sum(wa), 4) AS pp_actual_hours, round(sum(wso), 4) AS pp_scheduled_ot, round(sum(wao), 4) AS pp_actual_ot,
+       sum(wc) AS pp_shift_count, bool_or(wso > 0) AS has_overtime_week
+FROM ot GROUP BY source_database, user_id, pay_period_start"""
 
 SQL["overtime_summary"] = W("weekly") + """
 SELECT source_database, count(DISTINCT user_id) AS employees,

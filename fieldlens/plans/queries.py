@@ -345,11 +345,11 @@ def q_weekly_overtime(spark, root):
 
 
 def q_period_overtime(spark, root):
-    p = staffing.period_overtime(_weekly(spark, root), event_periods(spark, root))
+    rs = calendar.assign_period(seats(spark, root), event_periods(spark, root), "date_line")
+    p = staffing.period_overtime(rs)
     return p.select("source_database", "user_id", "pay_period_start",
-                    r4("period_overtime_hours").alias("period_overtime_hours"),
-                    r4("period_actual_overtime_hours").alias("period_actual_overtime_hours"),
-                    r4("period_scheduled_hours").alias("period_scheduled_hours"), "weeks", "has_overtime_week")
+                    *[r4(c).alias(c) for c in ("pp_scheduled_hours", "pp_actual_hours", "pp_scheduled_ot",
+                                               "pp_actual_ot")], "pp_shift_count", "has_overtime_week")
 
 
 def q_overtime_summary(spark, root):
