@@ -369,13 +369,13 @@ wk AS (
 ot AS (SELECT *, CASE WHEN ws > 40 THEN ws - 40 ELSE 0.0 END AS wso, CASE WHEN wa > 40 THEN wa - 40 ELSE 0.0 END AS wao FROM wk)
 SELECT source_database, user_id, pay_period_start, round(sum(ws), 4) AS pp_scheduled_hours,
        round(sum(wa), 4) AS pp_actual_hours, round(sum(wso), 4) AS pp_scheduled_ot, round(sum(wao), 4) AS pp_actual_ot,
-       sum(wc) AS pp_shift_count, bool_or(wso > 0) AS has_overtime_week
+       CAST(sum(wc) AS BIGINT) AS pp_shift_count, bool_or(wso > 0) AS has_overtime_week
 FROM ot GROUP BY source_database, user_id, pay_period_start"""
 
 SQL["overtime_summary"] = W("weekly") + """
 SELECT source_database, count(DISTINCT user_id) AS employees,
        count(DISTINCT CASE WHEN is_overtime THEN user_id END) AS employees_with_overtime,
-       count_if(is_overtime) AS overtime_weeks, round(sum(overtime_hours), 4) AS total_overtime_hours
+       CAST(count_if(is_overtime) AS BIGINT) AS overtime_weeks, round(sum(overtime_hours), 4) AS total_overtime_hours
 FROM weekly GROUP BY source_database"""
 
 SQL["cumulative_hours"] = W("seats") + """
@@ -408,9 +408,9 @@ sh AS (SELECT source_database, wk, unit_id, unit_name, date_line, shift_start, c
               count(*) FILTER (WHERE assignment_status = 'ASSIGNED') AS fp FROM s GROUP BY ALL),
 prob AS (SELECT source_database, wk,
                 count(*) FILTER (WHERE tp - fp > 0 AND fp > 0) AS understaffed_shifts,
-                sum(tp - fp) FILTER (WHERE tp - fp > 0 AND fp > 0) AS understaffed_positions,
+                CAST(sum(tp - fp) FILTER (WHERE tp - fp > 0 AND fp > 0) AS BIGINT) AS understaffed_positions,
                 count(*) FILTER (WHERE fp = 0) AS completely_open_shifts,
-                sum(tp) FILTER (WHERE fp = 0) AS completely_open_positions
+                CAST(sum(tp) FILTER (WHERE fp = 0) AS BIGINT) AS completely_open_positions
          FROM sh GROUP BY ALL),
 rs AS (
   SELECT source_database, wk,
@@ -573,7 +573,7 @@ SELECT user_id, source_database, week_start, week_start + 6 AS week_end, shifts_
        round(CASE WHEN total_scheduled_hours > 0 THEN total_time_on_task_hours / total_scheduled_hours * 100 END, 4) AS time_on_task_pct,
        round(total_active_hours, 4) AS total_active_hours, cost_centers_worked
 FROM (SELECT user_id, assigned_name, job_title, {sunday_week('shift_date')} AS week_start, source_database,
-             sum(total_runs) AS total_calls_ran, sum(scheduled_hours) AS total_scheduled_hours,
+             CAST(sum(total_runs) AS BIGINT) AS total_calls_ran, sum(scheduled_hours) AS total_scheduled_hours,
              sum(total_time_on_task_hours) AS total_time_on_task_hours,
              sum(avg_time_on_task_minutes * total_runs) / NULLIF(sum(total_runs), 0) AS avg_time_on_task_minutes,
              avg(unit_hour_utilization) AS avg_daily_uhu, count(*) AS shifts_worked,
@@ -588,7 +588,7 @@ SELECT leg_id, assignment_id, region, service_date, round(time_on_task_hours, 4)
 
 SQL["sequence_in_group"] = W("run_metrics") + """
 SELECT assignment_id, shift_date, leg_id, assigned_time,
-       row_number() OVER (PARTITION BY assignment_id, shift_date ORDER BY assigned_time, leg_id) AS run_sequence
+       CAST(row_number() OVER (PARTITION BY assignment_id, shift_date ORDER BY assigned_time, leg_id) AS INTEGER) AS run_sequence
 FROM run_metrics"""
 
 SQL["reconcile_daily"] = W("reconcile") + """
@@ -601,9 +601,9 @@ FROM reconcile"""
 _MEAS = ["total_runs", "total_time_on_task_hours", "total_time_on_task_excl_transport_hours", "total_scheduled_hours",
          "time_on_task_pct", "uhu"]
 SQL["time_on_task_daily"] = W("reconcile") + """,
-d AS (SELECT service_date, region, sum(total_runs) AS total_runs, sum(total_time_on_task_minutes) / 60.0 AS total_time_on_task_hours,
+d AS (SELECT service_date, region, CAST(sum(total_runs) AS BIGINT) AS total_runs, sum(total_time_on_task_minutes) / 60.0 AS total_time_on_task_hours,
              sum(total_time_on_task_excl_transport_minutes) / 60.0 AS total_time_on_task_excl_transport_hours,
-             sum(total_scheduled_hours) AS total_scheduled_hours, sum(total_units) AS total_units
+             sum(total_scheduled_hours) AS total_scheduled_hours, CAST(sum(total_units) AS BIGINT) AS total_units
       FROM reconcile GROUP BY service_date, region),
 d2 AS (SELECT *, total_time_on_task_hours / NULLIF(total_scheduled_hours, 0) AS time_on_task_pct,
               total_runs / NULLIF(total_scheduled_hours, 0) AS uhu FROM d)
@@ -652,7 +652,7 @@ FROM uploads u LEFT JOIN t ON t.leg_attachment_id = u.leg_attachment_id"""
 SQL["compliance"] = W("runs", "crew_link", "uploads") + """,
 legs AS (SELECT leg_id, calltype_name FROM runs WHERE run_outcome = 'ran'),
 crew AS (SELECT DISTINCT leg_id, crew_user_id FROM crew_link),
-summary AS (SELECT u.leg_id, count(*) AS total_attachments, count_if(c.crew_user_id IS NOT NULL) AS crew_attachments
+summary AS (SELECT u.leg_id, count(*) AS total_attachments, CAST(count_if(c.crew_user_id IS NOT NULL) AS BIGINT) AS crew_attachments
             FROM uploads u LEFT JOIN crew c ON c.leg_id = u.leg_id AND c.crew_user_id = u.uploader_id
             GROUP BY u.leg_id),
 fin AS (SELECT o_orderkey AS leg_id, o_custkey % 100 AS finalizer_id FROM orders),
@@ -727,7 +727,8 @@ c AS (
   UNION ALL SELECT 'schedule', 'date_line', 'not_null', count_if(date_line IS NULL) FROM seats
   UNION ALL SELECT 'schedule', 'user_id', 'not_null', count_if(user_id IS NULL) FROM seats
   UNION ALL SELECT 'schedule', 'assignment_id', 'unique', count(assignment_id) - count(DISTINCT assignment_id) FROM seats)
-SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM c"""
+SELECT table_name, column_name, test, CAST(failures AS BIGINT) AS failures,
+       CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM c"""
 
 SQL["null_sentinel_dates"] = """
 SELECT o_orderkey AS run_id, CASE WHEN s LIKE '0000-00-00%' THEN NULL ELSE TRY_CAST(s AS TIMESTAMP) END AS finalize_date

@@ -40,6 +40,10 @@ def test_entry_runs(spark):
     assert "report_date" in df.columns
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
+
+
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, ROOT)
@@ -47,4 +51,6 @@ def test_query_matches_oracle(spark, con, key):
     cur = con.execute(E.oracle_sql()[key])
     cols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(df.columns)
+    types = {d[0]: DUCK_TO_SPARK.get(str(d[1]), str(d[1])) for d in cur.description}
+    assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == types
     assert got == canon(cols, cur.fetchall())
