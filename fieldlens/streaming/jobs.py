@@ -42,27 +42,51 @@ def _run(writer, checkpoint: str) -> None:
     q.awaitTermination()
 
 
+def _version(root: str, n: int) -> str:
+    return os.path.join(root, f"v{n:06d}")
+
+
 def stream_upsert(spark: SparkSession, source_path: str, target: DataFrame, keys: Sequence[str],
                   transform: Callable[[DataFrame], DataFrame] = lambda d: d,
-                  order: Sequence = (), name: str = "stream-upsert") -> DataFrame:
+                  order: Sequence = (), name: str = "stream-upsert", root: str | None = None) -> DataFrame:
     """ST-1/SNK-2: merge every micro-batch of the source stream into the target table.
 
-    The initial target is written as version 0; batch ``b`` reads the latest version and
-    writes version ``b + 1``. Returns a reader of the final version."""
-    root = scratch_path(spark, name)
-    versions = [os.path.join(root, "v000000")]
-    target.write.mode("overwrite").parquet(versions[0])
+    Version ``n`` of the target lives in ``root/v{n}``: the initial target is version 0
+    and micro-batch ``b`` reads version ``b`` and writes version ``b + 1``. The input of
+    a batch therefore follows from its id alone, so a retried batch rewrites the same
+    output from the same input, and a restarted query (same ``root``, same checkpoint)
+    continues from the last committed batch. Returns a reader of the newest version."""
+    root = root or scratch_path(spark, name)
+    if not _exists(spark, _version(root, 0)):
+        target.write.mode("overwrite").parquet(_version(root, 0))
+        _mark_latest(spark, root, 0)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         delta = transform(batch)
-        current = spark.read.parquet(versions[-1])
-        out = os.path.join(root, f"v{batch_id + 1:06d}")
-        merge_frames(current, delta, keys, order).write.mode("overwrite").parquet(out)
-        versions.append(out)
+        current = spark.read.parquet(_version(root, batch_id))
+        merge_frames(current, delta, keys, order).write.mode("overwrite").parquet(_version(root, batch_id + 1))
+        _mark_latest(spark, root, batch_id + 1)
 
     _run(file_stream(spark, source_path).writeStream.foreachBatch(merge_batch),
          os.path.join(root, "_checkpoint"))
-    return spark.read.parquet(versions[-1])
+    return spark.read.parquet(_version(root, _latest(spark, root)))
+
+
+def _mark_latest(spark: SparkSession, root: str, n: int) -> None:
+    """Record the newest committed version (a one-row marker next to the versions)."""
+    spark.range(1).select(F.lit(n).alias("v")).write.mode("overwrite").parquet(os.path.join(root, "_latest"))
+
+
+def _latest(spark: SparkSession, root: str) -> int:
+    return spark.read.parquet(os.path.join(root, "_latest")).first()["v"]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 (resolves the path only)
+        return True
+    except Exception:  # noqa: BLE001
+        return False
 
 
 def stream_dedup(spark: SparkSession, source_path: str, keys: Sequence[str], event_time: str = "ts",
@@ -81,25 +105,25 @@ def stream_dedup(spark: SparkSession, source_path: str, keys: Sequence[str], eve
 
 def stream_window_counts(spark: SparkSession, source_path: str, by: Sequence[str | Column] = (),
                          event_time: str = "ts", size: str = "1 day", delay: str = "1 day",
-                         name: str = "stream-counts") -> DataFrame:
+                         name: str = "stream-counts", root: str | None = None) -> DataFrame:
     """ST-9: tumbling-window counts with a watermark. The aggregate is emitted in update
     mode and upserted per micro-batch on (window, keys), so windows still open at the
     end of the stream are included (append mode would withhold them)."""
-    root = scratch_path(spark, name)
+    root = root or scratch_path(spark, name)
     s = file_stream(spark, source_path).withColumn("_et", utc_instant(event_time))
     agg = (s.withWatermark("_et", delay)
              .groupBy(F.window("_et", size).alias("w"), *by)
              .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum")))
     keys = ["window_start"] + [b if isinstance(b, str) else str(b) for b in by]
-    versions: list[str] = []
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
+        # batch b merges its updated windows into version b - 1 and writes version b
         delta = batch.select(instant_to_ntz("w.start").alias("window_start"),
                              instant_to_ntz("w.end").alias("window_end"), *by, "events", "value_sum")
-        out = os.path.join(root, f"v{batch_id:06d}")
-        merged = delta if not versions else merge_frames(spark.read.parquet(versions[-1]), delta, keys)
-        merged.write.mode("overwrite").parquet(out)
-        versions.append(out)
+        merged = delta if batch_id == 0 else merge_frames(spark.read.parquet(_version(root, batch_id - 1)),
+                                                          delta, keys)
+        merged.write.mode("overwrite").parquet(_version(root, batch_id))
+        _mark_latest(spark, root, batch_id)
 
     _run(agg.writeStream.outputMode("update").foreachBatch(upsert_batch), os.path.join(root, "_checkpoint"))
-    return spark.read.parquet(versions[-1])
+    return spark.read.parquet(_version(root, _latest(spark, root)))
