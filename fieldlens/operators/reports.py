@@ -139,3 +139,18 @@ def shift_report(seats: DataFrame, as_of: dt.date) -> DataFrame:
     s = attendance_flags(s, as_of)
     s = urgency_flags(s, as_of)
     return daily_open_summary(s)
+
+
+def schedule_sheet(rs: DataFrame) -> DataFrame:
+    """Per-day schedule sheet rows (BO-49 detail, SC-27, Q-21): the employee or OPEN, unit,
+    cost center, 12-hour start/end text, hours rounded half-to-even like the report code,
+    and the training mark. ``report_order`` gives the sheet's row order."""
+    from fieldlens.functions.scalars import clock_12h
+    return rs.select(
+        *REPORT_KEYS, "date_line", "assignment_id", "is_open", "shift_start",
+        F.when(F.col("is_open"), F.lit("OPEN")).otherwise(F.col("assigned_name")).alias("employee_name"),
+        "unit_name", "cost_center_name",
+        F.coalesce(clock_12h("shift_start"), F.lit("")).alias("start_text"),
+        F.coalesce(clock_12h("shift_end"), F.lit("")).alias("end_text"),
+        F.bround(F.col("report_hours"), 1).alias("hours"),
+        F.when(F.col("is_training"), F.lit("Yes")).otherwise(F.lit("")).alias("training"))

@@ -831,3 +831,10 @@ SELECT r.leg_id, r.run_number, r.source_database, r.region, r.service_date, r.ca
        p.pay_period_year, p.pay_period_number, p.start_date AS pay_period_start,
        CASE WHEN p.start_date IS NOT NULL THEN CASE WHEN date_diff('day', p.start_date, r.service_date) < 7 THEN 1 ELSE 2 END END AS period_week
 FROM runs r LEFT JOIN per p ON r.service_date BETWEEN p.start_date AND p.end_date"""
+
+SQL["schedule_sheet"] = W("report_shifts") + """
+SELECT region, pay_period_start, date_line, assignment_id,
+       CASE WHEN is_open THEN 'OPEN' ELSE assigned_name END AS employee_name, unit_name, cost_center_name,
+       COALESCE(strftime(shift_start, '%I:%M %p'), '') AS start_text, COALESCE(strftime(shift_end, '%I:%M %p'), '') AS end_text,
+       round_even(report_hours, 1) AS hours, CASE WHEN is_training THEN 'Yes' ELSE '' END AS training
+FROM report_shifts"""

@@ -464,7 +464,14 @@ def q_run_mart(spark, root):
                     "pay_period_year", "pay_period_number", "pay_period_start", "period_week")
 
 
+def q_schedule_sheet(spark, root):
+    sh = reports.schedule_sheet(_report_shifts(spark, root))
+    return sh.select("region", "pay_period_start", "date_line", "assignment_id", "employee_name", "unit_name",
+                     "cost_center_name", "start_text", "end_text", "hours", "training")
+
+
 QUERIES.update({
+    "schedule_sheet": q_schedule_sheet,
     "run_mart": q_run_mart,
     "shift_report": q_shift_report,
     "dedup_punches": q_dedup_punches,
