@@ -21,7 +21,7 @@ _MODELS: dict[tuple[str, str, str], str] = {}
 
 
 def table_model(spark: SparkSession, root: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, root, name)
+    key = (_app_id(spark), root, name)
     path = _MODELS.get(key)
     if path is None:
         path = scratch_path(spark, f"model-{name}")
@@ -30,5 +30,12 @@ def table_model(spark: SparkSession, root: str, name: str, build: Callable[[], D
     return spark.read.parquet(path)
 
 
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def drop_models() -> None:
     _MODELS.clear()

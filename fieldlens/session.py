@@ -47,13 +47,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     it from the session and only falls back to a fresh local scratch folder when
     nothing is configured (local tests).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        sc = None
+    current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if sc is not None:
+            sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="fieldlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 
