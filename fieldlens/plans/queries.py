@@ -72,9 +72,13 @@ def q_current_revision(spark, root):
 
 
 def q_revision_full_join(spark, root):
-    revs = roles.revisions(spark, root)
-    hdr = roles.run_header(spark, root, revs).select("leg_id", "rev", "run_number", "service_date")
-    j = keys.revision_full_join(hdr, revs.select("leg_id", "rev", "l_partkey", "l_quantity"), "leg_id")
+    li = tables.load_table(spark, root, "lineitem",
+                           ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                            "l_shipdate"])
+    revs = keys.revisions_with_pointer(li, "l_orderkey", "l_linenumber", roles.REVISION_ORDER).select(
+        F.col("l_orderkey").alias("leg_id"), F.col("l_linenumber").alias("rev"), "_ptr", "l_partkey", "l_quantity")
+    hdr = roles.header_base(spark, root).select("leg_id", "run_number", "service_date")
+    j = keys.revision_full_join_pointed(hdr, revs, "leg_id")
     return j.select("leg_id", "rev", "run_number", "service_date", "l_partkey", "l_quantity")
 
 
