@@ -62,3 +62,17 @@ def test_sla_anchor_fallbacks(spark):
     assert out[1].sla_anchor_time == t0 + dt.timedelta(minutes=15) and out[1].is_sla_on_time is True
     assert out[2].sla_threshold_minutes == 30 and out[2].is_sla_on_time is False
     assert out[3].is_sla_on_time is None
+
+
+def test_pointed_full_join_equals_general(spark):
+    lines = spark.createDataFrame([(1, 1, 5), (1, 1, 3), (1, 2, 7), (2, 1, 9), (4, 3, 1)], "k long, r int, o int")
+    h = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k long, h string")
+    revs = keys.revisions_with_pointer(lines, "k", "r", ["o"])
+    got = sorted(tuple(x) for x in keys.revision_full_join_pointed(h, revs, "k", rev="r").select("k", "r", "h", "o").collect())
+    ptr = lines.groupBy("k").agg({"r": "max"}).withColumnRenamed("max(r)", "r")
+    hdr = h.join(ptr, "k", "left")
+    first = keys.distinct_on(lines, ["k", "r"], ["o"])
+    want = sorted(tuple(x) for x in keys.revision_full_join(hdr, first, "k", header_rev="r", rev_rev="r")
+                  .select("k", "rev", "h", "o").collect())
+    assert got == want
+    assert (1, 1, None, 3) in got and (3, None, "z", None) in got and (4, 3, None, 1) in got
