@@ -1,9 +1,13 @@
 """Approximate nearest neighbours by a hash-prefix forest.
 
 Each of ``TREES`` trees gives a vector a long string of symbols: a symbol is the corner of a cross-polytope nearest to the
-vector under one random rotation, so close vectors share long prefixes. A tree is its strings in sorted order, dealt into
-cells by prefix; a query descends to the rows that share its longest prefix and all trees ascend together, to shorter and shorter
-prefixes, for more candidates.
+vector under one random rotation, so close vectors share long prefixes. A query descends to the rows that share its longest prefix
+and all trees ascend together, to shorter and shorter prefixes, for more candidates.
+
+Vectors lie in blocks of about ``BLOCK_ROWS`` rows, each with its strings. The forest proper, rows (tree, string, block),
+says which blocks hold a prefix, so a query is sent only there; a block holds each tree's strings as a sorted array, finds the
+range of the query's prefix in every tree and scores the union of the ranges. A block asked by over ``BLOCK_QUERIES`` queries takes
+them in batches, side by side.
 
 A query stops ascending when its ``k``-th best cosine so far is one that the trees would have missed with a
 probability of at most ``MISS`` at the prefix length reached (the chance that one symbol agrees at that cosine is known
@@ -11,7 +15,7 @@ from the hash family). Close neighbours are settled at long prefixes and see few
 neighbours a query ascends further, and the root, all rows, is what is left in the end.
 
 Vectors that are equal bit by bit are one entry with its ``k + 1`` smallest ids, which is all a result of ``k`` can hold, so
-a vector that repeats without end is one row. Cells over ``CELL_ROWS`` rows or ``CELL_QUERIES`` queries are dealt into blocks that are searched side by side.
+a vector that repeats without end is one row.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite components takes no part, nor does a null id;
 vectors meet only those of their own length; a row that repeats counts once, and an id's own rows are never its neighbours.
@@ -31,11 +35,11 @@ from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from fieldlens.llm.shared import batches_of, written
 
-TREES, SYMBOLS, SEED = 24, 6, 29
-MISS = 0.02
-CELL_ROWS, CELL_QUERIES = 8192, 4096
+TREES, SYMBOLS, SEED = 32, 5, 29
+MISS = 0.1
+BLOCK_ROWS, BLOCK_QUERIES = 4096, 4096
 #: Prefix lengths that are tried in turn, in symbols; 0 is the root.
-ASCENT = (6, 4, 3, 2, 1, 0)
+ASCENT = (5, 3, 2, 1, 0)
 _BITS = 10  # of a symbol, at most 2 * 512 corners
 
 
@@ -102,21 +106,18 @@ def entries(rows: DataFrame, vec_id: str, vector: str, k: int) -> DataFrame:
     return packed.mapInArrow(run, "entry long, dim int, ids array<long>, vec binary")
 
 
-def forest(some: DataFrame) -> DataFrame:
-    """``some(entry, dim, ids, vec)`` -> ``(entry, dim, ids, vec, tree, string)``, a row for each tree."""
+def with_strings(some: DataFrame) -> DataFrame:
+    """``some(key, dim, ids, vec)`` with ``strings``, one for each tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_of(batches, 1000):
             dims = np.array(b.column("dim"))
             for dim in np.unique(dims).tolist():
-                pick = np.flatnonzero(dims == dim)
-                part = b.take(pa.array(pick))
-                x = _unit(_matrix(part.column("vec").to_pylist()))
-                strings = hash_strings(x)
-                for t in range(TREES):
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(len(pick), t, np.int32)), pa.array(strings[:, t])], [*part.schema.names, "tree", "string"])
+                part = b.take(pa.array(np.flatnonzero(dims == dim)))
+                strings = hash_strings(_unit(_matrix(part.column("vec").to_pylist())))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(strings.tolist(), pa.list_(pa.int64()))], [*part.schema.names, "strings"])
 
-    return some.mapInArrow(run, "entry long, dim int, ids array<long>, vec binary, tree int, string long")
+    return some.mapInArrow(run, "entry long, dim int, ids array<long>, vec binary, strings array<long>")
 
 
 def _matrix(vecs: list[bytes]) -> np.ndarray:
@@ -139,29 +140,34 @@ _FOUND = "query_id long, asked long, vec_id long, score double"
 
 
 def _search(k: int, length: int):
-    """For one cell: the ``k`` nearest of those that share the query's prefix of ``length`` symbols, by query."""
+    """For one block and batch: the ``k`` nearest of the rows that share a prefix of ``length`` symbols in any tree, by query."""
     shift = _BITS * (SYMBOLS - length)
 
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int, float]] = []
         if len(queries) and len(rows):
-            rows = rows.sort_values(["string", "entry"])
-            prefix = rows["string"].to_numpy() >> shift
             x = _matrix(rows["vec"].tolist())
             unit = _unit(x)
             ids = rows["ids"].tolist()
-            wanted = queries["string"].to_numpy() >> shift
-            low, high = np.searchsorted(prefix, wanted, "left"), np.searchsorted(prefix, wanted, "right")
-            for i, (query_id, asked, vec) in enumerate(zip(queries["query_id"], queries["entry"], queries["vec"], strict=True)):
-                a, b = int(low[i]), int(high[i])
-                if a == b:
+            ranges = []
+            if length:
+                held, asked = np.stack(rows["strings"].tolist()) >> shift, np.stack(queries["strings"].tolist()) >> shift
+                for t in range(TREES):
+                    order = np.argsort(held[:, t], kind="stable")
+                    array = held[order, t]
+                    ranges.append((order, np.searchsorted(array, asked[:, t], "left"), np.searchsorted(array, asked[:, t], "right")))
+            everything = np.arange(len(x))
+            for i, (query_id, asked_at, vec) in enumerate(zip(queries["query_id"], queries["asked"], queries["vec"], strict=True)):
+                at = np.unique(np.concatenate([order[low[i]:high[i]] for order, low, high in ranges])) if length else everything
+                if not len(at):
                     continue
                 q = np.frombuffer(vec, np.float64)
-                rough = unit[a:b] @ _unit(q[None, :])[0]
-                near = np.flatnonzero(rough >= np.partition(rough, -min(len(rough), k + 1))[-min(len(rough), k + 1)] - 1e-9)
-                exact = cosine(q, x[a + near])
-                own = [(-s, v) for s, r in zip(exact.tolist(), near.tolist(), strict=True) for v in ids[a + r] if v != query_id]
-                out += [(query_id, asked, v, -s) for s, v in sorted(own)[:k]]
+                rough = unit[at] @ _unit(q[None, :])[0] if length else unit @ _unit(q[None, :])[0]
+                most = min(len(rough), k + 1)
+                near = at[rough >= np.partition(rough, -most)[-most] - 1e-9]
+                exact = cosine(q, x[near])
+                own = [(-s, v) for s, r in zip(exact.tolist(), near.tolist(), strict=True) for v in ids[r] if v != query_id]
+                out += [(query_id, asked_at, v, -s) for s, v in sorted(own)[:k]]
         return pd.DataFrame(out, columns=["query_id", "asked", "vec_id", "score"])
 
     return run
@@ -172,14 +178,15 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id
     kind = rows.schema[vector].dataType
     if not isinstance(kind, ArrayType) or not isinstance(kind.elementType, FloatType | DoubleType):
         raise ValueError(f"{vector} must be an array of floats or doubles")
-    all_entries = written(entries(rows, vec_id, vector, k), "ann-entries")
-    trees = written(forest(all_entries), "ann-forest")
-    ids = rows.where(is_query & F.col(vec_id).isNotNull() & _usable(F.col(vector))).select(F.col(vec_id).cast("long").alias("query_id"), F.transform(F.col(vector), lambda v: v.cast("double") + 0.0).alias("v")).distinct()
-    own = written(forest(_as_entries(ids)).withColumn("query_id", F.col("ids")[0]).drop("ids"), "ann-queries")
+    held = written(with_strings(entries(rows, vec_id, vector, k)), "ann-entries")
+    blocks = max(1, -(-held.count() // BLOCK_ROWS))
+    index = held.withColumn("block", F.pmod(F.xxhash64("entry"), F.lit(blocks)).cast("int"))
+    forest = written(index.select("dim", "block", F.posexplode("strings").alias("tree", "string")), "ann-forest")
+    asking = rows.where(is_query & F.col(vec_id).isNotNull() & _usable(F.col(vector))).select(F.col(vec_id).cast("long").alias("query_id"), F.transform(F.col(vector), lambda v: v.cast("double") + 0.0).alias("v")).distinct()
+    own = written(with_strings(_as_entries(asking)).select(F.col("ids")[0].alias("query_id"), F.col("entry").alias("asked"), "dim", "vec", "strings"), "ann-queries")
     found, settled = None, []
     for length in ASCENT:
-        trees_now, own_now = (trees, own) if length else (trees.where("tree = 0"), own.where("tree = 0"))
-        got = _round(trees_now, own_now, k, length)
+        got = _round(index, forest, own, k, length)
         best = got if found is None else got.unionByName(found.select(*got.columns))
         top = Window.partitionBy("query_id", "asked").orderBy(F.col("score").desc(), "vec_id")
         best = best.distinct().withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k)
@@ -191,8 +198,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id
         enough = _enough(best, own, k, length, dims)
         settled.append(best.join(enough, ["query_id", "asked"], "left_semi").withColumn("prefix", F.lit(length)))
         found = written(best.join(enough, ["query_id", "asked"], "left_anti").drop("rank"), "ann-open")
-        done = enough.withColumnRenamed("asked", "entry")
-        own = written(own.join(done, ["query_id", "entry"], "left_anti"), "ann-queries")
+        own = written(own.join(enough, ["query_id", "asked"], "left_anti"), "ann-queries")
         if not own.limit(1).count():
             break
     out = settled[0]
@@ -215,29 +221,28 @@ def _as_entries(queries: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("vec").alias("entry"), "dim", F.array("query_id").alias("ids"), "vec")
 
 
-def _round(trees: DataFrame, own: DataFrame, k: int, length: int) -> DataFrame:
-    """Candidates of all queries under prefixes of ``length`` symbols, ``k`` from each cell."""
-    shift = _BITS * (SYMBOLS - length)
-    cell = ["dim", "tree", "cell"]
-    held = trees.withColumn("cell", F.shiftright("string", shift) if length else F.lit(0).cast("long"))
-    asked = own.withColumn("cell", F.shiftright("string", shift) if length else F.lit(0).cast("long"))
-    wanted = asked.groupBy(*cell).agg(F.ceil(F.count("*") / CELL_QUERIES).cast("int").alias("batches"))
-    sizes = held.groupBy(*cell).agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("parts")).join(wanted, cell)
-    sizes = written(sizes, "ann-cells")
-    # the parts of a large cell meet the batches of its queries in blocks
-    rows = (held.join(sizes, cell).withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts")).cast("int"))
-            .withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))))
-    asks = (asked.join(sizes, cell).withColumn("batch", F.pmod(F.xxhash64("query_id", "entry"), F.col("batches")).cast("int"))
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
-    keys = [*cell, "part", "batch"]
-    return (asks.select("query_id", "entry", "vec", "string", *keys).groupBy(*keys)
-            .cogroup(rows.select("entry", "ids", "vec", "string", *keys).groupBy(*keys)).applyInPandas(_search(k, length), _FOUND))
+def _round(index: DataFrame, forest: DataFrame, own: DataFrame, k: int, length: int) -> DataFrame:
+    """Candidates of all queries under prefixes of ``length`` symbols, ``k`` from each block; at the root from all blocks."""
+    query, block = ["query_id", "asked"], ["dim", "block"]
+    if length:
+        cell = F.shiftright("string", _BITS * (SYMBOLS - length)).alias("cell")
+        cells = forest.select(*block, "tree", cell).distinct()
+        wanted = own.select(*query, "dim", F.posexplode("strings").alias("tree", "string")).select(*query, "dim", "tree", cell)
+        routes = wanted.join(cells, ["dim", "tree", "cell"]).select(*query, *block).distinct()
+    else:
+        routes = own.select(*query, "dim").join(index.select(*block).distinct(), "dim")
+    routes = written(routes, "ann-routes")
+    batches = routes.groupBy(*block).agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("batches"))
+    asks = (routes.join(batches, block).withColumn("batch", F.pmod(F.xxhash64(*query), F.col("batches")).cast("int"))
+            .join(own.drop("dim"), query).select(*query, "vec", "strings", *block, "batch"))
+    rows = (index.join(batches, block).select("ids", "vec", "strings", *block, F.explode(F.sequence(F.lit(0), F.col("batches") - 1)).alias("batch")))
+    keys = [*block, "batch"]
+    return asks.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(_search(k, length), _FOUND)
 
 
 def _enough(best: DataFrame, own: DataFrame, k: int, length: int, dims: set[int]) -> DataFrame:
     """The queries whose ``k``-th best would have been missed with a chance of ``MISS`` at most."""
-    dim_of = own.where("tree = 0").select("query_id", F.col("entry").alias("asked"), "dim")
-    kth = best.where(F.col("rank") == k).select("query_id", "asked", "score").join(dim_of, ["query_id", "asked"])
+    kth = best.where(F.col("rank") == k).select("query_id", "asked", "score").join(own.select("query_id", "asked", "dim"), ["query_id", "asked"])
     grid = np.linspace(0, 1, 2001)
     rule = F.lit(False)
     for dim in sorted(dims):

@@ -105,7 +105,7 @@ def fit(samples: list[tuple[str, str]], counts: list[tuple[str, str, int]], seed
         while got < length:
             k = filled[rng.integers(len(filled))]
             src = pool[k][rng.integers(len(pool[k]))]
-            n = min(length - got, len(src), length if s % 2 else int(rng.integers(4, 24)))
+            n = min(length - got, len(src), length if s % 3 else int(rng.integers(4, 24)))
             off = int(rng.integers(len(src) - n + 1))
             seqs[s, got:got + n] = [words.setdefault(w, len(words)) for w in src[off:off + n]]
             gold[s, got:got + n] = k
@@ -267,20 +267,25 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     return fit(samples, counts)
 
 
-def predict(docs: DataFrame, model: Model | None, carry: list[str], text: str = "text") -> DataFrame:
-    """The ``carry`` columns of every row with lang_pred, score, n_words and n_switches."""
+PREDICTED = ("lang_pred", "score", "n_words", "n_switches")
+
+
+def predict(docs: DataFrame, model: Model | None, carry: list[str], text: str = "text", names: tuple[str, ...] = PREDICTED) -> DataFrame:
+    """The ``carry`` columns of every row with the predicted language, its score, the words and the switches under ``names``."""
     if model is None:
-        return docs.select(*carry, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_switches"))
+        none = (F.lit(UNDETERMINED), F.lit(0.0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+        return docs.select(*carry, *[c.alias(n) for c, n in zip(none, names, strict=True)])
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    has_text = text in carry and dict(docs.dtypes)[text] == "string"
+    place = carry.index(text) if has_text else len(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Labeller(shared.value)
         for b in batches_of(batches, 1000):
-            texts = b.column(b.num_columns - 1).to_pylist()
             done: list[tuple[str, float, int, int]] = []
             part: list[str | None] = []
             size = 0
-            for t in texts:
+            for t in b.column(place).to_pylist():
                 part.append(t)
                 size += len(t or "") // 6
                 if size > CHUNK_WORDS:
@@ -288,8 +293,21 @@ def predict(docs: DataFrame, model: Model | None, carry: list[str], text: str =
                     part, size = [], 0
             done += own.label(part) if part else []
             cols = list(zip(*done, strict=True)) if done else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], [*b.schema.names[:-1], "lang_pred", "score", "n_words", "n_switches"])
+            kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(carry)], *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], [*carry, *names])
+
+    rows = docs.select(*carry) if has_text else docs.select(*carry, F.col(text).cast("string").alias("_text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
+    new = ", ".join(f"`{n}` {k}" for n, k in zip(names, ("string", "double", "long", "long"), strict=True))
+    return rows.mapInArrow(run, f"{kinds}, {new}")
 
-    rows = docs.select(*carry, F.col(text).cast("string").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double, n_words long, n_switches long")
+
+def recognised(docs: DataFrame, model: Model | None, least: float = 0.4, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has letters and one language that holds at least ``least`` of its words; same columns.
+    Without a model nothing is rejected for its score, and nothing goes."""
+    if model is None:
+        return docs
+    names = PREDICTED
+    while set(names) & set(docs.columns):
+        names = tuple("_" + n for n in names)
+    return predict(docs, model, docs.columns, text, names).where((F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= least)).select(*docs.columns)

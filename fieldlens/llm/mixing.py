@@ -110,7 +110,9 @@ def selected(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: s
     names = chosen.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "copies", *extra)
 
     def those(part: DataFrame, base: DataFrame) -> DataFrame:
-        return base.join(part, base[doc_id].eqNullSafe(part["_id"]) & (text_key(base[text]) == part["_key"])).select(*[base[c] for c in mine], *[part[c] for c in extra])
+        held, named = base.alias("held"), part.alias("named")
+        same = F.col(f"held.`{doc_id}`").eqNullSafe(F.col("named._id")) & (text_key(F.col(f"held.`{text}`")) == F.col("named._key"))
+        return held.join(named, same).select(*[F.col(f"held.`{c}`") for c in mine], *[F.col(f"named.{c}") for c in extra])
 
     again = names.where("copies > 1")
     once = again.select("_id", "_key").distinct()

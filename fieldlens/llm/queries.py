@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import ann, decontaminate, gru, langid, mixing, pii, simhash
+from fieldlens.llm import ann, decontaminate, gru, langid, licenses, mixing, pii, simhash, warc, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def _fold(doc_id: str, folds: int, fold: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds)) == fold
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op2_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ann.nearest(_table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
     return found.select("query_id", "rank", "vec_id", "score", "prefix")
@@ -41,6 +45,16 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(_table(spark, sf_dir, "pages"))
+
+
+def op7_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve(warc.captures_of(_table(spark, sf_dir, "pages")), ["payload_md5", "payload_chars"])
+    listed = F.array_join(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return found.withColumn("headers", listed)
+
+
 def op8_recurrent_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gru.score(_table(spark, sf_dir, "documents"), _fold("doc_id", 5, 1))
 
@@ -69,10 +83,13 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
     "op3_language_id": op3_language_id,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_wrapper_extraction": op6_wrapper_extraction,
+    "op7_revisit_resolution": op7_revisit_resolution,
     "op8_recurrent_lm_scores": op8_recurrent_lm_scores,
     "op9_personal_data": op9_personal_data,
     "op10_mix_to_weights": op10_mix_to_weights,
