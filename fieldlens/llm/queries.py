@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import ann, decontaminate, gru, langid, licenses, mixing, pii, simhash, warc, wrappers
+from fieldlens.llm import ann, decontaminate, gru, langid, licenses, mixing, oracles, pii, simhash, warc, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,4 +95,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_to_weights": op10_mix_to_weights,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others are checked against brute force, definitions and held-out rows in the tests.
+ORACLE_SQL: dict[str, str] = {
+    "op1_license_scan": oracles.license_scan(),
+    "op4_benchmark_decontamination": oracles.DECONTAMINATION,
+    "op7_revisit_resolution": oracles.REVISITS,
+    "op10_mix_to_weights": oracles.mix(MIX_LEVELS, MIX_WEIGHTS),
+}
