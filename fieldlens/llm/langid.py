@@ -19,7 +19,6 @@ labelled training row every text is ``und``; a null doc_id counts as not held ou
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -45,13 +44,35 @@ def core(word: bytes) -> str:
     return _NOT_LETTERS.sub("", word.decode("utf-8", "replace").lower())
 
 
-def features(letters: str) -> list[int]:
-    """Hashed prefixes and suffixes of 1 to 4 letters, and n-grams of 2 to 3 with the word's ends marked."""
-    w = letters[:48].encode()
-    marked = b"^" + w + b"$"
-    names = [b"p" + w[:k] for k in (1, 2, 3, 4)] + [b"s" + w[-k:] for k in (1, 2, 3, 4)]
-    names += [marked[i:i + k] for k in (2, 3) for i in range(len(marked) - k + 1)]
-    return [zlib.crc32(x) & (HASHED - 1) for x in names]
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(feature numbers, where each word's begin): every 2- and 3-gram of the word with its ends marked, and the 4- and 5-grams at its
+    ends, so that affixes of up to four bytes are among them. A word too short for one of the latter has feature ``HASHED``."""
+    raw = [b"^" + w.encode()[:48] + b"$" for w in words]
+    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    start = np.concatenate(([0], np.cumsum(size)[:-1]))
+    owner = np.repeat(np.arange(len(raw)), size)
+    place = np.arange(len(data)) - start[owner]
+    begin = np.concatenate(([0], np.cumsum(2 * size + 1)[:-1]))
+    flat = np.full(int((2 * size + 1).sum()), HASHED, np.int64)
+
+    def gram(at: np.ndarray, k: int) -> np.ndarray:
+        h = np.full(len(at), k, np.uint64) * _MIX[5]
+        for j in range(k):
+            h = (h ^ data[at + j]) * _MIX[j]
+            h ^= h >> np.uint64(29)
+        return (h & np.uint64(HASHED - 1)).astype(np.int64)
+
+    for k, shift in ((2, 0), (3, -1)):
+        at = np.flatnonzero(place + k <= size[owner])
+        flat[begin[owner[at]] + (size[owner[at]] + shift if k == 3 else 0) + place[at]] = gram(at, k)
+    for n, (k, last) in enumerate(((4, False), (5, False), (4, True), (5, True))):
+        w = np.flatnonzero(size >= k)
+        flat[begin[w] + 2 * size[w] - 3 + n] = gram(start[w] + (size[w] - k if last else 0), k)
+    return flat, begin
 
 
 @dataclass
@@ -61,18 +82,16 @@ class Model:
     labels: list[str]
     lexicon: dict[str, int]
     odds: np.ndarray
-    weights: np.ndarray = field(default_factory=lambda: np.zeros((HASHED, 0)))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros((HASHED + 1, 0)))
     trust: np.ndarray = field(default_factory=lambda: np.zeros(0))
     steps: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     start: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Log potential of every label for every word."""
-        ids = [features(w) for w in words]
-        flat = np.fromiter((i for x in ids for i in x), np.int64)
-        ends = np.cumsum([0, *map(len, ids)])[:-1]
+        flat, begin = features(words)
         known = np.fromiter((self.lexicon.get(w, 0) for w in words), np.int64, len(words))
-        return np.add.reduceat(self.weights[flat], ends, axis=0) + self.odds[known] * self.trust
+        return np.add.reduceat(self.weights[flat], begin, axis=0) + self.odds[known] * self.trust
 
 
 def fit(samples: list[tuple[str, str]], counts: list[tuple[str, str, int]], seed: int = 7, sequences: int = 1600, length: int = 48,
@@ -111,12 +130,11 @@ def fit(samples: list[tuple[str, str]], counts: list[tuple[str, str, int]], seed
             gold[s, got:got + n] = k
             got += n
     names = list(words)
-    ids = [features(w) for w in names]
-    begin = np.cumsum([0, *map(len, ids)])
-    flat = np.fromiter((i for x in ids for i in x), np.int64)
+    flat, begin = features(names)
+    begin = np.append(begin, len(flat))
     lex = odds[[lexicon.get(w, 0) for w in names]]
     k = len(labels)
-    model = Model(labels, lexicon, odds, np.zeros((HASHED, k)), np.full(k, 0.3), np.eye(k) * 2.0, np.zeros(k))
+    model = Model(labels, lexicon, odds, np.zeros((HASHED + 1, k)), np.full(k, 0.3), np.eye(k) * 2.0, np.zeros(k))
     params = [model.weights, model.trust, model.steps, model.start]
     first_m, second_m, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     size = 64
@@ -131,7 +149,7 @@ def fit(samples: list[tuple[str, str]], counts: list[tuple[str, str, int]], seed
             d_em = slope.reshape(-1, k)
             d_w = np.zeros_like(model.weights)
             for j in range(k):
-                d_w[:, j] = np.bincount(spread, d_em[owner, j], HASHED)
+                d_w[:, j] = np.bincount(spread, d_em[owner, j], HASHED + 1)
             grads = [d_w + 1e-3 * model.weights, (d_em * lex[w]).sum(axis=0), pairs, starts]
             step += 1
             for p, g, m, v in zip(params, grads, first_m, second_m, strict=True):

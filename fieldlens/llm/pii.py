@@ -33,7 +33,7 @@ WINDOW, STRIDE = 96, 48
 HIDDEN = 16
 FIT_ROWS, FIT_WINDOWS = 500, 1200
 RUN_WINDOWS = 4096
-#: A span of the network needs this mean probability of its tags, and this many digits by kind.
+#: A span of the network needs this mean posterior of its tags, and this many digits by kind.
 SURE, DIGITS = 0.9, (0, 4, 13, 8)
 
 Span = tuple[int, int, int]
@@ -270,8 +270,8 @@ def network_spans(texts: list[str], net: Network, every: bool = False) -> list[l
         em = net.emissions(x)
         path = crf.viterbi(em, net.steps, net.start)
         path[x == 0] = 0
-        prob = np.exp(em - em.max(axis=2, keepdims=True))
-        prob = np.take_along_axis(prob / prob.sum(axis=2, keepdims=True), path[:, :, None].astype(np.int64), 2)[:, :, 0]
+        flat = crf.forward_backward(em.reshape(-1, _TAGS), np.arange(len(x)) * WINDOW, np.full(len(x), WINDOW), net.steps, net.start)
+        prob = np.take_along_axis(flat.reshape(em.shape), path[:, :, None].astype(np.int64), 2)[:, :, 0]
         for w in np.flatnonzero(path.any(axis=1)).tolist():
             i, a = wins[at + w]
             n = len(texts[i])
