@@ -152,13 +152,11 @@ def round_half(c: ColumnOrName, scale: int) -> Column:
     return F.round(col(c) * F.lit(m)) / F.lit(m)
 
 
-def exact_window_avg(c: ColumnOrName, window, scale: int = 6) -> Column:
-    """Moving average with an order-independent result: inputs are quantized to
-    ``10^-scale`` as integers, summed exactly over the frame, then divided once. A plain
-    ``avg`` of doubles depends on the order the frame is summed in."""
-    m = float(10 ** scale)
-    q = F.round(col(c) * F.lit(m)).cast("bigint")
-    return F.try_divide(F.sum(q).over(window), F.count(col(c)).over(window)) / F.lit(m)
+def exact_window_avg(c: ColumnOrName, window) -> Column:
+    """Moving average whose result does not depend on the order of summation: the inputs
+    are summed as decimals with 12 places, then divided once. Only a result is rounded."""
+    total = F.sum(col(c).cast("decimal(28,12)")).over(window)
+    return F.try_divide(total.cast("double"), F.count(col(c)).over(window).cast("double"))
 
 
 def safe_ratio(num: ColumnOrName, den: ColumnOrName, scale: int | None = None) -> Column:

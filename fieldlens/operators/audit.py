@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.functions.scalars import concat_skip_null, last_first, round_half, truthy
+from fieldlens.functions.scalars import concat_skip_null, hours_between, last_first, round_half, truthy
 from fieldlens.operators.keys import latest_by
 
 # ---------------------------------------------------------------------------
@@ -136,15 +136,19 @@ def qa_status(records: DataFrame, statuses: DataFrame) -> DataFrame:
     return j.select(r.run_id, r.source, s.status_id, s.status_name)
 
 
-def pay_list(rc: DataFrame, users: DataFrame, sources: Sequence[str] = PAY_SOURCES) -> DataFrame:
-    """Contract pay list (BO-45): hours on task x crew wage for selected sources, on the
-    current revision only (Q-16 corrected)."""
-    u = users.select("user_id", "hourly_wage")
-    t = rc.where(F.col("source_database").isin(*sources)).select(
-        "leg_id", "user_id", "assigned_name", "source_database", "time_on_task_minutes").distinct()
-    g = t.groupBy("user_id", "assigned_name", "source_database").agg(
-        (F.sum("time_on_task_minutes") / 60.0).alias("hours_on_task"), F.count("leg_id").alias("runs"))
-    return g.join(u, "user_id", "left").withColumn("pay_amount", F.col("hours_on_task") * F.col("hourly_wage"))
+def pay_list(runs: DataFrame, link: DataFrame, users: DataFrame, sources: Sequence[str] = PAY_SOURCES) -> DataFrame:
+    """Contract pay list (BO-45): every crew member of every run of the selected sources that
+    was not cancelled out (status >= -1), with the hours on task and the member's wage; a run
+    without crew keeps one row. On the current revision only (Q-16 corrected)."""
+    r = runs.where(F.col("source_database").isin(*sources) & (F.col("last_status_id") >= -1)).select(
+        "leg_id", "run_number", F.col("service_date").alias("leg_date"), "clear_time", "assigned_time",
+        hours_between("clear_time", "assigned_time").alias("time_on_task_hours"), "source_database")
+    crew = link.select("leg_id", "crew_user_id", "crew_source").distinct()
+    u = users.select(F.col("user_id").alias("crew_user_id"), F.col("source_database").alias("crew_source"),
+                     concat_skip_null("first_name", F.lit(" "), "last_name").alias("crew_name"), "hourly_wage")
+    out = r.join(crew, "leg_id", "left").join(u, ["crew_user_id", "crew_source"], "left")
+    return out.withColumn("pay_amount", F.col("time_on_task_hours") * F.col("hourly_wage")) \
+        .drop("leg_id", "crew_source").distinct()
 
 
 def user_dim(users: DataFrame) -> DataFrame:

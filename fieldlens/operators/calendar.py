@@ -117,12 +117,6 @@ def backfill_chunks(spark, start: dt.date, end: dt.date, chunk_days: int = 7) ->
     return out.withColumn("chunk_end", F.least(F.date_add("chunk_start", chunk_days), F.lit(end)))
 
 
-def dense_dates(start, end) -> F.Column:
-    return F.explode(F.sequence(F.lit(start), F.lit(end)))
-
-
-def sunday_weeks_between(start: str, end: str) -> F.Column:
-    return F.sequence(week_start_sunday(start), week_start_sunday(end), F.expr("INTERVAL 7 DAYS"))
 
 
 __all__ = ["period_days", "assign_period", "current_next_period", "flag_current_next", "period_for",

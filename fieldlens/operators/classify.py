@@ -118,9 +118,6 @@ def shift_flags(df: DataFrame, allow: DataFrame | None = None) -> DataFrame:
                           & ~F.col("is_training")).drop("_allowed")
 
 
-def assignment_status(user: ColumnOrStr = "user_id") -> Column:
-    return F.when(col(user).isNull(), F.lit("OPEN")).otherwise(F.lit("ASSIGNED"))
-
 
 def attendance_flags(df: DataFrame, as_of: dt.date, partial_ratio: float = 0.9) -> DataFrame:
     """Attendance (BO-27): no-show = assigned, no clock-in, shift day before ``as_of``;
@@ -136,22 +133,23 @@ def attendance_flags(df: DataFrame, as_of: dt.date, partial_ratio: float = 0.9)
 
 
 def urgency_flags(df: DataFrame, as_of: dt.date, date_col: str = "date_line") -> DataFrame:
-    """Urgency (BO-30): today, tomorrow, within 3 days, days until."""
+    """Urgency (BO-30): today, tomorrow, at most 3 days ahead (past days too), days until."""
     days = F.datediff(F.col(date_col), F.lit(as_of))
     return df.withColumns({
         "days_until_shift": days,
         "is_today": days == 0,
         "is_tomorrow": days == 1,
-        "is_within_3_days": (days >= 0) & (days <= 3),
+        "is_within_3_days": days <= 3,
     })
 
 
 def hours_fallback(hours: ColumnOrStr = "scheduled_hours", start: ColumnOrStr = "shift_start",
                    end: ColumnOrStr = "shift_end") -> Column:
-    """Scheduled-hours fallback (BO-54): when the stored hours are 0 use end - start,
-    else keep them."""
+    """Scheduled-hours fallback (BO-54): when the stored hours are 0 use end - start (0
+    if either is missing), else keep them."""
     h = col(hours)
-    return F.when(F.coalesce(h, F.lit(0.0)) == 0, hours_between(end, start)).otherwise(h)
+    span = F.coalesce(hours_between(end, start), F.lit(0.0))
+    return F.when(F.coalesce(h, F.lit(0.0)) == 0, span).otherwise(h)
 
 
 def hours_variance(actual: ColumnOrStr = "hours_worked", scheduled: ColumnOrStr = "scheduled_hours",

@@ -2,7 +2,7 @@
 run sequence and daily time on task by region (BO-10..16, AG-12, WN-3, WN-8, JN-5).
 
 Per-seat metrics are aggregated with partial (map-side) aggregation before the shuffle;
-the run-crew table has one row per (leg, seat), so run counts are plain counts."""
+a run can have several legs, so legs and runs are counted distinct."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions.scalars import (day_name, dow0, exact_window_avg, hours_between, last_first, month_start,
-                                         safe_ratio, week_start_monday, week_start_sunday)
+                                         week_start_monday, week_start_sunday)
 from fieldlens.operators.classify import any_like, region_from_cost_center, TRAINING_PATTERNS
 from fieldlens.operators.keys import distinct_on
 from fieldlens.operators.staffing import shift_partners
@@ -23,12 +23,16 @@ SEAT_ATTRS = ["assignment_id", "source_database", "user_id", "assigned_name", "j
               "shift_start", "shift_end", "scheduled_hours", "actual_hours_worked", "unit_name",
               "cost_center_id", "cost_center_name", "is_training", "special_event"]
 
+#: Components of time on task: measure of a run, its name.
+COMPONENTS = [("scene_time_minutes", "scene_time"), ("destination_to_clear_minutes", "destination_time"),
+              ("transport_time_minutes", "transport_time")]
+
 
 def crew_seats(crew_shifts: DataFrame, centers: DataFrame, users: DataFrame, allow: DataFrame) -> DataFrame:
     """Crew schedule seats with names, cost center, training flag and the allow-list's
     special-event flag (inner join: only allow-listed cost centers, as the reference)."""
-    u = users.select("user_id", last_first("last_name", "first_name").alias("assigned_name"), "job_title")
-    s = crew_shifts.join(centers, "cost_center_id", "left").join(u, "user_id", "left")
+    u = users.select("user_id", "source_database", last_first("last_name", "first_name").alias("assigned_name"), "job_title")
+    s = crew_shifts.join(centers, "cost_center_id", "left").join(u, ["user_id", "source_database"], "left")
     a = F.broadcast(allow.select("cost_center_id", "source_database", "special_event"))
     s = s.join(a, ["cost_center_id", "source_database"], "inner")
     span = hours_between("shift_end", "shift_start")
@@ -56,8 +60,8 @@ def shift_metrics(rc: DataFrame) -> DataFrame:
     """Per-seat metrics (BO-11): runs, time-on-task hours and averages, first/last run,
     share of scheduled hours, unit-hour utilization, active hours."""
     g = rc.groupBy(*SEAT_ATTRS).agg(
-        F.count("leg_id").alias("total_runs"),
-        F.count("run_number").alias("total_run_numbers"),
+        F.countDistinct("leg_id").alias("total_runs"),
+        F.countDistinct("run_number").alias("total_run_numbers"),
         (F.sum("time_on_task_minutes") / 60.0).alias("total_time_on_task_hours"),
         (F.sum("time_on_task_excl_transport_minutes") / 60.0).alias("total_time_on_task_excl_transport_hours"),
         (F.sum("scene_time_minutes") / 60.0).alias("total_scene_time_hours"),
@@ -113,6 +117,8 @@ def crew_weekly(sm: DataFrame) -> DataFrame:
         F.sum("total_time_on_task_hours").alias("total_time_on_task_hours"),
         wavg("avg_time_on_task_minutes").alias("avg_time_on_task_minutes"),
         wavg("avg_scene_time_minutes").alias("avg_scene_time_minutes"),
+        wavg("avg_destination_time_minutes").alias("avg_destination_time_minutes"),
+        wavg("avg_transport_time_minutes").alias("avg_transport_time_minutes"),
         wavg("avg_response_time_minutes").alias("avg_response_time_minutes"),
         F.avg("unit_hour_utilization").alias("avg_daily_uhu"),
         F.count(F.lit(1)).alias("shifts_worked"),
@@ -160,50 +166,60 @@ def run_sequence(rm: DataFrame) -> DataFrame:
 
 
 def daily_reconcile(rm: DataFrame, seats: DataFrame) -> DataFrame:
-    """Run side FULL OUTER JOIN hours side per day, source and region, with COALESCEd
-    keys and zero-filled measures (JN-5). Crew hours are halved (two per unit)."""
-    runs = rm.groupBy(F.col("service_date").alias("d"), "source_database", "region").agg(
-        F.count("leg_id").alias("total_runs"),
-        # minutes are whole numbers, so their sums are exact in any order; divide once
-        F.sum("time_on_task_minutes").alias("tot_minutes"),
-        F.sum("time_on_task_excl_transport_minutes").alias("tot_x_minutes"),
-        F.avg("time_on_task_minutes").alias("avg_time_on_task_minutes"))
+    """Run side FULL OUTER JOIN hours side per shift day, source and region, with COALESCEd
+    keys and zero-filled measures (JN-5). Crew hours are halved (two per unit); training
+    and special events do not count; ``total_shifts`` counts cost centers with hours."""
+    # minutes are whole numbers, so their sums are exact in any order; divide once
+    runs = rm.groupBy(F.col("shift_date").alias("d"), "source_database", "region").agg(
+        F.countDistinct("leg_id").alias("total_runs"),
+        *[F.sum(c).alias(f"sum_{c}") for c in ("time_on_task_minutes", "time_on_task_excl_transport_minutes",
+                                               *[m for m, _ in COMPONENTS])],
+        *[F.avg(m).alias(f"avg_{n}_minutes") for m, n in (("time_on_task_minutes", "time_on_task"),
+                                                          ("time_on_task_excl_transport_minutes", "time_on_task_excl_transport"),
+                                                          ("response_time_minutes", "response_time"), *COMPONENTS)])
     keep = ~F.col("special_event") & ~F.coalesce(F.col("is_training"), F.lit(False))
     hours = seats.withColumn("region", region_from_cost_center()).groupBy(
         F.col("shift_date").alias("d"), "source_database", "region").agg(
         (F.sum(F.when(keep, F.col("actual_hours_worked")).otherwise(0.0)) / 2.0).alias("total_scheduled_hours"),
-        F.countDistinct(F.when(keep & (F.col("actual_hours_worked") > 0), F.col("unit_name"))).alias("total_units"))
+        F.countDistinct(F.when(keep & (F.col("actual_hours_worked") > 0), F.col("cost_center_id"))).alias("total_shifts"))
     k = ["d", "source_database", "region"]
     j = runs.alias("r").join(hours.alias("h"), [F.col(f"r.{c}") == F.col(f"h.{c}") for c in k], "full_outer")
+
+    def total(c):
+        return F.coalesce(F.col(f"r.sum_{c}"), F.lit(0.0))
+
     return j.select(
         F.coalesce("r.d", "h.d").alias("service_date"),
         F.coalesce("r.source_database", "h.source_database").alias("source_database"),
         F.coalesce("r.region", "h.region").alias("region"),
         F.coalesce("r.total_runs", F.lit(0)).alias("total_runs"),
-        F.coalesce("r.tot_minutes", F.lit(0.0)).alias("total_time_on_task_minutes"),
-        F.coalesce("r.tot_x_minutes", F.lit(0.0)).alias("total_time_on_task_excl_transport_minutes"),
-        (F.coalesce("r.tot_minutes", F.lit(0.0)) / 60.0).alias("total_time_on_task_hours"),
-        (F.coalesce("r.tot_x_minutes", F.lit(0.0)) / 60.0).alias("total_time_on_task_excl_transport_hours"),
-        F.col("r.avg_time_on_task_minutes").alias("avg_time_on_task_minutes"),
+        (total("time_on_task_minutes") / 60.0).alias("total_time_on_task_hours"),
+        (total("time_on_task_excl_transport_minutes") / 60.0).alias("total_time_on_task_excl_transport_hours"),
+        *[(total(m) / 60.0).alias(f"total_{n}_hours") for m, n in COMPONENTS],
+        *[F.col(f"r.avg_{n}_minutes") for n in ("time_on_task", "time_on_task_excl_transport", "response_time",
+                                                *[n for _, n in COMPONENTS])],
         F.coalesce("h.total_scheduled_hours", F.lit(0.0)).alias("total_scheduled_hours"),
-        F.coalesce("h.total_units", F.lit(0)).alias("total_units"))
-
-
-def tot_daily(rec: DataFrame, rows: int = 35, keys: Sequence[str] = ("region",)) -> DataFrame:
-    """Daily time on task by region with ``rows``-row trailing moving averages of six
-    measures, one window spec reused (BO-14, WN-8). Days are first rolled up to
-    (day, region); the window then holds one region's days, a calendar-bounded set."""
-    d = rec.groupBy("service_date", *keys).agg(
-        F.sum("total_runs").alias("total_runs"),
-        (F.sum("total_time_on_task_minutes") / 60.0).alias("total_time_on_task_hours"),
-        (F.sum("total_time_on_task_excl_transport_minutes") / 60.0).alias("total_time_on_task_excl_transport_hours"),
-        F.sum("total_scheduled_hours").alias("total_scheduled_hours"),
-        F.sum("total_units").alias("total_units"))
-    d = d.withColumns({
-        "time_on_task_pct": safe_ratio("total_time_on_task_hours", "total_scheduled_hours"),
-        "uhu": safe_ratio("total_runs", "total_scheduled_hours"),
+        F.coalesce("h.total_shifts", F.lit(0)).alias("total_shifts"))
+
+
+def tot_daily(rec: DataFrame, rows: int = 35, keys: Sequence[str] = ("source_database", "region")) -> DataFrame:
+    """Daily time on task by region (BO-14, WN-8): shares of the scheduled hours (0 on days
+    without any) and ``rows``-row trailing averages of six measures over one window spec:
+    both shares, unit-hour utilization, scene, destination and transport time. The window
+    holds one region's days, a calendar-bounded set."""
+    scheduled = F.col("total_scheduled_hours")
+
+    def share(c):
+        return F.when(scheduled > 0, F.col(c) / scheduled).otherwise(F.lit(0.0))
+
+    d = rec.withColumns({
+        "time_on_task_pct": share("total_time_on_task_hours"),
+        "time_on_task_excl_transport_pct": share("total_time_on_task_excl_transport_hours"),
+        "unit_hour_utilization": share("total_runs"),
     })
     w = Window.partitionBy(*keys).orderBy("service_date").rowsBetween(-(rows - 1), 0)
-    measures = ["total_runs", "total_time_on_task_hours", "total_time_on_task_excl_transport_hours",
-                "total_scheduled_hours", "time_on_task_pct", "uhu"]
-    return d.withColumns({f"{m}_ma{rows}": exact_window_avg(m, w) for m in measures})
+    measures = ["time_on_task_pct", "time_on_task_excl_transport_pct", "unit_hour_utilization",
+                *[f"avg_{n}_minutes" for _, n in COMPONENTS]]
+    return d.withColumns({f"{m}_{rows}day_ma": exact_window_avg(m, w) for m in measures} | {
+        "day_of_week": dow0("service_date"), "day_name": day_name("service_date"),
+        "week_start": week_start_monday("service_date"), "month_start": month_start("service_date")})

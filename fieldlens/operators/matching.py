@@ -34,21 +34,25 @@ def _fuzzy(s_start, s_end, p_start, tol: int):
 
 def matched_pairs(shifts: DataFrame, punches: DataFrame, tol: int = 3600,
                   bucket_seconds: int = 21600) -> DataFrame:
-    """All (assignment_id, time_id, match_type) pairs: direct or fuzzy, same user."""
-    s = _prepare_shifts(shifts).select("assignment_id", "user_id", "_s_start", "_s_end")
-    p = punches.select("time_id", "time_user_id", "shift_assignment_id", "time_start_ts")
+    """All (source_database, assignment_id, time_id, match_type) pairs: direct or fuzzy, same
+    user. Ids repeat across source databases, so the source is part of every key."""
+    s = _prepare_shifts(shifts).select("source_database", "assignment_id", "user_id", "_s_start", "_s_end")
+    p = punches.select(F.col("source_database").alias("_p_source"), "time_id", "time_user_id", "shift_assignment_id",
+                       "time_start_ts")
 
-    direct = (s.join(p, (s.assignment_id == p.shift_assignment_id) & (s.user_id == p.time_user_id))
-                .select("assignment_id", "time_id", F.lit("direct_match").alias("match_type")))
+    direct = (s.join(p, (s.source_database == p._p_source) & (s.assignment_id == p.shift_assignment_id)
+                     & (s.user_id == p.time_user_id))
+                .select("source_database", "assignment_id", "time_id", F.lit("direct_match").alias("match_type")))
 
     lo = F.floor((F.col("_s_start") - tol) / bucket_seconds)
     hi = F.floor(F.greatest(F.col("_s_start") + tol, F.col("_s_end")) / bucket_seconds)
     sb = s.withColumn("_bucket", F.explode(F.sequence(lo, hi)))
     pb = p.withColumn("_bucket", F.floor(F.col("time_start_ts") / bucket_seconds))
-    cond = ((sb.user_id == pb.time_user_id) & (sb._bucket == pb._bucket)
+    cond = ((sb.source_database == pb._p_source) & (sb.user_id == pb.time_user_id) & (sb._bucket == pb._bucket)
             & _fuzzy(sb._s_start, sb._s_end, pb.time_start_ts, tol)
             & ~F.coalesce(sb.assignment_id == pb.shift_assignment_id, F.lit(False)))
-    fuzzy = sb.join(pb, cond).select("assignment_id", "time_id", F.lit("fuzzy_match").alias("match_type"))
+    fuzzy = sb.join(pb, cond).select("source_database", "assignment_id", "time_id",
+                                     F.lit("fuzzy_match").alias("match_type"))
     return direct.unionByName(fuzzy)
 
 
@@ -77,9 +81,10 @@ def match_intervals(shifts: DataFrame, punches: DataFrame, zones: DataFrame | No
         F.col("shift_start").alias("scheduled_start"), F.col("shift_end").alias("scheduled_end"),
         "date_line", "cost_center_id")
     p = _punch_times(punches, zones).select(
-        "time_id", "time_user_id", "clock_in_time", "clock_out_time", "time_start_ts", "time_end_ts")
-    matched = s.join(pairs, "assignment_id").join(p, "time_id")
-    unmatched = s.join(pairs.select("assignment_id"), "assignment_id", "left_anti") \
+        "source_database", "time_id", "time_user_id", "clock_in_time", "clock_out_time", "time_start_ts", "time_end_ts")
+    seat, punch = ["source_database", "assignment_id"], ["source_database", "time_id"]
+    matched = s.join(pairs, seat).join(p, punch)
+    unmatched = s.join(pairs.select(*seat), seat, "left_anti") \
         .withColumn("match_type", F.lit("no_timesheet"))
     rows = matched.unionByName(unmatched, allowMissingColumns=True)
     has_ts = F.col("time_id").isNotNull()
@@ -100,7 +105,7 @@ def orphan_intervals(shifts: DataFrame, punches: DataFrame, zones: DataFrame | N
     same predicate, carried out on the punch id of the matched pairs."""
     pairs = pairs if pairs is not None else matched_pairs(shifts, punches, tol, bucket_seconds)
     p = _punch_times(punches, zones)
-    orphans = p.join(pairs.select("time_id"), "time_id", "left_anti")
+    orphans = p.join(pairs.select("source_database", "time_id"), ["source_database", "time_id"], "left_anti")
     return orphans.select(
         "source_database", F.lit(None).cast("bigint").alias("assignment_id"),
         F.col("time_user_id").alias("user_id"),
@@ -124,10 +129,10 @@ def schedule_fact(shifts: DataFrame, matches: DataFrame, periods: DataFrame | No
     s = shifts
     if lookback_days is not None and as_of is not None:
         s = s.where(F.col("date_line") >= F.date_sub(F.lit(as_of), lookback_days))
-    m = matches.select("assignment_id", "time_id", "clock_in_time", "clock_out_time",
+    m = matches.select("source_database", "assignment_id", "time_id", "clock_in_time", "clock_out_time",
                        "effective_clock_out", "has_timesheet", "is_clocked_in", "is_clocked_out",
                        F.col("match_type").alias("timesheet_match_type"))
-    out = s.join(m, "assignment_id", "left").withColumns({
+    out = s.join(m, ["source_database", "assignment_id"], "left").withColumns({
         "assignment_status": F.when(F.col("user_id").isNull(), "OPEN").otherwise("ASSIGNED"),
         "scheduled_hours": F.when(F.col("user_id").isNotNull(), span).otherwise(F.lit(0.0)),
         "open_hours": F.when(F.col("user_id").isNull(), span).otherwise(F.lit(0.0)),

@@ -78,24 +78,30 @@ def labour_hours(shifts: DataFrame, users: DataFrame, regions: Sequence[str] = O
     j = s.join(u, ["user_id", "source_database"], "left")
     hrs = F.col("actual_hours_worked")
     worked = F.coalesce(hrs > 0, F.lit(False))
+    some = F.coalesce(hrs, F.lit(0.0))
     se = F.col("is_special_event")
-    return j.groupBy("region", "shift_date").agg(
-        F.countDistinct(F.when(F.hour("shift_start") < 12, F.col("unit_name"))).alias("ambulances_up_am"),
-        F.countDistinct(F.when(F.hour("shift_start") >= 19, F.col("unit_name"))).alias("ambulances_up_pm"),
-        F.countDistinct("unit_name").alias("total_ambulances"),
-        _sum_if(F.col("is_field_shift") & ~F.col("is_training") & ~F.col("is_orientation") & worked
-                & ~F.col("cost_center_name").isin(*EMERGENCY_COST_CENTERS), hrs).alias("clean_labor_hours"),
-        _sum_if(F.col("cost_center_name").isin(*EMERGENCY_COST_CENTERS), F.coalesce(hrs, F.lit(0.0)))
-         .alias("hours_worked_911"),
-        _sum_if((F.col("is_field_shift") | se | F.col("is_orientation") | F.col("is_training")) & worked, hrs)
-         .alias("fully_loaded_hours"),
-        _sum_if(se, F.coalesce(hrs, F.lit(0.0))).alias("special_event_hours"),
-        _sum_if(F.col("is_orientation") | F.col("is_training"), F.coalesce(hrs, F.lit(0.0)))
-         .alias("orientation_hours"),
-        _sum_if(se & F.coalesce(F.col("job_title").isin(*EMT_TITLES), F.lit(False)), F.coalesce(hrs, F.lit(0.0)))
-         .alias("emt_special_event_hours"),
-        _sum_if(se & F.coalesce(F.col("job_title").isin(*MEDIC_TITLES), F.lit(False)), F.coalesce(hrs, F.lit(0.0)))
-         .alias("medic_special_event_hours"))
+    emergency = F.col("cost_center_name").isin(*EMERGENCY_COST_CENTERS)
+
+    def title(names):
+        return F.coalesce(F.col("job_title").isin(*names), F.lit(False))
+
+    buckets = {
+        "clean_labor_hours": (F.col("is_field_shift") & ~F.col("is_training") & ~F.col("is_orientation") & worked & ~emergency, hrs),
+        "hours_worked_911": (emergency, some),
+        "fully_loaded_hours": ((F.col("is_field_shift") | se | F.col("is_orientation") | F.col("is_training")) & worked, hrs),
+        "special_event_hours": (se, some),
+        "orientation_hours": (F.col("is_orientation") | F.col("is_training"), some),
+        "emt_special_event_hours": (se & title(EMT_TITLES), some),
+        "medic_special_event_hours": (se & title(MEDIC_TITLES), some),
+    }
+    # first per unit, so that counting units is a plain count
+    units = j.groupBy("region", "shift_date", "unit_name").agg(
+        F.bool_or(F.hour("shift_start") < 12).alias("_am"), F.bool_or(F.hour("shift_start") >= 19).alias("_pm"),
+        *[_sum_if(cond, value).alias(n) for n, (cond, value) in buckets.items()])
+    named = F.col("unit_name").isNotNull()
+    return units.groupBy("region", "shift_date").agg(
+        F.count_if(named & F.col("_am")).alias("ambulances_up_am"), F.count_if(named & F.col("_pm")).alias("ambulances_up_pm"),
+        F.count_if(named).alias("total_ambulances"), *[F.sum(n).alias(n) for n in buckets])
 
 
 def daily_operations(runs: DataFrame, shifts: DataFrame, users: DataFrame) -> DataFrame:
@@ -248,7 +254,3 @@ def on_time_ma(sla_runs: DataFrame, rows: int = 7, type_col: str = "call_type",
         f"on_time_percentage_{rows}day_ma": round_numeric(exact_window_avg("on_time_percentage", w), 2),
         "days_in_window": F.count(F.lit(1)).over(w),
     })
-
-
-def hour_demand_label(ts: str) -> F.Column:
-    return hour_bucket(ts)

@@ -4,7 +4,6 @@ one filtered scan or one aggregation; failing rows can be stored with
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -31,9 +30,9 @@ def dq_column_checks(df: DataFrame, table: str, not_null: Sequence[str] = (),
     aggs = [F.count_if(F.col(c).isNull()).alias(f"nn__{c}") for c in not_null]
     aggs += [(F.count(F.col(c)) - F.countDistinct(F.col(c))).alias(f"uq__{c}") for c in unique]
     wide = df.agg(*aggs)
-    rows = [wide.select(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                        F.lit("not_null").alias("test"), F.col(f"nn__{c}").alias("failures")) for c in not_null]
-    rows += [wide.select(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                         F.lit("unique").alias("test"), F.col(f"uq__{c}").alias("failures")) for c in unique]
-    out = functools.reduce(DataFrame.unionByName, rows)
+    tests = [(c, "not_null", f"nn__{c}") for c in not_null] + [(c, "unique", f"uq__{c}") for c in unique]
+    # turned into rows after the one aggregation, not by one aggregation per test
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"), F.col(n).alias("failures"))
+                               for c, t, n in tests])).alias("r")
+    out = wide.select(rows).select(F.lit(table).alias("table_name"), "r.*")
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))

@@ -72,12 +72,16 @@ def report_with_totals(rs: DataFrame) -> DataFrame:
     ROLLUP over (report, row label) with ``grouping()`` naming the total."""
     label = F.when(F.col("is_open"), F.lit("OPEN")).otherwise(
         F.coalesce(F.col("assigned_name"), F.concat(F.lit("user "), F.col("user_id").cast("string"))))
-    d = rs.withColumn("row_label", label)
-    g = d.rollup(*REPORT_KEYS, "row_label").agg(
+    # one row per employee, also if two share a name; all open seats share one row
+    ids = [c for c in ("source_database", "user_id") if c in rs.columns]
+    d = rs.withColumn("row_label", label).withColumn("row_user", F.when(~F.col("is_open"), F.struct(*ids)))
+    d = d.withColumn("row", F.struct("row_label", "row_user"))
+    g = d.rollup(*REPORT_KEYS, "row").agg(
         F.sum("report_hours").alias("scheduled_hours"),
         F.count(F.lit(1)).alias("shifts"),
-        F.grouping("row_label").alias("_gl"), F.grouping("pay_period_start").alias("_gp"))
-    g = g.where((F.col("_gp") == 0))
+        F.grouping("row").alias("_gl"), F.grouping("pay_period_start").alias("_gp"))
+    g = g.where(F.col("_gp") == 0).select(*REPORT_KEYS, F.col("row.row_label").alias("row_label"),
+                                          F.col("row.row_user.user_id").alias("user_id"), "scheduled_hours", "shifts", "_gl", "_gp")
     return g.withColumn("row_label", F.when(F.col("_gl") == 1, F.lit("TOTAL")).otherwise(F.col("row_label"))) \
         .withColumn("row_kind", F.when(F.col("_gl") == 1, "total")
                     .when(F.col("row_label") == "OPEN", "open").otherwise("employee")) \

@@ -27,11 +27,11 @@ def seat_fact(shifts: DataFrame, matches: DataFrame, users: DataFrame | None = N
     punch = matches.where(F.col("time_id").isNotNull()).withColumn(
         "_h", F.when(F.col("clock_in_time").isNotNull() & F.col("effective_clock_out").isNotNull(),
                      hours_between("effective_clock_out", "clock_in_time")))
-    per_seat = punch.groupBy("assignment_id").agg(
+    per_seat = punch.groupBy("source_database", "assignment_id").agg(
         F.sum("_h").alias("hours_worked"), F.min("clock_in_time").alias("clock_in_time"),
         F.count(F.lit(1)).alias("punch_count"))
     span = hours_between("shift_end", "shift_start")
-    s = shifts.join(per_seat, "assignment_id", "left").withColumns({
+    s = shifts.join(per_seat, ["source_database", "assignment_id"], "left").withColumns({
         "assignment_status": F.when(F.col("user_id").isNull(), "OPEN").otherwise("ASSIGNED"),
         "is_open": F.col("user_id").isNull(),
         "scheduled_hours": F.when(F.col("user_id").isNotNull(), span).otherwise(F.lit(0.0)),
@@ -165,23 +165,23 @@ def overtime_summary(weekly: DataFrame) -> DataFrame:
 
 def cumulative_hours(df: DataFrame, hours: str = "scheduled_hours") -> DataFrame:
     """Running scheduled hours within the employee-week in shift order (BO-26, WN-5),
-    with the seat id as tie-breaker (Q-22); open seats (NULL user) get NULL.
+    with the seat id as tie-breaker (Q-22); open seats (NULL user) get NULL and take no part
+    in the windows.
 
     Computed in two exact parts so a busy employee-week is not one sequential task: a
     running sum within each (employee, week, day), plus the total of the earlier days of
     that week (a running sum over at most seven day totals). Shifts of a later day start
     later, so the order is the same as one running sum over the week."""
     k = ["source_database", "user_id", "week_start"]
-    d = df.withColumn("_day", F.col("shift_start").cast("date"))
+    d = df.where(F.col("user_id").isNotNull()).withColumn("_day", F.col("shift_start").cast("date"))
     in_day = Window.partitionBy(*k, "_day").orderBy("shift_start", "assignment_id") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    days = d.where(F.col("user_id").isNotNull()).groupBy(*k, "_day").agg(F.sum(hours).alias("_day_total"))
+    days = d.groupBy(*k, "_day").agg(F.sum(hours).alias("_day_total"))
     before = Window.partitionBy(*k).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     days = days.withColumn("_before", F.coalesce(F.sum("_day_total").over(before), F.lit(0.0))).drop("_day_total")
     out = d.withColumn("_run", F.sum(hours).over(in_day)).join(days, [*k, "_day"], "left")
-    return out.withColumn("cumulative_hours",
-                          F.when(F.col("user_id").isNotNull(), F.col("_run") + F.col("_before"))) \
-        .drop("_day", "_run", "_before")
+    out = out.withColumn("cumulative_hours", F.col("_run") + F.col("_before")).select(*df.columns, "cumulative_hours")
+    return out.unionByName(df.where(F.col("user_id").isNull()).withColumn("cumulative_hours", F.lit(None).cast("double")))
 
 
 def daily_open_summary(df: DataFrame, keys: Sequence[str] = ("region", "date_line")) -> DataFrame:
@@ -211,6 +211,7 @@ def scheduling_summary(seats: DataFrame, threshold: float = 40.0, first_day: str
     emp = s.where(assigned & F.col("user_id").isNotNull()).groupBy(*k, "user_id").agg(
         F.sum("scheduled_hours").alias("sh"), F.sum("hours_worked").alias("wh"))
     ot = emp.groupBy(*k).agg(
+        F.count(F.lit(1)).alias("unique_employees_worked"),
         F.count_if(F.col("sh") > threshold).alias("employees_with_scheduled_overtime"),
         F.sum(F.when(F.col("sh") > threshold, F.col("sh") - threshold)).alias("total_overtime_hours_scheduled"),
         F.sum(F.when(F.col("wh") > threshold, F.col("wh") - threshold)).alias("total_overtime_hours_worked"))
@@ -218,20 +219,18 @@ def scheduling_summary(seats: DataFrame, threshold: float = 40.0, first_day: str
     shifts = s.groupBy(*k, "unit_id", "unit_name", "date_line", "shift_start").agg(
         F.count(F.lit(1)).alias("tp"), F.count_if(assigned).alias("fp"))
     prob = shifts.groupBy(*k).agg(
+        F.count(F.lit(1)).alias("total_shifts_scheduled"),
         F.count_if((F.col("tp") - F.col("fp") > 0) & (F.col("fp") > 0)).alias("understaffed_shifts"),
         F.sum(F.when((F.col("tp") - F.col("fp") > 0) & (F.col("fp") > 0), F.col("tp") - F.col("fp")))
          .alias("understaffed_positions"),
         F.count_if(F.col("fp") == 0).alias("completely_open_shifts"),
         F.sum(F.when(F.col("fp") == 0, F.col("tp"))).alias("completely_open_positions"))
 
-    shift_key = F.concat_ws("", F.col("unit_id").cast("string"), F.lit("_"), F.col("date_line").cast("string"),
-                            F.lit("_"), F.col("shift_start").cast("string"))
+    # seats are unique by id, shifts and employees come from the roll-ups: no distinct counts
     aggs = [
-        F.countDistinct(shift_key).alias("total_shifts_scheduled"),
         F.count(F.lit(1)).alias("total_shift_positions_scheduled"),
         F.count_if(assigned).alias("positions_filled"),
         F.count_if(F.col("assignment_status") == "OPEN").alias("positions_open"),
-        F.countDistinct(F.when(assigned, F.col("user_id"))).alias("unique_employees_worked"),
         round_numeric(F.sum("scheduled_hours"), 1).alias("total_scheduled_hours"),
         round_numeric(F.sum(F.when(assigned, F.col("scheduled_hours"))), 1).alias("scheduled_hours_filled"),
         round_numeric(F.sum("open_hours"), 1).alias("scheduled_hours_open"),
@@ -239,13 +238,13 @@ def scheduling_summary(seats: DataFrame, threshold: float = 40.0, first_day: str
         F.max(F.date_add("week_start", 6)).alias("week_end"),
     ]
     for i, d in enumerate(["sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"]):
-        aggs.append(F.countDistinct(F.when(F.col("day_of_week") == i, F.col("assignment_id"))).alias(f"{d}_shifts"))
+        aggs.append(F.count_if(F.col("day_of_week") == i).alias(f"{d}_shifts"))
     rs = s.groupBy(*k).agg(*aggs)
 
     out = rs.join(ot, k, "left").join(prob, k, "left")
     z = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("completely_open_shifts", "completely_open_positions",
                                                     "understaffed_shifts", "understaffed_positions",
-                                                    "employees_with_scheduled_overtime")}
+                                                    "employees_with_scheduled_overtime", "unique_employees_worked")}
     z.update({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("total_overtime_hours_scheduled",
                                                             "total_overtime_hours_worked")})
     out = out.withColumns(z)
@@ -287,7 +286,3 @@ def hours_grid(spark, seats: DataFrame, centers: DataFrame, start: dt.date, end:
                     F.coalesce("scheduled_hours", F.lit(0.0)).alias("scheduled_hours"),
                     F.coalesce("open_hours", F.lit(0.0)).alias("open_hours"),
                     F.greatest(F.coalesce("worked_hours", F.lit(0.0)), F.lit(0.0)).alias("worked_hours"))
-
-
-def round_hours(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFrame:
-    return df.withColumns({c: round_numeric(c, scale) for c in cols})

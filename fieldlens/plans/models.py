@@ -5,8 +5,9 @@ mart models as tables.
 A model is written as Parquet under the cluster's shared checkpoint folder
 (``spark.checkpoint.dir``), then read back. This cuts the lineage (an executor lost later
 recomputes from the written files, not from the raw tables) and lets every query that
-shares the model reuse it. Models are keyed by application, input root and name, so two
-inputs never mix; :func:`drop_models` forgets them (the next access rebuilds).
+shares the model reuse it. Models are keyed by application, input root, version of the
+input files and name: two inputs never mix, and a table that changes is built anew.
+:func:`drop_models` forgets all models and deletes their files.
 """
 
 from __future__ import annotations
@@ -17,11 +18,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldlens.session import scratch_path
 
-_MODELS: dict[tuple[str, str, str], str] = {}
+_MODELS: dict[tuple[str, str, str, str], str] = {}
+
+
+def input_version(spark: SparkSession, root: str) -> str:
+    """Size, file count and modification time of every table under ``root``, as one text.
+    One call per table: a table folder's own time changes when files come or go."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = []
+    for st in fs.listStatus(path):
+        sm = fs.getContentSummary(st.getPath())
+        parts.append(f"{st.getPath().getName()}:{sm.getLength()}:{sm.getFileCount()}:{st.getModificationTime()}")
+    return "|".join(sorted(parts))
 
 
 def table_model(spark: SparkSession, root: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (_app_id(spark), root, name)
+    key = (_app_id(spark), root, input_version(spark, root), name)
     path = _MODELS.get(key)
     if path is None:
         path = scratch_path(spark, f"model-{name}")
@@ -31,11 +45,15 @@ def table_model(spark: SparkSession, root: str, name: str, build: Callable[[], D
 
 
 def _app_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
+    return spark.sparkContext.applicationId
 
 
-def drop_models() -> None:
+def drop_models(spark: SparkSession | None = None) -> None:
+    """Forget all models; with a session, delete their files too."""
+    if spark is not None:
+        jvm = spark.sparkContext._jvm
+        for (app, *_), path in _MODELS.items():
+            if app == _app_id(spark):
+                at = jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
     _MODELS.clear()

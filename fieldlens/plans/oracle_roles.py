@@ -6,8 +6,11 @@ of the Spark execution path."""
 
 from __future__ import annotations
 
-from fieldlens.operators.classify import COST_CENTER_REGIONS, LEVEL_RULES, MARKET_REGIONS
-from fieldlens.sources.roles import CALL_TYPES, SOURCE_TZ, VALID_COST_CENTERS
+# Fixed values of the fixture, written out here and not taken from the code under test.
+_CALL_TYPE = {"1-URGENT": "CCT", "2-HIGH": "ALS", "3-MEDIUM": "BLS", "4-NOT SPECIFIED": "Standby - BLS", "5-LOW": "Medicar"}
+_ZONE = {"src0": "America/Chicago", "src1": "America/Detroit", "src2": "America/Chicago"}
+_CENTERS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+_CENTERS_OF = {"src0": [0, 1, 2, 3, 4, 5], "src1": [0, 1, 2, 3, 4, 5], "src2": [1, 2, 4, 5]}
 
 
 def _values(rows, names) -> str:
@@ -39,18 +42,17 @@ def sunday_week(d: str) -> str:
 
 
 def region_market_sql(market: str = "market", source: str = "source_database") -> str:
-    whens = " ".join(f"WHEN {market} = '{m}' THEN '{r}'" for m, r in MARKET_REGIONS)
-    return f"CASE {whens} ELSE {source} END"
+    return (f"CASE {market} WHEN 'america' THEN 'west' WHEN 'europe' THEN 'east' WHEN 'africa' THEN 'east' "
+            f"WHEN 'asia' THEN 'south' ELSE {source} END")
 
 
 def region_cc_sql(name: str = "cost_center_name", source: str = "source_database") -> str:
-    whens = " ".join(f"WHEN {name} LIKE '{p}' THEN '{r}'" for p, r in COST_CENTER_REGIONS)
-    return f"CASE {whens} ELSE {source} END"
+    return f"CASE left({name}, 1) WHEN 'S' THEN 'south' WHEN 'M' THEN 'middle' WHEN 'L' THEN 'west' ELSE {source} END"
 
 
 def level_sql(name: str = "cost_center_name") -> str:
-    whens = " ".join(f"WHEN {name} LIKE '{p}' THEN '{r}'" for p, r in LEVEL_RULES)
-    return f"CASE {whens} ELSE 'Other' END"
+    return (f"CASE WHEN contains({name}, 'PROMO') THEN 'Training' ELSE CASE left({name}, 1) WHEN 'S' THEN 'BLS' "
+            "WHEN 'M' THEN 'ALS' WHEN 'L' THEN 'CCT' WHEN 'E' THEN 'Orientation' ELSE 'Other' END END")
 
 
 OUTCOME_SQL = ("CASE WHEN last_status_id > 0 THEN 'ran' "
@@ -65,9 +67,9 @@ def role(name: str, sql: str, *deps: str) -> None:
     ROLES[name] = (sql, deps)
 
 
-role("call_types", _values(CALL_TYPES, ["o_orderpriority", "calltype_name"]))
-role("source_zones", _values(SOURCE_TZ, ["source_database", "local_tz"]))
-role("valid_cost_centers", _values(VALID_COST_CENTERS,
+role("call_types", _values(list(_CALL_TYPE.items()), ["o_orderpriority", "calltype_name"]))
+role("source_zones", _values(list(_ZONE.items()), ["source_database", "local_tz"]))
+role("valid_cost_centers", _values([(i, _CENTERS[i], src, i == 1) for src, ids in _CENTERS_OF.items() for i in ids],
                                    ["cost_center_id", "cost_center_name", "source_database", "special_event"]))
 role("revisions", """
 SELECT l_orderkey AS leg_id, l_linenumber AS rev, l_partkey, l_suppkey, l_quantity, l_extendedprice,
@@ -168,9 +170,9 @@ SELECT p.*,
        THEN CAST(to_timestamp(p.time_end_ts) AT TIME ZONE COALESCE(z.local_tz, 'UTC') AS TIMESTAMP) END AS clock_out_time
 FROM punches p LEFT JOIN source_zones z ON z.source_database = p.source_database""", "punches", "source_zones")
 role("pairs", """
-SELECT s.assignment_id, p.time_id,
+SELECT s.source_database, s.assignment_id, p.time_id,
        CASE WHEN s.assignment_id = p.shift_assignment_id THEN 'direct_match' ELSE 'fuzzy_match' END AS match_type
-FROM shifts s JOIN punches p ON p.time_user_id = s.user_id
+FROM shifts s JOIN punches p ON p.time_user_id = s.user_id AND p.source_database = s.source_database
  AND (s.assignment_id = p.shift_assignment_id
       OR abs((epoch_us(s.shift_start) // 1000000) - p.time_start_ts) < 3600
       OR (p.time_start_ts >= epoch_us(s.shift_start) // 1000000
@@ -188,8 +190,8 @@ SELECT s.source_database, s.assignment_id, s.user_id, s.shift_start AS scheduled
        TRUE AS has_assignment,
        COALESCE(m.match_type, 'no_timesheet') AS match_type
 FROM shifts s
-LEFT JOIN pairs m ON m.assignment_id = s.assignment_id
-LEFT JOIN punch_local p ON p.time_id = m.time_id
+LEFT JOIN pairs m ON (m.source_database, m.assignment_id) = (s.source_database, s.assignment_id)
+LEFT JOIN punch_local p ON (p.source_database, p.time_id) = (m.source_database, m.time_id)
 WHERE s.user_id IS NOT NULL""", "shifts", "pairs", "punch_local")
 role("schedule", f"""
 SELECT s.*, m.time_id, m.clock_in_time, m.clock_out_time, m.effective_clock_out,
@@ -202,7 +204,7 @@ SELECT s.*, m.time_id, m.clock_in_time, m.clock_out_time, m.effective_clock_out,
        CASE WHEN s.user_id IS NULL THEN {hrs('s.shift_end', 's.shift_start')} ELSE 0.0 END AS open_hours,
        CASE WHEN m.clock_in_time IS NOT NULL AND m.effective_clock_out IS NOT NULL
             THEN {hrs('m.effective_clock_out', 'm.clock_in_time')} END AS hours_worked
-FROM shifts s LEFT JOIN matches m ON m.assignment_id = s.assignment_id""", "shifts", "matches")
+FROM shifts s LEFT JOIN matches m ON (m.source_database, m.assignment_id) = (s.source_database, s.assignment_id)""", "shifts", "matches")
 role("users", """
 SELECT c_custkey AS user_id, 'src' || CAST(c_custkey % 3 AS VARCHAR) AS source_database,
        c_name AS username, split_part(c_name, '#', 1) AS last_name, split_part(c_name, '#', 2) AS first_name,
@@ -235,11 +237,11 @@ LEFT JOIN (SELECT DISTINCT cost_center_id, source_database, TRUE AS is_allowed F
      "schedule", "valid_cost_centers")
 
 role("seat_punch", f"""
-SELECT assignment_id,
+SELECT source_database, assignment_id,
        sum(CASE WHEN clock_in_time IS NOT NULL AND effective_clock_out IS NOT NULL
                 THEN {hrs('effective_clock_out', 'clock_in_time')} END) AS hours_worked,
        min(clock_in_time) AS clock_in_time, count(*) AS punch_count
-FROM matches WHERE time_id IS NOT NULL GROUP BY assignment_id""", "matches")
+FROM matches WHERE time_id IS NOT NULL GROUP BY source_database, assignment_id""", "matches")
 role("seats", f"""
 SELECT x.*, COALESCE(v.is_allowed, FALSE) AND NOT x.is_special_event AND NOT x.is_training AS is_field_shift
 FROM (
@@ -258,7 +260,7 @@ FROM (
     COALESCE(s.cost_center_name LIKE 'LARGE%', FALSE) AS is_special_event,
     COALESCE(s.cost_center_name LIKE 'ECON%', FALSE) AS is_orientation
   FROM shifts s
-  LEFT JOIN seat_punch sp ON sp.assignment_id = s.assignment_id
+  LEFT JOIN seat_punch sp ON (sp.source_database, sp.assignment_id) = (s.source_database, s.assignment_id)
   LEFT JOIN users u ON u.user_id = s.user_id AND u.source_database = s.source_database) x
 LEFT JOIN (SELECT DISTINCT cost_center_id, source_database, TRUE AS is_allowed FROM valid_cost_centers) v
   ON v.cost_center_id = x.cost_center_id AND v.source_database = x.source_database""",
@@ -275,7 +277,7 @@ SELECT s.*, p.pay_period_year, p.pay_period_number, p.start_date AS pay_period_s
        CASE WHEN p.start_date IS NOT NULL THEN CASE WHEN date_diff('day', p.start_date, s.date_line) < 7 THEN 1 ELSE 2 END END AS period_week
 FROM seats s LEFT JOIN periods p ON s.date_line BETWEEN p.start_date AND p.end_date""", "seats", "periods")
 role("report_shifts", f"""
-SELECT *, CASE WHEN COALESCE(scheduled_hours, 0.0) = 0 THEN {hrs('shift_end', 'shift_start')} ELSE scheduled_hours END AS report_hours,
+SELECT *, CASE WHEN COALESCE(scheduled_hours, 0.0) = 0 THEN COALESCE({hrs('shift_end', 'shift_start')}, 0.0) ELSE scheduled_hours END AS report_hours,
        {sunday_week('date_line')} AS calendar_week
 FROM seat_periods WHERE pay_period_start IS NOT NULL""", "seat_periods")
 role("weekly", """
@@ -287,18 +289,18 @@ SELECT source_database, user_id, week_start, sum(scheduled_hours) AS weekly_sche
 FROM seats WHERE user_id IS NOT NULL GROUP BY source_database, user_id, week_start""", "seats")
 
 role("crew_link", """
-SELECT l.l_orderkey AS leg_id, l.l_suppkey AS crew_user_id,
+SELECT l.l_orderkey AS leg_id, l.l_suppkey AS crew_user_id, 'src' || (l.l_suppkey % 3)::VARCHAR AS crew_source,
+       CAST(o.o_orderdate AS DATE) AS seat_day,
        l.l_suppkey * 100000 + date_diff('day', DATE '1994-12-25', CAST(o.o_orderdate AS DATE)) AS shift_assignment_id
 FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 role("crew_shifts", """
 SELECT shift_assignment_id AS assignment_id, crew_user_id AS user_id,
        'src' || CAST(crew_user_id % 3 AS VARCHAR) AS source_database,
-       DATE '1994-12-25' + CAST(shift_assignment_id % 100000 AS INTEGER) AS date_line,
-       CAST(DATE '1994-12-25' + CAST(shift_assignment_id % 100000 AS INTEGER) AS TIMESTAMP) + INTERVAL 6 HOUR AS shift_start,
-       CAST(DATE '1994-12-25' + CAST(shift_assignment_id % 100000 AS INTEGER) AS TIMESTAMP) + INTERVAL 18 HOUR AS shift_end,
+       seat_day AS date_line, CAST(seat_day AS TIMESTAMP) + INTERVAL 6 HOUR AS shift_start,
+       CAST(seat_day AS TIMESTAMP) + INTERVAL 18 HOUR AS shift_end,
        'Unit ' || CAST(crew_user_id % 20 AS VARCHAR) AS unit_name,
        CAST(crew_user_id % 6 AS INTEGER) AS cost_center_id
-FROM (SELECT DISTINCT crew_user_id, shift_assignment_id FROM crew_link) x""", "crew_link")
+FROM (SELECT DISTINCT crew_user_id, shift_assignment_id, seat_day FROM crew_link) x""", "crew_link")
 role("crew_seats", f"""
 SELECT s.*, cc.cost_center_name, u.last_name || ', ' || u.first_name AS assigned_name, u.job_title, v.special_event,
        {hrs('s.shift_end', 's.shift_start')} AS scheduled_hours,
@@ -306,7 +308,7 @@ SELECT s.*, cc.cost_center_name, u.last_name || ', ' || u.first_name AS assigned
        s.date_line AS shift_date, COALESCE(cc.cost_center_name LIKE '%PROMO%', FALSE) AS is_training
 FROM crew_shifts s
 LEFT JOIN cost_centers cc ON cc.cost_center_id = s.cost_center_id
-LEFT JOIN users u ON u.user_id = s.user_id
+LEFT JOIN users u ON u.user_id = s.user_id AND u.source_database = s.source_database
 JOIN valid_cost_centers v ON v.cost_center_id = s.cost_center_id AND v.source_database = s.source_database""",
      "crew_shifts", "cost_centers", "users", "valid_cost_centers")
 role("run_crew", f"""
@@ -335,7 +337,8 @@ SELECT *,
 FROM (
   SELECT assignment_id, source_database, user_id, assigned_name, job_title, shift_date, shift_start, shift_end,
          scheduled_hours, actual_hours_worked, unit_name, cost_center_id, cost_center_name, is_training, special_event,
-         count(leg_id) AS total_runs, sum(time_on_task_minutes) / 60.0 AS total_time_on_task_hours,
+         count(DISTINCT leg_id) AS total_runs, sum(time_on_task_minutes) / 60.0 AS total_time_on_task_hours,
+         avg(destination_to_clear_minutes) AS avg_destination_time_minutes, avg(transport_time_minutes) AS avg_transport_time_minutes,
          avg(time_on_task_minutes) AS avg_time_on_task_minutes, avg(scene_time_minutes) AS avg_scene_time_minutes,
          avg(response_time_minutes) AS avg_response_time_minutes,
          min(assigned_time) AS first_run_assigned_time, max(clear_time) AS last_run_clear_time
@@ -350,28 +353,29 @@ SELECT *, {region_cc_sql()} AS region, time_on_task_minutes / 60.0 AS time_on_ta
 FROM (SELECT *, row_number() OVER (PARTITION BY leg_id, run_source ORDER BY shift_assignment_id) AS rk
       FROM run_crew WHERE calltype_name IN ('ALS', 'BLS', 'CCT')) x
 WHERE rk = 1""", "run_crew")
+_PARTS = {"scene_time": "scene_time_minutes", "destination_time": "destination_to_clear_minutes", "transport_time": "transport_time_minutes"}
+_AVGS = {"time_on_task": "time_on_task_minutes", "time_on_task_excl_transport": "time_on_task_excl_transport_minutes", "response_time": "response_time_minutes"} | _PARTS
+_SUMS = {"time_on_task": "time_on_task_minutes", "time_on_task_excl_transport": "time_on_task_excl_transport_minutes"} | _PARTS
+role("day_keys", f"""
+SELECT DISTINCT shift_date AS service_date, source_database, region FROM run_metrics
+UNION SELECT shift_date, source_database, {region_cc_sql()} FROM crew_seats""", "run_metrics", "crew_seats")
+role("day_hours", f"""
+SELECT shift_date AS service_date, source_database, {region_cc_sql()} AS region, sum(actual_hours_worked) / 2.0 AS sched,
+       count(DISTINCT CASE WHEN actual_hours_worked > 0 THEN cost_center_id END) AS centers
+FROM crew_seats WHERE NOT special_event AND is_training IS DISTINCT FROM TRUE GROUP BY ALL""", "crew_seats")
 role("reconcile", f"""
-SELECT COALESCE(r.d, h.d) AS service_date, COALESCE(r.source_database, h.source_database) AS source_database,
-       COALESCE(r.region, h.region) AS region, COALESCE(r.total_runs, 0) AS total_runs,
-       COALESCE(r.tot_m, 0.0) AS total_time_on_task_minutes, COALESCE(r.tot_xm, 0.0) AS total_time_on_task_excl_transport_minutes,
-       COALESCE(r.tot_m, 0.0) / 60.0 AS total_time_on_task_hours, COALESCE(r.tot_xm, 0.0) / 60.0 AS total_time_on_task_excl_transport_hours,
-       r.avg_tot AS avg_time_on_task_minutes, COALESCE(h.sched, 0.0) AS total_scheduled_hours,
-       COALESCE(h.units, 0) AS total_units
-FROM (SELECT service_date AS d, source_database, region, count(leg_id) AS total_runs, sum(time_on_task_minutes) AS tot_m,
-             sum(time_on_task_excl_transport_minutes) AS tot_xm, avg(time_on_task_minutes) AS avg_tot
-      FROM run_metrics GROUP BY ALL) r
-FULL OUTER JOIN (
-      SELECT shift_date AS d, source_database, {region_cc_sql()} AS region,
-             sum(CASE WHEN NOT special_event AND NOT COALESCE(is_training, FALSE) THEN actual_hours_worked ELSE 0.0 END) / 2.0 AS sched,
-             count(DISTINCT CASE WHEN NOT special_event AND NOT COALESCE(is_training, FALSE) AND actual_hours_worked > 0 THEN unit_name END) AS units
-      FROM crew_seats GROUP BY ALL) h
-  ON r.d = h.d AND r.source_database = h.source_database AND r.region = h.region""", "run_metrics", "crew_seats")
+SELECT k.*, COALESCE(r.n, 0) AS total_runs, {", ".join(f"COALESCE(r.sum_{n}, 0.0) / 60.0 AS total_{n}_hours" for n in _SUMS)},
+       {", ".join(f"r.avg_{n} AS avg_{n}_minutes" for n in _AVGS)}, COALESCE(h.sched, 0.0) AS total_scheduled_hours, COALESCE(h.centers, 0) AS total_shifts
+FROM day_keys k
+LEFT JOIN (SELECT shift_date AS service_date, source_database, region, count(DISTINCT leg_id) AS n, {", ".join(f"sum({c}) AS sum_{n}" for n, c in _SUMS.items())},
+                  {", ".join(f"avg({c}) AS avg_{n}" for n, c in _AVGS.items())} FROM run_metrics GROUP BY ALL) r USING (service_date, source_database, region)
+LEFT JOIN day_hours h USING (service_date, source_database, region)""", "day_keys", "day_hours", "run_metrics")
 role("history_log", """
 SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS leg_id, 'canceled_time' AS field, user_id,
        ts AS changed_at
 FROM events WHERE event_type = 'error'""")
 role("uploads", """
-SELECT l_orderkey AS leg_id, l_suppkey AS uploader_id, l_orderkey * 100 + l_linenumber AS leg_attachment_id,
+SELECT l_orderkey AS leg_id, l_suppkey AS uploader_id, l_orderkey * 100000 + l_linenumber AS leg_attachment_id,
        l_shipdate AS uploaded_at
 FROM lineitem WHERE l_returnflag = 'R'""")
 role("qa_runs", """

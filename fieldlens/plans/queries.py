@@ -1,6 +1,7 @@
 """Query plans: each registered query composes library operators over the role views of
-the driver tables. Every function takes ``(spark, root)`` and returns a DataFrame; no
-action is run here."""
+the driver tables. Every function takes ``(spark, root)`` and returns a DataFrame. Shared
+models are written when a query first needs them (``plans/models.py``), streams run when
+their query is built; all else runs when the result is read."""
 
 from __future__ import annotations
 
@@ -439,7 +440,7 @@ def q_open_hours_report(spark, root):
 
 def q_report_with_totals(spark, root):
     t = reports.report_with_totals(_report_shifts(spark, root))
-    return t.select("region", "pay_period_start", "row_label", "row_kind",
+    return t.select("region", "pay_period_start", "row_label", "user_id", "row_kind",
                     r4("scheduled_hours").alias("scheduled_hours"), "shifts")
 
 
@@ -555,7 +556,8 @@ def q_crew_daily(spark, root):
 def q_crew_efficiency_weekly(spark, root):
     w = crew.crew_weekly(_shift_metrics(spark, root))
     return w.select("user_id", "source_database", "week_start", "week_end", "shifts_worked", "total_calls_ran",
-                    *[r4(c).alias(c) for c in ("avg_time_on_task_minutes", "avg_daily_uhu", "weekly_uhu",
+                    *[r4(c).alias(c) for c in ("avg_time_on_task_minutes", "avg_destination_time_minutes",
+                                               "avg_transport_time_minutes", "avg_daily_uhu", "weekly_uhu",
                                                "time_on_task_pct", "total_active_hours")], "cost_centers_worked")
 
 
@@ -583,15 +585,14 @@ def _reconcile(spark, root):
 def q_reconcile_daily(spark, root):
     r = _reconcile(spark, root)
     return r.select("service_date", "source_database", "region", "total_runs",
-                    *[r4(c).alias(c) for c in ("total_time_on_task_hours", "total_time_on_task_excl_transport_hours",
-                                               "avg_time_on_task_minutes", "total_scheduled_hours")], "total_units")
+                    *[r4(c).alias(c) for c in r.columns if c.endswith(("_hours", "_minutes"))], "total_shifts")
 
 
 def q_time_on_task_daily(spark, root):
     t = crew.tot_daily(_reconcile(spark, root))
-    ints = ("total_runs", "total_units")
-    return t.select("service_date", "region", *ints, *[r4(c).alias(c) for c in t.columns
-                                                       if c not in ("service_date", "region") + ints])
+    return t.select("service_date", "source_database", "region", "total_runs", "total_shifts",
+                    *[r4(c).alias(c) for c in t.columns if c.endswith(("_hours", "_minutes", "_pct", "_utilization", "_ma"))],
+                    "day_of_week", "day_name", "week_start", "month_start")
 
 
 def q_labour_hours(spark, root):
@@ -628,9 +629,9 @@ def q_qa_status(spark, root):
 
 
 def q_pay_list(spark, root):
-    p = audit.pay_list(run_crew(spark, root), roles.users(spark, root))
-    return p.select("user_id", "assigned_name", "source_database", r4("hours_on_task").alias("hours_on_task"),
-                    "runs", "hourly_wage", r4("pay_amount").alias("pay_amount"))
+    p = audit.pay_list(stage_times(spark, root), crew_link(spark, root), roles.users(spark, root))
+    return p.select("run_number", "leg_date", "clear_time", "assigned_time", r4("time_on_task_hours").alias("time_on_task_hours"),
+                    "source_database", "crew_user_id", "crew_name", "hourly_wage", r4("pay_amount").alias("pay_amount"))
 
 
 def q_active_users(spark, root):
@@ -751,12 +752,14 @@ def q_snapshot_diff(spark, root):
 
 
 def q_reconcile_weekly(spark, root):
-    h = roles.run_header(spark, root).select("leg_id", "service_date")
+    o = tables.load_table(spark, root, "orders", ["o_orderkey", "o_orderdate"])
+    h = o.select(F.col("o_orderkey").alias("leg_id"), F.col("o_orderdate").cast("date").alias("service_date"))
     return calendar.reconcile_weeks(h, "service_date", AS_OF_ORDERS, extra_days=7)
 
 
 def q_week_chunks(spark, root):
-    h = roles.run_header(spark, root).select(S.month_start("service_date").alias("month_start"))
+    o = tables.load_table(spark, root, "orders", ["o_orderdate"])
+    h = o.select(S.month_start(F.col("o_orderdate").cast("date")).alias("month_start"))
     return calendar.week_chunks(h).select("month_start", "month_end", "chunk_no", "chunk_start", "chunk_end")
 
 

@@ -44,8 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only when unset.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; this function reads
-    it from the session and only falls back to a fresh local scratch folder when
-    nothing is configured (local tests).
+    it from the session. Only a session that runs on one machine (``local[...]``) may leave
+    it unset and gets a scratch folder; anywhere else that is an error, because executors
+    could not read each other's files.
     """
     try:
         sc = spark.sparkContext
@@ -56,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(current)
         return current
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="fieldlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None:

@@ -226,12 +226,16 @@ def history_log(spark: SparkSession, root: str) -> DataFrame:
 
 def periods(spark: SparkSession, dates: DataFrame, date_col: str,
             anchor: dt.date = PERIOD_ANCHOR_EVENTS) -> DataFrame:
-    """14-day Sunday-start pay periods from ``anchor`` to the last date in ``dates``.
+    """14-day Sunday-start pay periods that cover all dates in ``dates``, in step with
+    ``anchor`` (period 1; periods before it have numbers from 0 down).
 
     The date range is one aggregate over the data; the period list it expands to is
     bounded by the calendar span (26 rows a year), not by the row count."""
-    bounds = dates.agg(F.max(F.col(date_col).cast("date")).alias("hi"))
-    seq = F.sequence(F.lit(anchor), F.col("hi"), F.expr("INTERVAL 14 DAYS"))
+    d = F.col(date_col).cast("date")
+    bounds = dates.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
+    steps = (F.floor(F.datediff("lo", F.lit(anchor)) / 14) * 14).cast("int")
+    first = F.least(F.lit(anchor), F.date_add(F.lit(anchor), steps))
+    seq = F.when(F.col("hi") >= first, F.sequence(first, F.col("hi"), F.expr("INTERVAL 14 DAYS")))
     p = bounds.select(F.explode(seq).alias("start_date"))
     return p.select(
         F.year("start_date").alias("pay_period_year"),
@@ -257,21 +261,22 @@ def users(spark: SparkSession, root: str) -> DataFrame:
 
 
 def crew_link(spark: SparkSession, root: str) -> DataFrame:
-    """leg-shift link: distinct (leg, crew member) pairs; the crew seat id is (member, day)."""
+    """leg-shift link: distinct (leg, crew member) pairs with the day they served; the crew seat
+    id numbers (member, day)."""
     li = load_table(spark, root, "lineitem", ["l_orderkey", "l_suppkey"]).distinct()
     o = load_table(spark, root, "orders", ["o_orderkey", "o_orderdate"])
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     day = F.datediff(F.col("o_orderdate").cast("date"), F.lit(PERIOD_ANCHOR_ORDERS))
     return j.select(F.col("l_orderkey").alias("leg_id"), F.col("l_suppkey").alias("crew_user_id"),
+                    source_tag(F.col("l_suppkey")).alias("crew_source"), F.col("o_orderdate").cast("date").alias("seat_day"),
                     (F.col("l_suppkey") * 100000 + day).alias("shift_assignment_id"))
 
 
 def crew_shifts(spark: SparkSession, root: str, link: DataFrame | None = None) -> DataFrame:
     """crew seats: one 12-hour day seat (06:00-18:00) per crew member and service day."""
     link = (link if link is not None else crew_link(spark, root)) \
-        .select("crew_user_id", "shift_assignment_id").distinct()
-    day = (F.col("shift_assignment_id") % 100000).cast("int")
-    date_line = F.date_add(F.lit(PERIOD_ANCHOR_ORDERS), day)
+        .select("crew_user_id", "shift_assignment_id", "seat_day").distinct()
+    date_line = F.col("seat_day")
     start = add_hours(date_line.cast("timestamp_ntz"), F.lit(6))
     s = F.col("crew_user_id")
     return link.select(
@@ -290,7 +295,7 @@ def uploads(spark: SparkSession, root: str) -> DataFrame:
         .where(F.col("l_returnflag") == "R")
     return li.select(
         F.col("l_orderkey").alias("leg_id"), F.col("l_suppkey").alias("uploader_id"),
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("leg_attachment_id"),
+        (F.col("l_orderkey") * 100000 + F.col("l_linenumber")).alias("leg_attachment_id"),
         F.col("l_shipdate").alias("uploaded_at"))
 
 
@@ -300,7 +305,7 @@ def attachment_types(spark: SparkSession, root: str) -> DataFrame:
         .where(F.col("l_linestatus") == "F")
     p = load_table(spark, root, "part", ["p_partkey", "p_type"])
     return li.join(p, li.l_partkey == p.p_partkey, "left").select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("leg_attachment_id"),
+        (F.col("l_orderkey") * 100000 + F.col("l_linenumber")).alias("leg_attachment_id"),
         F.col("p_type").alias("type_name"))
 
 

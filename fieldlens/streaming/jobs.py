@@ -1,13 +1,15 @@
 """Structured Streaming jobs for the reference's polling loads (ST-1, ST-3, ST-9).
 
-The reference re-reads a recent window every ten minutes and merges it. Here a file
-stream is read with ``trigger(availableNow=True)`` (catch up, then stop; schedule it
-like the reference's polling), each micro-batch is merged with ``foreachBatch``, and the
-checkpoint sits in the cluster's shared folder (``spark.checkpoint.dir``), so a lost
-executor or driver restart resumes from the last committed batch. Merged versions are
-written to per-batch folders, so re-running a batch overwrites its own output only
-(idempotent) and never the folder being read.
-"""
+The reference re-reads a recent window every ten minutes and merges it, and sweeps further
+back weekly and monthly, so a late row is never lost. Here a file stream is read with
+``trigger(availableNow=True)`` (catch up, then stop; schedule it like the polling). Each
+micro-batch names the days its rows touch, and only those day partitions of the target are
+read and replaced. There is no watermark: a row of any age reaches its day.
+
+A batch is prepared in a folder of its own (``_staged/<batch id>``) before partitions are
+replaced. If a run stops in between, the next run of the same batch finds the staged rows
+and replaces the same partitions with them again. Sources, offsets and targets sit in the
+cluster's shared folder (``spark.checkpoint.dir``) or where ``root`` says."""
 
 from __future__ import annotations
 
@@ -16,11 +18,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from fieldlens.functions.scalars import instant_to_ntz, utc_instant
 from fieldlens.session import scratch_path
 from fieldlens.sinks import merge_frames
 
+#: Partition column of a target: the day of the event.
+DAY = "event_day"
+
 
 def stream_glob(path: str) -> str:
     """A file source watches a folder or a glob; a single file becomes a glob matching it
@@ -30,11 +35,13 @@ def stream_glob(path: str) -> str:
     return path
 
 
-def file_stream(spark: SparkSession, path: str, schema=None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema=None, max_files: int | None = None) -> DataFrame:
     """Parquet file stream over ``path`` (a file, folder or glob); the schema comes from a
     batch read of the same path (streams need it up front)."""
-    schema = schema or spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(stream_glob(path))
+    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(stream_glob(path))
 
 
 def _run(writer, checkpoint: str) -> None:
@@ -42,88 +49,114 @@ def _run(writer, checkpoint: str) -> None:
     q.awaitTermination()
 
 
-def _version(root: str, n: int) -> str:
-    return os.path.join(root, f"v{n:06d}")
+def _fs(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed; storage errors are raised, not read as no."""
+    at, fs = _fs(spark, os.path.join(path, "_SUCCESS"))
+    return fs.exists(at)
+
+
+def read_target(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """The target's rows without the partition column; empty if nothing was written yet."""
+    table = os.path.join(root, "table")
+    at, fs = _fs(spark, table)
+    if not fs.exists(at):
+        return spark.createDataFrame([], schema)
+    return _partitions(spark, root, schema).drop(DAY)
+
+
+def _partitions(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(StructType(list(schema.fields)).add(DAY, "date")).parquet(os.path.join(root, "table"))
+
+
+def replace_days(spark: SparkSession, root: str, rows: DataFrame, day: Column) -> None:
+    """Replace the day partitions that ``rows`` hold by ``rows``."""
+    (rows.withColumn(DAY, day).repartition(DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(DAY).parquet(os.path.join(root, "table")))
+
+
+def _apply(spark: SparkSession, root: str, batch_id: int, schema: StructType, day: Column, build: Callable[[], DataFrame]) -> None:
+    """Stage a batch's new partitions once, then replace them; both steps can be repeated."""
+    staged = os.path.join(root, "_staged", str(batch_id))
+    if not _complete(spark, staged):
+        build().write.mode("overwrite").parquet(staged)
+    replace_days(spark, root, spark.read.schema(schema).parquet(staged), day)
+    at, fs = _fs(spark, os.path.join(root, "_staged", str(batch_id - 1)))
+    if fs.exists(at):
+        fs.delete(at, True)
+
+
+def _days(rows: DataFrame, day: Column) -> list:
+    """The days that a batch touches: as many values as calendar days."""
+    return [r[0] for r in rows.select(day.alias("d")).distinct().where("d is not null").collect()]
 
 
 def stream_upsert(spark: SparkSession, source_path: str, target: DataFrame, keys: Sequence[str],
-                  transform: Callable[[DataFrame], DataFrame] = lambda d: d,
-                  order: Sequence = (), name: str = "stream-upsert", root: str | None = None) -> DataFrame:
+                  transform: Callable[[DataFrame], DataFrame] = lambda d: d, order: Sequence = (),
+                  event_time: str = "ts", newer_wins: bool = True, name: str = "stream-upsert",
+                  root: str | None = None, max_files: int | None = None) -> DataFrame:
     """ST-1/SNK-2: merge every micro-batch of the source stream into the target table.
 
-    Version ``n`` of the target lives in ``root/v{n}``: the initial target is version 0
-    and micro-batch ``b`` reads version ``b`` and writes version ``b + 1``. The input of
-    a batch therefore follows from its id alone, so a retried batch rewrites the same
-    output from the same input, and a restarted query (same ``root``, same checkpoint)
-    continues from the last committed batch. Returns a reader of the newest version."""
+    The target is partitioned by the day of ``event_time``; rows of one key share a day, so a
+    batch reads, merges and replaces only the days it holds. ``newer_wins=False`` keeps the
+    rows that are there (insert only). The initial ``target`` is written once per ``root``."""
     root = root or scratch_path(spark, name)
-    if not _exists(spark, _version(root, 0)):
-        target.write.mode("overwrite").parquet(_version(root, 0))
-        _mark_latest(spark, root, 0)
+    # rows without a time share one partition
+    schema, day = target.schema, F.coalesce(F.col(event_time).cast("date"), F.to_date(F.lit('0001-01-01')))
+    seeded = os.path.join(root, "_seeded")
+    if not _complete(spark, seeded):
+        replace_days(spark, root, target, day)
+        spark.range(1).write.mode("overwrite").parquet(seeded)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         delta = transform(batch)
-        current = spark.read.parquet(_version(root, batch_id))
-        merge_frames(current, delta, keys, order).write.mode("overwrite").parquet(_version(root, batch_id + 1))
-        _mark_latest(spark, root, batch_id + 1)
 
-    _run(file_stream(spark, source_path).writeStream.foreachBatch(merge_batch),
-         os.path.join(root, "_checkpoint"))
-    return spark.read.parquet(_version(root, _latest(spark, root)))
+        def build() -> DataFrame:
+            current = _partitions(spark, root, schema).where(F.col(DAY).isin(_days(delta, day))).drop(DAY)
+            first, second = (current, delta) if newer_wins else (delta, current)
+            return merge_frames(first, second, keys, order).select(*schema.names)
 
+        if not delta.isEmpty():
+            _apply(spark, root, batch_id, schema, day, build)
 
-def _mark_latest(spark: SparkSession, root: str, n: int) -> None:
-    """Record the newest committed version (a one-row marker next to the versions)."""
-    spark.range(1).select(F.lit(n).alias("v")).write.mode("overwrite").parquet(os.path.join(root, "_latest"))
+    _run(file_stream(spark, source_path, max_files=max_files).writeStream.foreachBatch(merge_batch),
+         os.path.join(root, "_checkpoint"))
+    return read_target(spark, root, schema)
 
 
-def _latest(spark: SparkSession, root: str) -> int:
-    return spark.read.parquet(os.path.join(root, "_latest")).first()["v"]
+def stream_dedup(spark: SparkSession, source_path: str, keys: Sequence[str], event_time: str = "ts",
+                 name: str = "stream-dedup", root: str | None = None) -> DataFrame:
+    """ST-3: one row per key. A batch adds the keys that its days do not hold yet, so
+    duplicates within a batch, across batches and across runs of the same ``root`` go, and
+    late rows stay."""
+    empty = spark.read.parquet(source_path).limit(0)
+    return stream_upsert(spark, source_path, empty, keys, event_time=event_time, newer_wins=False, name=name, root=root)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 (resolves the path only)
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+def stream_window_counts(spark: SparkSession, source_path: str, by: Sequence[str] = (), event_time: str = "ts",
+                         name: str = "stream-counts", root: str | None = None) -> DataFrame:
+    """ST-9, ST-2: counts and sums per day. A batch recounts the days it touches from the source
+    and replaces them, so late rows, repeated batches and restarts give the same result as
+    one count over everything."""
+    root = root or scratch_path(spark, name)
+    day = F.col(event_time).cast("date")
 
+    def count(rows: DataFrame) -> DataFrame:
+        start = day.cast("timestamp_ntz").alias("window_start")
+        return (rows.where(day.isNotNull()).groupBy(start, *by).agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum"))
+                .withColumn("window_end", F.expr("window_start + interval 1 day")).select("window_start", "window_end", *by, "events", "value_sum"))
 
-def stream_dedup(spark: SparkSession, source_path: str, keys: Sequence[str], event_time: str = "ts",
-                 delay: str = "1 day", name: str = "stream-dedup") -> DataFrame:
-    """ST-3: drop duplicate keys within the watermark delay; state is bounded by the
-    watermark. Watermarks need an instant, so the wall-clock event time is read as UTC
-    (zone independent: the session zone does not move the windows)."""
-    root = scratch_path(spark, name)
-    out = os.path.join(root, "out")
-    s = file_stream(spark, source_path).withColumn("_et", utc_instant(event_time))
-    d = s.withWatermark("_et", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_et")
-    _run(d.writeStream.format("parquet").option("path", out).outputMode("append"),
-         os.path.join(root, "_checkpoint"))
-    return spark.read.schema(s.drop("_et").schema).parquet(out)
+    source = spark.read.parquet(source_path)
+    schema = count(source).schema
 
+    def recount(batch: DataFrame, batch_id: int) -> None:
+        days = _days(batch, day)
+        if days:
+            _apply(spark, root, batch_id, schema, F.col("window_start").cast("date"), lambda: count(spark.read.parquet(source_path).where(day.isin(days))))
 
-def stream_window_counts(spark: SparkSession, source_path: str, by: Sequence[str | Column] = (),
-                         event_time: str = "ts", size: str = "1 day", delay: str = "1 day",
-                         name: str = "stream-counts", root: str | None = None) -> DataFrame:
-    """ST-9: tumbling-window counts with a watermark. The aggregate is emitted in update
-    mode and upserted per micro-batch on (window, keys), so windows still open at the
-    end of the stream are included (append mode would withhold them)."""
-    root = root or scratch_path(spark, name)
-    s = file_stream(spark, source_path).withColumn("_et", utc_instant(event_time))
-    agg = (s.withWatermark("_et", delay)
-             .groupBy(F.window("_et", size).alias("w"), *by)
-             .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum")))
-    keys = ["window_start"] + [b if isinstance(b, str) else str(b) for b in by]
-
-    def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        # batch b merges its updated windows into version b - 1 and writes version b
-        delta = batch.select(instant_to_ntz("w.start").alias("window_start"),
-                             instant_to_ntz("w.end").alias("window_end"), *by, "events", "value_sum")
-        merged = delta if batch_id == 0 else merge_frames(spark.read.parquet(_version(root, batch_id - 1)),
-                                                          delta, keys)
-        merged.write.mode("overwrite").parquet(_version(root, batch_id))
-        _mark_latest(spark, root, batch_id)
-
-    _run(agg.writeStream.outputMode("update").foreachBatch(upsert_batch), os.path.join(root, "_checkpoint"))
-    return spark.read.parquet(_version(root, _latest(spark, root)))
+    _run(file_stream(spark, source_path).writeStream.foreachBatch(recount), os.path.join(root, "_checkpoint"))
+    return read_target(spark, root, schema)

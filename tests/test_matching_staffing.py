@@ -106,3 +106,51 @@ def test_daily_operations_keeps_both_sides(spark, root):
     assert ops.groupBy("region", "report_date").count().where("count > 1").count() == 0
     run_days = Q.runs(spark, root).where(F.col("region").isNotNull()).select("region", "service_date").distinct().count()
     assert ops.where((F.col("total_transports") + F.col("cancelled_calls") + F.col("turned_calls")) >= 0).count() >= run_days
+
+
+def test_equal_ids_in_two_sources_do_not_match(spark):
+    """Seats and punches are numbered per source database."""
+    import datetime as dt
+    from fieldlens.operators import matching
+    day = dt.datetime(2024, 1, 2, 8)
+    seat = [(s, 1, 7, day, day + dt.timedelta(hours=8), day.date(), 1) for s in ("src0", "src1")]
+    shifts = spark.createDataFrame(seat, "source_database string, assignment_id long, user_id long, shift_start timestamp_ntz, "
+                                         "shift_end timestamp_ntz, date_line date, cost_center_id int")
+    t0 = int(day.replace(tzinfo=dt.timezone.utc).timestamp())
+    punches = spark.createDataFrame([(5, 7, 1, t0, t0 + 60, "src0", day)], "time_id long, time_user_id long, shift_assignment_id long, "
+                                    "time_start_ts long, time_end_ts long, source_database string, date_created timestamp_ntz")
+    got = {(r.source_database, r.match_type) for r in matching.match_intervals(shifts, punches).collect()}
+    assert got == {("src0", "direct_match"), ("src1", "no_timesheet")}
+    other = punches.withColumn("source_database", F.lit("src2"))
+    assert matching.orphan_intervals(shifts, other).count() == 1
+    fact = matching.schedule_fact(shifts, matching.match_intervals(shifts, punches))
+    assert fact.count() == 2
+
+
+def test_open_seats_have_no_cumulative_hours(spark):
+    import datetime as dt
+    from fieldlens.operators import staffing
+    d = dt.datetime(2024, 1, 2)
+    df = spark.createDataFrame([("src0", 1, 5, d, d.date(), 8.0), ("src0", 2, None, d, d.date(), 0.0), ("src0", 3, 5, d + dt.timedelta(days=1), d.date(), 4.0)],
+                               "source_database string, assignment_id long, user_id long, shift_start timestamp_ntz, week_start date, scheduled_hours double")
+    got = {r.assignment_id: r.cumulative_hours for r in staffing.cumulative_hours(df).collect()}
+    assert got == {1: 8.0, 2: None, 3: 12.0}
+
+
+def test_periods_reach_back_before_the_anchor(spark):
+    import datetime as dt
+    from fieldlens.sources import roles
+    dates = spark.createDataFrame([(dt.date(2023, 11, 1),), (dt.date(2024, 1, 10),)], "d date")
+    rows = roles.periods(spark, dates, "d").orderBy("start_date").collect()
+    assert rows[0].start_date <= dt.date(2023, 11, 1) <= rows[0].end_date and rows[0].pay_period_number == -3
+    assert any(r.start_date == dt.date(2023, 12, 24) and r.pay_period_number == 1 for r in rows)
+
+
+def test_report_keeps_employees_of_one_name_apart(spark):
+    import datetime as dt
+    from fieldlens.operators import reports
+    p = dt.date(2024, 1, 7)
+    df = spark.createDataFrame([("src0", 1, "Lee, Ann", False, 8.0, "s", p), ("src0", 2, "Lee, Ann", False, 6.0, "s", p), ("src0", None, None, True, 5.0, "s", p), ("src1", None, None, True, 4.0, "s", p)],
+                               "source_database string, user_id long, assigned_name string, is_open boolean, report_hours double, region string, pay_period_start date")
+    got = sorted((r.row_kind, r.scheduled_hours) for r in reports.report_with_totals(df).collect())
+    assert got == [("employee", 6.0), ("employee", 8.0), ("open", 9.0), ("total", 23.0)]
