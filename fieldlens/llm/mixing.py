@@ -98,7 +98,9 @@ def select(docs: DataFrame, levels: list[str], weights: list[dict[str, int]], bu
     whole = marked.where("whole > 0").select(*out, F.explode(F.sequence(F.lit(1), F.col("whole"))).alias("epoch"), F.col("n_tokens").alias("tokens_taken"))
     within = marked.where("b < bin").select(*out, (F.col("whole") + 1).alias("epoch"), F.col("n_tokens").alias("tokens_taken"))
     inside = Window.partitionBy(*levels).orderBy("h", "doc_id", "n_tokens", "text_key").rowsBetween(Window.unboundedPreceding, -1)
-    last = (marked.where("b = bin").withColumn("left", F.col("part") - F.col("start") - F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+    # the few documents of the ranges where budgets end, written first: else the join would deal all rows by leaf for the window
+    edge = written(marked.where("b = bin"), "mix-edge")
+    last = (edge.withColumn("left", F.col("part") - F.col("start") - F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
             .where("left > 0").select(*out, (F.col("whole") + 1).alias("epoch"), F.least("left", "n_tokens").alias("tokens_taken")))
     return whole.unionByName(within).unionByName(last)
 
