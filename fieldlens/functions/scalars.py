@@ -176,3 +176,8 @@ def round_numeric(c: ColumnOrName, scale: int = 2) -> Column:
     """``ROUND(x::numeric, n)``: round half up on the decimal value, not on the binary
     double (a double like 3.425 would otherwise round down). Returns double."""
     return F.round(col(c).cast("decimal(24,8)"), scale).cast("double")
+
+
+def metres_to_miles(c: ColumnOrName) -> Column:
+    """Metres to statute miles (SC-21)."""
+    return col(c) / F.lit(1609.344)

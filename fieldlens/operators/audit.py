@@ -87,15 +87,6 @@ def compliance(runs: DataFrame, crew: DataFrame, uploads: DataFrame, finalizer:
         "total_attachments", "crew_attachments", "has_crew_attachment", "requires_attachment", "is_compliant")
 
 
-def compliance_rate(rows: DataFrame, by: Sequence[str] = ("user_id",)) -> DataFrame:
-    """Compliance rate per crew member (or any key): compliant / required runs."""
-    g = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("runs_attributed"),
-        F.count_if(F.col("requires_attachment")).alias("runs_required"),
-        F.count_if(F.col("requires_attachment") & F.col("is_compliant")).alias("runs_compliant"))
-    return g.withColumn("compliance_pct", round_half(
-        F.try_divide(F.col("runs_compliant").cast("double"), F.nullif(F.col("runs_required"), F.lit(0)).cast("double")), 4))
-
 
 def qa_recon(records: DataFrame, export_log: DataFrame, qa: DataFrame, users: DataFrame) -> DataFrame:
     """QA/export reconciliation (BO-43, JN-19). ``records``: run_id, finalized, create_user;

@@ -85,5 +85,6 @@ def export_marts(marts: Mapping[str, DataFrame], root: str) -> None:
 
 
 def write_report(df: DataFrame, root: str, partition_by: Sequence[str] = ("region", "pay_period_start")) -> None:
-    """Per-region, per-period report output (SNK-9)."""
-    write_replace(df, root, partition_by)
+    """Per-region, per-period report output (SNK-9). Rows are dealt by partition first, so a
+    partition is one file (or a few), not one from every task."""
+    write_replace(df.repartition(*partition_by), root, partition_by)
