@@ -36,8 +36,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the target weights select, a row for each epoch, with the tokens taken of each."""
-    rated = with_domain(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return mixing.selected(rated, mixing.select(rated, MIX_LEVELS, MIX_WEIGHTS))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    plain = docs.drop("domain")
+    chosen = mixing.select(plain, MIX_LEVELS, MIX_WEIGHTS, attach=lambda rows: with_domain(rows, labels))
+    return mixing.selected(plain, chosen, also=("domain",))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -18,6 +18,8 @@ levels) count as one document; a null doc_id takes part; an empty table gives no
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,9 +81,12 @@ def _order(seed: int, epoch: Column) -> Column:
 
 
 def select(docs: DataFrame, levels: list[str], weights: list[dict[str, int]], budget_share: float = 0.6, epochs: int = 3, seed: int = 11,
-           doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, text_key, levels..., copies, n_tokens, epoch, tokens_taken)``: a row for each document and epoch it is selected in."""
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in levels], token_count(F.col(text)).alias("n_tokens"))
+           doc_id: str = "doc_id", text: str = "text", attach: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """``(doc_id, text_key, levels..., copies, n_tokens, epoch, tokens_taken)``: a row for each document and epoch it is selected in.
+    ``attach`` adds levels that ``docs`` lacks to rows without texts, so that a join for them moves no text."""
+    held = [F.col(c).cast("string").alias(c) for c in levels if c in docs.columns]
+    counted = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), *held, token_count(F.col(text)).alias("n_tokens"))
+    narrow = attach(counted).select("doc_id", "text_key", *[F.coalesce(F.col(c), F.lit(NONE)).alias(c) for c in levels], "n_tokens")
     rows = written(narrow.where("n_tokens > 0").groupBy(*narrow.columns).agg(F.count("*").alias("copies")), "mix-rows")
     leaves = written(rows.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens")), "mix-leaves")
     plan = (leaf_budgets(leaves, levels, weights, budget_share, epochs)
@@ -105,9 +110,10 @@ def select(docs: DataFrame, levels: list[str], weights: list[dict[str, int]], bu
     return whole.unionByName(within).unionByName(last)
 
 
-def selected(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``chosen`` (from ``select``) names, once for each epoch, with epoch, n_tokens and tokens_taken."""
-    extra = ["epoch", "n_tokens", "tokens_taken"]
+def selected(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` (from ``select``) names, once for each epoch, with the columns ``also`` of ``chosen``, epoch,
+    n_tokens and tokens_taken."""
+    extra = [*also, "epoch", "n_tokens", "tokens_taken"]
     mine = [c for c in docs.columns if c not in extra]
     names = chosen.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "copies", *extra)
 

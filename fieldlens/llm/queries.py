@@ -78,8 +78,9 @@ def with_domain(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_domain(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return mixing.select(docs, MIX_LEVELS, MIX_WEIGHTS).select("doc_id", *MIX_LEVELS, "n_tokens", "epoch", "tokens_taken")
+    labels = _table(spark, sf_dir, "labels")
+    chosen = mixing.select(_table(spark, sf_dir, "documents"), MIX_LEVELS, MIX_WEIGHTS, attach=lambda rows: with_domain(rows, labels))
+    return chosen.select("doc_id", *MIX_LEVELS, "n_tokens", "epoch", "tokens_taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
