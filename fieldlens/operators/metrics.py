@@ -16,9 +16,8 @@ from fieldlens.operators.classify import TRANSPORT_LEVEL_PATTERNS, run_outcome
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture (call types, levels and titles of the driver tables).
-NON_TRANSPORT_CALL_TYPES = ["Medicar", "NEV - Wheelchair", "Standby - ALS", "Standby - BLS",
-                            "Standby - Medicar"]
-FLIGHT_CALL_TYPES = ["Flight Crew", "Flight Crew Return Only"]
+NON_TRANSPORT_CALL_TYPES = ["Medicar", "Standby - BLS"]
+FLIGHT_CALL_TYPES = ["Flight"]
 EMERGENCY_LEVELS = ["1-URGENT"]
 EMERGENCY_COST_CENTERS = ["PROMO"]
 EMERGENCY_REGIONS = ["west", "east"]

@@ -202,9 +202,9 @@ up AS (SELECT region, shift_date, unit_name, min(hour(shift_start)) AS first_hou
 lab AS ({tally(_OPS_SHIFTS + ' x', 'region, shift_date', {}, _BUCKETS)}),
 labour AS (SELECT lab.*, COALESCE(u.am, 0) AS ambulances_up_am, COALESCE(u.pm, 0) AS ambulances_up_pm, COALESCE(u.n, 0) AS total_ambulances
            FROM lab LEFT JOIN ({tally('up', 'region, shift_date', {'am': 'first_hour < 12', 'pm': 'last_hour >= 19', 'n': 'TRUE'})}) u USING (region, shift_date))"""
-_CARRIES = "run_outcome = 'ran' AND calltype_name IS NOT NULL AND NOT (calltype_name = 'Medicar' OR starts_with(calltype_name, 'Standby'))"
+_CARRIES = "run_outcome = 'ran' AND calltype_name IS NOT NULL AND calltype_name NOT IN ('Medicar', 'Standby - BLS')"
 _RUN_COUNTS = {f"{n}_transports": f"run_outcome = 'ran' AND calltype_name = '{c}'" for n, c in (("bls", "BLS"), ("als", "ALS"), ("sct", "CCT"))} | {
-    "flight_transports": "run_outcome = 'ran' AND starts_with(calltype_name, 'Flight Crew')", "total_transports": _CARRIES,
+    "flight_transports": "run_outcome = 'ran' AND calltype_name = 'Flight'", "total_transports": _CARRIES,
     "ldt_over_50_miles": f"{_CARRIES} AND mileage > 50", "calls_911": "region IN ('west', 'east') AND level_of_service = '1-URGENT'",
     "on_time_count": "run_outcome = 'ran' AND is_on_time", "on_time_eligible_count": "run_outcome = 'ran' AND is_on_time IS NOT NULL",
     "cancelled_calls": "run_outcome = 'cancelled'", "turned_calls": "run_outcome = 'turned'"}
