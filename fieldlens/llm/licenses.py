@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 
 from fieldlens.llm.shared import text_key
 
-WORDS, BLOCK, BANDS = 5, 4, 40
-#: Half-blocks of the classes, in shingles; the first stands for single shingles.
-HALVES = (0, 4, 8, 16, 32, 64, 128, 256, 512)
+WORDS, BLOCK, BANDS = 5, 4, 32
+#: Half-blocks of the classes, in shingles and multiples of ``BLOCK``; the first stands for single shingles.
+HALVES = (0, 4, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512)
+#: Templates whose window would share less with them are found by single shingles.
+LEAST_JACCARD = 0.3
 SEPARATORS = r"[^a-z0-9ß-ɏ]+"
 
 # License notices as they are commonly written.
@@ -69,7 +71,7 @@ def words_in(text: str) -> list[str]:
 def half_of(n: int, share: float = 0.8) -> int:
     """Half-block of a template of ``n`` shingles: half of the least class that holds it; 0 where the window would be too wide for it."""
     half = next(h for h in HALVES if 2 * h >= n)
-    return 0 if _jaccard(n, half, share) < 0.249 else half
+    return 0 if _jaccard(n, half, share) < LEAST_JACCARD else half
 
 
 def _jaccard(n: int, half: int, share: float) -> float:
@@ -128,8 +130,16 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, share: fl
     hashed = rows.select("doc_id", "text_key", "words", _hashes(F.col("words")).alias("hashes"))
     n = F.size("hashes")
     blocks = F.when(n > 0, F.sequence(F.lit(0), F.ceil(n / BLOCK).cast("int") - 1)).otherwise(F.expr("cast(array() as array<int>)"))
-    seeds = F.array(*map(F.lit, SEEDS))
-    some = F.filter(blocks, lambda j: F.exists(seeds, lambda s: F.array_min(F.transform(F.slice(F.col("hashes"), j * BLOCK + 1, BLOCK), lambda x: x.bitwiseXOR(s))).isin(keys))) if keys else F.expr("cast(array() as array<int>)")
+    # a block as a struct of its hashes, so that a band's least hash is one flat expression
+    held = F.transform(blocks, lambda j: F.struct(j.alias("j"), *[F.get(F.col("hashes"), j * BLOCK + i).alias(f"h{i}") for i in range(BLOCK)]))
+
+    def may_retrieve(b: Column) -> Column:
+        found = F.lit(False)
+        for seed in SEEDS:
+            found = found | F.least(*[b[f"h{i}"].bitwiseXOR(F.lit(seed)) for i in range(BLOCK)]).isin(keys)
+        return found
+
+    some = F.transform(F.filter(held, may_retrieve), lambda b: b["j"]) if keys else F.expr("cast(array() as array<int>)")
     alone = F.filter(_shingles(F.col("words"))[1], lambda i: F.get(F.col("hashes"), i).isin(single)) if single else F.expr("cast(array() as array<int>)")
 
     def windows(j: Column) -> Column:
@@ -153,8 +163,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, share: fl
     least = _least(F.col("hashes"))
     agree = F.when(F.col("half") > 0, F.exists(F.arrays_zip(least.alias("a"), F.col("template_least").alias("b")), lambda x: x["a"] == x["b"])).otherwise(F.arrays_overlap("hashes", "template_hashes"))
     retrieved = cut.join(fixed, F.col("half") == F.col("h")).where(agree)
-    held = retrieved.select("doc_id", "text_key", "license", "n", "start", "words", "shingles", F.size(F.array_intersect(_texts(F.col("words")), F.col("shingles"))).alias("found")).where(F.col("found") >= share * F.col("n") - 1e-9)
+    sure = retrieved.select("doc_id", "text_key", "license", "n", "start", "words", "shingles", F.size(F.array_intersect(_texts(F.col("words")), F.col("shingles"))).alias("found")).where(F.col("found") >= share * F.col("n") - 1e-9)
     place = F.array_min(F.filter(_shingles(F.col("words"))[1], lambda i: F.array_contains(F.col("shingles"), F.array_join(F.slice(F.col("words"), i + 1, WORDS), " "))))
-    best = held.select("doc_id", "text_key", "license", F.struct((F.col("found") / F.col("n")).alias("containment"), F.col("n").alias("n"), (-(F.col("start") + place)).alias("place")).alias("m"))
+    best = sure.select("doc_id", "text_key", "license", F.struct((F.col("found") / F.col("n")).alias("containment"), F.col("n").alias("n"), (-(F.col("start") + place)).alias("place")).alias("m"))
     return (best.groupBy("doc_id", "text_key", "license").agg(F.max("m").alias("m"))
             .select("doc_id", "text_key", "license", F.col("m.n").cast("long").alias("n_shingles"), F.col("m.containment").alias("containment"), (-F.col("m.place")).cast("long").alias("first_word")))

@@ -31,6 +31,8 @@ SELECT doc_id, item_id, n AS n_shingles, found / n::DOUBLE AS containment FROM h
 def license_scan() -> str:
     quote = lambda x: x.replace("'", "''")
     rows = ", ".join(f"('{name}', {i}, {licenses.half_of(len(licenses.words_in(t)) - 4)}, '{quote(t)}')" for name, texts in licenses.TEMPLATES.items() for i, t in enumerate(texts))
+    sizes = [len(licenses.words_in(t)) - 4 for texts in licenses.TEMPLATES.values() for t in texts]
+    widest = max(n for n in sizes if not licenses.half_of(n))
     words = lambda t: f"list_filter(string_split_regex(lower(coalesce({t}, '')), '{licenses.SEPARATORS}'), lambda x: x <> '')"
     return f"""
 WITH t(license, variant, half, text) AS (VALUES {rows}),
@@ -41,7 +43,9 @@ d AS (SELECT doc_id, text, {words('text')} AS w FROM (SELECT DISTINCT doc_id, te
 p AS (SELECT doc_id, text, w, unnest(range(0, greatest(len(w) - 4, least(len(w), 1)))) AS i FROM d),
 ps AS (SELECT doc_id, text, i, array_to_string(w[i + 1:i + 5], ' ') AS s FROM p),
 h AS (SELECT doc_id, text, license, variant, half, n, i, ps.s FROM ps JOIN ts USING (s)),
-win AS (SELECT *, CASE WHEN half = 0 THEN i ELSE greatest(i // half - b, 0) * half END AS start FROM h, range(0, 3) AS r(b)),
+single AS (SELECT DISTINCT doc_id, text, greatest(i - {widest} + 1, 0) AS start FROM h WHERE half = 0),
+win AS (SELECT h.*, greatest(i // half - b, 0) * half AS start FROM h, range(0, 3) AS r(b) WHERE half > 0
+  UNION ALL SELECT h.*, start FROM h JOIN single x ON x.doc_id IS NOT DISTINCT FROM h.doc_id AND x.text = h.text AND half = 0 AND i BETWEEN start AND start + 2 * {widest} - 2),
 m AS (SELECT doc_id, text, license, n, count(DISTINCT s) / n::DOUBLE AS containment, min(i) AS place FROM win GROUP BY doc_id, text, license, variant, n, start),
 best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text, license ORDER BY containment DESC, n DESC, place) AS k FROM m WHERE containment >= 0.8 - 1e-9)
 SELECT doc_id, license, n AS n_shingles, containment, place AS first_word FROM best WHERE k = 1
