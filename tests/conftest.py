@@ -11,8 +11,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session(master="local[*]", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = build_session(master="local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": shared})
     yield s
     s.stop()
 
