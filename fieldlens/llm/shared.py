@@ -26,14 +26,24 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: lineage is cut, and lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Deletes what this application has written; call it once results that read it are stored."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Maximal runs of ``[^\\x20\\x09-\\x0D]`` in the UTF-8 text, A-Z lower-cased; null has none."""
     return text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
