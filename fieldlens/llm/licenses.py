@@ -122,7 +122,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, share: fl
     """``(doc_id, text_key, license, n_shingles, containment, first_word)``: the best match of each license in each document."""
     table = template_table(docs.sparkSession, templates)
     known = table.collect()  # as many rows as there are fixed texts
-    keys = sorted({x for r in known if r["half"] for x in r["least"]})
+    keys = [sorted({r["least"][k] for r in known if r["half"]}) for k in range(BANDS)]  # by band
     single = sorted({x for r in known if not r["half"] for x in r["hashes"]})
     halves = sorted({r["half"] for r in known if r["half"]})
 
@@ -135,11 +135,11 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, share: fl
 
     def may_retrieve(b: Column) -> Column:
         found = F.lit(False)
-        for seed in SEEDS:
-            found = found | F.least(*[b[f"h{i}"].bitwiseXOR(F.lit(seed)) for i in range(BLOCK)]).isin(keys)
+        for seed, values in zip(SEEDS, keys, strict=True):
+            found = found | F.least(*[b[f"h{i}"].bitwiseXOR(F.lit(seed)) for i in range(BLOCK)]).isin(values)
         return found
 
-    some = F.transform(F.filter(held, may_retrieve), lambda b: b["j"]) if keys else F.expr("cast(array() as array<int>)")
+    some = F.transform(F.filter(held, may_retrieve), lambda b: b["j"]) if halves else F.expr("cast(array() as array<int>)")
     alone = F.filter(_shingles(F.col("words"))[1], lambda i: F.get(F.col("hashes"), i).isin(single)) if single else F.expr("cast(array() as array<int>)")
 
     def windows(j: Column) -> Column:
