@@ -34,8 +34,8 @@ from fieldlens.llm.shared import batches_of, text_key, words_of, written
 UNDETERMINED = "und"
 HASHED = 1 << 15
 BLOCK, CONTEXT = 512, 32
-CHUNK_WORDS = 400_000
-CACHE_WORDS = 300_000
+CHUNK_WORDS = 150_000
+CACHE_WORDS = 150_000
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
