@@ -140,6 +140,20 @@ def test_extraction_equals_the_article_of_every_page(spark, root):
         assert r.text == want
 
 
+def pages_of(spark, pages):
+    """Texts by number of (host, html) pairs."""
+    frame = spark.createDataFrame([(i, f"http://{host}/{i}", page) for i, (host, page) in enumerate(pages)], "page_id long, url string, html string").repartition(3)
+    return [r.text for r in sorted(wrappers.extract(frame).collect(), key=lambda r: r.page_id)]
+
+
+def test_templates_of_a_host_keep_their_texts(spark):
+    """Pages with an article, a main element, a post or a product block, and one whose article has a menu alone, on one host."""
+    shapes = ["<article><p>{0}</p></article>", "<main><p>{0}</p></main>", "<div class=post><p>{0}</p><p>{0} more</p></div>", "<div class=product><h2>{0}</h2><p>{0} price</p></div>", "<article><nav>go</nav></article><div class=post><p>{0}</p></div>"]
+    pages = [("mixed.example", f"<body><nav>go</nav>{shapes[0 if i < 30 else i % 5].format(f'text number {i} of the page')}</body>") for i in range(60)]
+    got = pages_of(spark, pages)
+    assert all(text.startswith(f"text number {i} of the page") and "go" not in text for i, text in enumerate(got))
+
+
 # -- revisits ------------------------------------------------------------------------------------------------
 
 def test_canonical_urls(spark):
