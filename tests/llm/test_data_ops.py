@@ -154,6 +154,13 @@ def test_templates_of_a_host_keep_their_texts(spark):
     assert all(text.startswith(f"text number {i} of the page") and "go" not in text for i, text in enumerate(got))
 
 
+def test_every_word_of_a_class_counts(spark):
+    page = ("<body><div class='col-md-4 col-sm-12 sidebar'><p>side {0}</p></div><div class='col-md-8 col-sm-12 col-xs-12 has-sidebar post'><p>body {0}</p></div>"
+            "<div class='a b c d e' role=banner><p>top {0}</p></div></body>")
+    assert pages_of(spark, [("grid.example", page.format(i)) for i in range(4)]) == [f"body {i}" for i in range(4)]
+    assert wrappers.parse("<div class='a b c d one'></div>")[0][0] != wrappers.parse("<div class='a b c d two'></div>")[0][0]
+
+
 # -- revisits ------------------------------------------------------------------------------------------------
 
 def test_canonical_urls(spark):
