@@ -161,6 +161,16 @@ def test_every_word_of_a_class_counts(spark):
     assert wrappers.parse("<div class='a b c d one'></div>")[0][0] != wrappers.parse("<div class='a b c d two'></div>")[0][0]
 
 
+def test_copies_and_long_leads_are_not_fixed_texts(spark):
+    """The text does not depend on the number of copies, nor on paragraphs repeated within a page; bodies that differ after 200 characters differ."""
+    page = "<div id=top><p>head</p></div><div class=post><h1>title</h1><p>body of the only page</p></div>"
+    assert {text for n in (1, 2, 5) for text in pages_of(spark, [("copy.example", page)] * n)} == {"title\nbody of the only page"}
+    assert pages_of(spark, [("one.example", "<div class=post><p>same</p><p>same</p><p>same</p></div>")]) == ["same\nsame\nsame"]
+    lead = "the same lead " * 20
+    got = pages_of(spark, [("lead.example", f"<div class=post><h2>fixed</h2><p>{lead}{i}</p></div>") for i in range(4)])
+    assert got == [f"{lead}{i}" for i in range(4)]
+
+
 # -- revisits ------------------------------------------------------------------------------------------------
 
 def test_canonical_urls(spark):
