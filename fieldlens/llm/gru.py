@@ -6,8 +6,10 @@ belongs to one of ``RARE`` classes by its last letters. A token's probability is
 that of the word in its class: given the state for the network's own words, by corpus counts for the others,
 ``(c + 0.5) / (N_class + 0.5 * (V_class + 1))``, which leaves room for words never seen.
 
-Counts cover every training text; class and word biases start from them. The recurrent weights are fitted in
-numpy by truncated backpropagation over ``FIT_ROWS`` excerpts of at most ``FIT_CHARS`` characters. Scoring runs all
+Counts cover every training text; class and word biases start from them. The recurrent weights are fitted in numpy by truncated
+backpropagation: they start on the driver from ``FIT_ROWS`` excerpts of distinct texts, then every training text is read whole in one of
+``ROUNDS`` rounds. In a round each task goes on from the weights so far over its texts, cut into windows; the tasks' changes, weighted
+by their tokens, are averaged in Spark and stored. So training grows with the input; how the input is split decides the last digits. Scoring runs all
 documents of a batch in step and carries each state from window to window of ``SCORE_STEPS`` tokens, so a document is scored whole.
 
 Counts of words below ``HEAD_SHARE`` are not sent to the tasks: such tokens leave the scan as rows (document, word, number),
@@ -19,6 +21,7 @@ tokens every probability is one; rows that repeat give a row each; other columns
 
 from __future__ import annotations
 
+import copy
 import math
 import zlib
 from collections import Counter
@@ -26,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -38,6 +42,8 @@ WORD_SHARE, HEAD_SHARE = 2.5e-5, 1.5e-6
 HIDDEN, RARE = 24, 32
 FIT_ROWS, FIT_CHARS = 900, 2400
 STREAMS, STEPS = 48, 24
+ROUNDS, RATES = 3, (0.004, 0.003, 0.0015)
+LEAST_STREAMS, MOST_STREAMS, CHUNK_TOKENS, SLOT = 4, 512, 1_000_000, 65_536
 SCORE_STEPS, SCORE_WORDS, SCORE_ROWS = 64, 1_500_000, 4000
 
 
@@ -150,66 +156,139 @@ def fit(v: Vocabulary, texts: list[tuple[str, bool]], seed: int = 3, rounds: int
     if length < 2:
         return net.as_float32()
     data = np.array([s[:length] for s in streams])
-    params = net.params()
-    mean, square, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    k = HIDDEN
+    state = _State(net)
     for turn in range(rounds):
-        h = np.zeros((STREAMS, k))
-        for at in range(0, length - 1, STEPS):
-            x, y = data[:, at:at + STEPS + 1][:, :-1], data[:, at + 1:at + STEPS + 1]
-            kept, states = [], []
-            for t in range(x.shape[1]):
-                h = h * (x[:, t] != start)[:, None]
-                new, z, r, g, u = net.step(x[:, t], h)
-                kept.append((h, z, r, g, u))
-                states.append(new)
-                h = new
-            hs = np.concatenate(states)
-            yt = y.T.ravel()
-            used = yt != start
-            classes = v.classes_of(np.where(used, yt, 0))
-            p = np.exp(_log_softmax(hs @ net.to_class + net.class_bias))
-            p[np.arange(len(p)), classes] -= 1
-            p *= used[:, None]
-            d_h = p @ net.to_class.T
-            d_to_class, d_class_bias = hs.T @ p, p.sum(axis=0)
-            d_to_word, d_word_bias = np.zeros_like(net.to_word), np.zeros_like(net.word_bias)
-            mine = np.flatnonzero(used & (yt < len(v.words)))
-            order = mine[np.argsort(classes[mine], kind="stable")]
-            cuts = np.searchsorted(classes[order], np.arange(v.own + 1))
-            for c in np.flatnonzero(np.diff(cuts)).tolist():
-                rows = order[cuts[c]:cuts[c + 1]]
-                q = np.exp(_log_softmax(hs[rows] @ net.to_word[c] + net.word_bias[c]))
-                q[np.arange(len(rows)), yt[rows] % v.size] -= 1
-                d_to_word[c], d_word_bias[c] = hs[rows].T @ q, q.sum(axis=0)
-                d_h[rows] += q @ net.to_word[c].T
-            d_table, d_inner = np.zeros_like(net.table), np.zeros_like(net.inner)
-            back = np.zeros((STREAMS, k))
-            for t in range(x.shape[1] - 1, -1, -1):
-                h0, z, r, g, u = kept[t]
-                d = back + d_h[t * STREAMS:(t + 1) * STREAMS]
-                d_g = d * (1 - z) * (1 - g * g)
-                d_z = d * (h0 - g) * z * (1 - z)
-                d_r = d_g * u * r * (1 - r)
-                into = np.concatenate((d_z, d_r, d_g), axis=1)
-                inner = np.concatenate((d_z, d_r, d_g * r), axis=1)
-                np.add.at(d_table, x[:, t], into)
-                d_inner += h0.T @ inner
-                back = (d * z + inner @ net.inner.T) * (x[:, t] != start)[:, None]
-            step += 1
-            grads = [d_table, d_inner, d_to_class, d_to_word, d_class_bias, d_word_bias]
-            norm = math.sqrt(sum(float((g * g).sum()) for g in grads)) / used.sum()
-            scale = 1 / used.sum() / max(1.0, norm)
-            rate = 0.01 if turn < rounds - 1 else 0.003
-            for param, g, m, s in zip(params, grads, mean, square, strict=True):
-                g = g * scale
-                m += 0.1 * (g - m)
-                s += 0.01 * (g * g - s)
-                param -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6)
-            net.word_bias.reshape(-1)[len(v.words):] = -1e9
+        _pass(v, net, data, state, 0.01 if turn < rounds - 1 else 0.003)
     return net.as_float32()
 
 
+class _State:
+    """Running means of gradients and of their squares."""
+
+    def __init__(self, net: Network):
+        self.mean, self.square, self.step = [np.zeros_like(p) for p in net.params()], [np.zeros_like(p) for p in net.params()], 0
+
+
+def _pass(v: Vocabulary, net: Network, data: np.ndarray, state: _State, rate: float) -> None:
+    """One pass over streams of tokens, one to a row; inputs that start a text are no targets."""
+    start, k = len(v.words) + RARE, HIDDEN
+    n, length = data.shape
+    h = np.zeros((n, k), net.table.dtype)
+    for at in range(0, length - 1, STEPS):
+        x, y = data[:, at:at + STEPS + 1][:, :-1], data[:, at + 1:at + STEPS + 1]
+        kept, states = [], []
+        for t in range(x.shape[1]):
+            h = h * (x[:, t] != start)[:, None]
+            new, z, r, g, u = net.step(x[:, t], h)
+            kept.append((h, z, r, g, u))
+            states.append(new)
+            h = new
+        hs = np.concatenate(states)
+        yt = y.T.ravel()
+        used = yt != start
+        if not used.any():
+            continue
+        classes = v.classes_of(np.where(used, yt, 0))
+        p = np.exp(_log_softmax(hs @ net.to_class + net.class_bias))
+        p[np.arange(len(p)), classes] -= 1
+        p *= used[:, None]
+        d_h = p @ net.to_class.T
+        d_to_class, d_class_bias = hs.T @ p, p.sum(axis=0)
+        d_to_word, d_word_bias = np.zeros_like(net.to_word), np.zeros_like(net.word_bias)
+        mine = np.flatnonzero(used & (yt < len(v.words)))
+        order = mine[np.argsort(classes[mine], kind="stable")]
+        cuts = np.searchsorted(classes[order], np.arange(v.own + 1))
+        for c in np.flatnonzero(np.diff(cuts)).tolist():
+            rows = order[cuts[c]:cuts[c + 1]]
+            q = np.exp(_log_softmax(hs[rows] @ net.to_word[c] + net.word_bias[c]))
+            q[np.arange(len(rows)), yt[rows] % v.size] -= 1
+            d_to_word[c], d_word_bias[c] = hs[rows].T @ q, q.sum(axis=0)
+            d_h[rows] += q @ net.to_word[c].T
+        d_table, d_inner = np.zeros_like(net.table), np.zeros_like(net.inner)
+        back = np.zeros((n, k), net.table.dtype)
+        into = np.empty((x.shape[1], n, 3 * k), net.table.dtype)
+        for t in range(x.shape[1] - 1, -1, -1):
+            h0, z, r, g, u = kept[t]
+            d = back + d_h[t * n:(t + 1) * n]
+            d_g = d * (1 - z) * (1 - g * g)
+            d_z = d * (h0 - g) * z * (1 - z)
+            d_r = d_g * u * r * (1 - r)
+            into[t] = np.concatenate((d_z, d_r, d_g), axis=1)
+            inner = np.concatenate((d_z, d_r, d_g * r), axis=1)
+            d_inner += h0.T @ inner
+            back = (d * z + inner @ net.inner.T) * (x[:, t] != start)[:, None]
+        owner = x.T.ravel()
+        order = np.argsort(owner, kind="stable")
+        first = np.flatnonzero(np.diff(owner[order], prepend=-1))
+        d_table[owner[order[first]]] = np.add.reduceat(into.reshape(-1, 3 * k)[order], first, axis=0)
+        state.step += 1
+        grads = [d_table, d_inner, d_to_class, d_to_word, d_class_bias, d_word_bias]
+        norm = math.sqrt(sum(float((g * g).sum()) for g in grads)) / used.sum()
+        scale = float(1 / used.sum() / max(1.0, norm))
+        for param, g, m, s in zip(net.params(), grads, state.mean, state.square, strict=True):
+            g = g * scale
+            m += 0.1 * (g - m)
+            s += 0.01 * (g * g - s)
+            param -= rate * (m / (1 - 0.9 ** state.step)) / (np.sqrt(s / (1 - 0.99 ** state.step)) + 1e-6)
+        net.word_bias.reshape(-1)[len(v.words):] = -1e9
+
+
+def _learn_chunk(v: Vocabulary, net: Network, ids: list[np.ndarray], state: _State, rate: float) -> None:
+    """A pass over all tokens of ``ids``: streams meet in one token, so each is a target once; the last is filled up with starts."""
+    flat = np.concatenate(ids)
+    n = int(np.clip(len(flat) // (STEPS * 32), LEAST_STREAMS, MOST_STREAMS))
+    length = -(-len(flat) // n)
+    flat = np.concatenate((flat, np.full(n * length + 1 - len(flat), len(v.words) + RARE)))
+    _pass(v, net, flat[np.arange(n)[:, None] * length + np.arange(length + 1)], state, rate)
+
+
+def learn_all(v: Vocabulary, net: Network, texts: DataFrame) -> Network:
+    """The network after ``ROUNDS`` rounds over all rows of ``texts(key, text)``, each of them in the round that its key gives."""
+    for number, rate in zip(range(ROUNDS), RATES, strict=True):
+        shared = texts.sparkSession.sparkContext.broadcast((v, net))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate) -> Iterator[pa.RecordBatch]:
+            vocab, before = shared.value
+            own, tokens, size, ids = copy.deepcopy(before), 0, 0, []
+            state = _State(own)
+            for b in batches_of(batches, 2000):
+                for t in b.column(0).to_pylist():
+                    words = words_of(t)
+                    at = {w: vocab.id_of(w.decode("utf-8", "replace")) for w in set(words)}
+                    ids.append(np.fromiter((len(vocab.words) + RARE, *map(at.__getitem__, words), vocab.ids[END]), np.int64, len(words) + 2))
+                    size += len(words) + 1
+                    if size >= CHUNK_TOKENS:
+                        _learn_chunk(vocab, own, ids, state, rate)
+                        tokens, size, ids = tokens + size, 0, []
+            if ids:
+                _learn_chunk(vocab, own, ids, state, rate)
+                tokens += size
+            if tokens:
+                change = np.concatenate([(a - b).ravel() for a, b in zip(own.params(), before.params(), strict=True)])
+                change = change.astype(np.float64) * tokens
+                for slot, at in enumerate(range(0, len(change), SLOT)):
+                    yield pa.RecordBatch.from_pydict({"slot": pa.array([slot], pa.int32()), "part": pa.array([TaskContext.get().partitionId()], pa.int32()), "tokens": pa.array([tokens], pa.int64()), "change": pa.array([change[at:at + SLOT].tobytes()], pa.binary())})
+
+        def add(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("part")
+            total = np.zeros(len(pdf["change"].iloc[0]) // 8)
+            for c in pdf["change"]:
+                total += np.frombuffer(c)
+            return pdf.iloc[:1].assign(part=pdf["part"].iloc[0] // 64, tokens=int(pdf["tokens"].sum()), change=total.tobytes())[["slot", "part", "tokens", "change"]]
+
+        schema = "slot int, part int, tokens long, change binary"
+        rows = texts.where(F.pmod("key", F.lit(ROUNDS)) == number).select("text").mapInArrow(run, schema)
+        salted = rows.groupBy("slot", F.expr("part div 64")).applyInPandas(add, schema)
+        sums = sorted(written(salted.groupBy("slot").applyInPandas(add, schema), "lm-weights").collect(), key=lambda r: r["slot"])
+        shared.unpersist()
+        if sums:
+            change, at = np.concatenate([np.frombuffer(r["change"]) / r["tokens"] for r in sums]), 0
+            for param in net.params():
+                param += change[at:at + param.size].reshape(param.shape).astype(param.dtype)
+                at += param.size
+    return net
+
+
 def score_texts(v: Vocabulary, net: Network, texts: list[str | None]) -> list[tuple[int, int, float, float, dict[str, int]]]:
     """(tokens, known tokens, base score, score, words whose counts are elsewhere) of each text; the last are missing in the others."""
     out = []
@@ -320,7 +399,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         n = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long") + 1
         zero = F.lit(0).cast("long")
         return flat.select("doc_id", "held_out", n.alias("n_tokens"), zero.alias("n_known"), zero.alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
-    net = fit(v, _excerpts(learn, text))
+    net = learn_all(v, fit(v, _excerpts(learn, text)), learn.select(F.xxhash64(F.col(doc_id), text_key(text), F.lit("round")).alias("key"), F.col(text).cast("string").alias("text")))
     shared = docs.sparkSession.sparkContext.broadcast((v, net))
     kind = flat.schema["doc_id"].dataType.simpleString()
 
@@ -355,9 +434,10 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
 
 def _excerpts(learn: DataFrame, text: str) -> list[tuple[str, bool]]:
-    """(excerpt, whether it is the whole text) of a bounded sample chosen by a hash of the text."""
-    n = learn.count()
-    mix = F.pmod(F.xxhash64(text_key(text), F.lit("lm")), F.lit(1 << 30)) / float(1 << 30)
+    """(excerpt, whether it is the whole text) of a bounded sample of distinct texts, chosen by a hash of the text."""
+    key = text_key(text)
+    n = learn.agg(F.countDistinct(key)).first()[0]
+    mix = F.pmod(F.xxhash64(key, F.lit("lm")), F.lit(1 << 30)) / float(1 << 30)
     part = (learn.where(mix < min(1.0, 1.5 * FIT_ROWS / max(1, n)))
-            .select(mix.alias("mix"), F.substring(F.coalesce(F.col(text).cast("string"), F.lit("")), 1, FIT_CHARS).alias("part"), (F.coalesce(F.length(text), F.lit(0)) <= FIT_CHARS).alias("whole")))
+            .select(key.alias("key"), mix.alias("mix"), F.substring(F.coalesce(F.col(text).cast("string"), F.lit("")), 1, FIT_CHARS).alias("part"), (F.coalesce(F.length(text), F.lit(0)) <= FIT_CHARS).alias("whole")).distinct())
     return [(r["part"], r["whole"]) for r in part.orderBy("mix", "part").limit(FIT_ROWS).collect()]

@@ -8,7 +8,7 @@ language is the one with the largest posterior mass over its words, its score th
 What is learned from what:
 * The lexicon counts every word of every training document. A word enters if it makes at least ``min_share`` of a
   language's words, so a language has at most ``1 / min_share`` of them, however large the corpus.
-* The field is fitted on a bounded sample of labelled rows: ``fit_rows`` documents a language, an excerpt of
+* The field is fitted on a bounded sample of labelled rows: ``fit_rows`` distinct texts a language, an excerpt of
   ``fit_chars`` characters each, joined into sequences that switch language so that transitions are learned.
 
 Long documents are cut into blocks of ``BLOCK`` words that see ``CONTEXT`` words on either side; a word's posterior
@@ -264,7 +264,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     """Fits a model on the rows of ``docs`` where ``learn`` holds and ``lang`` is not null."""
     labelled = docs.where(learn & F.col(lang).isNotNull())
     mix = F.pmod(F.xxhash64(text_key(text), F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
-    sizes = labelled.groupBy(F.col(lang).cast("string").alias("lang")).agg(F.count(text).alias("n"))
+    sizes = labelled.groupBy(F.col(lang).cast("string").alias("lang")).agg(F.countDistinct(F.when(F.col(text).isNotNull(), text_key(text))).alias("n"))
     per_lang = {r["lang"]: r["n"] for r in sizes.collect()}
     if not per_lang:
         return None
@@ -273,7 +273,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
         keep = keep | ((F.col(lang).cast("string") == name) & (mix < min(1.0, 1.5 * fit_rows / max(1, n))))
     where = (F.length(text) * F.pmod(F.xxhash64(text_key(text), F.lit("at")), F.lit(1000)) / 1000).cast("int")
     start = F.greatest(F.lit(1), F.least(where, F.length(text) - fit_chars))
-    rows = (labelled.where(keep).select(F.col(lang).cast("string").alias("lang"), F.substring(F.col(text), start, F.lit(fit_chars)).alias("part"), mix.alias("mix"))
+    rows = (labelled.where(keep).select(F.col(lang).cast("string").alias("lang"), F.substring(F.col(text), start, F.lit(fit_chars)).alias("part"), mix.alias("mix"), text_key(text).alias("key")).distinct()
             .orderBy("mix", "lang", "part").limit(2 * fit_rows * len(per_lang)).collect())
     taken: Counter = Counter()
     samples = []

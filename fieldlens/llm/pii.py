@@ -313,12 +313,12 @@ def all_spans(texts: list[str | None], net: Network | None) -> list[tuple[list[S
 
 
 def fit(docs: DataFrame, text: str = "text") -> Network:
-    """Trains on excerpts of at most ``FIT_ROWS`` texts that hold a digit or ``@``, chosen by a hash of the text."""
+    """Trains on excerpts of at most ``FIT_ROWS`` distinct texts that hold a digit or ``@``, chosen by a hash of the text."""
     held = docs.where(F.col(text).rlike("[0-9@]")).select(text_key(text).alias("k"), F.col(text).cast("string").alias("t"))
-    n = held.count()
+    n = held.agg(F.countDistinct("k")).first()[0]
     mix = F.pmod(F.xxhash64("k", F.lit("pii")), F.lit(1 << 30)) / float(1 << 30)
     at = F.greatest(F.lit(1), F.regexp_instr("t", F.lit("[0-9@]")) - 120)
-    part = held.where(mix < min(1.0, 2 * FIT_ROWS / max(1, n))).select(mix.alias("mix"), F.substring(F.col("t"), at, F.lit(300)).alias("part"))
+    part = held.where(mix < min(1.0, 2 * FIT_ROWS / max(1, n))).select(mix.alias("mix"), F.substring(F.col("t"), at, F.lit(300)).alias("part"), "k").distinct()
     return train([r["part"] for r in part.orderBy("mix", "part").limit(FIT_ROWS).collect()])
 
 

@@ -421,3 +421,16 @@ def test_lm_probabilities_sum_to_one_and_windows_carry_state():
 def test_lm_beats_the_base_on_held_out_texts(spark):
     rows = [r for r in gru.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), _fold("doc_id", 5, 1)).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_lm_learns_from_whole_texts_and_samples_distinct_ones(spark):
+    """A pattern that only comes after the excerpts' characters is learned; copies do not fill the sample."""
+    head = lambda i: " ".join(f"w{(i * 7 + j * j) % 50}" for j in range(800))
+    assert all(len(head(i)) > gru.FIT_CHARS for i in range(80))
+    rows = [(i, head(i) + " ping pong" * 400) for i in range(80)] + [(1000, "ping pong " * 300)]
+    frame = table(spark, rows).repartition(4)
+    got = {r.doc_id: r for r in gru.score(frame, F.col("doc_id") == 1000).collect()}[1000]
+    # the base gives each word its share, a third: half of the tokens are sure once the other is seen
+    assert (got.score - got.base_score) / got.n_tokens > 0.2
+    copies = table(spark, [(i, "copy " * 20) for i in range(3000)] + [(5000 + i, f"own {i}") for i in range(50)])
+    assert len(gru._excerpts(copies, "text")) == 51
