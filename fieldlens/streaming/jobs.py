@@ -3,8 +3,8 @@
 The reference re-reads a recent window every ten minutes and merges it, and sweeps further
 back weekly and monthly, so a late row is never lost. Here a file stream is read with
 ``trigger(availableNow=True)`` (catch up, then stop; schedule it like the polling). Each
-micro-batch names the days its rows touch, and only those day partitions of the target are
-read and replaced. There is no watermark: a row of any age reaches its day.
+micro-batch names the days its rows touch and the days on which the target holds its keys,
+and only those day partitions of the target are read whole and replaced. There is no watermark: a row of any age reaches its day.
 
 A batch is prepared in a folder of its own (``_staged/<batch id>``) before partitions are
 replaced. If a run stops in between, the next run of the same batch finds the staged rows
@@ -13,18 +13,22 @@ cluster's shared folder (``spark.checkpoint.dir``) or where ``root`` says."""
 
 from __future__ import annotations
 
+import functools
+import operator
 import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, StructType
 
 from fieldlens.session import scratch_path
 from fieldlens.sinks import merge_frames
 
 #: Partition column of a target: the day of the event.
 DAY = "event_day"
+#: Rows of a day that one task writes, about.
+ROWS_A_TASK = 500_000
 
 
 def stream_glob(path: str) -> str:
@@ -74,20 +78,33 @@ def _partitions(spark: SparkSession, root: str, schema: StructType) -> DataFrame
 
 
 def replace_days(spark: SparkSession, root: str, rows: DataFrame, day: Column) -> None:
-    """Replace the day partitions that ``rows`` hold by ``rows``."""
-    (rows.withColumn(DAY, day).repartition(DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the day partitions that ``rows`` hold by ``rows``; a day of many rows is dealt to several tasks."""
+    dated = rows.withColumn(DAY, day)
+    tasks = dated.groupBy(F.col(DAY).alias("_day")).agg(F.ceil(F.count(F.lit(1)) / F.lit(ROWS_A_TASK)).alias("_tasks"))
+    own = F.xxhash64(*[f.name for f in rows.schema.fields if isinstance(f.dataType, AtomicType)])
+    dealt = dated.join(F.broadcast(tasks), F.col(DAY).eqNullSafe(F.col("_day"))).withColumn("_task", F.pmod(own, F.col("_tasks"))).repartition(DAY, "_task")
+    (dealt.select(*rows.columns, DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(DAY).parquet(os.path.join(root, "table")))
 
 
-def _apply(spark: SparkSession, root: str, batch_id: int, schema: StructType, day: Column, build: Callable[[], DataFrame]) -> None:
-    """Stage a batch's new partitions once, then replace them; both steps can be repeated."""
-    staged = os.path.join(root, "_staged", str(batch_id))
+def _apply(spark: SparkSession, root: str, batch_id: int, schema: StructType, day: Column, build: Callable[..., DataFrame],
+           touched: Callable[[], list] | None = None) -> None:
+    """Stage a batch's new partitions, ``build`` of the days ``touched``, once, then replace them; touched days that are left
+    without rows go. Both steps can be repeated."""
+    staged, noted = (os.path.join(root, kind, str(batch_id)) for kind in ("_staged", "_touched"))
     if not _complete(spark, staged):
-        build().write.mode("overwrite").parquet(staged)
-    replace_days(spark, root, spark.read.schema(schema).parquet(staged), day)
-    at, fs = _fs(spark, os.path.join(root, "_staged", str(batch_id - 1)))
-    if fs.exists(at):
+        days = touched() if touched else []
+        spark.createDataFrame([(d,) for d in days], "d date").write.mode("overwrite").parquet(noted)
+        (build(days) if touched else build()).write.mode("overwrite").parquet(staged)
+    rows = spark.read.schema(schema).parquet(staged)
+    replace_days(spark, root, rows, day)
+    for d in set(_days(spark.read.schema("d date").parquet(noted), F.col("d"))) - set(_days(rows, day)):
+        at, fs = _fs(spark, os.path.join(root, "table", f"{DAY}={d.isoformat()}"))
         fs.delete(at, True)
+    for kind in ("_staged", "_touched"):
+        at, fs = _fs(spark, os.path.join(root, kind, str(batch_id - 1)))
+        if fs.exists(at):
+            fs.delete(at, True)
 
 
 def _days(rows: DataFrame, day: Column) -> list:
@@ -101,8 +118,9 @@ def stream_upsert(spark: SparkSession, source_path: str, target: DataFrame, keys
                   root: str | None = None, max_files: int | None = None) -> DataFrame:
     """ST-1/SNK-2: merge every micro-batch of the source stream into the target table.
 
-    The target is partitioned by the day of ``event_time``; rows of one key share a day, so a
-    batch reads, merges and replaces only the days it holds. ``newer_wins=False`` keeps the
+    The target is partitioned by the day of ``event_time``. A key may return on another day: the
+    days that hold the batch's keys are found in the key columns of the whole target, and a batch
+    merges and replaces those and its own. ``newer_wins=False`` keeps the
     rows that are there (insert only). The initial ``target`` is written once per ``root``."""
     root = root or scratch_path(spark, name)
     # rows without a time share one partition
@@ -115,13 +133,22 @@ def stream_upsert(spark: SparkSession, source_path: str, target: DataFrame, keys
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         delta = transform(batch)
 
-        def build() -> DataFrame:
-            current = _partitions(spark, root, schema).where(F.col(DAY).isin(_days(delta, day))).drop(DAY)
+        def touched() -> list:
+            at, fs = _fs(spark, os.path.join(root, "table"))
+            own = _days(delta, day)
+            if not fs.exists(at):
+                return own
+            named = delta.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+            same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            return sorted({*own, *_days(_partitions(spark, root, schema).join(named, same, "left_semi"), F.col(DAY))})
+
+        def build(days: list) -> DataFrame:
+            current = _partitions(spark, root, schema).where(F.col(DAY).isin(days)).drop(DAY)
             first, second = (current, delta) if newer_wins else (delta, current)
             return merge_frames(first, second, keys, order).select(*schema.names)
 
         if not delta.isEmpty():
-            _apply(spark, root, batch_id, schema, day, build)
+            _apply(spark, root, batch_id, schema, day, build, touched)
 
     _run(file_stream(spark, source_path, max_files=max_files).writeStream.foreachBatch(merge_batch),
          os.path.join(root, "_checkpoint"))
@@ -130,7 +157,7 @@ def stream_upsert(spark: SparkSession, source_path: str, target: DataFrame, keys
 
 def stream_dedup(spark: SparkSession, source_path: str, keys: Sequence[str], event_time: str = "ts",
                  name: str = "stream-dedup", root: str | None = None) -> DataFrame:
-    """ST-3: one row per key. A batch adds the keys that its days do not hold yet, so
+    """ST-3: one row per key. A batch adds the keys that no day of the target holds yet, so
     duplicates within a batch, across batches and across runs of the same ``root`` go, and
     late rows stay."""
     empty = spark.read.parquet(source_path).limit(0)

@@ -136,6 +136,33 @@ def test_a_batch_that_stopped_half_way_is_applied_again(spark):
         assert jobs.read_target(spark, out, rows_.schema).count() == 1
 
 
+def test_a_key_that_returns_on_another_day_stays_one_row(spark, monkeypatch):
+    import os
+    from fieldlens.streaming import jobs
+    monkeypatch.setattr(jobs, "ROWS_A_TASK", 3)
+    src, up, de = (scratch_path(spark, k) for k in ("moved-source", "moved-upsert", "moved-dedup"))
+    empty = spark.createDataFrame([], EVENT)
+
+    def run():
+        return (sorted((r.event_id, r.ts.day) for r in jobs.stream_upsert(spark, src, empty, ["event_id"], root=up).collect()),
+                sorted((r.event_id, r.ts.day) for r in jobs.stream_dedup(spark, src, ["event_id"], root=de).collect()))
+
+    _events(spark, src, 0, 10, 1)
+    _events(spark, src, 50, 1, 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len([f for f in os.listdir(f"{up}/table/event_day=2024-01-01") if f.endswith(".parquet")]) > 1  # a day in several tasks
+    _events(spark, src, 50, 1, 3)
+    _events(spark, src, 0, 1, 3)
+    upserted, deduped = run()
+    assert upserted == [(0, 3), *((i, 1) for i in range(1, 10)), (50, 3)]
+    assert deduped == [*((i, 1) for i in range(10)), (50, 2)]
+    assert not os.path.exists(f"{up}/table/event_day=2024-01-02")  # no row is left on this day
+
+
 def test_models_follow_their_input(spark):
     import shutil
     import tempfile
