@@ -5,6 +5,9 @@ each partition in overlapping windows of three blocks, each half the partition's
 item's length lies whole in some window. Within a partition the containment threshold gives a least Jaccard similarity of
 item and window, and the number of one-row bands is set so that a true match is missed with probability ``miss`` at most.
 
+Items of at most ``FEW`` shingles, and items that repeat so few distinct ones that more bands would be needed than there are, are
+found exactly instead: all their shingles are looked up in every document.
+
 Windows are pruned where they are read by a bit table of the items' band keys: its size is fixed, and it has no false
 negatives. What passes is joined to the items in Spark, and the share of an item's distinct shingles found in the whole
 document, compared as strings, decides.
@@ -28,7 +31,15 @@ from fieldlens.llm.shingles import Shingles, mixed, shingles
 
 #: log2 of the bits of the table of band keys, and of that of shingles.
 TABLE_BITS = 24
+#: Items of so many shingles are found by the shingles themselves.
+FEW = 8
 _SEEDS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FACTORS = mixed(_SEEDS) | np.uint64(1)
+
+
+def _order(hashes: np.ndarray, band: int) -> np.ndarray:
+    """The hashes under a band's order."""
+    return (hashes ^ _SEEDS[band]) * _FACTORS[band]
 
 
 def partition_of(n: int) -> int:
@@ -43,9 +54,9 @@ def block_of(part: int) -> int:
 
 def bands_of(part: int, distinct: int, share: float, miss: float) -> int:
     """Bands so that an item of ``distinct`` shingles in the partition whose ``share`` is in a window is missed with probability
-    ``miss`` at most. Only items that repeat a few shingles over and over would need more orders than there are."""
+    ``miss`` at most; may be more than there are."""
     jaccard = share * distinct / (3 * block_of(part) + (1 - share) * distinct)
-    return min(len(_SEEDS), math.ceil(math.log(miss) / math.log(1 - min(0.999, jaccard))))
+    return math.ceil(math.log(miss) / math.log(1 - min(0.999, jaccard)))
 
 
 def _keys(low: np.ndarray, part: int, band: int) -> np.ndarray:
@@ -55,7 +66,7 @@ def _keys(low: np.ndarray, part: int, band: int) -> np.ndarray:
 def item_keys(s: Shingles, i: int, part: int, bands: int) -> np.ndarray:
     """Band keys of item ``i``: the least hash under each band's order."""
     own = s.hashes[s.first[i]:s.first[i] + s.count[i]]
-    return np.array([_keys((own ^ _SEEDS[k]).min(keepdims=True), part, k)[0] for k in range(bands)], np.uint64)
+    return np.array([_keys(_order(own, k).min(keepdims=True), part, k)[0] for k in range(bands)], np.uint64)
 
 
 def window_keys(s: Shingles, part: int, bands: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -72,7 +83,7 @@ def window_keys(s: Shingles, part: int, bands: int) -> Iterator[tuple[np.ndarray
     heads = np.flatnonzero((left >= 3) | (np.arange(len(text)) == at[text]))
     second, third = heads + np.minimum(1, left[heads] - 1), heads + np.minimum(2, left[heads] - 1)
     for k in range(bands):
-        low = np.minimum.reduceat(s.hashes ^ _SEEDS[k], begin)
+        low = np.minimum.reduceat(_order(s.hashes, k), begin)
         yield text[heads], _keys(np.minimum(np.minimum(low[heads], low[second]), low[third]), part, k)
 
 
@@ -93,7 +104,7 @@ def _in_table(table: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def index_items(items: DataFrame, share: float, miss: float, words: int, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """``(item_id, item_key, n, part, bands, keys, hashes, shingles)`` of every item that has shingles."""
+    """``(item_id, item_key, n, part, bands, keys, hashes, shingles)`` of every item that has shingles; bands are 0 where the shingles decide alone."""
     rows = items.select(F.col(item_id).alias("item_id"), text_key(text).alias("item_key"), F.col(text).cast("string").alias("text")).distinct()
     kind = rows.schema["item_id"].dataType.simpleString()
 
@@ -107,6 +118,8 @@ def index_items(items: DataFrame, share: float, miss: float, words: int, item_id
                     continue
                 part = partition_of(int(s.count[i]))
                 bands = bands_of(part, len(own), share, miss)
+                if s.count[i] <= FEW or bands > len(_SEEDS):
+                    bands = 0
                 pick.append(i)
                 out["n"].append(len(own))
                 out["part"].append(part)
@@ -124,15 +137,16 @@ def contamination(docs: DataFrame, items: DataFrame, share: float = 0.8, words:
                   text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``(doc_id, text_key, item_id, n_shingles, containment)`` for every document that holds ``share`` of an item's shingles."""
     index = written(index_items(items, share, miss, words, item_id, item_text), "items")
-    bands = {r["part"]: r["bands"] for r in index.groupBy("part").agg(F.max("bands").alias("bands")).orderBy("part").collect()}
+    bands = {r["part"]: r["bands"] for r in index.where("bands > 0").groupBy("part").agg(F.max("bands").alias("bands")).orderBy("part").collect()}
     sc = docs.sparkSession.sparkContext
     key_table = sc.broadcast(_table(index.select(F.explode("keys").alias("h"))))
+    few_table = sc.broadcast(_table(index.where("bands = 0").select(F.explode("hashes").alias("h"))))
     hash_table = sc.broadcast(_table(index.select(F.explode("hashes").alias("h"))))
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, known = key_table.value, hash_table.value
+        keys, known, few = key_table.value, hash_table.value, few_table.value
         for b in batches_of(batches, 200):
             s = shingles(b.column(2).to_pylist(), words)
             if not len(s.hashes):
@@ -143,13 +157,14 @@ def contamination(docs: DataFrame, items: DataFrame, share: float = 0.8, words:
                     hit = _in_table(keys, key)
                     text_of.append(owner[hit])
                     key_of.append(key[hit])
-            if not text_of or not sum(map(len, text_of)):
-                continue
-            pairs = np.unique(np.stack([np.concatenate(text_of).astype(np.uint64), np.concatenate(key_of)], axis=1), axis=0)
+            hits = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (text_of, key_of)]
+            pairs = np.unique(np.stack([hits[0].astype(np.uint64), hits[1]], axis=1), axis=0)
             touched = np.zeros(b.num_rows, bool)
             touched[pairs[:, 0].astype(np.int64)] = True
             owner = s.owner()
-            at = np.flatnonzero(touched[owner] & _in_table(known, s.hashes))
+            at = np.flatnonzero((touched[owner] & _in_table(known, s.hashes)) | _in_table(few, s.hashes))
+            if not len(at):
+                continue
             found = sorted({(int(owner[r]), s.text_of(owner[r], r)) for r in at.tolist()})
             pick = pa.array(np.concatenate((pairs[:, 0].astype(np.int64), np.array([i for i, _ in found], np.int64))))
             key_col = pa.array(pairs[:, 1].view(np.int64).tolist() + [None] * len(found), pa.int64())
@@ -159,12 +174,14 @@ def contamination(docs: DataFrame, items: DataFrame, share: float = 0.8, words:
     hits = written(rows.mapInArrow(run, f"doc_id {kind}, text_key long, key long, shingle string").distinct(), "hits")
     by_key = index.select("item_id", "item_key", F.explode("keys").alias("at"))
     found = hits.where("key is not null").join(by_key, F.col("key") == F.col("at")).select("doc_id", "text_key", "item_id", "item_key").distinct()
-    by_shingle = index.select(F.col("item_id").alias("i"), F.col("item_key").alias("k"), "n", F.explode("shingles").alias("at"))
+    by_shingle = index.select(F.col("item_id").alias("i"), F.col("item_key").alias("k"), "n", (F.col("bands") == 0).alias("few"), F.explode("shingles").alias("at"))
     held = (hits.where("shingle is not null").join(by_shingle, F.col("shingle") == F.col("at"))
-            .groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "i", "k", "n").agg(F.count("*").alias("found"))
+            .groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "i", "k", "n", "few").agg(F.count("*").alias("found"))
             .where(F.col("found") >= share * F.col("n") - 1e-9))
-    sure = held.join(found, held["d"].eqNullSafe(found["doc_id"]) & (held["t"] == found["text_key"]) & held["i"].eqNullSafe(found["item_id"]) & (held["k"] == found["item_key"]))
-    return sure.select("doc_id", "text_key", "item_id", F.col("n").alias("n_shingles"), (F.col("found") / F.col("n")).alias("containment"))
+    held = written(held, "held")
+    kept = ["d", "t", "i", "n", "found"]
+    sure = held.where("not few").join(found, held["d"].eqNullSafe(found["doc_id"]) & (held["t"] == found["text_key"]) & held["i"].eqNullSafe(found["item_id"]) & (held["k"] == found["item_key"])).select(*kept).unionByName(held.where("few").select(*kept))
+    return sure.select(F.col("d").alias("doc_id"), F.col("t").alias("text_key"), F.col("i").alias("item_id"), F.col("n").alias("n_shingles"), (F.col("found") / F.col("n")).alias("containment"))
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **how: float) -> DataFrame:

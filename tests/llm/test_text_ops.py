@@ -163,6 +163,15 @@ def test_contamination_finds_short_items_in_long_texts(spark):
 EN, DE = "the house and the garden of this town were there when they came".split(), "das haus und der garten dieser stadt waren dort als sie kamen".split()
 
 
+def test_contamination_finds_repetitive_items(spark):
+    """Whole copies of items that repeat a few shingles over and over, inside other text."""
+    items = {i: f"r{i} " * 1004 if i % 2 else f"p{i} q{i} s{i} " * 200 for i in range(30)}
+    docs = table(spark, [(i, " ".join(f"a{i}x{j}" for j in range(500)) + f" {t} " + " ".join(f"b{i}x{j}" for j in range(700))) for i, t in items.items()])
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.containment) for r in decontaminate.contamination(docs, bench).collect())
+    assert got == [(i, i, 1.0) for i in items]
+
+
 def mixed_docs(spark, n=40):
     rng = np.random.default_rng(0)
     texts, langs = [], {}
