@@ -11,7 +11,8 @@ What is learned from what:
 * The field is fitted on a bounded sample of labelled rows: ``fit_rows`` distinct texts a language, an excerpt of
   ``fit_chars`` characters each, joined into sequences that switch language so that transitions are learned.
 
-Long documents are cut into blocks of ``BLOCK`` words that see ``CONTEXT`` words on either side; a word's posterior
+A word over ``PIECE`` bytes, such as a line of a script without spaces, is cut into consecutive pieces; each is an element of the
+sequence and counts as a word, so every character counts. Long documents are cut into blocks of ``BLOCK`` words that see ``CONTEXT`` words on either side; a word's posterior
 is taken from its own block only. Defined cases: null text or text without a letter is ``und`` with score 0; without any
 labelled training row every text is ``und``; a null doc_id counts as not held out and is not learned from.
 """
@@ -34,11 +35,27 @@ from fieldlens.llm.shared import batches_of, text_key, words_of, written
 UNDETERMINED = "und"
 HASHED = 1 << 15
 BLOCK, CONTEXT = 512, 32
+PIECE = 48
 CHUNK_WORDS = 150_000
 CACHE_WORDS = 150_000
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
+def elements(text: str | None) -> list[bytes]:
+    """The words of the text, long ones in pieces of at most ``PIECE`` bytes that end where characters end."""
+    out = []
+    for w in words_of(text):
+        a = 0
+        while len(w) - a > PIECE:
+            b = a + PIECE
+            while w[b] & 0xC0 == 0x80:
+                b -= 1
+            out.append(w[a:b])
+            a = b
+        out.append(w[a:])
+    return out
+
+
 def core(word: bytes) -> str:
     """The word's letters, lower-cased."""
     return _NOT_LETTERS.sub("", word.decode("utf-8", "replace").lower())
@@ -50,7 +67,7 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(feature numbers, where each word's begin): every 2- and 3-gram of the word with its ends marked, and the 4- and 5-grams at its
     ends, so that affixes of up to four bytes are among them. A word too short for one of the latter has feature ``HASHED``."""
-    raw = [b"^" + w.encode()[:48] + b"$" for w in words]
+    raw = [b"^" + w.encode() + b"$" for w in words]
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
     size = np.fromiter(map(len, raw), np.int64, len(raw))
     start = np.concatenate(([0], np.cumsum(size)[:-1]))
@@ -112,7 +129,7 @@ def fit(samples: list[tuple[str, str]], counts: list[tuple[str, str, int]], seed
     rng = np.random.default_rng(seed)
     pool = [[] for _ in labels]
     for lang, text in sorted(samples):
-        if words := [c for w in words_of(text)[1:-1] if (c := core(w))]:
+        if words := [c for w in elements(text)[1:-1] if (c := core(w))]:
             pool[at[lang]].append(words)
     filled = [k for k in range(len(labels)) if pool[k]]
     if not filled:
@@ -191,7 +208,7 @@ class Labeller:
         """(text number, posterior) of each word with letters, in order."""
         words, owner = [], []
         for i, t in enumerate(texts):
-            w = words_of(t)
+            w = elements(t)
             words += w
             owner.append(np.full(len(w), i))
         rows = self._ids(words)
@@ -247,7 +264,7 @@ def lexicon_counts(labelled: DataFrame, lang: str, text: str, min_share: float)
 
         for b in batches_of(batches, 2000):
             for lang_, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                tally.setdefault(lang_, Counter()).update(words_of(t))
+                tally.setdefault(lang_, Counter()).update(elements(t))
             if sum(map(len, tally.values())) > CACHE_WORDS:
                 yield from out()
         yield from out()

@@ -260,6 +260,16 @@ def test_language_id_held_out_accuracy(spark):
     assert sum(r.lang == r.lang_pred for r in held) >= 0.98 * len(held)
 
 
+def test_every_character_of_a_text_without_spaces_counts():
+    rng = np.random.default_rng(1)
+    line = lambda first, n: "".join(chr(first + i) for i in rng.integers(0, 60, n))
+    model = langid.fit([(lang, line(first, 900)) for lang, first in (("aa", 0x4E00), ("bb", 0x3040)) for _ in range(20)], [], sequences=200, rounds=4)
+    text = line(0x4E00, 20) + line(0x3040, 400)
+    assert b"".join(langid.elements(text)).decode() == text and max(map(len, langid.elements(text))) <= langid.PIECE
+    (lang, score, n, switches), = langid.Labeller(model).label([text])
+    assert lang == "bb" and 0.85 < score < 1 and n == len(langid.elements(text)) and switches >= 1
+
+
 # -- personal data -------------------------------------------------------------------------------------------
 
 PLAIN = (re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"))
