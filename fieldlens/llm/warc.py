@@ -12,7 +12,8 @@ take no part in it; they are joined by record id at the end.
 
 Outcomes: ``resolved``, ``validator_mismatch`` (the latest earlier response has other validators), ``no_earlier_response``.
 Defined cases: earlier means a smaller (time, id), so captures at the same time are in the order of their ids; a null URL or time never
-matches; null headers count as none; rows that repeat (same id) count once; an empty table gives no rows; other columns are not read.
+matches; null headers count as none; rows equal in all columns that are read count once, others that share an id, or have
+none, each count, and at the same time and id are in the order of a hash of the record; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -54,15 +55,23 @@ def merged_headers(stored: Column, update: Column) -> Column:
     return F.map_from_entries(F.array_sort(F.concat(old, new)))
 
 
+def record_key(records: DataFrame, columns: list[str]) -> Column:
+    """64-bit key of a record; maps count by their entries in order."""
+    kinds = dict(records.dtypes)
+    parts = [F.array_sort(F.map_entries(c)) if kinds[c].startswith("map") else F.col(c) for c in columns]
+    return F.xxhash64(*[x for p in parts for x in (p, p.isNull())])
+
+
 def resolve(records: DataFrame, payload: list[str], record_id: str = "record_id", url: str = "url", at: str = "captured_at") -> DataFrame:
     """``records(record_id, url, captured_at, status, etag, last_modified, headers, payload...)`` ->
     ``(record_id, canonical_url, captured_at, base_id, outcome, headers, payload...)``, a row for each revisit (status 304)."""
-    rows = records.select(F.col(record_id).alias("id"), canonical_url(F.col(url)).alias("canonical_url"), F.col(at).alias("at"), "status", "etag", "last_modified", "headers", *payload)
-    lean = rows.where(F.col("status").isin(200, 304)).select("id", "canonical_url", "at", "status", _tag(F.col("etag")).alias("etag"), F.trim("last_modified").alias("modified")).dropDuplicates(["id"])
-    dealt = written(lean.repartitionByRange("canonical_url", "at", "id").withColumn("part", F.spark_partition_id()), "warc-dealt")
-    full = F.when((F.col("status") == 200) & F.col("canonical_url").isNotNull() & F.col("at").isNotNull(), F.struct("at", "id", "etag", "modified"))
+    key = record_key(records, list(dict.fromkeys([record_id, url, at, "status", "etag", "last_modified", "headers", *payload])))
+    rows = records.select(F.col(record_id).alias("id"), key.alias("key"), canonical_url(F.col(url)).alias("canonical_url"), F.col(at).alias("at"), "status", "etag", "last_modified", "headers", *payload)
+    lean = rows.where(F.col("status").isin(200, 304)).select("id", "key", "canonical_url", "at", "status", _tag(F.col("etag")).alias("etag"), F.trim("last_modified").alias("modified")).dropDuplicates(["id", "key"])
+    dealt = written(lean.repartitionByRange("canonical_url", "at", "id", "key").withColumn("part", F.spark_partition_id()), "warc-dealt")
+    full = F.when((F.col("status") == 200) & F.col("canonical_url").isNotNull() & F.col("at").isNotNull(), F.struct("at", "id", "key", "etag", "modified"))
     dealt = dealt.withColumn("full", full)
-    within = Window.partitionBy("part", "canonical_url").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part", "canonical_url").orderBy("at", "id", "key").rowsBetween(Window.unboundedPreceding, -1)
     near = dealt.withColumn("near", F.last("full", ignorenulls=True).over(within)).where("status = 304")
     ends = dealt.where("full is not null").groupBy("canonical_url", "part").agg(F.max("full").alias("end"))
     parts = near.select("canonical_url", "part").distinct().join(ends, ["canonical_url", "part"], "full")
@@ -73,12 +82,12 @@ def resolve(records: DataFrame, payload: list[str], record_id: str = "record_id"
     base = F.when(F.col("canonical_url").isNotNull() & F.col("at").isNotNull(), F.coalesce("near", "before"))
     agree = (F.when(F.col("etag").isNotNull(), F.coalesce(F.col("etag") == F.col("base.etag"), F.lit(False)))
              .when(F.col("modified").isNotNull(), F.coalesce(F.col("modified") == F.col("base.modified"), F.lit(False))).otherwise(True))
-    found = joined.withColumn("base", base).select("id", "canonical_url", "at", F.when(F.col("base").isNull(), "no_earlier_response").when(agree, "resolved").otherwise("validator_mismatch").alias("outcome"), F.col("base.id").alias("base_id"))
+    found = joined.withColumn("base", base).select("id", "key", "canonical_url", "at", F.when(F.col("base").isNull(), "no_earlier_response").when(agree, "resolved").otherwise("validator_mismatch").alias("outcome"), F.col("base.id").alias("base_id"), F.col("base.key").alias("base_key"))
     found = written(found, "warc-found")
-    revisits = rows.where("status = 304").select(F.col("id").alias("own_id"), F.col("headers").alias("own_headers")).dropDuplicates(["own_id"])
-    stored = rows.where("status = 200").select(F.col("id").alias("stored_id"), F.col("headers").alias("stored_headers"), *payload).dropDuplicates(["stored_id"])
-    out = found.join(revisits, found["id"].eqNullSafe(revisits["own_id"]))
-    out = out.join(stored, (out["base_id"] == stored["stored_id"]) & (out["outcome"] == "resolved"), "left")
+    revisits = rows.where("status = 304").select(F.col("id").alias("own_id"), F.col("key").alias("own_key"), F.col("headers").alias("own_headers")).dropDuplicates(["own_id", "own_key"])
+    stored = rows.where("status = 200").select(F.col("id").alias("stored_id"), F.col("key").alias("stored_key"), F.col("headers").alias("stored_headers"), *payload).dropDuplicates(["stored_id", "stored_key"])
+    out = found.join(revisits, found["id"].eqNullSafe(revisits["own_id"]) & (found["key"] == revisits["own_key"]))
+    out = out.join(stored, out["base_id"].eqNullSafe(stored["stored_id"]) & (out["base_key"] == stored["stored_key"]) & (out["outcome"] == "resolved"), "left")
     merged = F.when(F.col("outcome") == "resolved", merged_headers(F.col("stored_headers"), F.col("own_headers")))
     return out.select(F.col("id").alias("record_id"), "canonical_url", F.col("at").alias("captured_at"), "base_id", "outcome", merged.alias("headers"), *payload)
 

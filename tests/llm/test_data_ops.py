@@ -195,6 +195,14 @@ def test_revisits_resolve_as_of_their_time(spark):
     assert warc.resolve(spark.createDataFrame([], rec), ["body"]).count() == 0
 
 
+def test_revisits_with_shared_and_null_ids_each_count(spark):
+    rec = "record_id long, url string, captured_at long, status int, etag string, last_modified string, headers map<string,string>, body string"
+    rows = [(None, "http://a.org/x", 10, 200, None, None, {"A": "1"}, "one"), (None, "http://b.org/x", 10, 200, None, None, {"A": "2"}, "two"), (None, "http://a.org/x", 20, 304, None, None, None, None),
+            (None, "http://b.org/x", 30, 304, None, None, None, None), (7, "http://a.org/x", 40, 304, None, None, None, None), (7, "http://b.org/x", 50, 304, None, None, None, None), (7, "http://b.org/x", 50, 304, None, None, None, None)]
+    got = sorted((r.captured_at, r.record_id, r.outcome, r.body) for r in warc.resolve(spark.createDataFrame(rows, rec), ["body"]).collect())
+    assert got == [(20, None, "resolved", "one"), (30, None, "resolved", "two"), (40, 7, "resolved", "one"), (50, 7, "resolved", "two")]
+
+
 def test_revisits_of_one_hot_url_cross_ranges(spark):
     rows = spark.range(4000).select(F.col("id").alias("record_id"), F.lit("http://hot.org/").alias("url"), F.col("id").alias("captured_at"), F.when(F.col("id") % 1000 == 0, 200).otherwise(304).alias("status"),
                                     F.lit(None).cast("string").alias("etag"), F.lit(None).cast("string").alias("last_modified"), F.lit(None).cast("map<string,string>").alias("headers")).repartition(7)
