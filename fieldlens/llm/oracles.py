@@ -52,6 +52,14 @@ SELECT doc_id, license, n AS n_shingles, containment, place AS first_word FROM b
 """
 
 
+EXACT_DEDUP = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS plain FROM documents),
+g AS (SELECT doc_id, sha256(plain) AS text_sha256, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        row_number() OVER (PARTITION BY plain ORDER BY doc_id) = 1 AS kept FROM n WINDOW same AS (PARTITION BY plain))
+SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM g
+"""
+
+
 REVISITS = r"""
 WITH f AS (SELECT page_id, url, coalesce(html, '') AS body, unnest(range(0, 4)) AS n FROM pages),
 v AS (SELECT *, n = 0 OR (n = 2 AND page_id % 3 = 0) AS fresh, CASE WHEN n >= 2 AND page_id % 3 = 0 THEN 2 ELSE 1 END AS ver FROM f),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import ann, decontaminate, gru, langid, licenses, mixing, oracles, pii, simhash, warc, wrappers
+from fieldlens.llm import ann, decontaminate, exact, gru, langid, licenses, mixing, oracles, pii, simhash, warc, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +83,11 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("doc_id", *MIX_LEVELS, "n_tokens", "epoch", "tokens_taken")
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.groups(_table(spark, sf_dir, "documents"))
+    return found.withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_recurrent_lm_scores": op8_recurrent_lm_scores,
     "op9_personal_data": op9_personal_data,
     "op10_mix_to_weights": op10_mix_to_weights,
+    "op12_exact_dedup": op12_exact_dedup,
 }
 
 #: The others are checked against brute force, definitions and held-out rows in the tests.
@@ -102,4 +108,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_benchmark_decontamination": oracles.DECONTAMINATION,
     "op7_revisit_resolution": oracles.REVISITS,
     "op10_mix_to_weights": oracles.mix(MIX_LEVELS, MIX_WEIGHTS),
+    "op12_exact_dedup": oracles.EXACT_DEDUP,
 }

@@ -60,3 +60,17 @@ def batches_of(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+
+
+#: A group is hot if it has more than one of so many rows; so there are at most so many hot groups.
+HOT_SHARE = 1024
+
+
+def join_sized(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` joined with their row of ``groups`` by ``key``. Groups whose ``size`` is over ``total`` / 1024, at most 1024 of them, are broadcast,
+    so that no task gets a hot group; the rest are joined by shuffling."""
+    hot = groups.where(F.col(size) * HOT_SHARE > total)
+    cold = groups.where(F.col(size) * HOT_SHARE <= total)
+    settled = rows.join(F.broadcast(hot), key)
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return settled.unionByName(others)
