@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import ann, decontaminate, exact, gru, langid, licenses, mixing, oracles, pii, simhash, warc, wrappers
+from fieldlens.llm import alignment, ann, decontaminate, exact, gru, langid, licenses, mixing, oracles, pii, simhash, warc, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +83,11 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("doc_id", *MIX_LEVELS, "n_tokens", "epoch", "tokens_taken")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [alignment.public_file(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(_table(spark, sf_dir, "documents"), *files)
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.groups(_table(spark, sf_dir, "documents"))
     return found.withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_recurrent_lm_scores": op8_recurrent_lm_scores,
     "op9_personal_data": op9_personal_data,
     "op10_mix_to_weights": op10_mix_to_weights,
+    "op11_token_alignment": op11_token_alignment,
     "op12_exact_dedup": op12_exact_dedup,
 }
 
