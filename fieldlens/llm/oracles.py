@@ -60,6 +60,30 @@ SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM g
 """
 
 
+#: crc32 by its definition: the register takes a byte, then eight times shifts right, with the polynomial where a one falls out.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+  lambda ch: list_concat([ascii(ch)::BIGINT], list_transform(range(8), lambda i: -1::BIGINT))))),
+  lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+TRIE = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS k FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (SELECT c.conv_id, 0 AS part, t.k, r, x FROM c JOIN t ON t.conv_id = c.base AND k <= h
+  UNION ALL SELECT c.conv_id, 1, t.k, r, x FROM c JOIN t ON t.conv_id = c.conv_id AND k > h),
+seq AS (SELECT conv_id, list({{'r': r, 'x': x}} ORDER BY part, k) AS s FROM b GROUP BY conv_id),
+conv AS (SELECT conv_id, coalesce(s, []) AS s FROM c LEFT JOIN seq USING (conv_id)),
+pre AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM conv),
+n AS (SELECT s[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = d), '') AS ends FROM pre GROUP BY ALL),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+own AS (SELECT n.p, n.d, conv_id, n_convs, ends, coalesce(n_children, 0) AS n_children, CASE WHEN d > 0 THEN (n_convs - 1) * strlen(p[d].x) ELSE 0 END AS saved FROM n LEFT JOIN kids USING (p)),
+ups AS (SELECT p, n_children, saved, unnest(range(d + 1)) AS a FROM own),
+total AS (SELECT p[1:a] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM ups GROUP BY 1)
+SELECT o.conv_id, o.d AS depth, u.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens, sha256(o.ends) AS ends_sha256
+FROM own o JOIN total ON total.p = o.p LEFT JOIN own u ON o.d > 0 AND u.p = o.p[1:o.d - 1] AND u.d = o.d - 1
+"""
+
+
 REVISITS = r"""
 WITH f AS (SELECT page_id, url, coalesce(html, '') AS body, unnest(range(0, 4)) AS n FROM pages),
 v AS (SELECT *, n = 0 OR (n = 2 AND page_id % 3 = 0) AS fresh, CASE WHEN n >= 2 AND page_id % 3 = 0 THEN 2 ELSE 1 END AS ver FROM f),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import alignment, ann, decontaminate, exact, gru, langid, licenses, mixing, oracles, pii, simhash, warc, wrappers
+from fieldlens.llm import alignment, ann, decontaminate, exact, gru, langid, licenses, mixing, oracles, pii, simhash, trie, warc, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +93,10 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(*trie.branched(trie.ordered(_table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_hash_prefix_forest": op2_hash_prefix_forest,
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_to_weights": op10_mix_to_weights,
     "op11_token_alignment": op11_token_alignment,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 #: The others are checked against brute force, definitions and held-out rows in the tests.
@@ -115,4 +120,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_revisit_resolution": oracles.REVISITS,
     "op10_mix_to_weights": oracles.mix(MIX_LEVELS, MIX_WEIGHTS),
     "op12_exact_dedup": oracles.EXACT_DEDUP,
+    "op13_conversation_trie": oracles.TRIE,
 }
