@@ -726,6 +726,11 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
        count(*) AS events, round(sum(value), 4) AS value_sum
 FROM events GROUP BY ALL"""
 
+SQL["stream_moving_windows"] = """
+WITH d AS (SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS events, sum(value) AS value_sum FROM events GROUP BY ALL)
+SELECT window_start, event_type, events, round(value_sum, 4) AS value_sum, round(avg(events) OVER w, 4) AS events_ma, round(avg(value_sum) OVER w, 4) AS value_sum_ma
+FROM d WINDOW w AS (PARTITION BY event_type ORDER BY window_start ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+
 # ---------------------------------------------------------------- composite report
 SQL["shift_report"] = W("seats") + """
 SELECT s.assignment_id, s.date_line, s.unit_name, s.assigned_name, p.partner_names, p.partner_count,

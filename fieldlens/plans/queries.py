@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.functions import scalars as S
+from fieldlens.keyed import KeyedTable
 from fieldlens.operators import calendar, classify, keys, marts, matching, metrics, timeline
+from fieldlens.session import scratch_path
 from fieldlens.sources import roles, tables
 from fieldlens.plans.models import table_model
 from fieldlens.sources.roles import AS_OF_EVENTS, AS_OF_ORDERS
@@ -697,18 +699,21 @@ def _delta_transform(df: DataFrame) -> DataFrame:
         .withColumn("value", F.round(F.col("value") + 1.0, 2))
 
 
+def _merged(spark, name: str, base: DataFrame, delta: DataFrame, keys: list[str], order=()) -> DataFrame:
+    """``base`` written as a keyed table, and ``delta`` merged into the cells that hold its keys."""
+    table = KeyedTable(spark, scratch_path(spark, name), base.schema, keys, "ts").create(base, order=order)
+    table.merge(1, delta, order)
+    return table.read()
+
+
 def q_upsert_merge(spark, root):
-    m = sinks.merge_frames(roles.event_delta(spark, root, True), roles.event_delta(spark, root, False),
-                           ["event_id"])
-    return m.select(*EVENT_COLS)
+    return _merged(spark, "upsert-merge", *[roles.event_delta(spark, root, b).select(*EVENT_COLS) for b in (True, False)], ["event_id"])
 
 
 def q_upsert_composite(spark, root):
     day = F.col("ts").cast("date").alias("day")
-    t = roles.event_delta(spark, root, True).select("*", day)
-    d = roles.event_delta(spark, root, False).select("*", day)
-    m = sinks.merge_frames(t, d, ["user_id", "event_type", "day"], [("ts", "desc"), ("event_id", "desc")])
-    return m.select("user_id", "event_type", "day", "event_id", "ts", "value")
+    base, delta = [roles.event_delta(spark, root, b).select("user_id", "event_type", day, "event_id", "ts", "value") for b in (True, False)]
+    return _merged(spark, "upsert-composite", base, delta, ["user_id", "event_type", "day"], [("ts", "desc"), ("event_id", "desc")])
 
 
 def q_incremental_scan(spark, root):
@@ -780,6 +785,12 @@ def q_stream_daily_counts(spark, root):
     return out.select("window_start", "window_end", "event_type", "events", r4("value_sum").alias("value_sum"))
 
 
+def q_stream_moving_windows(spark, root):
+    """ST-10 over ST-9: seven-day means of the streamed daily counts."""
+    out = jobs.stream_moving_windows(spark, tables.table_path(root, "events"), by=["event_type"], rows=7)
+    return out.select("window_start", "event_type", "events", *[r4(c).alias(c) for c in ("value_sum", "events_ma", "value_sum_ma")])
+
+
 QUERIES.update({
     "upsert_merge": q_upsert_merge,
     "upsert_composite": q_upsert_composite,
@@ -791,4 +802,5 @@ QUERIES.update({
     "stream_upsert": q_stream_upsert,
     "stream_dedup": q_stream_dedup,
     "stream_daily_counts": q_stream_daily_counts,
+    "stream_moving_windows": q_stream_moving_windows,
 })

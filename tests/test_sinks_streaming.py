@@ -109,58 +109,23 @@ def test_late_file_reaches_counts_upsert_and_dedup(spark):
     assert run() == (19, 12, 12)
 
 
-def test_upsert_replaces_only_the_days_of_a_batch(spark):
-    import os
+def test_a_key_that_returns_on_another_day_stays_one_row(spark):
     from fieldlens.streaming import jobs
-    src, out = scratch_path(spark, "days-source"), scratch_path(spark, "days-target")
-    _events(spark, src, 0, 3, 1)
-    _events(spark, src, 10, 3, 2)
-    empty = spark.createDataFrame([], EVENT)
-    jobs.stream_upsert(spark, src, empty, ["event_id"], root=out)
-    before = {d: sorted(os.listdir(f"{out}/table/{d}")) for d in os.listdir(f"{out}/table") if d.startswith("event_day")}
-    _events(spark, src, 20, 2, 2)
-    assert jobs.stream_upsert(spark, src, empty, ["event_id"], root=out).count() == 8
-    after = {d: sorted(os.listdir(f"{out}/table/{d}")) for d in before}
-    assert before["event_day=2024-01-01"] == after["event_day=2024-01-01"]
-    assert before["event_day=2024-01-02"] != after["event_day=2024-01-02"]
-
-
-def test_a_batch_that_stopped_half_way_is_applied_again(spark):
-    """The partitions were staged, the replacement lost: the same batch puts them in place from the staged rows."""
-    from fieldlens.streaming import jobs
-    out = scratch_path(spark, "half")
-    rows_ = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 1, "a", 1.0)], EVENT)
-    day = F.col("ts").cast("date")
-    for _ in range(2):
-        jobs._apply(spark, out, 0, rows_.schema, day, lambda: rows_)
-        assert jobs.read_target(spark, out, rows_.schema).count() == 1
-
-
-def test_a_key_that_returns_on_another_day_stays_one_row(spark, monkeypatch):
-    import os
-    from fieldlens.streaming import jobs
-    monkeypatch.setattr(jobs, "ROWS_A_TASK", 3)
     src, up, de = (scratch_path(spark, k) for k in ("moved-source", "moved-upsert", "moved-dedup"))
     empty = spark.createDataFrame([], EVENT)
 
     def run():
-        return (sorted((r.event_id, r.ts.day) for r in jobs.stream_upsert(spark, src, empty, ["event_id"], root=up).collect()),
+        return (sorted((r.event_id, r.ts.day) for r in jobs.stream_upsert(spark, src, empty, ["event_id"], root=up, buckets=3).collect()),
                 sorted((r.event_id, r.ts.day) for r in jobs.stream_dedup(spark, src, ["event_id"], root=de).collect()))
 
     _events(spark, src, 0, 10, 1)
     _events(spark, src, 50, 1, 2)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        run()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len([f for f in os.listdir(f"{up}/table/event_day=2024-01-01") if f.endswith(".parquet")]) > 1  # a day in several tasks
+    run()
     _events(spark, src, 50, 1, 3)
     _events(spark, src, 0, 1, 3)
     upserted, deduped = run()
     assert upserted == [(0, 3), *((i, 1) for i in range(1, 10)), (50, 3)]
     assert deduped == [*((i, 1) for i in range(10)), (50, 2)]
-    assert not os.path.exists(f"{up}/table/event_day=2024-01-02")  # no row is left on this day
 
 
 def test_models_follow_their_input(spark):
