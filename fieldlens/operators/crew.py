@@ -16,7 +16,7 @@ from fieldlens.functions.scalars import (day_name, dow0, exact_window_avg, hours
                                          week_start_monday, week_start_sunday)
 from fieldlens.operators.classify import any_like, region_from_cost_center, TRAINING_PATTERNS
 from fieldlens.operators.keys import distinct_on
-from fieldlens.operators.staffing import shift_partners
+from fieldlens.operators.staffing import co_members, partner_counts, partner_names
 from fieldlens.operators.timeline import stage_durations, time_on_task, valid_runs
 
 SEAT_ATTRS = ["assignment_id", "source_database", "user_id", "assigned_name", "job_title", "shift_date",
@@ -85,11 +85,15 @@ def shift_metrics(rc: DataFrame) -> DataFrame:
     })
 
 
+#: Who works together in a day: the key of the groups that ``crew_daily`` rows belong to.
+DAY_GROUP = ["source_database", "unit_name", "shift_date"]
+
+
 def crew_daily(sm: DataFrame) -> DataFrame:
-    """Crew daily efficiency (BO-12): shift metrics + partners on the same unit and day +
-    efficiency percentages + calendar columns."""
-    p = shift_partners(sm, group=["source_database", "unit_name", "shift_date"])
-    return p.withColumns({
+    """Crew daily efficiency (BO-12): shift metrics + number of partners on the same unit and day +
+    efficiency percentages + calendar columns. Names are added to a report's rows by :func:`crew_daily_report`."""
+    counts, _ = co_members(sm, DAY_GROUP)
+    return partner_counts(sm, counts, DAY_GROUP).withColumns({
         "active_time_efficiency_pct": F.when(F.col("active_shift_hours") > 0,
                                              F.col("total_time_on_task_hours") / F.col("active_shift_hours") * 100),
         "actual_hours_efficiency_pct": F.when(F.col("actual_hours_worked") > 0,
@@ -98,7 +102,13 @@ def crew_daily(sm: DataFrame) -> DataFrame:
         "day_name": day_name("shift_date"),
         "week_start": week_start_monday("shift_date"),
         "month_start": month_start("shift_date"),
-    }).withColumnRenamed("partner_names", "partner_crew_members")
+    })
+
+
+def crew_daily_report(daily: DataFrame, sm: DataFrame) -> DataFrame:
+    """Rows of ``crew_daily`` with their partners' names."""
+    _, names = co_members(sm, DAY_GROUP)
+    return partner_names(daily, names, DAY_GROUP).withColumnRenamed("partner_names", "partner_crew_members")
 
 
 def crew_weekly(sm: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
-"""Interval matching: clock punches to scheduled shift seats (BO-17, BO-18), the schedule
-fact built on it (BO-19) and interval flattening (BO-20).
+"""Interval matching: clock punches to scheduled shift seats (BO-17, BO-18) and the schedule
+fact built on it (BO-19).
 
 Scale design. The reference joins on the user plus an OR of three predicates. Joined on
 the user alone, one busy user (or the NULL/open user) would put all of its shifts x
@@ -14,11 +14,11 @@ join excludes them, so the two sets are disjoint and are simply unioned.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions.scalars import (day_name, dow0, epoch_seconds, epoch_to_local, hours_between, month_start,
-                                         round_half, week_start_monday)
+                                         week_start_monday)
 
 
 def _prepare_shifts(shifts: DataFrame) -> DataFrame:
@@ -159,51 +159,3 @@ def schedule_fact(shifts: DataFrame, matches: DataFrame, periods: DataFrame | No
         from fieldlens.operators.calendar import assign_period
         out = assign_period(out, periods, "date_line")
     return out
-
-
-def interval_flatten(shifts: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Interval flattening (BO-20): per unit, the distinct start/end boundaries cut time
-    into slices (UNION of boundary points + LEAD); each slice lists the seats active in
-    it (equi-join on the unit plus a range residual), with coverage counts.
-
-    The range join keeps the unit as the equi-key and never forms a cross product; a
-    unit's slices grow as 2 x its shifts.
-
-    Skew: a busy unit must not put its whole timeline into one task. The next boundary
-    (LEAD) is therefore found per (unit, day); the last boundary of a day takes the first
-    boundary of the unit's next non-empty day, from a LEAD over one summary row per
-    unit-day (a calendar-sized input, not a data-sized one)."""
-    by = by or ["source_database", "unit_name"]
-    s = shifts.where(F.col("unit_name").isNotNull() & F.col("shift_start").isNotNull())
-    pts = (s.select(*by, F.col("shift_start").alias("ts"))
-            .union(s.select(*by, F.col("shift_end").alias("ts"))).distinct()
-            .withColumn("_pday", F.col("ts").cast("date")))
-    in_day = pts.withColumn("_next", F.lead("ts").over(Window.partitionBy(*by, "_pday").orderBy("ts")))
-    days = pts.groupBy(*by, "_pday").agg(F.min("ts").alias("_first"))
-    days = days.withColumn("_next_day_first",
-                           F.lead("_first").over(Window.partitionBy(*by).orderBy("_pday"))).drop("_first")
-    slices = in_day.join(days, [*by, "_pday"]) \
-        .withColumn("slice_end", F.coalesce("_next", "_next_day_first")) \
-        .where(F.col("slice_end").isNotNull()).withColumnRenamed("ts", "slice_start") \
-        .drop("_pday", "_next", "_next_day_first")
-    # Day buckets keep the range join from comparing a busy unit's every shift with every
-    # slice: a shift is exploded to the (at most two) days it touches, a slice belongs to
-    # the day it starts, so each (slice, seat) pair meets exactly once.
-    a = s.withColumn("_day", F.explode(F.sequence(F.col("shift_start").cast("date"),
-                                                  F.col("shift_end").cast("date")))).alias("a")
-    sl = slices.withColumn("_day", F.col("slice_start").cast("date")).alias("sl")
-    cond = [F.col(f"a.{k}") == F.col(f"sl.{k}") for k in by + ["_day"]] + [
-        F.col("a.shift_start") <= F.col("sl.slice_start"), F.col("a.shift_end") >= F.col("sl.slice_end")]
-    j = sl.join(a, cond, "inner")
-    return j.groupBy(*[F.col(f"sl.{k}").alias(k) for k in by], "sl.slice_start", "sl.slice_end").agg(
-        F.count("a.assignment_id").alias("seats"),
-        F.count("a.user_id").alias("filled_seats"),
-        # ARRAY_AGG(id ORDER BY start, id): sort (start, id) structs, keep the ids (AG-10)
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("a.shift_start").alias("s"),
-                                                                        F.col("a.assignment_id").alias("i")))),
-                                 lambda x: x["i"].cast("string")), ",").alias("crew_ids"),
-    ).withColumns({
-        "open_seats": F.col("seats") - F.col("filled_seats"),
-        "slice_hours": hours_between("slice_end", "slice_start"),
-        "coverage_pct": round_half(F.col("filled_seats") / F.col("seats"), 4),
-    })

@@ -51,38 +51,47 @@ def seat_fact(shifts: DataFrame, matches: DataFrame, users: DataFrame | None = N
     return shift_flags(s, allow)
 
 
-def shift_partners(df: DataFrame, group: Sequence[str] = SEAT_GROUP, id_col: str = "assignment_id",
-                   name_col: str = "assigned_name") -> DataFrame:
-    """Other names/ids on the same unit, day and start (BO-22, JN-14), without a self-join
-    and without gathering a group's rows into one task.
-
-    Per group, the member count and the distinct names with their id counts are
-    aggregated (partial aggregation before the shuffle; the name list is bounded by the
-    distinct names of the group) and joined back to the rows. A row's partners are the
-    other members: the count excludes the row itself, and its own name is left out
-    unless another member carries the same name. Open seats count as partners but give
-    no name; rows with a NULL group key have no partners (equality never matches NULL).
-    Assumes one row per ``id_col``."""
-    keys_ok = F.lit(True)
+def co_members(df: DataFrame, group: Sequence[str] = SEAT_GROUP, id_col: str = "assignment_id",
+               name_col: str = "assigned_name") -> tuple[DataFrame, DataFrame]:
+    """Groups of rows that share a unit, day and start (BO-22, JN-14): one row per group with its number of
+    members, and one row per group and name with how many members bear it. Neither grows faster than the rows, and no row holds a list.
+    Rows with a NULL in the group key are in no group (equality never matches NULL). Assumes one row per ``id_col``."""
+    members = df.where(_in_group(group))
+    counts = members.groupBy(*group).agg(F.countDistinct(id_col).alias("members"))
+    names = members.where(F.col(name_col).isNotNull()).groupBy(*group, F.col(name_col).alias("member_name")).agg(F.countDistinct(id_col).alias("bearers"))
+    return counts, names
+
+
+def _in_group(group: Sequence[str]) -> F.Column:
+    ok = F.lit(True)
     for g in group:
-        keys_ok = keys_ok & F.col(g).isNotNull()
-    members = df.where(keys_ok)
-    counts = members.groupBy(*group).agg(F.countDistinct(id_col).alias("_members"))
-    per_name = members.where(F.col(name_col).isNotNull()).groupBy(*group, name_col) \
-        .agg(F.countDistinct(id_col).alias("_c"))
-    names = per_name.groupBy(*group).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(name_col).alias("n"), F.col("_c").alias("c")))).alias("_names"))
-    g = counts.join(names, list(group), "left")
-    out = df.join(g, list(group), "left")
+        ok = ok & F.col(g).isNotNull()
+    return ok
+
+
+def partner_counts(df: DataFrame, counts: DataFrame, group: Sequence[str] = SEAT_GROUP) -> DataFrame:
+    """``df`` with the number of other members of a row's group; the group's key stays on the row, so names can be had later."""
+    out = df.join(counts, list(group), "left")
+    return out.withColumn("partner_count", F.coalesce(F.col("members") - 1, F.lit(0)).cast("bigint")).drop("members")
+
+
+def partner_names(rows: DataFrame, names: DataFrame, group: Sequence[str] = SEAT_GROUP, name_col: str = "assigned_name") -> DataFrame:
+    """The rows of a report with the names of the other members of their group, in order: the place where lists are made, for the
+    groups of ``rows`` only. A row's own name is left out unless another member bears it too; open seats give no name."""
+    asked = rows.where(_in_group(group)).select(*group).distinct()
+    lists = names.join(asked, list(group), "left_semi").groupBy(*group).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("member_name").alias("n"), F.col("bearers").alias("c")))).alias("_names"))
+    out = rows.join(lists, list(group), "left")
     mine = F.col(name_col)
-    partner_names = F.transform(
-        F.filter(F.coalesce(F.col("_names"), F.array()),
-                 lambda x: mine.isNull() | (x["n"] != mine) | (x["c"] > 1)),
-        lambda x: x["n"])
-    return out.withColumns({
-        "partner_count": F.coalesce(F.col("_members") - 1, F.lit(0)).cast("bigint"),
-        "partner_names": F.when(F.size(partner_names) > 0, F.array_join(partner_names, ", ")),
-    }).drop("_members", "_names")
+    others = F.transform(F.filter(F.coalesce(F.col("_names"), F.array()), lambda x: mine.isNull() | (x["n"] != mine) | (x["c"] > 1)), lambda x: x["n"])
+    return out.withColumn("partner_names", F.when(F.size(others) > 0, F.array_join(others, ", "))).drop("_names")
+
+
+def shift_partners(df: DataFrame, group: Sequence[str] = SEAT_GROUP, id_col: str = "assignment_id",
+                   name_col: str = "assigned_name") -> DataFrame:
+    """``df`` as a report with the number and names of each row's partners."""
+    counts, names = co_members(df, group, id_col, name_col)
+    return partner_names(partner_counts(df, counts, group), names, group, name_col)
 
 
 def staffing(df: DataFrame, group: Sequence[str] = SEAT_GROUP) -> DataFrame:

@@ -286,20 +286,39 @@ SELECT p.time_id, p.source_database, z.local_tz,
        CASE WHEN p.time_end_ts <> 0 THEN CAST(to_timestamp(p.time_end_ts) AT TIME ZONE z.local_tz AS TIMESTAMP) END AS clock_out_time
 FROM punches p LEFT JOIN source_zones z ON z.source_database = p.source_database"""
 
-SQL["interval_flatten"] = W("shifts") + f""",
-s AS (SELECT * FROM shifts WHERE unit_name IS NOT NULL AND shift_start IS NOT NULL),
-pts AS (SELECT source_database, unit_name, shift_start AS ts FROM s UNION SELECT source_database, unit_name, shift_end FROM s),
-sl AS (SELECT * FROM (SELECT source_database, unit_name, ts AS slice_start,
-                             lead(ts) OVER (PARTITION BY source_database, unit_name ORDER BY ts) AS slice_end FROM pts) x
-       WHERE slice_end IS NOT NULL)
-SELECT sl.source_database, sl.unit_name, sl.slice_start, sl.slice_end, count(s.assignment_id) AS seats,
-       count(s.user_id) AS filled_seats, count(s.assignment_id) - count(s.user_id) AS open_seats,
-       round({hrs('sl.slice_end', 'sl.slice_start')}, 4) AS slice_hours,
-       round(count(s.user_id) / count(s.assignment_id), 4) AS coverage_pct,
-       string_agg(CAST(s.assignment_id AS VARCHAR), ',' ORDER BY s.shift_start, s.assignment_id) AS crew_ids
-FROM sl JOIN s ON s.source_database = sl.source_database AND s.unit_name = sl.unit_name
-  AND s.shift_start <= sl.slice_start AND s.shift_end >= sl.slice_end
-GROUP BY sl.source_database, sl.unit_name, sl.slice_start, sl.slice_end"""
+_SLICES = W("schedule", "users") + f""",
+ns AS (SELECT s.*, u.first_name, u.last_name, u.last_name || ', ' || u.first_name AS assigned_name
+       FROM schedule s LEFT JOIN users u ON (u.user_id, u.source_database) = (s.user_id, s.source_database)),
+pts AS (SELECT unit_name, shift_start AS ts FROM ns WHERE unit_name IS NOT NULL AND shift_start IS NOT NULL
+        UNION SELECT unit_name, shift_end FROM ns WHERE unit_name IS NOT NULL AND shift_end IS NOT NULL),
+cut AS (SELECT unit_name, ts AS start_time, lead(ts) OVER (PARTITION BY unit_name ORDER BY ts) AS end_time FROM pts),
+met AS (SELECT ns.*, c.start_time, c.end_time, {rn(hrs('c.end_time', 'c.start_time'))} AS dur
+        FROM cut c JOIN ns ON ns.unit_name = c.unit_name AND ns.shift_start <= c.start_time AND ns.shift_end > c.start_time AND ns.shift_end >= c.end_time
+        WHERE c.end_time IS NOT NULL)"""
+
+SQL["interval_flatten"] = _SLICES + f""",
+g AS (SELECT unit_name, start_time, end_time, cost_center_id, cost_center_name, date_line, count(*) AS crew_count, max(dur) AS dur,
+             string_agg(DISTINCT assignment_status, ', ' ORDER BY assignment_status) AS assignment_statuses,
+             count(*) FILTER (assigned_name IS NULL) AS n_open,
+             sum(CAST(COALESCE(hours_worked, 0) AS DECIMAL(28,6))) AS worked, sum(CAST(COALESCE(scheduled_hours, 0) AS DECIMAL(28,6))) AS sched,
+             string_agg(DISTINCT source_database, ', ' ORDER BY source_database) AS source_databases
+      FROM met GROUP BY ALL)
+SELECT unit_name, start_time, end_time, cost_center_id, cost_center_name, date_line, crew_count, assignment_statuses,
+       {rn('crew_count * dur')} AS total_scheduled_hours, {rn('n_open * dur')} AS total_open_hours,
+       CAST(round(worked, 2) AS DOUBLE) AS total_worked_hours, CAST(round(sched, 2) AS DOUBLE) AS total_individual_scheduled_hours,
+       CASE WHEN sched > 0 THEN {rn('worked::DOUBLE / sched::DOUBLE * 100', 1)} ELSE 0.0::DOUBLE END AS utilization_percentage, source_databases, dur AS interval_duration_hours
+FROM g"""
+
+SQL["interval_members"] = _SLICES + """
+SELECT unit_name, cost_center_id, date_line, source_database, assignment_id, COALESCE(assigned_name, 'OPEN') AS crew_member_name,
+       COALESCE(first_name || ' ' || last_name, assigned_name, 'OPEN') AS crew_full_name, min(start_time) AS member_from, max(end_time) AS member_to
+FROM met GROUP BY unit_name, cost_center_id, date_line, source_database, assignment_id, assigned_name, first_name, last_name, time_id"""
+
+SQL["interval_crew_report"] = _SLICES + """
+SELECT unit_name, start_time, end_time, date_line, cost_center_id, count(*) AS crew_count,
+       string_agg(COALESCE(assigned_name, 'OPEN'), '; ' ORDER BY COALESCE(assigned_name, 'OPEN'), COALESCE(first_name || ' ' || last_name, assigned_name, 'OPEN')) AS crew_names,
+       string_agg(COALESCE(first_name || ' ' || last_name, assigned_name, 'OPEN'), '; ' ORDER BY COALESCE(assigned_name, 'OPEN'), COALESCE(first_name || ' ' || last_name, assigned_name, 'OPEN')) AS crew_full_names
+FROM met WHERE date_line BETWEEN DATE '2024-01-19' AND DATE '2024-01-25' GROUP BY unit_name, start_time, end_time, date_line, cost_center_id, cost_center_name"""
 
 SQL["shift_partners"] = W("seats") + """,
 crews AS (SELECT source_database, unit_id, date_line, shift_start, list(DISTINCT {'id': assignment_id, 'name': assigned_name}) AS members
@@ -504,7 +523,8 @@ p AS (SELECT a.assignment_id,
       FROM shift_metrics a LEFT JOIN shift_metrics b ON a.unit_name = b.unit_name AND a.shift_date = b.shift_date
         AND a.source_database = b.source_database
       GROUP BY a.assignment_id)
-SELECT m.assignment_id, m.shift_date, p.partner_crew_members,
+SELECT m.assignment_id, m.shift_date, (SELECT count(DISTINCT o.assignment_id) FROM shift_metrics o WHERE o.unit_name = m.unit_name AND o.shift_date = m.shift_date
+          AND o.source_database = m.source_database AND o.assignment_id <> m.assignment_id) AS partner_count, p.partner_crew_members,
        round(CASE WHEN active_shift_hours > 0 THEN total_time_on_task_hours / active_shift_hours * 100 END, 4) AS active_time_efficiency_pct,
        round(CASE WHEN actual_hours_worked > 0 THEN total_time_on_task_hours / actual_hours_worked * 100 END, 4) AS actual_hours_efficiency_pct,
        CAST(dayofweek(m.shift_date) AS INTEGER) AS day_of_week, dayname(m.shift_date) AS day_name,

@@ -146,7 +146,7 @@ role("shift_base", """
 SELECT event_id AS assignment_id,
        CAST(CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id END AS BIGINT) AS user_id,
        'src' || CAST(user_id % 3 AS VARCHAR) AS source_database,
-       CAST(CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_id % 5 END AS BIGINT) AS unit_id,
+       CAST(CASE WHEN event_id % 50 = 0 THEN NULL ELSE user_id // 6 END AS BIGINT) AS unit_id,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_hours(CAST(floor(hour(ts) / 6) * 6 AS BIGINT)) AS shift_start,
        CAST(event_id % 6 AS INTEGER) AS cost_center_id,
        CAST(4 + event_id % 9 AS INTEGER) AS span_hours
@@ -298,7 +298,7 @@ SELECT shift_assignment_id AS assignment_id, crew_user_id AS user_id,
        'src' || CAST(crew_user_id % 3 AS VARCHAR) AS source_database,
        seat_day AS date_line, CAST(seat_day AS TIMESTAMP) + INTERVAL 6 HOUR AS shift_start,
        CAST(seat_day AS TIMESTAMP) + INTERVAL 18 HOUR AS shift_end,
-       'Unit ' || CAST(crew_user_id % 20 AS VARCHAR) AS unit_name,
+       'Unit ' || CAST(crew_user_id // 5 AS VARCHAR) AS unit_name,
        CAST(crew_user_id % 6 AS INTEGER) AS cost_center_id
 FROM (SELECT DISTINCT crew_user_id, shift_assignment_id, seat_day FROM crew_link) x""", "crew_link")
 role("crew_seats", f"""

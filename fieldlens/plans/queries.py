@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions import scalars as S
 from fieldlens.keyed import KeyedTable
-from fieldlens.operators import calendar, classify, keys, marts, matching, metrics, timeline
+from fieldlens.operators import calendar, classify, keys, marts, matching, metrics, slices, timeline
 from fieldlens.session import scratch_path
 from fieldlens.sources import roles, tables
 from fieldlens.plans.models import table_model
@@ -323,10 +323,27 @@ def q_epoch_to_local(spark, root):
                     .alias("clock_out_time"))
 
 
+def _named_schedule(spark, root) -> DataFrame:
+    """The schedule fact with the names of its users."""
+    u = roles.users(spark, root).select("user_id", "source_database", "first_name", "last_name", S.last_first("last_name", "first_name").alias("assigned_name"))
+    return schedule(spark, root).join(u, ["user_id", "source_database"], "left")
+
+
 def q_interval_flatten(spark, root):
-    f = matching.interval_flatten(roles.shifts(spark, root))
-    return f.select("source_database", "unit_name", "slice_start", "slice_end", "seats", "filled_seats",
-                    "open_seats", r4("slice_hours").alias("slice_hours"), "coverage_pct", "crew_ids")
+    return slices.slice_facts(_named_schedule(spark, root))
+
+
+def q_interval_members(spark, root):
+    m = slices.slice_members(_named_schedule(spark, root))
+    return m.select("unit_name", "cost_center_id", "date_line", "source_database", "assignment_id", "crew_member_name", "crew_full_name", "member_from", "member_to")
+
+
+def q_interval_crew_report(spark, root):
+    """The slices of a week with their crews' names."""
+    week = F.col("date_line").between(F.lit(AS_OF_EVENTS - dt.timedelta(days=6)), F.lit(AS_OF_EVENTS))
+    seats = _named_schedule(spark, root)
+    out = slices.crew_names(slices.slice_facts(seats).where(week), slices.slice_members(seats).where(week))
+    return out.select("unit_name", "start_time", "end_time", "date_line", "cost_center_id", "crew_count", "crew_names", "crew_full_names")
 
 
 def q_shift_partners(spark, root):
@@ -489,6 +506,8 @@ QUERIES.update({
     "shift_flags": q_shift_flags,
     "epoch_to_local": q_epoch_to_local,
     "interval_flatten": q_interval_flatten,
+    "interval_members": q_interval_members,
+    "interval_crew_report": q_interval_crew_report,
     "shift_partners": q_shift_partners,
     "staffing_status": q_staffing_status,
     "weekly_overtime": q_weekly_overtime,
@@ -548,8 +567,9 @@ def q_shift_metrics(spark, root):
 
 
 def q_crew_daily(spark, root):
-    cd = crew.crew_daily(_shift_metrics(spark, root))
-    return cd.select("assignment_id", "shift_date", "partner_crew_members",
+    sm = _shift_metrics(spark, root)
+    cd = crew.crew_daily_report(crew.crew_daily(sm), sm)
+    return cd.select("assignment_id", "shift_date", "partner_count", "partner_crew_members",
                      r4("active_time_efficiency_pct").alias("active_time_efficiency_pct"),
                      r4("actual_hours_efficiency_pct").alias("actual_hours_efficiency_pct"),
                      "day_of_week", "day_name", "week_start", "month_start")

@@ -186,7 +186,7 @@ def shifts(spark: SparkSession, root: str, events: DataFrame | None = None) -> D
         eid.alias("assignment_id"),
         F.when(eid % 10 == 0, F.lit(None)).otherwise(F.col("user_id")).cast("bigint").alias("user_id"),
         source_tag(F.col("user_id")).alias("source_database"),
-        F.when(eid % 50 == 0, F.lit(None)).otherwise(eid % 5).cast("bigint").alias("unit_id"),
+        F.when(eid % 50 == 0, F.lit(None)).otherwise(F.floor(F.col("user_id") / 6)).cast("bigint").alias("unit_id"),
         start.alias("shift_start"),
         (eid % 6).cast("int").alias("cost_center_id"),
         (4 + eid % 9).cast("int").alias("span_hours"),
@@ -283,7 +283,7 @@ def crew_shifts(spark: SparkSession, root: str, link: DataFrame | None = None) -
         F.col("shift_assignment_id").alias("assignment_id"), s.alias("user_id"),
         source_tag(s).alias("source_database"), date_line.alias("date_line"),
         start.alias("shift_start"), add_hours(start, F.lit(12)).alias("shift_end"),
-        F.concat(F.lit("Unit "), (s % 20).cast("string")).alias("unit_name"),
+        F.concat(F.lit("Unit "), F.floor(s / 5).cast("bigint").cast("string")).alias("unit_name"),
         (s % 6).cast("int").alias("cost_center_id"))
 
 

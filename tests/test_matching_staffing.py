@@ -71,18 +71,6 @@ def test_cumulative_hours_tie_break_and_open(spark):
     assert got == {1: 4.0, 2: 12.0, 3: None}
 
 
-def test_interval_flatten_slices_cover_shift_hours(spark, root):
-    sh = roles.shifts(spark, root)
-    f = matching.interval_flatten(sh)
-    # every slice is inside at least one seat; slice hours x seats sums to the seat hours
-    seat_hours = sh.where(F.col("unit_name").isNotNull()).select(
-        F.sum((F.unix_micros(F.col("shift_end").cast("timestamp")) -
-               F.unix_micros(F.col("shift_start").cast("timestamp"))) / 3.6e9)).first()[0]
-    sliced = f.select(F.sum(F.col("slice_hours") * F.col("seats"))).first()[0]
-    assert abs(seat_hours - sliced) < 1e-6
-    assert f.where(F.col("seats") == 0).count() == 0
-
-
 def test_staffing_filled_plus_open_is_total(spark, root):
     from fieldlens.plans import queries as Q
     st = Q.q_staffing_status(spark, root).where(F.col("total_positions").isNotNull())
