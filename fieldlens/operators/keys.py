@@ -85,26 +85,23 @@ def revision_full_join(headers: DataFrame, revisions: DataFrame, key: str,
     )
 
 
-def revisions_with_pointer(lines: DataFrame, key: str, rev: str, order: Sequence) -> DataFrame:
-    """DISTINCT ON (key, rev) plus the per-key pointer max(rev), in one shuffle: the
-    pointer window partitions by ``key``, and the (key, rev) top-1 window above it is
-    already satisfied by that partitioning, so no second exchange is planned."""
-    ptr = lines.withColumn("_ptr", F.max(rev).over(Window.partitionBy(key)))
-    w = Window.partitionBy(key, rev).orderBy(*order_spec(order))
-    return ptr.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-
-
-def revision_full_join_pointed(headers: DataFrame, revs: DataFrame, key: str, rev: str = "rev",
-                               ptr: str = "_ptr") -> DataFrame:
-    """FULL JOIN of headers with every revision where the pointer is carried on the
-    revision rows (JN-6, Q-1): a revision matches its header only when it is the pointed
-    revision; superseded revisions keep NULL header columns and headers without any
+def pointed_revisions(headers: DataFrame, lines: DataFrame, key: str, rev: str, order: Sequence) -> tuple[DataFrame, DataFrame]:
+    """Headers with their pointer, the highest revision of their ``key``, as ``_ptr``, and the first row of each (key, rev) by ``order``.
+
+    The pointer is a grouped maximum: each task sends one row per key. The first rows are dealt by key *and* revision. So an entity may have
+    any share of all revisions: none of the two steps, nor the join on both columns, brings them to one task."""
+    pointer = lines.groupBy(key).agg(F.max(rev).alias("_ptr"))
+    return headers.join(pointer, key, "left"), distinct_on(lines, [key, rev], order)
+
+
+def revision_full_join_pointed(headers: DataFrame, revs: DataFrame, key: str, rev: str = "rev", ptr: str = "_ptr") -> DataFrame:
+    """FULL JOIN of headers, which carry their pointer, with every revision (JN-6, Q-1): a header meets the
+    revision it points to; superseded revisions keep NULL header columns and headers without any
     revision keep a NULL revision."""
     h, r = headers.alias("_h"), revs.alias("_r")
-    j = h.join(r, (F.col(f"_h.{key}") == F.col(f"_r.{key}")) & (F.col(f"_r.{rev}") == F.col(f"_r.{ptr}")),
-               "full_outer")
+    j = h.join(r, (F.col(f"_h.{key}") == F.col(f"_r.{key}")) & (F.col(f"_h.{ptr}") == F.col(f"_r.{rev}")), "full_outer")
     return j.select(
         F.coalesce(F.col(f"_h.{key}"), F.col(f"_r.{key}")).alias(key),
         F.col(f"_r.{rev}").alias(rev),
-        *[F.col(f"_h.{c}") for c in headers.columns if c != key],
-        *[F.col(f"_r.{c}") for c in revs.columns if c not in (key, rev, ptr) and c not in headers.columns])
+        *[F.col(f"_h.{c}") for c in headers.columns if c not in (key, ptr)],
+        *[F.col(f"_r.{c}") for c in revs.columns if c not in (key, rev) and c not in headers.columns])

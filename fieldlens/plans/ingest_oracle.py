@@ -20,7 +20,7 @@ SELECT event_id, ts, user_id, event_type, IF(ts >= TIMESTAMP '2024-01-24', round
     "reconcile_merge": W("run_header") + "SELECT leg_id, source_database, service_date, last_status_id FROM run_header",
     "sinks_read_back": W("runs") + f""",
 bad AS (SELECT leg_id FROM runs WHERE {_DURATION} < 0 OR {_DURATION} > 720)
-SELECT sink, CASE sink WHEN 'quarantine' THEN 2 * (SELECT count(*) FROM bad) ELSE (SELECT count(*) FROM runs) END AS row_count,
+SELECT sink, CASE sink WHEN 'quarantine' THEN (SELECT count(*) FROM bad) ELSE (SELECT count(*) FROM runs) END AS row_count,
   CASE sink WHEN 'quarantine' THEN (SELECT count(DISTINCT leg_id) FROM bad) ELSE (SELECT count(DISTINCT leg_id) FROM runs) END AS legs
 FROM (VALUES ('replace'), ('quarantine'), ('mart'), ('report')) v(sink)""",
     "report_sorted": W("report_shifts") + """
@@ -30,6 +30,13 @@ SELECT region, pay_period_start, assignment_id, is_open, CAST(row_number() OVER
 SELECT event_id, ts, event_type, CAST(DATE '2024-01-03' + 7 * (date_diff('day', DATE '2024-01-03', CAST(ts AS DATE)) // 7)::INTEGER AS DATE) AS chunk_start
 FROM events WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-24'""",
     "stored_cursor": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "quality_run": W("runs") + f""",
+f AS (SELECT 'invalid_durations' AS rule, count(*) FILTER ({_DURATION} < 0 OR {_DURATION} > 720) AS failures, 'warn' AS at_worst FROM runs
+  UNION ALL SELECT 'missing_clear_time', count(*) FILTER (clear_time IS NULL), 'error' FROM runs UNION ALL SELECT 'missing_leg', count(*) FILTER (leg_id IS NULL), 'error' FROM runs)
+SELECT rule, '2024-02-01' AS run_id, failures, IF(failures > 0, at_worst, 'pass') AS severity, failures AS stored_rows FROM f""",
+    "day_model": """
+SELECT CAST(ts AS DATE) AS event_day, event_type, count(*) AS events, count(DISTINCT user_id) AS users, round(sum(value), 4) AS value_sum
+FROM events WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY ALL""",
     "measures": W("run_header") + """
 SELECT leg_id, service_date, CAST(weekofyear(service_date) AS INTEGER) AS iso_week, CAST(isoyear(service_date) AS INTEGER) AS iso_year,
   round(mileage * 1000.0 / 1609.344, 4) AS miles FROM run_header WHERE mileage * 1000.0 > 100000""",

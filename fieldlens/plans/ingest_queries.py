@@ -8,9 +8,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens import sinks
+from fieldlens import loads, sinks
 from fieldlens.functions import scalars as S
 from fieldlens.operators import calendar, quality, reports
+from fieldlens.plans import models
 from fieldlens.plans import queries as Q
 from fieldlens.session import scratch_path
 from fieldlens.sources import roles, tables
@@ -57,18 +58,18 @@ def q_reconcile_merge(spark, root) -> DataFrame:
 
 
 def q_sinks_read_back(spark, root) -> DataFrame:
-    """SNK-1, 7, 8, 9: rows of each sink after it was written, quarantined twice and replaced once."""
+    """SNK-1, 7, 8, 9: rows of each sink after it was written; a run's quarantine and the replaced table were written twice."""
     runs = Q.runs(spark, root).select("leg_id", "region", "service_date", "enroute_time", "clear_time")
     bad = quality.dq_invalid_durations(runs).select("leg_id", "issue")
     base = scratch_path(spark, "sinks")
     sinks.write_replace(runs.limit(1), f"{base}/replace")
     sinks.write_replace(runs, f"{base}/replace")
     for _ in range(2):
-        sinks.quarantine(bad, f"{base}/quarantine")
+        sinks.quarantine(bad, f"{base}/quarantine", "invalid_durations", "run-1")
     sinks.export_marts({"runs": runs.select("leg_id", "region")}, f"{base}/marts")
     sinks.write_report(runs.select("region", F.trunc("service_date", "year").alias("pay_period_start"), "leg_id"), f"{base}/report")
     out = [spark.read.parquet(f"{base}/{path}").agg(F.count(F.lit(1)).alias("row_count"), F.countDistinct("leg_id").alias("legs")).select(F.lit(name).alias("sink"), "row_count", "legs")
-           for name, path in (("replace", "replace"), ("quarantine", "quarantine"), ("mart", "marts/runs"), ("report", "report"))]
+           for name, path in (("replace", "replace"), ("quarantine", "quarantine/rows"), ("mart", "marts/runs"), ("report", "report"))]
     return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
@@ -81,29 +82,55 @@ def q_report_sorted(spark, root) -> DataFrame:
 
 
 def q_backfill(spark, root) -> DataFrame:
-    """ST-6: a range loaded chunk by chunk, each chunk replacing its own partition, so a chunk can be loaded again."""
+    """ST-6: a range loaded chunk by chunk. The first run stops after two chunks; the second finds them in the ledger and loads the rest."""
     e = tables.load_table(spark, root, "events", ["event_id", "ts", "event_type"])
-    chunks = calendar.backfill_chunks(spark, dt.date(2024, 1, 3), dt.date(2024, 1, 24))
-    path = scratch_path(spark, "backfill")
-    for c in [*chunks.collect(), *chunks.limit(1).collect()]:  # calendar rows, not data; the first once more
-        part = tables.window_scan(e, "ts", dt.datetime.combine(c.chunk_start, dt.time()), dt.datetime.combine(c.chunk_end, dt.time()))
-        (part.withColumn("chunk_start", F.lit(c.chunk_start)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("chunk_start").parquet(path))
-    return spark.read.parquet(path).select("event_id", "ts", "event_type", "chunk_start")
+    chunks = [(c.chunk_start, c.chunk_end) for c in calendar.backfill_chunks(spark, dt.date(2024, 1, 3), dt.date(2024, 1, 24)).collect()]  # calendar rows
+    job = loads.ChunkLoad(spark, scratch_path(spark, "backfill"))
+    read = lambda start, end: tables.window_scan(e, "ts", dt.datetime.combine(start, dt.time()), dt.datetime.combine(end, dt.time()))
+    job.run(chunks[:2], read)
+    job.run(chunks, read)
+    return job.read().select("event_id", "ts", "event_type", "chunk_start")
 
 
 def q_stored_cursor(spark, root) -> DataFrame:
-    """SRC-5, ST-8: each load starts at the stored mark, merges by key and stores the next mark beside the target."""
+    """SRC-5, ST-8: three loads, each from the stored mark on, over a source that grows."""
     e = tables.load_table(spark, root, "events", Q.EVENT_COLS)
-    base = scratch_path(spark, "cursor")
-    target = e.where("ts < timestamp_ntz'2024-01-10'")
-    for load, until in enumerate(("2024-01-20", "9999-01-01")):
-        tables.next_high_water_mark(target, "ts").write.parquet(f"{base}/mark-{load}")
-        mark = spark.read.parquet(f"{base}/mark-{load}").select("high_water_mark").scalar()
-        new = tables.incremental_scan(e.where(f"ts < timestamp_ntz'{until}'"), "ts", mark)
-        sinks.merge_frames(target, new, ["event_id"]).write.parquet(f"{base}/target-{load}")
-        target = spark.read.parquet(f"{base}/target-{load}")
-    return target
+    job = loads.CursorLoad(spark, scratch_path(spark, "cursor"), "ts", ["event_id"], "ts")
+    for until in ("2024-01-10", "2024-01-20", "9999-01-01"):
+        job.run(e.where(f"ts < timestamp_ntz'{until}'"))
+    return job.read(e)
+
+
+def q_quality_run(spark, root) -> DataFrame:
+    """SNK-7, BO-47, BO-48: a run of rules, stored twice under one run id: failures and severity of each, and the rows kept for it."""
+    runs = Q.runs(spark, root).select("leg_id", "source_database", "run_number", "enroute_time", "clear_time")
+    base = scratch_path(spark, "quality")
+    rules = {"invalid_durations": (quality.dq_invalid_durations(runs).select("leg_id", "issue"), 1, None),
+             "missing_clear_time": (runs.where("clear_time is null").select("leg_id", F.lit("no clear time").alias("issue")), 1, 1),
+             "missing_leg": (runs.where("leg_id is null").select("leg_id", F.lit("no leg").alias("issue")), 1, 1)}
+    for rule, (failing, warn_at, error_at) in [*rules.items(), *rules.items()]:
+        sinks.quarantine(failing, base, rule, "2024-02-01", warn_at, error_at)
+    rows = spark.read.schema("leg_id long, issue string, rule string, run_id string").option("basePath", f"{base}/rows").parquet(f"{base}/rows")
+    stored = rows.groupBy("rule", "run_id").agg(F.count(F.lit(1)).alias("stored_rows"))
+    return sinks.run_summary(spark, base).join(stored, ["rule", "run_id"], "left").select("rule", "run_id", "failures", "severity", F.coalesce("stored_rows", F.lit(0)).alias("stored_rows"))
+
+
+def q_day_model(spark, root) -> DataFrame:
+    """SNK-6: a model by day that follows its source: built over a first load, refreshed after a file with later and changed days arrived, read by a window of days."""
+    e = tables.load_table(spark, root, "events", Q.EVENT_COLS)
+    base = scratch_path(spark, "day-model")
+    early = F.col("ts") < S.ntz_lit(dt.datetime(2024, 1, 20))
+    model = models.DayModel(spark, f"{base}/model", f"{base}/landing", "cast(ts as date)", day_counts, "event_day")
+    for part in (early & (F.col("event_id") % 2 == 0), early & (F.col("event_id") % 2 == 1) | ~early):
+        e.where(part).repartitionByRange(4, "ts").write.mode("append").parquet(f"{base}/landing")
+        model.refresh()
+    out = model.read().where(F.col("event_day") >= F.lit(dt.date(2024, 1, 10)))
+    return out.select("event_day", "event_type", "events", "users", S.round_half("value_sum", 4).alias("value_sum"))
+
+
+def day_counts(events: DataFrame) -> DataFrame:
+    """Events, users and value per day and type: what ``q_day_model`` keeps."""
+    return events.groupBy(F.col("ts").cast("date").alias("event_day"), "event_type").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("user_id").alias("users"), F.sum("value").alias("value_sum"))
 
 
 def q_measures(spark, root) -> DataFrame:
@@ -124,4 +151,6 @@ QUERIES = {
     "backfill": q_backfill,
     "stored_cursor": q_stored_cursor,
     "measures": q_measures,
+    "quality_run": q_quality_run,
+    "day_model": q_day_model,
 }

@@ -78,9 +78,8 @@ def q_revision_full_join(spark, root):
     li = tables.load_table(spark, root, "lineitem",
                            ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                             "l_shipdate"])
-    revs = keys.revisions_with_pointer(li, "l_orderkey", "l_linenumber", roles.REVISION_ORDER).select(
-        F.col("l_orderkey").alias("leg_id"), F.col("l_linenumber").alias("rev"), "_ptr", "l_partkey", "l_quantity")
-    hdr = roles.header_base(spark, root).select("leg_id", "run_number", "service_date")
+    li = li.withColumnsRenamed({"l_orderkey": "leg_id", "l_linenumber": "rev"})
+    hdr, revs = keys.pointed_revisions(roles.header_base(spark, root).select("leg_id", "run_number", "service_date"), li, "leg_id", "rev", roles.REVISION_ORDER)
     j = keys.revision_full_join_pointed(hdr, revs, "leg_id")
     return j.select("leg_id", "rev", "run_number", "service_date", "l_partkey", "l_quantity")
 

@@ -73,9 +73,26 @@ def register(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
     return df
 
 
-def quarantine(failing: DataFrame, path: str) -> None:
-    """Store failing rows of a DQ rule (SNK-7), appended with a run timestamp."""
-    failing.withColumn("quarantined_at", F.current_timestamp()).write.mode("append").parquet(path)
+def quarantine(failing: DataFrame, path: str, rule: str, run_id: str, warn_at: int = 1, error_at: int | None = None) -> DataFrame:
+    """Store the failing rows of a DQ rule in a run (SNK-7), and a row of the run's summary; -> that row.
+
+    Rows and summary lie in a folder of the rule and the run, which a second try overwrites, also by fewer rows or none: each run has its rows once.
+    The severity is ``error`` from ``error_at`` failures on (never, if None), ``warn`` from ``warn_at``, else ``pass``."""
+    spark = failing.sparkSession
+    at = f"rule={rule}/run_id={run_id}"
+    failing.withColumn("quarantined_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/rows/{at}")
+    stored = spark.read.schema(failing.schema).parquet(f"{path}/rows/{at}")
+    n = F.count(F.lit(1))
+    severity = F.when(n >= error_at, "error") if error_at is not None else F.when(F.lit(False), "error")
+    summary = stored.agg(n.alias("failures"), severity.when(n >= warn_at, "warn").otherwise("pass").alias("severity"))
+    summary.write.mode("overwrite").parquet(f"{path}/summary/{at}")
+    return spark.read.schema(summary.schema).parquet(f"{path}/summary/{at}").select(F.lit(rule).alias("rule"), F.lit(run_id).alias("run_id"), "failures", "severity")
+
+
+def run_summary(spark, path: str) -> DataFrame:
+    """``(rule, run_id, failures, severity)`` of all runs stored under ``path``."""
+    schema = "failures long, severity string, rule string, run_id string"
+    return spark.read.schema(schema).option("basePath", f"{path}/summary").parquet(f"{path}/summary").select("rule", "run_id", "failures", "severity")
 
 
 def export_marts(marts: Mapping[str, DataFrame], root: str) -> None:

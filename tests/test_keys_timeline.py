@@ -67,8 +67,7 @@ def test_sla_anchor_fallbacks(spark):
 def test_pointed_full_join_equals_general(spark):
     lines = spark.createDataFrame([(1, 1, 5), (1, 1, 3), (1, 2, 7), (2, 1, 9), (4, 3, 1)], "k long, r int, o int")
     h = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k long, h string")
-    revs = keys.revisions_with_pointer(lines, "k", "r", ["o"])
-    got = sorted(tuple(x) for x in keys.revision_full_join_pointed(h, revs, "k", rev="r").select("k", "r", "h", "o").collect())
+    got = sorted(tuple(x) for x in keys.revision_full_join_pointed(*keys.pointed_revisions(h, lines, "k", "r", ["o"]), "k", rev="r").select("k", "r", "h", "o").collect())
     ptr = lines.groupBy("k").agg({"r": "max"}).withColumnRenamed("max(r)", "r")
     hdr = h.join(ptr, "k", "left")
     first = keys.distinct_on(lines, ["k", "r"], ["o"])
@@ -76,3 +75,21 @@ def test_pointed_full_join_equals_general(spark):
                   .select("k", "rev", "h", "o").collect())
     assert got == want
     assert (1, 1, None, 3) in got and (3, None, "z", None) in got and (4, 3, None, 1) in got
+
+
+def test_a_hot_leg_is_spread(spark):
+    """One leg with a third of all revisions: no task of the full join gets more than three times the median."""
+    import statistics
+    from pyspark.sql import functions as F
+    lines = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), (F.col("id") % 7 + F.col("id")).alias("r"), F.col("id").alias("o"))
+    h = lines.select("k").distinct().withColumn("h", F.lit("x"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = keys.revision_full_join_pointed(*keys.pointed_revisions(h, lines, "k", "r", ["o"]), "k", rev="r")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) == 8 and max(sizes) <= 3 * statistics.median(sizes)
+    assert out.where("h is not null").count() == h.count()

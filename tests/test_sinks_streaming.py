@@ -51,9 +51,9 @@ def test_register_quarantine_export_report(spark, root):
     runs = Q.runs(spark, root)
     bad = quality.dq_invalid_durations(runs)
     q = scratch_path(spark, "quarantine")
-    sinks.quarantine(bad, q)
-    sinks.quarantine(bad, q)
-    assert spark.read.parquet(q).count() == 2 * bad.count()
+    for _ in range(2):
+        row = sinks.quarantine(bad, q, "durations", "r1").first()
+    assert spark.read.parquet(f"{q}/rows").count() == bad.count() == row.failures and row.severity == "warn"
     t = sinks.register(bad.select("leg_id", "issue"), "dq_failures", kind="table")
     assert spark.table("dq_failures").count() == t.count() == bad.count()
     out = scratch_path(spark, "marts")
