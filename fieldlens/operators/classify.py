@@ -37,6 +37,8 @@ LEVEL_RULES = [
 ]
 # Shift-type rules.
 TRAINING_PATTERNS = ["%PROMO%"]
+TRAINING_UNIT_PATTERNS = ["%Orientation%"]
+TRAINING_QUALIFICATIONS = ["Third Party", "%FTO%"]
 SPECIAL_EVENT_PATTERNS = ["LARGE%"]
 ORIENTATION_PATTERNS = ["ECON%"]
 # Call types that count as a transport level (daily dashboard "ran" rule).
@@ -100,11 +102,15 @@ def any_like(c: ColumnOrStr, patterns: Sequence[str]) -> Column:
 
 
 def shift_flags(df: DataFrame, allow: DataFrame | None = None) -> DataFrame:
-    """Shift type flags (BO-52): training, special event, orientation by name rules;
-    field shift when (cost_center_id, source_database) is in the allow-list (row-value IN,
+    """Shift type flags (BO-52): training, special event, orientation by name rules (training also by the unit's name and the
+    certification that the seat requires, where the frame has them); field shift when (cost_center_id, source_database) is in the allow-list (row-value IN,
     FLT-3) as a broadcast left join against a list of fixed size."""
+    training = any_like("cost_center_name", TRAINING_PATTERNS)
+    for column, patterns in (("unit_name", TRAINING_UNIT_PATTERNS), ("required_qualification", TRAINING_QUALIFICATIONS)):
+        if column in df.columns:
+            training = training | any_like(column, patterns)
     out = df.withColumns({
-        "is_training": any_like("cost_center_name", TRAINING_PATTERNS),
+        "is_training": training,
         "is_special_event": any_like("cost_center_name", SPECIAL_EVENT_PATTERNS),
         "is_orientation": any_like("cost_center_name", ORIENTATION_PATTERNS),
     })

@@ -32,7 +32,7 @@ def crew_seats(crew_shifts: DataFrame, centers: DataFrame, users: DataFrame, all
     """Crew schedule seats with names, cost center, training flag and the allow-list's
     special-event flag (inner join: only allow-listed cost centers, as the reference)."""
     u = users.select("user_id", "source_database", last_first("last_name", "first_name").alias("assigned_name"), "job_title")
-    s = crew_shifts.join(centers, "cost_center_id", "left").join(u, ["user_id", "source_database"], "left")
+    s = crew_shifts.join(centers, ["cost_center_id", "source_database"], "left").join(u, ["user_id", "source_database"], "left")
     a = F.broadcast(allow.select("cost_center_id", "source_database", "special_event"))
     s = s.join(a, ["cost_center_id", "source_database"], "inner")
     span = hours_between("shift_end", "shift_start")
@@ -45,15 +45,16 @@ def crew_seats(crew_shifts: DataFrame, centers: DataFrame, users: DataFrame, all
 def run_crew(stage_times: DataFrame, link: DataFrame, seats: DataFrame) -> DataFrame:
     """Runs x timestamps x leg-seat link x crew seat (allow-listed), valid runs only (BO-10,
     BO-7, BO-9). The seat's allow-list join is inner, which makes the outer joins before
-    it inner too (Q-12); Catalyst simplifies them the same way."""
+    it inner too (Q-12); Catalyst simplifies them the same way. Leg and seat ids repeat across sources, so leg, link and seat
+    meet on source and id."""
     r = valid_runs(time_on_task(stage_durations(stage_times)))
-    r = r.select("leg_id", "run_number", F.col("source_database").alias("run_source"), "service_date",
+    r = r.select("leg_id", "run_number", "source_database", "service_date",
                  "calltype_name", "pickup_time", "assigned_time", "at_scene_time", "clear_time",
                  "time_on_task_minutes", "time_on_task_excl_transport_minutes", "scene_time_minutes",
                  "transport_time_minutes", "destination_to_clear_minutes", "response_time_minutes")
-    lk = link.select("leg_id", "shift_assignment_id")
-    s = seats.select(*SEAT_ATTRS)
-    return r.join(lk, "leg_id").join(s, F.col("shift_assignment_id") == F.col("assignment_id"))
+    lk = link.select("leg_id", "source_database", "shift_assignment_id").distinct()
+    s = seats.select(*SEAT_ATTRS, F.col("assignment_id").alias("shift_assignment_id"))
+    return r.join(lk, ["leg_id", "source_database"]).join(s, ["shift_assignment_id", "source_database"])
 
 
 def shift_metrics(rc: DataFrame) -> DataFrame:
@@ -153,7 +154,7 @@ def run_metrics(rc: DataFrame, as_of: dt.date | None = None, weeks: int | None =
     if as_of is not None and weeks is not None:
         df = df.where((F.col("service_date") >= F.lit(as_of - dt.timedelta(days=7 * weeks)))
                       & (F.col("service_date") <= F.lit(as_of)))
-    one = distinct_on(df, ["leg_id", "run_source"], ["shift_assignment_id"])
+    one = distinct_on(df, ["leg_id", "source_database"], ["shift_assignment_id"])
     return one.withColumns({
         "region": region_from_cost_center(),
         "time_on_task_hours": F.col("time_on_task_minutes") / 60.0,

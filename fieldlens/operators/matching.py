@@ -19,6 +19,35 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions.scalars import (day_name, dow0, epoch_seconds, epoch_to_local, hours_between, month_start,
                                          week_start_monday)
+from fieldlens.operators.keys import distinct_on
+
+
+def live_seats(seats: DataFrame) -> DataFrame:
+    """Seats that are not deleted (flag ``'0'``): what every model of the schedule reads."""
+    return seats.where(F.col("deleted") == "0")
+
+
+def matchable(seats: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """Seats that punches may match: not deleted, published, regular, and assigned to a user that is there."""
+    s = live_seats(seats).where((F.col("published") == "true") & (F.col("seat_type") == "Regular") & F.col("user_id").isNotNull())
+    return s if users is None else s.join(users.select("user_id", "source_database"), ["user_id", "source_database"], "left_semi")
+
+
+def of_users(punches: DataFrame, users: DataFrame) -> DataFrame:
+    """Punches of users that are there."""
+    u = users.select(F.col("user_id").alias("time_user_id"), "source_database")
+    return punches.join(u, ["time_user_id", "source_database"], "left_semi")
+
+
+def with_requirements(seats: DataFrame, personnel: DataFrame, templates: DataFrame, codes: DataFrame) -> DataFrame:
+    """Seats with what they require (BO-19): of the notes for a source, unit and slot the one with the highest id names a certification template; and with
+    the description of their earning code. The latest note is a top-1 per key, cut in each task before it is shuffled."""
+    latest = distinct_on(personnel, ["source_database", "unit_id", "slot"], [("id", "desc")]).select(
+        "source_database", "unit_id", F.col("slot").alias("position_slot"), "template_id")
+    named = latest.join(templates, ["template_id", "source_database"], "left").select(
+        "source_database", "unit_id", "position_slot", F.col("template_name").alias("required_qualification"), "min_licensure_id", "min_level_id")
+    return (seats.join(named, ["source_database", "unit_id", "position_slot"], "left")
+            .join(codes, ["earning_code_id", "source_database"], "left"))
 
 
 def _prepare_shifts(shifts: DataFrame) -> DataFrame:

@@ -229,14 +229,15 @@ SELECT source_database, assignment_id, user_id, scheduled_start, scheduled_end,
        clock_in_time, clock_out_time, effective_clock_out, has_timesheet, is_clocked_in, is_clocked_out, match_type
 FROM matches"""
 
-SQL["orphan_intervals"] = W("punch_local", "shifts") + """
+SQL["orphan_intervals"] = W("punch_local", "match_seats", "users") + """
 SELECT p.source_database, p.time_user_id AS user_id, CAST(p.clock_in_time AS DATE) AS date_line, p.time_id,
        p.clock_in_time, p.clock_out_time,
        CASE WHEN p.time_end_ts <> 0 THEN p.clock_out_time END AS effective_clock_out,
        p.time_end_ts = 0 AS is_clocked_in, 'orphan' AS match_type
 FROM punch_local p
-WHERE NOT EXISTS (
-  SELECT 1 FROM shifts s WHERE s.user_id IS NOT NULL AND s.user_id = p.time_user_id AND s.source_database = p.source_database
+WHERE EXISTS (SELECT 1 FROM users u WHERE u.user_id = p.time_user_id AND u.source_database = p.source_database)
+  AND NOT EXISTS (
+  SELECT 1 FROM match_seats s WHERE s.user_id IS NOT NULL AND s.user_id = p.time_user_id AND s.source_database = p.source_database
     AND (s.assignment_id = p.shift_assignment_id
          OR abs((epoch_us(s.shift_start) // 1000000) - p.time_start_ts) < 3600
          OR (p.time_start_ts >= epoch_us(s.shift_start) // 1000000
@@ -250,7 +251,8 @@ SELECT assignment_id, source_database, time_id, min(clock_in_time) AS clock_in_t
 SQL["schedule_fact"] = W("schedule", "periods") + """,
 cur AS (SELECT start_date, end_date FROM periods WHERE start_date <= DATE '2024-01-25' ORDER BY start_date DESC LIMIT 1),
 nxt AS (SELECT start_date, end_date FROM periods WHERE start_date > DATE '2024-01-25' ORDER BY start_date ASC LIMIT 1)
-SELECT s.assignment_id, s.time_id, s.assignment_status, round(s.scheduled_hours, 4) AS scheduled_hours,
+SELECT s.assignment_id, s.time_id, s.assignment_status, s.position_slot, s.required_qualification, s.min_licensure_id, s.min_level_id, s.earning_code, s.published,
+       round(s.scheduled_hours, 4) AS scheduled_hours,
        round(s.open_hours, 4) AS open_hours, round(s.hours_worked, 4) AS hours_worked, s.has_timesheet,
        s.is_clocked_in, s.timesheet_match_type, p.pay_period_number, p.start_date AS pay_period_start,
        CASE WHEN p.start_date IS NOT NULL THEN CASE WHEN date_diff('day', p.start_date, s.date_line) < 7 THEN 1 ELSE 2 END END AS period_week,
@@ -506,7 +508,7 @@ FROM report_shifts GROUP BY region, pay_period_start, date_line"""
 
 # ---------------------------------------------------------------- runs x crew x shift, audit, quality
 SQL["run_crew"] = W("run_crew") + """
-SELECT leg_id, assignment_id, user_id, shift_date, cost_center_name, special_event,
+SELECT leg_id, source_database, assignment_id, user_id, shift_date, cost_center_name, special_event,
        round(time_on_task_minutes, 4) AS time_on_task_minutes FROM run_crew"""
 
 SQL["shift_metrics"] = W("shift_metrics") + """
@@ -518,18 +520,18 @@ SELECT assignment_id, total_runs, round(total_time_on_task_hours, 4) AS total_ti
 FROM shift_metrics"""
 
 SQL["crew_daily"] = W("shift_metrics") + """,
-p AS (SELECT a.assignment_id,
+p AS (SELECT a.assignment_id, a.source_database,
              string_agg(DISTINCT b.assigned_name, ', ' ORDER BY b.assigned_name) FILTER (WHERE b.assignment_id <> a.assignment_id) AS partner_crew_members
       FROM shift_metrics a LEFT JOIN shift_metrics b ON a.unit_name = b.unit_name AND a.shift_date = b.shift_date
         AND a.source_database = b.source_database
-      GROUP BY a.assignment_id)
+      GROUP BY a.assignment_id, a.source_database)
 SELECT m.assignment_id, m.shift_date, (SELECT count(DISTINCT o.assignment_id) FROM shift_metrics o WHERE o.unit_name = m.unit_name AND o.shift_date = m.shift_date
           AND o.source_database = m.source_database AND o.assignment_id <> m.assignment_id) AS partner_count, p.partner_crew_members,
        round(CASE WHEN active_shift_hours > 0 THEN total_time_on_task_hours / active_shift_hours * 100 END, 4) AS active_time_efficiency_pct,
        round(CASE WHEN actual_hours_worked > 0 THEN total_time_on_task_hours / actual_hours_worked * 100 END, 4) AS actual_hours_efficiency_pct,
        CAST(dayofweek(m.shift_date) AS INTEGER) AS day_of_week, dayname(m.shift_date) AS day_name,
        CAST(date_trunc('week', m.shift_date) AS DATE) AS week_start, CAST(date_trunc('month', m.shift_date) AS DATE) AS month_start
-FROM shift_metrics m LEFT JOIN p ON p.assignment_id = m.assignment_id"""
+FROM shift_metrics m LEFT JOIN p ON p.assignment_id = m.assignment_id AND p.source_database = m.source_database"""
 
 SQL["crew_efficiency_weekly"] = W("shift_metrics") + f"""
 SELECT user_id, source_database, week_start, week_start + 6 AS week_end, shifts_worked, total_calls_ran,
@@ -578,56 +580,52 @@ SQL["labour_hours"] = W("shift_mart", "users") + f""",{_LABOUR}
 SELECT region, shift_date, ambulances_up_am, ambulances_up_pm, total_ambulances, """ + ", ".join(f"round({c}, 4) AS {c}" for c in _BUCKETS) + " FROM labour"
 
 SQL["last_change_actor"] = W("runs", "history_log", "users") + """
-SELECT r.leg_id, r.run_number, r.canceled_time, r.lost_call_status, r.run_outcome, h.id AS last_change_id,
-       h.user_id AS canceled_by_user_id, concat(u.last_name, ', ', u.first_name) AS canceled_by
+SELECT r.leg_id, r.run_number, r.canceled_time, r.created AS time_canceled, r.cancel_reason_text, r.canceled_reason_id, v.name AS cancel_reason_name, r.lost_call_status, r.run_outcome,
+       h.id AS last_change_id, h.user_id AS canceled_by_user_id, concat(u.last_name, ', ', u.first_name) AS canceled_by, r.source_database
 FROM runs r
-LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY leg_id ORDER BY id DESC) AS rk
-                          FROM history_log WHERE field = 'canceled_time') x WHERE rk = 1) h ON h.leg_id = r.leg_id
-LEFT JOIN users u ON u.user_id = h.user_id
-WHERE r.last_status_id < 0"""
-
-SQL["distinct_list"] = W("uploads") + """,
-t AS (SELECT l.l_orderkey * 100000 + l.l_linenumber AS leg_attachment_id,
-             string_agg(DISTINCT p.p_type, ', ' ORDER BY p.p_type) AS attachment_types
-      FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_linestatus = 'F'
-      GROUP BY 1)
-SELECT u.leg_id, u.leg_attachment_id, u.uploader_id, u.uploaded_at, COALESCE(t.attachment_types, 'Unspecified') AS attachment_types
-FROM uploads u LEFT JOIN t ON t.leg_attachment_id = u.leg_attachment_id"""
-
-SQL["compliance"] = W("runs", "crew_link", "uploads") + """,
-legs AS (SELECT leg_id, calltype_name FROM runs WHERE run_outcome = 'ran'),
-crew AS (SELECT DISTINCT leg_id, crew_user_id FROM crew_link),
-summary AS (SELECT u.leg_id, count(*) AS total_attachments, CAST(count_if(c.crew_user_id IS NOT NULL) AS BIGINT) AS crew_attachments
-            FROM uploads u LEFT JOIN crew c ON c.leg_id = u.leg_id AND c.crew_user_id = u.uploader_id
-            GROUP BY u.leg_id),
-fin AS (SELECT o_orderkey AS leg_id, o_custkey % 100 AS finalizer_id FROM orders),
-leg AS (
-  SELECT l.leg_id, l.calltype_name, f.finalizer_id,
-         EXISTS (SELECT 1 FROM crew c WHERE c.leg_id = l.leg_id AND c.crew_user_id = f.finalizer_id) AS finalizer_is_crew_member,
-         COALESCE(s.total_attachments, 0) AS total_attachments, COALESCE(s.crew_attachments, 0) AS crew_attachments,
-         NOT COALESCE(l.calltype_name NOT IN ('ALS', 'BLS', 'CCT'), FALSE) AS requires_attachment,
-         COALESCE(l.calltype_name NOT IN ('ALS', 'BLS', 'CCT'), FALSE) OR COALESCE(s.crew_attachments, 0) > 0 AS is_compliant
-  FROM legs l LEFT JOIN summary s ON s.leg_id = l.leg_id LEFT JOIN fin f ON f.leg_id = l.leg_id)
-SELECT leg.leg_id, c.crew_user_id AS user_id, leg.calltype_name, leg.finalizer_id, leg.finalizer_is_crew_member,
-       COALESCE(c.crew_user_id = leg.finalizer_id, FALSE) AS is_finalizer, leg.total_attachments, leg.crew_attachments,
-       leg.crew_attachments > 0 AS has_crew_attachment, leg.requires_attachment, leg.is_compliant
-FROM crew c JOIN leg ON leg.leg_id = c.leg_id
-WHERE c.crew_user_id = leg.finalizer_id OR NOT leg.finalizer_is_crew_member OR leg.finalizer_id IS NULL"""
-
-SQL["qa_recon"] = W("users") + """,
-rec AS (SELECT doc_id AS run_id, source AS source_database, CAST(n_chars % 2 = 0 AS INTEGER) AS finalized,
-               doc_id % 150 AS create_user FROM documents),
-xlog AS (SELECT doc_id AS run_id, CASE WHEN quality = 0 THEN 'validation failed' END AS errors FROM labels),
-qa AS (SELECT doc_id AS run_id, 'Flagged' AS status_name, doc_id % 100 AS set_by_user FROM labels WHERE toxic = 1)
-SELECT DISTINCT r.run_id, r.source_database, CASE WHEN r.finalized = 1 THEN 'Yes' ELSE 'No' END AS finalized,
-       COALESCE(q.status_name, CASE WHEN r.finalized = 1 THEN 'Submitted' ELSE 'Not Finalized' END) AS status_name,
+LEFT JOIN (SELECT leg_id, source_database, max(id) AS id, arg_max(user_id, id) AS user_id FROM history_log WHERE field = 'canceled_time' GROUP BY ALL) h
+  ON h.leg_id = r.leg_id AND h.source_database = r.source_database
+LEFT JOIN users u ON u.user_id = h.user_id AND u.source_database = h.source_database
+LEFT JOIN (VALUES (0, 'No show'), (1, 'Weather'), (2, 'Facility closed'), (3, 'Duplicate')) v(id, name) ON v.id = r.canceled_reason_id
+WHERE r.last_status_id < 0 AND r.deleted = 0"""
+
+SQL["distinct_list"] = W("upload_log") + "SELECT * FROM upload_log"
+
+SQL["compliance"] = W("runs", "crew_link", "upload_log", "final_records", "users") + """,
+crew AS (SELECT DISTINCT source_database, leg_id, crew_user_id FROM crew_link),
+up AS (SELECT source_database, leg_id, count(*) AS n, string_agg(DISTINCT attachment_types, '; ' ORDER BY attachment_types) AS types, min(action_timestamp) AS first_at,
+              count(*) FILTER (EXISTS (SELECT 1 FROM crew c WHERE c.leg_id = a.leg_id AND c.source_database = a.source_database AND c.crew_user_id = a.user_id)) AS n_crew
+       FROM upload_log a GROUP BY ALL),
+leg AS (SELECT r.*, f.finalizer_id, f.finalized, COALESCE(up.n, 0) AS n, COALESCE(up.n_crew, 0) AS n_crew, up.types, up.first_at,
+               COALESCE(r.reason_for_transport IN ('Dialysis', 'Doctors Appointment'), FALSE) OR COALESCE(contains(r.source_name, 'Vet Ride'), FALSE)
+                 OR COALESCE(r.calltype_name NOT IN ('ALS', 'BLS', 'CCT'), FALSE) AS exempt,
+               EXISTS (SELECT 1 FROM crew c WHERE c.leg_id = r.leg_id AND c.source_database = r.source_database AND c.crew_user_id = f.finalizer_id) AS own_final
+        FROM runs r LEFT JOIN final_records f ON f.run_number = r.run_number::VARCHAR AND f.source_database = r.source_database
+        LEFT JOIN up ON up.leg_id = r.leg_id AND up.source_database = r.source_database WHERE r.run_outcome = 'ran')
+SELECT c.crew_user_id AS user_id, CASE WHEN u.user_id IS NULL THEN ', ' ELSE concat(u.last_name, ', ', u.first_name) END AS crew_member_name, l.run_number, l.leg_id, l.source_database, l.region, l.service_date,
+       CAST(date_trunc('week', l.service_date) AS DATE) AS week_start, CAST(date_trunc('month', l.service_date) AS DATE) AS month_start, l.calltype_name, l.source_name,
+       l.reason_for_transport, l.finalizer_id, CAST(l.finalized AS INTEGER) AS finalized, l.own_final AS finalizer_is_crew_member, COALESCE(c.crew_user_id = l.finalizer_id, FALSE) AS is_finalizer,
+       l.n AS total_attachments, l.n_crew AS crew_attachments, l.types AS all_attachment_types, l.first_at AS first_attachment_time, l.n_crew > 0 AS has_crew_attachment,
+       NOT l.exempt AS requires_attachment, l.exempt OR l.n_crew > 0 AS is_compliant
+FROM crew c JOIN leg l USING (source_database, leg_id) LEFT JOIN users u ON u.user_id = c.crew_user_id AND u.source_database = c.source_database
+WHERE c.crew_user_id = l.finalizer_id OR NOT l.own_final OR l.finalizer_id IS NULL"""
+
+SQL["qa_recon"] = W("users", "stage_times") + """,
+rec AS (SELECT doc_id, 'src' || (doc_id % 3)::VARCHAR AS src, n_chars % 2 = 0 AS fin FROM documents),
+lab AS (SELECT *, 'src' || (doc_id % 3)::VARCHAR AS src FROM labels)
+SELECT DISTINCT r.doc_id AS run_id, r.doc_id + 1000 AS run_num, s.service_date AS date_of_service, p.last_name || ', ' || p.first_name AS patient_name,
+       CASE WHEN p.user_id IS NOT NULL THEN CAST(DATE '1940-01-01' + (p.user_id % 20000)::INTEGER AS DATE) END AS dob, s.calltype_name || ' ' || s.level_of_service AS calltype,
+       IF(r.fin, 'Yes', 'No') AS finalized, CASE WHEN r.fin THEN CAST(DATE '2024-01-01' + (r.doc_id % 60)::INTEGER AS DATE) END AS finalized_date,
+       CASE WHEN q.doc_id IS NOT NULL THEN 'Flagged' WHEN r.fin THEN 'Submitted' ELSE 'Not Finalized' END AS status_name,
+       CASE WHEN q.doc_id IS NOT NULL THEN CAST(DATE '2024-02-01' + (q.doc_id % 30)::INTEGER AS DATE) END AS qa_date,
        rv.last_name || ', ' || rv.first_name AS reviewer_name, lc.last_name || ', ' || lc.first_name AS crew_name,
-       CASE WHEN x.run_id IS NOT NULL AND x.errors IS NULL THEN 'Exported'
-            WHEN x.run_id IS NOT NULL AND x.errors IS NOT NULL THEN 'Failed'
-            WHEN x.run_id IS NULL THEN 'Not Exported' END AS exported,
-       x.errors
-FROM rec r LEFT JOIN qa q ON q.run_id = r.run_id LEFT JOIN xlog x ON x.run_id = r.run_id
-LEFT JOIN users rv ON q.set_by_user = rv.user_id LEFT JOIN users lc ON r.create_user = lc.user_id"""
+       CASE WHEN x.doc_id IS NULL THEN 'Not Exported' WHEN x.quality = 0 THEN 'Failed' ELSE 'Exported' END AS exported,
+       CASE WHEN x.quality = 0 THEN 'validation failed' END AS errors, s.source_database
+FROM stage_times s LEFT JOIN rec r ON r.doc_id = s.leg_id AND r.src = s.source_database
+LEFT JOIN lab q ON q.doc_id = r.doc_id AND q.src = r.src AND q.toxic = 1 LEFT JOIN lab x ON x.doc_id = r.doc_id AND x.src = r.src
+LEFT JOIN users rv ON rv.user_id = q.doc_id % 100 * 3 + q.doc_id % 3 AND rv.source_database = q.src
+LEFT JOIN users lc ON lc.user_id = r.doc_id % 150 * 3 + r.doc_id % 3 AND lc.source_database = r.src
+LEFT JOIN users p ON p.user_id = s.user_id AND p.source_database = s.source_database"""
 
 SQL["qa_status"] = W("qa_runs") + """,
 st AS (SELECT doc_id AS run_id, CAST(quality + 1 AS INTEGER) AS status_id, toxic AS removed FROM qa_runs WHERE quality IS NOT NULL),
@@ -640,7 +638,8 @@ SQL["pay_list"] = W("stage_times", "crew_link", "users") + f"""
 SELECT DISTINCT r.run_number, r.service_date AS leg_date, r.clear_time, r.assigned_time, round({hrs('r.clear_time', 'r.assigned_time')}, 4) AS time_on_task_hours,
   r.source_database, l.crew_user_id, CASE WHEN l.crew_user_id IS NULL THEN ' ' ELSE COALESCE(u.first_name, '') || ' ' || COALESCE(u.last_name, '') END AS crew_name,
   u.hourly_wage, round({hrs('r.clear_time', 'r.assigned_time')} * u.hourly_wage, 4) AS pay_amount
-FROM stage_times r LEFT JOIN crew_link l USING (leg_id) LEFT JOIN users u ON u.user_id = l.crew_user_id AND u.source_database = l.crew_source
+FROM stage_times r LEFT JOIN crew_link l ON l.leg_id = r.leg_id AND l.source_database = r.source_database
+LEFT JOIN users u ON u.user_id = l.crew_user_id AND u.source_database = l.source_database
 WHERE r.last_status_id >= -1 AND r.source_database <> 'src2'"""
 
 SQL["active_users"] = W("users") + """
@@ -711,7 +710,7 @@ SQL["snapshot_diff"] = W("seats", "cost_centers") + f""",
 snap AS (
   SELECT event_id AS assignment_id, CAST(CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id END AS BIGINT) AS planned_user_id,
          CAST(4 + event_id % 9 AS DOUBLE) AS planned_hours
-  FROM events WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-01-25 00:00:00'
+  FROM events WHERE event_type = 'signup' AND event_id % 41 <> 0 AND ts < TIMESTAMP '2024-01-25 00:00:00'
     AND CAST(ts AS DATE) BETWEEN DATE '2024-01-21' AND DATE '2024-01-27'),
 act AS (SELECT assignment_id, user_id AS actual_user_id, hours_worked FROM seats
         WHERE date_line BETWEEN DATE '2024-01-21' AND DATE '2024-01-27')

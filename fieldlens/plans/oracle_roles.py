@@ -91,7 +91,10 @@ SELECT o.o_orderkey AS leg_id, o.o_orderkey AS run_number, o.o_custkey AS user_i
        CASE WHEN o.o_orderkey % 3 = 0 THEN 'lost' END AS lost_call_status,
        o.o_orderpriority IN ('1-URGENT', '2-HIGH') AS emergency,
        o.o_orderpriority AS level_of_service, ct.calltype_name,
-       o.o_totalprice / 900.0 AS mileage, cr.market, cr.n_name AS state, p.rev
+       o.o_totalprice / 900.0 AS mileage, cr.market, cr.n_name AS state, p.rev,
+       CASE o.o_orderkey // 3 % 4 WHEN 0 THEN 'Dialysis' WHEN 1 THEN 'Doctors Appointment' WHEN 3 THEN 'Discharge' END AS reason_for_transport,
+       IF(o.o_orderkey % 13 = 0, 'Vet Ride North', 'Facility') AS source_name, CAST(o.o_orderkey % 5 AS INTEGER) AS canceled_reason_id,
+       IF(o.o_orderkey % 4 = 0, 'caller', NULL) AS cancel_reason_text, CAST(o.o_orderkey % 29 = 0 AS INTEGER) AS deleted
 FROM orders o
 LEFT JOIN call_types ct ON ct.o_orderpriority = o.o_orderpriority
 LEFT JOIN cust_region cr ON cr.c_custkey = o.o_custkey
@@ -140,8 +143,13 @@ SELECT *,
 FROM (SELECT *, CASE WHEN clear_time > enroute_time THEN {rn(mins('clear_time', 'enroute_time'))} END AS raw_time_on_task_minutes
       FROM runs_base) x""", "runs_base")
 role("cost_centers", """
-SELECT CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS cost_center_id, p_type AS cost_center_name
-FROM (SELECT DISTINCT p_type FROM part) t""")
+SELECT CAST(row_number() OVER (PARTITION BY src ORDER BY p_type) - 1 AS INTEGER) AS cost_center_id, p_type AS cost_center_name, src AS source_database
+FROM (SELECT DISTINCT p_type FROM part) t, (VALUES ('src0'), ('src1'), ('src2')) v(src)""")
+role("seat_needs", """
+SELECT p.src AS source_database, p.unit_id, p.slot, t.name AS required_qualification, t.licence AS min_licensure_id, t.lvl AS min_level_id
+FROM (SELECT 'src' || (user_id % 3)::VARCHAR AS src, user_id // 6 AS unit_id, event_id % 2 AS slot, arg_max(event_id // 2 % 6, event_id) AS template
+      FROM events WHERE event_type = 'signup' GROUP BY ALL) p
+LEFT JOIN (VALUES (0, 'EMT', 1, 1), (1, 'Paramedic', 2, 2), (2, 'Third Party', NULL, NULL), (3, 'FTO Paramedic', 2, 3), (4, 'Nurse', 3, 2)) t(id, name, licence, lvl) ON t.id = p.template""")
 role("shift_base", """
 SELECT event_id AS assignment_id,
        CAST(CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id END AS BIGINT) AS user_id,
@@ -149,13 +157,19 @@ SELECT event_id AS assignment_id,
        CAST(CASE WHEN event_id % 50 = 0 THEN NULL ELSE user_id // 6 END AS BIGINT) AS unit_id,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_hours(CAST(floor(hour(ts) / 6) * 6 AS BIGINT)) AS shift_start,
        CAST(event_id % 6 AS INTEGER) AS cost_center_id,
-       CAST(4 + event_id % 9 AS INTEGER) AS span_hours
-FROM events WHERE event_type = 'signup'""")
+       CAST(4 + event_id % 9 AS INTEGER) AS span_hours,
+       IF(event_id % 37 = 0, 'false', 'true') AS published, IF(event_id % 43 = 0, 'Swap', 'Regular') AS seat_type, CAST(event_id % 2 AS INTEGER) AS position_slot,
+       CASE event_id % 4 WHEN 0 THEN 'Regular' WHEN 1 THEN 'Overtime' WHEN 2 THEN 'Holiday' END AS earning_code
+FROM events WHERE event_type = 'signup' AND event_id % 41 <> 0""")
 role("shifts", """
 SELECT b.*, b.shift_start + to_hours(b.span_hours) AS shift_end, CAST(b.shift_start AS DATE) AS date_line,
-       'Unit ' || CAST(b.unit_id AS VARCHAR) AS unit_name, cc.cost_center_name
-FROM shift_base b LEFT JOIN cost_centers cc ON cc.cost_center_id = b.cost_center_id""",
-     "shift_base", "cost_centers")
+       'Unit ' || CAST(b.unit_id AS VARCHAR) AS unit_name, cc.cost_center_name, n.required_qualification, n.min_licensure_id, n.min_level_id
+FROM shift_base b LEFT JOIN cost_centers cc ON cc.cost_center_id = b.cost_center_id AND cc.source_database = b.source_database
+LEFT JOIN seat_needs n ON n.source_database = b.source_database AND n.unit_id = b.unit_id AND n.slot = b.position_slot""",
+     "shift_base", "cost_centers", "seat_needs")
+role("match_seats", """
+SELECT s.* FROM shifts s WHERE published = 'true' AND seat_type = 'Regular'
+  AND EXISTS (SELECT 1 FROM users u WHERE u.user_id = s.user_id AND u.source_database = s.source_database)""", "shifts", "users")
 role("punches", """
 SELECT event_id AS time_id, user_id AS time_user_id, event_id + 1 AS shift_assignment_id,
        epoch_us(ts) // 1000000 AS time_start_ts,
@@ -172,12 +186,12 @@ FROM punches p LEFT JOIN source_zones z ON z.source_database = p.source_database
 role("pairs", """
 SELECT s.source_database, s.assignment_id, p.time_id,
        CASE WHEN s.assignment_id = p.shift_assignment_id THEN 'direct_match' ELSE 'fuzzy_match' END AS match_type
-FROM shifts s JOIN punches p ON p.time_user_id = s.user_id AND p.source_database = s.source_database
+FROM match_seats s JOIN punches p ON p.time_user_id = s.user_id AND p.source_database = s.source_database
  AND (s.assignment_id = p.shift_assignment_id
       OR abs((epoch_us(s.shift_start) // 1000000) - p.time_start_ts) < 3600
       OR (p.time_start_ts >= epoch_us(s.shift_start) // 1000000
           AND p.time_start_ts < epoch_us(s.shift_end) // 1000000))
-WHERE s.user_id IS NOT NULL""", "shifts", "punches")
+WHERE s.user_id IS NOT NULL""", "match_seats", "punches")
 role("matches", """
 SELECT s.source_database, s.assignment_id, s.user_id, s.shift_start AS scheduled_start,
        s.shift_end AS scheduled_end, s.date_line, s.cost_center_id,
@@ -189,10 +203,10 @@ SELECT s.source_database, s.assignment_id, s.user_id, s.shift_start AS scheduled
        p.time_id IS NOT NULL AND p.time_end_ts <> 0 AS is_clocked_out,
        TRUE AS has_assignment,
        COALESCE(m.match_type, 'no_timesheet') AS match_type
-FROM shifts s
+FROM match_seats s
 LEFT JOIN pairs m ON (m.source_database, m.assignment_id) = (s.source_database, s.assignment_id)
 LEFT JOIN punch_local p ON (p.source_database, p.time_id) = (m.source_database, m.time_id)
-WHERE s.user_id IS NOT NULL""", "shifts", "pairs", "punch_local")
+WHERE s.user_id IS NOT NULL""", "match_seats", "pairs", "punch_local")
 role("schedule", f"""
 SELECT s.*, m.time_id, m.clock_in_time, m.clock_out_time, m.effective_clock_out,
        COALESCE(m.has_timesheet, FALSE) AS has_timesheet,
@@ -228,7 +242,7 @@ SELECT x.*,
   CASE WHEN x.hours_worked IS NOT NULL THEN {rn('x.hours_worked - x.scheduled_hours')} END AS hours_variance,
   x.assignment_status = 'ASSIGNED' AS is_assigned
 FROM (SELECT *,
-        COALESCE(cost_center_name LIKE '%PROMO%', FALSE) AS is_training,
+        COALESCE(cost_center_name LIKE '%PROMO%', FALSE) OR COALESCE(required_qualification IN ('Third Party', 'FTO Paramedic'), FALSE) AS is_training,
         COALESCE(cost_center_name LIKE 'LARGE%', FALSE) AS is_special_event,
         COALESCE(cost_center_name LIKE 'ECON%', FALSE) AS is_orientation
       FROM schedule) x
@@ -256,7 +270,7 @@ FROM (
     {level_sql('s.cost_center_name')} AS level_of_service,
     CASE WHEN sp.hours_worked IS NOT NULL THEN {rn("sp.hours_worked - CASE WHEN s.user_id IS NOT NULL THEN " + hrs('s.shift_end', 's.shift_start') + " ELSE 0.0 END")} END AS hours_variance,
     u.last_name || ', ' || u.first_name AS assigned_name, u.job_title,
-    COALESCE(s.cost_center_name LIKE '%PROMO%', FALSE) AS is_training,
+    COALESCE(s.cost_center_name LIKE '%PROMO%', FALSE) OR COALESCE(s.required_qualification IN ('Third Party', 'FTO Paramedic'), FALSE) AS is_training,
     COALESCE(s.cost_center_name LIKE 'LARGE%', FALSE) AS is_special_event,
     COALESCE(s.cost_center_name LIKE 'ECON%', FALSE) AS is_orientation
   FROM shifts s
@@ -289,30 +303,29 @@ SELECT source_database, user_id, week_start, sum(scheduled_hours) AS weekly_sche
 FROM seats WHERE user_id IS NOT NULL GROUP BY source_database, user_id, week_start""", "seats")
 
 role("crew_link", """
-SELECT l.l_orderkey AS leg_id, l.l_suppkey AS crew_user_id, 'src' || (l.l_suppkey % 3)::VARCHAR AS crew_source,
+SELECT l.l_orderkey AS leg_id, l.l_suppkey * 3 + o.o_custkey % 3 AS crew_user_id, 'src' || (o.o_custkey % 3)::VARCHAR AS source_database,
        CAST(o.o_orderdate AS DATE) AS seat_day,
        l.l_suppkey * 100000 + date_diff('day', DATE '1994-12-25', CAST(o.o_orderdate AS DATE)) AS shift_assignment_id
 FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 role("crew_shifts", """
 SELECT shift_assignment_id AS assignment_id, crew_user_id AS user_id,
-       'src' || CAST(crew_user_id % 3 AS VARCHAR) AS source_database,
-       seat_day AS date_line, CAST(seat_day AS TIMESTAMP) + INTERVAL 6 HOUR AS shift_start,
+       source_database, seat_day AS date_line, CAST(seat_day AS TIMESTAMP) + INTERVAL 6 HOUR AS shift_start,
        CAST(seat_day AS TIMESTAMP) + INTERVAL 18 HOUR AS shift_end,
-       'Unit ' || CAST(crew_user_id // 5 AS VARCHAR) AS unit_name,
-       CAST(crew_user_id % 6 AS INTEGER) AS cost_center_id
-FROM (SELECT DISTINCT crew_user_id, shift_assignment_id, seat_day FROM crew_link) x""", "crew_link")
+       'Unit ' || CAST(crew_user_id // 15 AS VARCHAR) AS unit_name,
+       CAST(crew_user_id // 3 % 6 AS INTEGER) AS cost_center_id
+FROM (SELECT DISTINCT source_database, crew_user_id, shift_assignment_id, seat_day FROM crew_link) x""", "crew_link")
 role("crew_seats", f"""
 SELECT s.*, cc.cost_center_name, u.last_name || ', ' || u.first_name AS assigned_name, u.job_title, v.special_event,
        {hrs('s.shift_end', 's.shift_start')} AS scheduled_hours,
        {hrs('s.shift_end', 's.shift_start')} - (s.user_id % 3) AS actual_hours_worked,
        s.date_line AS shift_date, COALESCE(cc.cost_center_name LIKE '%PROMO%', FALSE) AS is_training
 FROM crew_shifts s
-LEFT JOIN cost_centers cc ON cc.cost_center_id = s.cost_center_id
+LEFT JOIN cost_centers cc ON cc.cost_center_id = s.cost_center_id AND cc.source_database = s.source_database
 LEFT JOIN users u ON u.user_id = s.user_id AND u.source_database = s.source_database
 JOIN valid_cost_centers v ON v.cost_center_id = s.cost_center_id AND v.source_database = s.source_database""",
      "crew_shifts", "cost_centers", "users", "valid_cost_centers")
 role("run_crew", f"""
-SELECT r.leg_id, r.run_number, r.source_database AS run_source, r.service_date, r.calltype_name, r.pickup_time,
+SELECT r.leg_id, r.run_number, r.service_date, r.calltype_name, r.pickup_time,
        r.assigned_time, r.at_scene_time, r.clear_time,
        {mins('r.clear_time', 'r.assigned_time')} AS time_on_task_minutes,
        {mins('r.transporting_time', 'r.at_scene_time')} + {mins('r.clear_time', 'r.at_destination_time')} AS time_on_task_excl_transport_minutes,
@@ -324,8 +337,8 @@ SELECT r.leg_id, r.run_number, r.source_database AS run_source, r.service_date,
        s.shift_date, s.shift_start, s.shift_end, s.scheduled_hours, s.actual_hours_worked, s.unit_name,
        s.cost_center_id, s.cost_center_name, s.is_training, s.special_event
 FROM stage_times r
-JOIN crew_link l ON l.leg_id = r.leg_id
-JOIN crew_seats s ON l.shift_assignment_id = s.assignment_id
+JOIN crew_link l ON l.leg_id = r.leg_id AND l.source_database = r.source_database
+JOIN crew_seats s ON l.shift_assignment_id = s.assignment_id AND l.source_database = s.source_database
 WHERE r.canceled_time IS NULL AND r.assigned_time IS NOT NULL AND r.clear_time IS NOT NULL
   AND r.clear_time > r.assigned_time AND {mins('r.clear_time', 'r.assigned_time')} > 0
   AND {mins('r.clear_time', 'r.assigned_time')} < 720""", "stage_times", "crew_link", "crew_seats")
@@ -350,7 +363,7 @@ SELECT *, {region_cc_sql()} AS region, time_on_task_minutes / 60.0 AS time_on_ta
        CAST(hour(assigned_time) AS INTEGER) AS assigned_hour, CAST(dayofweek(service_date) AS INTEGER) AS day_of_week,
        dayname(service_date) AS day_name, CAST(date_trunc('week', service_date) AS DATE) AS week_start,
        CAST(date_trunc('month', service_date) AS DATE) AS month_start
-FROM (SELECT *, row_number() OVER (PARTITION BY leg_id, run_source ORDER BY shift_assignment_id) AS rk
+FROM (SELECT *, row_number() OVER (PARTITION BY leg_id, source_database ORDER BY shift_assignment_id) AS rk
       FROM run_crew WHERE calltype_name IN ('ALS', 'BLS', 'CCT')) x
 WHERE rk = 1""", "run_crew")
 _PARTS = {"scene_time": "scene_time_minutes", "destination_time": "destination_to_clear_minutes", "transport_time": "transport_time_minutes"}
@@ -371,13 +384,25 @@ LEFT JOIN (SELECT shift_date AS service_date, source_database, region, count(DIS
                   {", ".join(f"avg({c}) AS avg_{n}" for n, c in _AVGS.items())} FROM run_metrics GROUP BY ALL) r USING (service_date, source_database, region)
 LEFT JOIN day_hours h USING (service_date, source_database, region)""", "day_keys", "day_hours", "run_metrics")
 role("history_log", """
-SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS leg_id, 'canceled_time' AS field, user_id,
+SELECT event_id AS id, 'src' || (user_id % 3)::VARCHAR AS source_database, CAST(json_extract_string(props, '$.k') AS BIGINT) AS leg_id, 'canceled_time' AS field, user_id,
        ts AS changed_at
 FROM events WHERE event_type = 'error'""")
-role("uploads", """
-SELECT l_orderkey AS leg_id, l_suppkey AS uploader_id, l_orderkey * 100000 + l_linenumber AS leg_attachment_id,
-       l_shipdate AS uploaded_at
-FROM lineitem WHERE l_returnflag = 'R'""")
+role("leg_lines", """
+SELECT l.*, l.l_orderkey * 100000 + l.l_linenumber AS attachment_id, 'src' || (o.o_custkey % 3)::VARCHAR AS source_database, o.o_custkey % 3 AS k
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""")
+role("upload_log", """
+SELECT e.attachment_id AS log_id, e.attachment_id, e.l_suppkey * 3 + e.k AS user_id, 'create' AS action, e.l_shipdate AS action_timestamp, 'file-' || f.attachment_id || '.pdf' AS file_name,
+       f.l_shipdate AS attachment_date, g.attachment_id * 2 AS leg_attachment_id, g.l_orderkey AS leg_id, e.source_database, COALESCE(t.types, 'Unspecified') AS attachment_types
+FROM leg_lines e JOIN leg_lines f ON f.attachment_id = e.attachment_id AND f.l_linenumber <= 6 JOIN leg_lines g ON g.attachment_id = e.attachment_id AND g.l_quantity > 1
+LEFT JOIN (SELECT attachment_id, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) AS types FROM leg_lines LEFT JOIN part ON p_partkey = l_partkey WHERE l_linestatus = 'F' GROUP BY 1) t
+  ON t.attachment_id = g.attachment_id
+WHERE e.l_returnflag = 'R'""", "leg_lines")
+role("final_records", """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_database, run_number ORDER BY finalized DESC NULLS LAST, id DESC) AS nth FROM (
+  SELECT o_orderkey * 2 AS id, o_orderkey::VARCHAR AS run_number, 'src' || (o_custkey % 3)::VARCHAR AS source_database, o_custkey % 100 * 3 + o_custkey % 3 AS finalizer_id,
+         IF(o_orderkey % 4 <> 0, 1, NULL) AS finalized FROM orders
+  UNION ALL SELECT o_orderkey * 2 + 1, o_orderkey::VARCHAR, 'src' || (o_custkey % 3)::VARCHAR, IF(o_orderkey % 5 <> 0, o_orderkey % 10 * 3 + o_custkey % 3, NULL),
+         o_orderkey % 2 FROM orders WHERE o_orderkey % 3 = 0)) WHERE nth = 1""")
 role("qa_runs", """
 SELECT d.doc_id, d.source, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)""")
 

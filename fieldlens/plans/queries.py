@@ -38,13 +38,22 @@ def runs(spark: SparkSession, root: str) -> DataFrame:
     return marts.run_mart(stage_times(spark, root))
 
 
+def _matchable(spark: SparkSession, root: str) -> DataFrame:
+    return matching.matchable(roles.shifts(spark, root), roles.users(spark, root))
+
+
+def required_shifts(spark: SparkSession, root: str) -> DataFrame:
+    """Seats with the qualification they require and their earning code."""
+    return matching.with_requirements(roles.shifts(spark, root), roles.seat_personnel(spark, root), roles.templates(spark), roles.earning_codes(spark))
+
+
 def _pairs(spark: SparkSession, root: str) -> DataFrame:
-    return table_model(spark, root, "pairs", lambda: matching.matched_pairs(roles.shifts(spark, root),
-                                                                            roles.punches(spark, root)))
+    return table_model(spark, root, "pairs", lambda: matching.matched_pairs(_matchable(spark, root), roles.punches(spark, root)))
 
 
 def _pairs_and_matches(spark: SparkSession, root: str):
-    return roles.shifts(spark, root), roles.punches(spark, root), roles.source_zones(spark), _pairs(spark, root)
+    punches = matching.of_users(roles.punches(spark, root), roles.users(spark, root))
+    return _matchable(spark, root), punches, roles.source_zones(spark), _pairs(spark, root)
 
 
 def matches(spark: SparkSession, root: str) -> DataFrame:
@@ -55,7 +64,7 @@ def matches(spark: SparkSession, root: str) -> DataFrame:
 
 
 def schedule(spark: SparkSession, root: str) -> DataFrame:
-    return matching.schedule_fact(roles.shifts(spark, root), matches(spark, root))
+    return matching.schedule_fact(required_shifts(spark, root), matches(spark, root))
 
 
 def shift_mart(spark: SparkSession, root: str) -> DataFrame:
@@ -267,7 +276,7 @@ from fieldlens.operators import reports, staffing  # noqa: E402
 
 def seats(spark, root) -> DataFrame:
     return table_model(spark, root, "seats", lambda: staffing.seat_fact(
-        roles.shifts(spark, root), matches(spark, root), roles.users(spark, root), roles.valid_cost_centers(spark)))
+        required_shifts(spark, root), matches(spark, root), roles.users(spark, root), roles.valid_cost_centers(spark)))
 
 
 def event_periods(spark, root) -> DataFrame:
@@ -282,11 +291,12 @@ def q_dedup_punches(spark, root):
 
 
 def q_schedule_fact(spark, root):
-    sc = matching.schedule_fact(roles.shifts(spark, root), matches(spark, root), as_of=AS_OF_EVENTS)
+    sc = matching.schedule_fact(required_shifts(spark, root), matches(spark, root), as_of=AS_OF_EVENTS)
     per = event_periods(spark, root)
     sc = calendar.assign_period(sc, per, "date_line")
     sc = calendar.flag_current_next(sc, per, AS_OF_EVENTS)
-    return sc.select("assignment_id", "time_id", "assignment_status", r4("scheduled_hours").alias("scheduled_hours"),
+    return sc.select("assignment_id", "time_id", "assignment_status", "position_slot", "required_qualification", "min_licensure_id", "min_level_id", "earning_code", "published",
+                     r4("scheduled_hours").alias("scheduled_hours"),
                      r4("open_hours").alias("open_hours"), r4("hours_worked").alias("hours_worked"),
                      "has_timesheet", "is_clocked_in", "timesheet_match_type", "pay_period_number",
                      "pay_period_start", "period_week", "is_current_pay_period", "is_next_pay_period",
@@ -554,7 +564,7 @@ def _shift_metrics(spark, root):
 
 def q_run_crew(spark, root):
     rc = run_crew(spark, root)
-    return rc.select("leg_id", "assignment_id", "user_id", "shift_date", "cost_center_name", "special_event",
+    return rc.select("leg_id", "source_database", "assignment_id", "user_id", "shift_date", "cost_center_name", "special_event",
                      r4("time_on_task_minutes").alias("time_on_task_minutes"))
 
 
@@ -622,26 +632,28 @@ def q_labour_hours(spark, root):
 
 
 def q_last_change_actor(spark, root):
-    a = audit.cancel_audit(runs(spark, root), roles.history_log(spark, root), roles.users(spark, root))
-    return a.select("leg_id", "run_number", "canceled_time", "lost_call_status", "run_outcome", "last_change_id",
-                    "canceled_by_user_id", "canceled_by")
+    a = audit.cancel_audit(runs(spark, root), roles.history_log(spark, root), roles.users(spark, root), roles.cancel_reasons(spark))
+    return a.select("leg_id", "run_number", "canceled_time", F.col("created").alias("time_canceled"), "cancel_reason_text", "canceled_reason_id", "cancel_reason_name",
+                    "lost_call_status", "run_outcome", "last_change_id", "canceled_by_user_id", "canceled_by", "source_database")
+
+
+def attachment_log(spark, root) -> DataFrame:
+    return audit.attachment_log(roles.attachment_events(spark, root), roles.attachments(spark, root), roles.leg_attachments(spark, root), roles.attachment_types(spark, root))
 
 
 def q_distinct_list(spark, root):
-    a = audit.attachment_log(roles.uploads(spark, root), roles.attachment_types(spark, root))
-    return a.select("leg_id", "leg_attachment_id", "uploader_id", "uploaded_at", "attachment_types")
+    return attachment_log(spark, root).select("log_id", "attachment_id", F.col("uploader_id").alias("user_id"), "action", F.col("uploaded_at").alias("action_timestamp"), "file_name",
+                                              "attachment_date", "leg_attachment_id", "leg_id", "source_database", "attachment_types")
 
 
 def q_compliance(spark, root):
-    o = tables.load_table(spark, root, "orders", ["o_orderkey", "o_custkey"])
-    fin = o.select(F.col("o_orderkey").cast("string").alias("run_number"),
-                   (F.col("o_custkey") % 100).alias("finalizer_id"))
-    return audit.compliance(runs(spark, root), crew_link(spark, root), roles.uploads(spark, root), fin)
+    return audit.compliance(runs(spark, root), crew_link(spark, root), attachment_log(spark, root), roles.finalizations(spark, root), roles.users(spark, root))
 
 
 def q_qa_recon(spark, root):
-    return audit.qa_recon(roles.care_records(spark, root), roles.export_log(spark, root),
-                          roles.qa_statuses(spark, root), roles.users(spark, root))
+    legs = stage_times(spark, root).select("leg_id", "source_database", "service_date", F.col("user_id").alias("patient_id"), "calltype_name", "level_of_service")
+    return audit.qa_recon(legs, roles.record_legs(spark, root), roles.care_records(spark, root), roles.export_log(spark, root),
+                          roles.qa_statuses(spark, root), roles.users(spark, root), roles.patients(spark, root))
 
 
 def q_qa_status(spark, root):

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.functions.scalars import add_hours, add_minutes, epoch_seconds, ntz_lit
+from fieldlens.operators.matching import live_seats
 from fieldlens.operators.keys import current_pointer, distinct_on
 from fieldlens.sources.tables import load_table, values_relation
 
@@ -44,6 +45,14 @@ VALID_COST_CENTERS = [
     (1, "LARGE", "src2", True), (2, "MEDIUM", "src2", False), (4, "SMALL", "src2", False),
     (5, "STANDARD", "src2", False),
 ]
+# Cancel reasons by id, the same ids in every source.
+CANCEL_REASONS = [(0, "No show"), (1, "Weather"), (2, "Facility closed"), (3, "Duplicate")]
+# Certification templates of seats: (template id, name, least licence, least level); earning codes.
+TEMPLATES = [(0, "EMT", 1, 1), (1, "Paramedic", 2, 2), (2, "Third Party", None, None), (3, "FTO Paramedic", 2, 3), (4, "Nurse", 3, 2)]
+EARNING_CODES = [(0, "Regular"), (1, "Overtime"), (2, "Holiday")]
+# Reasons and facilities of runs, by leg id.
+REASONS_FOR_TRANSPORT = [(0, "Dialysis"), (1, "Doctors Appointment"), (2, None), (3, "Discharge")]
+VET_RIDE = "Vet Ride North"
 # ---------------------------------------------------------------------------
 
 # Total order that makes (l_orderkey, l_linenumber) revisions unique.
@@ -125,7 +134,12 @@ def header_base(spark: SparkSession, root: str) -> DataFrame:
                  F.col("o_orderpriority").alias("level_of_service"),
                  "calltype_name",
                  (F.col("o_totalprice") / 900.0).alias("mileage"),
-                 F.col("market"), F.col("n_name").alias("state")))
+                 F.col("market"), F.col("n_name").alias("state"),
+                 F.element_at(F.array(*[F.lit(r).cast("string") for _, r in REASONS_FOR_TRANSPORT]), (F.floor(key / 3) % 4 + 1).cast("int")).alias("reason_for_transport"),
+                 F.when(key % 13 == 0, F.lit(VET_RIDE)).otherwise(F.lit("Facility")).alias("source_name"),
+                 (key % 5).cast("int").alias("canceled_reason_id"),
+                 F.when(key % 4 == 0, F.lit("caller")).alias("cancel_reason_text"),
+                 F.when(key % 29 == 0, 1).otherwise(0).alias("deleted")))
 
 
 def run_header(spark: SparkSession, root: str, revs: DataFrame | None = None) -> DataFrame:
@@ -163,15 +177,41 @@ def stage_times(spark: SparkSession, root: str) -> DataFrame:
 
 
 def cost_centers(spark: SparkSession, root: str) -> DataFrame:
-    """cost_center: the distinct part types numbered alphabetically from 0.
+    """cost_center: in each source, the distinct part types numbered alphabetically from 0.
 
     The distinct set is tiny (bounded by the type domain), so the unpartitioned numbering
     window runs on an already-reduced input."""
     types = load_table(spark, root, "part", ["p_type"]).distinct()
     from pyspark.sql import Window
-    return types.select(
+    numbered = types.select(
         (F.row_number().over(Window.orderBy("p_type")) - 1).cast("int").alias("cost_center_id"),
         F.col("p_type").alias("cost_center_name"))
+    return numbered.withColumn("source_database", F.explode(F.array(*[F.lit(s) for s, _ in SOURCE_TZ])))
+
+
+def seat_personnel(spark: SparkSession, root: str) -> DataFrame:
+    """what seats require: every signup noted its unit's and slot's template; the latest note holds."""
+    e = load_table(spark, root, "events", ["event_id", "user_id", "event_type"]).where(F.col("event_type") == "signup")
+    eid = F.col("event_id")
+    return e.select(eid.alias("id"), F.floor(F.col("user_id") / 6).cast("bigint").alias("unit_id"), (eid % 2).cast("int").alias("slot"),
+                    (F.floor(eid / 2) % 6).cast("int").alias("template_id"), source_tag(F.col("user_id")).alias("source_database"))
+
+
+def _by_source(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """fixed rows, the same in every source."""
+    return values_relation(spark, [(*r, s) for r in rows for s, _ in SOURCE_TZ], schema + ", source_database string")
+
+
+def templates(spark: SparkSession) -> DataFrame:
+    return _by_source(spark, TEMPLATES, "template_id int, template_name string, min_licensure_id int, min_level_id int")
+
+
+def earning_codes(spark: SparkSession) -> DataFrame:
+    return _by_source(spark, EARNING_CODES, "earning_code_id int, earning_code string")
+
+
+def cancel_reasons(spark: SparkSession) -> DataFrame:
+    return _by_source(spark, CANCEL_REASONS, "canceled_reason_id int, cancel_reason_name string")
 
 
 def shifts(spark: SparkSession, root: str, events: DataFrame | None = None) -> DataFrame:
@@ -190,11 +230,16 @@ def shifts(spark: SparkSession, root: str, events: DataFrame | None = None) -> D
         start.alias("shift_start"),
         (eid % 6).cast("int").alias("cost_center_id"),
         (4 + eid % 9).cast("int").alias("span_hours"),
+        F.when(eid % 41 == 0, "1").otherwise("0").alias("deleted"),
+        F.when(eid % 37 == 0, "false").otherwise("true").alias("published"),
+        F.when(eid % 43 == 0, "Swap").otherwise("Regular").alias("seat_type"),
+        (eid % 2).cast("int").alias("position_slot"),
+        (eid % 4).cast("int").alias("earning_code_id"),
     )
     base = base.withColumn("shift_end", add_hours("shift_start", F.col("span_hours"))) \
         .withColumn("date_line", F.col("shift_start").cast("date")) \
         .withColumn("unit_name", F.concat(F.lit("Unit "), F.col("unit_id").cast("string")))
-    return base.join(cost_centers(spark, root), "cost_center_id", "left")
+    return live_seats(base.join(cost_centers(spark, root), ["cost_center_id", "source_database"], "left"))
 
 
 def punches(spark: SparkSession, root: str) -> DataFrame:
@@ -218,7 +263,7 @@ def history_log(spark: SparkSession, root: str) -> DataFrame:
     e = load_table(spark, root, "events", ["event_id", "user_id", "event_type", "props", "ts"]) \
         .where(F.col("event_type") == "error")
     return e.select(
-        F.col("event_id").alias("id"),
+        F.col("event_id").alias("id"), source_tag(F.col("user_id")).alias("source_database"),
         F.get_json_object("props", "$.k").cast("bigint").alias("leg_id"),
         F.lit("canceled_time").alias("field"),
         F.col("user_id"), F.col("ts").alias("changed_at"))
@@ -260,53 +305,81 @@ def users(spark: SparkSession, root: str) -> DataFrame:
         F.round(F.abs(F.col("c_acctbal")) / 100.0, 2).alias("hourly_wage"))
 
 
+def _legs_of(spark: SparkSession, root: str) -> DataFrame:
+    """leg id, number of its source, day."""
+    o = load_table(spark, root, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    return o.select(F.col("o_orderkey").alias("leg_id"), (F.col("o_custkey") % 3).alias("_k"), F.col("o_orderdate").cast("date").alias("seat_day"))
+
+
 def crew_link(spark: SparkSession, root: str) -> DataFrame:
-    """leg-shift link: distinct (leg, crew member) pairs with the day they served; the crew seat
-    id numbers (member, day)."""
+    """leg-shift link: distinct (leg, crew member) pairs with the day they served. A leg's crew comes from the leg's own source; the crew seat
+    id numbers (supplier, day), so the same ids stand for other seats in other sources."""
     li = load_table(spark, root, "lineitem", ["l_orderkey", "l_suppkey"]).distinct()
-    o = load_table(spark, root, "orders", ["o_orderkey", "o_orderdate"])
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
-    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit(PERIOD_ANCHOR_ORDERS))
-    return j.select(F.col("l_orderkey").alias("leg_id"), F.col("l_suppkey").alias("crew_user_id"),
-                    source_tag(F.col("l_suppkey")).alias("crew_source"), F.col("o_orderdate").cast("date").alias("seat_day"),
+    legs = _legs_of(spark, root)
+    j = li.join(legs, li.l_orderkey == legs.leg_id)
+    day = F.datediff("seat_day", F.lit(PERIOD_ANCHOR_ORDERS))
+    return j.select("leg_id", source_tag(F.col("_k")).alias("source_database"), (F.col("l_suppkey") * 3 + F.col("_k")).alias("crew_user_id"), "seat_day",
                     (F.col("l_suppkey") * 100000 + day).alias("shift_assignment_id"))
 
 
 def crew_shifts(spark: SparkSession, root: str, link: DataFrame | None = None) -> DataFrame:
-    """crew seats: one 12-hour day seat (06:00-18:00) per crew member and service day."""
+    """crew seats: one 12-hour day seat (06:00-18:00) per source, crew member and service day."""
     link = (link if link is not None else crew_link(spark, root)) \
-        .select("crew_user_id", "shift_assignment_id", "seat_day").distinct()
+        .select("source_database", "crew_user_id", "shift_assignment_id", "seat_day").distinct()
     date_line = F.col("seat_day")
     start = add_hours(date_line.cast("timestamp_ntz"), F.lit(6))
     s = F.col("crew_user_id")
     return link.select(
         F.col("shift_assignment_id").alias("assignment_id"), s.alias("user_id"),
-        source_tag(s).alias("source_database"), date_line.alias("date_line"),
+        "source_database", date_line.alias("date_line"),
         start.alias("shift_start"), add_hours(start, F.lit(12)).alias("shift_end"),
-        F.concat(F.lit("Unit "), F.floor(s / 5).cast("bigint").cast("string")).alias("unit_name"),
-        (s % 6).cast("int").alias("cost_center_id"))
+        F.concat(F.lit("Unit "), F.floor(s / 15).cast("bigint").cast("string")).alias("unit_name"),
+        (F.floor(s / 3) % 6).cast("int").alias("cost_center_id"))
 
 
-def uploads(spark: SparkSession, root: str) -> DataFrame:
-    """attachment uploads ('create' events): returned line items, uploaded by the crew
-    member; the leg-attachment link is (order, line number)."""
-    li = load_table(spark, root, "lineitem",
-                    ["l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"]) \
-        .where(F.col("l_returnflag") == "R")
-    return li.select(
-        F.col("l_orderkey").alias("leg_id"), F.col("l_suppkey").alias("uploader_id"),
-        (F.col("l_orderkey") * 100000 + F.col("l_linenumber")).alias("leg_attachment_id"),
-        F.col("l_shipdate").alias("uploaded_at"))
+def _lines(spark: SparkSession, root: str, columns: list[str]) -> DataFrame:
+    li = load_table(spark, root, "lineitem", ["l_orderkey", "l_linenumber", *columns])
+    legs = _legs_of(spark, root)
+    return li.join(legs, li.l_orderkey == legs.leg_id).withColumns({"attachment_id": F.col("l_orderkey") * 100000 + F.col("l_linenumber"), "source_database": source_tag(F.col("_k"))})
+
+
+def attachment_events(spark: SparkSession, root: str) -> DataFrame:
+    """attachment log: each line item is an event; returned ones create an attachment, the others view or delete one. Uploaded by the crew member."""
+    li = _lines(spark, root, ["l_suppkey", "l_returnflag", "l_shipdate"])
+    action = F.when(F.col("l_returnflag") == "R", "create").when(F.col("l_returnflag") == "A", "delete").otherwise("view")
+    return li.select(F.col("attachment_id").alias("log_id"), "attachment_id", (F.col("l_suppkey") * 3 + F.col("_k")).alias("uploader_id"), action.alias("action"),
+                     F.col("l_shipdate").alias("uploaded_at"), "source_database")
+
+
+def attachments(spark: SparkSession, root: str) -> DataFrame:
+    """attachments: files of the first six lines of a leg."""
+    li = _lines(spark, root, ["l_shipdate"]).where("l_linenumber <= 6")
+    return li.select("attachment_id", F.concat(F.lit("file-"), F.col("attachment_id").cast("string"), F.lit(".pdf")).alias("file_name"), F.col("l_shipdate").alias("attachment_date"), "source_database")
+
+
+def leg_attachments(spark: SparkSession, root: str) -> DataFrame:
+    """links from attachments to legs: those of more than one piece."""
+    li = _lines(spark, root, ["l_quantity"]).where("l_quantity > 1")
+    return li.select((F.col("attachment_id") * 2).alias("leg_attachment_id"), "leg_id", "attachment_id", "source_database")
 
 
 def attachment_types(spark: SparkSession, root: str) -> DataFrame:
     """types tagged on each leg-attachment link: the part types of its finished lines."""
-    li = load_table(spark, root, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_linestatus"]) \
-        .where(F.col("l_linestatus") == "F")
+    li = _lines(spark, root, ["l_partkey", "l_linestatus"]).where(F.col("l_linestatus") == "F")
     p = load_table(spark, root, "part", ["p_partkey", "p_type"])
     return li.join(p, li.l_partkey == p.p_partkey, "left").select(
-        (F.col("l_orderkey") * 100000 + F.col("l_linenumber")).alias("leg_attachment_id"),
-        F.col("p_type").alias("type_name"))
+        (F.col("attachment_id") * 2).alias("leg_attachment_id"), "source_database", F.col("p_type").alias("type_name"))
+
+
+def finalizations(spark: SparkSession, root: str) -> DataFrame:
+    """care records that name a run by its number as text: one for each leg, a second one for every third, finalized or not."""
+    legs = load_table(spark, root, "orders", ["o_orderkey", "o_custkey"])
+    key, k = F.col("o_orderkey"), F.col("o_custkey") % 3
+    first = legs.select((key * 2).alias("id"), key.cast("string").alias("run_number"), source_tag(F.col("o_custkey")).alias("source_database"),
+                        ((F.col("o_custkey") % 100) * 3 + k).alias("finalizer_id"), F.when(key % 4 != 0, 1).alias("finalized"))
+    again = legs.where(key % 3 == 0).select((key * 2 + 1).alias("id"), key.cast("string").alias("run_number"), source_tag(F.col("o_custkey")).alias("source_database"),
+                                            F.when(key % 5 != 0, (key % 10) * 3 + k).alias("finalizer_id"), (key % 2).cast("int").alias("finalized"))
+    return first.unionByName(again)
 
 
 def event_delta(spark: SparkSession, root: str, base: bool) -> DataFrame:
@@ -327,22 +400,39 @@ def qa_runs(spark: SparkSession, root: str) -> DataFrame:
 
 def care_records(spark: SparkSession, root: str) -> DataFrame:
     """patient-care records: finalized when the text length is even; the lead crew
-    member (record creator) is a user id."""
-    d = load_table(spark, root, "documents", ["doc_id", "source", "n_chars"])
-    return d.select(F.col("doc_id").alias("run_id"), F.col("source").alias("source_database"),
+    member (record creator) is a user of the record's source."""
+    d = load_table(spark, root, "documents", ["doc_id", "n_chars"])
+    i = F.col("doc_id")
+    return d.select(i.alias("run_id"), (i + 1000).alias("run_num"), source_tag(i).alias("source_database"),
                     (F.col("n_chars") % 2 == 0).cast("int").alias("finalized"),
-                    (F.col("doc_id") % 150).alias("create_user"))
+                    F.when(F.col("n_chars") % 2 == 0, F.date_add(F.lit(dt.date(2024, 1, 1)), (i % 60).cast("int"))).alias("finalized_date"),
+                    ((i % 150) * 3 + i % 3).alias("create_user"))
+
+
+def record_legs(spark: SparkSession, root: str) -> DataFrame:
+    """which leg a care record is of: the leg of the same number, in the record's source."""
+    d = load_table(spark, root, "documents", ["doc_id"])
+    return d.select(F.col("doc_id").alias("leg_id"), F.col("doc_id").alias("run_id"), source_tag(F.col("doc_id")).alias("source_database"))
+
+
+def patients(spark: SparkSession, root: str) -> DataFrame:
+    """patients: customers with a day of birth."""
+    c = load_table(spark, root, "customer", ["c_custkey", "c_name"])
+    name = F.split("c_name", "#")
+    return c.select(F.col("c_custkey").alias("patient_id"), source_tag(F.col("c_custkey")).alias("source_database"),
+                    F.concat(name.getItem(0), F.lit(", "), name.getItem(1)).alias("patient_name"), F.date_add(F.lit(dt.date(1940, 1, 1)), (F.col("c_custkey") % 20000).cast("int")).alias("dob"))
 
 
 def export_log(spark: SparkSession, root: str) -> DataFrame:
     """export trigger log: a labelled record was exported; quality 0 logged an error."""
     lab = load_table(spark, root, "labels", ["doc_id", "quality"])
-    return lab.select(F.col("doc_id").alias("run_id"),
+    return lab.select(F.col("doc_id").alias("run_id"), source_tag(F.col("doc_id")).alias("source_database"),
                       F.when(F.col("quality") == 0, F.lit("validation failed")).alias("errors"))
 
 
 def qa_statuses(spark: SparkSession, root: str) -> DataFrame:
     """QA review status: toxic-labelled records are flagged by a reviewer."""
     lab = load_table(spark, root, "labels", ["doc_id", "toxic"]).where(F.col("toxic") == 1)
-    return lab.select(F.col("doc_id").alias("run_id"), F.lit("Flagged").alias("status_name"),
-                      (F.col("doc_id") % 100).alias("set_by_user"))
+    i = F.col("doc_id")
+    return lab.select(i.alias("run_id"), source_tag(i).alias("source_database"), F.lit("Flagged").alias("status_name"),
+                      F.date_add(F.lit(dt.date(2024, 2, 1)), (i % 30).cast("int")).alias("qa_date"), ((i % 100) * 3 + i % 3).alias("set_by_user"))
