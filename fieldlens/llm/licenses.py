@@ -3,9 +3,9 @@
 DataFrame operations only. A text's five-word shingles are hashed; they lie in blocks of ``BLOCK`` shingles, and a
 template's class is the window that fits it: three half-blocks, each half the class's upper bound long, so that a run of the template's length
 lies whole in some window. A window retrieves a template if they agree in one of the ``BANDS`` one-row bands, that is in the
-least hash under one of the orders ``hash xor seed``. With the threshold of 0.8 a match then goes unseen with a probability of
-``(1 - jaccard) ** BANDS``, under 1e-5 for every template (``miss_bound`` tells it for each; a template that is too short for its
-window gets the class of single shingles, where nothing is missed).
+least hash under one of the orders ``hash xor seed``. With the threshold of 0.8 a match then goes unseen with a probability of about
+``(1 - jaccard) ** BANDS``, under 1e-5 for every template (``miss_bound`` tells it for each). The orders are not independent, which shows
+with few shingles; a template of under ``LEAST_SHINGLES``, or one that is too short for its window, is in the class of single shingles, where nothing is missed.
 
 The least hash of a window is that of one of its blocks. So a window can only retrieve something if one of its blocks has
 a least hash that some template has in that band; blocks without are left out before windows are formed, which loses nothing.
@@ -26,6 +26,8 @@ from fieldlens.llm.shared import text_key
 WORDS, BLOCK, BANDS = 5, 4, 32
 #: Half-blocks of the classes, in shingles and multiples of ``BLOCK``; the first stands for single shingles.
 HALVES = (0, 4, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512)
+#: Templates of fewer shingles are found by single shingles.
+LEAST_SHINGLES = 8
 #: Templates whose window would share less with them are found by single shingles.
 LEAST_JACCARD = 0.3
 SEPARATORS = r"[^a-z0-9ß-ɏ]+"
@@ -71,7 +73,7 @@ def words_in(text: str) -> list[str]:
 def half_of(n: int, share: float = 0.8) -> int:
     """Half-block of a template of ``n`` shingles: half of the least class that holds it; 0 where the window would be too wide for it."""
     half = next(h for h in HALVES if 2 * h >= n)
-    return 0 if _jaccard(n, half, share) < LEAST_JACCARD else half
+    return 0 if n < LEAST_SHINGLES or _jaccard(n, half, share) < LEAST_JACCARD else half
 
 
 def _jaccard(n: int, half: int, share: float) -> float:
