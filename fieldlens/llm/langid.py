@@ -111,10 +111,10 @@ class Model:
         return np.add.reduceat(self.weights[flat], begin, axis=0) + self.odds[known] * self.trust
 
 
-def fit(samples: list[tuple[str, str]], counts: list[tuple[str, str, int]], seed: int = 7, sequences: int = 1600, length: int = 48,
+def fit(samples: list[tuple[str, str, bool, bool]], counts: list[tuple[str, str, int]], seed: int = 7, sequences: int = 1600, length: int = 48,
         rounds: int = 8) -> Model | None:
-    """Trains on (language, excerpt) pairs and (language, letters, count) rows of the lexicon; None without samples."""
-    labels = sorted({lang for lang, _ in samples})
+    """Trains on (language, excerpt, whether its first and its last word may be cut) and (language, letters, count) rows of the lexicon; None without samples."""
+    labels = sorted({lang for lang, *_ in samples})
     if not labels:
         return None
     at = {lang: i for i, lang in enumerate(labels)}
@@ -128,8 +128,9 @@ def fit(samples: list[tuple[str, str]], counts: list[tuple[str, str, int]], seed
     odds[0] = 0
     rng = np.random.default_rng(seed)
     pool = [[] for _ in labels]
-    for lang, text in sorted(samples):
-        if words := [c for w in elements(text)[1:-1] if (c := core(w))]:
+    for lang, text, head, tail in sorted(samples):
+        parts = elements(text)
+        if words := [c for w in parts[head:len(parts) - tail] if (c := core(w))]:
             pool[at[lang]].append(words)
     filled = [k for k in range(len(labels)) if pool[k]]
     if not filled:
@@ -290,14 +291,15 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
         keep = keep | ((F.col(lang).cast("string") == name) & (mix < min(1.0, 1.5 * fit_rows / max(1, n))))
     where = (F.length(text) * F.pmod(F.xxhash64(text_key(text), F.lit("at")), F.lit(1000)) / 1000).cast("int")
     start = F.greatest(F.lit(1), F.least(where, F.length(text) - fit_chars))
-    rows = (labelled.where(keep).select(F.col(lang).cast("string").alias("lang"), F.substring(F.col(text), start, F.lit(fit_chars)).alias("part"), mix.alias("mix"), text_key(text).alias("key")).distinct()
+    rows = (labelled.where(keep).select(F.col(lang).cast("string").alias("lang"), F.substring(F.col(text), start, F.lit(fit_chars)).alias("part"), (start > 1).alias("head"),
+                                        (start + fit_chars - 1 < F.length(text)).alias("tail"), mix.alias("mix"), text_key(text).alias("key")).distinct()
             .orderBy("mix", "lang", "part").limit(2 * fit_rows * len(per_lang)).collect())
     taken: Counter = Counter()
     samples = []
     for r in rows:
         taken[r["lang"]] += 1
         if taken[r["lang"]] <= fit_rows:
-            samples.append((r["lang"], r["part"] or ""))
+            samples.append((r["lang"], r["part"] or "", bool(r["head"]), bool(r["tail"])))
     counts = [(r["lang"], r["word"], r["n"]) for r in lexicon_counts(labelled, lang, text, min_share).collect()]
     return fit(samples, counts)
 
