@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 #: ASCII upper case to lower case, as bytes; other letters stay.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -62,6 +63,15 @@ def batches_of(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
             yield b.slice(at, rows)
 
 
+def first_rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Of rows that share id and text the first by their other columns, so that a rerun keeps the same one. Each task sends one row of a group."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    order = F.struct(*[part for c in plain for part in (c.isNull(), c)])
+    keyed = df.select(F.struct(F.col(f"`{doc_id}`"), text_key(F.col(f"`{text}`"))).alias("key"), order.alias("order"), whole.alias("whole"))
+    return keyed.groupBy("key").agg(F.min_by("whole", "order").alias("whole")).select("whole.*")
+
+
 #: A group is hot if it has more than one of so many rows; so there are at most so many hot groups.
 HOT_SHARE = 1024
 

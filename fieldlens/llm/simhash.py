@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.llm.graph import components
-from fieldlens.llm.shared import batches_of, text_key, words_of, written
+from fieldlens.llm.shared import batches_of, first_rows, text_key, words_of, written
 
 BITS = 64
 _BLOCK = 1 << 16  # shingles whose bits are unpacked at a time
@@ -73,12 +73,13 @@ def _segments(n: int) -> list[tuple[int, int]]:
 
 
 def in_ring(x: Column, max_bits: int, segments: int) -> Column:
-    """True where some chain over the differing bits ``x`` keeps within the proportional budgets."""
+    """True where some chain of segments, each of its beginnings within the proportional budget, is one segment short of the whole ring. Within the distance there always is
+    one; beyond it there may be, so the distance is checked after."""
     d = [F.bit_count(F.shiftrightunsigned(x, a).bitwiseAND(F.lit((1 << n) - 1))) for a, n in _segments(segments)]
     found = F.lit(False)
     for i in range(segments):
         chain, total = F.lit(True), F.lit(0)
-        for length in range(1, segments + 1):
+        for length in range(1, segments):
             total = total + d[(i + length - 1) % segments]
             chain = chain & (total <= length * max_bits // segments)
         found = found | chain
@@ -152,4 +153,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how:
         return docs.join(only, docs[doc_id].eqNullSafe(only["kept_id"]) & (text_key(docs[text]) == only["kept_key"]), "left_semi")
 
     once = stay(chosen.where("copies = 1"))
-    return once.unionByName(stay(chosen.where("copies > 1")).dropDuplicates([doc_id, text]))
+    return once.unionByName(first_rows(stay(chosen.where("copies > 1")), doc_id, text))
