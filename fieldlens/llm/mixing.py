@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.llm.shared import text_key, written
+from fieldlens.llm.shared import first_rows, text_key, written
 
 #: Ranges of the hash, as hexadecimal digits of it.
 BIN_DIGITS = 4
@@ -76,6 +76,15 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: list[dict[str, i
     return leaves.join(placed, levels)
 
 
+#: Leaves up to which their plan is broadcast; a tree of more is joined by shuffling.
+PLAN_ROWS = 100_000
+
+
+def _planned(rows: DataFrame, plan: DataFrame, levels: list[str]) -> DataFrame:
+    """``rows`` with their leaf's plan. A leaf may hold any share of the rows, so they are not dealt by leaf while the plan is small, which is counted."""
+    return rows.join(F.broadcast(plan) if plan.count() <= PLAN_ROWS else plan, levels)
+
+
 def _order(seed: int, epoch: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
 
@@ -92,13 +101,13 @@ def select(docs: DataFrame, levels: list[str], weights: list[dict[str, int]], bu
     plan = (leaf_budgets(leaves, levels, weights, budget_share, epochs)
             .select(*levels, F.expr("cast(budget div tokens as int)").alias("whole"), F.expr("budget % tokens").alias("part")))
     plan = written(plan, "mix-plan")
-    marked = rows.join(plan, levels).withColumn("h", _order(seed, F.col("whole") + 1))
+    marked = _planned(rows, plan, levels).withColumn("h", _order(seed, F.col("whole") + 1))
     bins = marked.where("part > 0").groupBy(*levels, "part", F.substring("h", 1, BIN_DIGITS).alias("bin")).agg(F.sum("n_tokens").alias("tokens"))
     run = Window.partitionBy(*levels).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     ends = (bins.withColumn("start", F.coalesce(F.sum("tokens").over(run), F.lit(0)))
             .where((F.col("start") < F.col("part")) & (F.col("start") + F.col("tokens") >= F.col("part"))))
     plan = written(plan.join(ends.select(*levels, "bin", "start"), levels, "left"), "mix-ends")
-    marked = rows.join(plan, levels).withColumn("h", _order(seed, F.col("whole") + 1)).withColumn("b", F.substring("h", 1, BIN_DIGITS))
+    marked = _planned(rows, plan, levels).withColumn("h", _order(seed, F.col("whole") + 1)).withColumn("b", F.substring("h", 1, BIN_DIGITS))
     out = [*("doc_id", "text_key"), *levels, "copies", "n_tokens"]
     whole = marked.where("whole > 0").select(*out, F.explode(F.sequence(F.lit(1), F.col("whole"))).alias("epoch"), F.col("n_tokens").alias("tokens_taken"))
     within = marked.where("b < bin").select(*out, (F.col("whole") + 1).alias("epoch"), F.col("n_tokens").alias("tokens_taken"))
@@ -124,5 +133,5 @@ def selected(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: s
 
     again = names.where("copies > 1")
     once = again.select("_id", "_key").distinct()
-    repeated = docs.join(once, docs[doc_id].eqNullSafe(once["_id"]) & (text_key(docs[text]) == once["_key"]), "left_semi").dropDuplicates([doc_id, text])
+    repeated = first_rows(docs.join(once, docs[doc_id].eqNullSafe(once["_id"]) & (text_key(docs[text]) == once["_key"]), "left_semi"), doc_id, text)
     return those(names.where("copies = 1"), docs).unionByName(those(again, repeated))
