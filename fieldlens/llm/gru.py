@@ -9,7 +9,8 @@ that of the word in its class: given the state for the network's own words, by c
 Counts cover every training text; class and word biases start from them. The recurrent weights are fitted in numpy by truncated
 backpropagation: they start on the driver from ``FIT_ROWS`` excerpts of distinct texts, then every training text is read whole in one of
 ``ROUNDS`` rounds. In a round each task goes on from the weights so far over its texts, cut into windows; the tasks' changes, weighted
-by their tokens, are averaged in Spark and stored. So training grows with the input; how the input is split decides the last digits. Scoring runs all
+by their tokens, are averaged in Spark and stored. So training grows with the input. The texts of a round are dealt to shards by their keys, one for about
+``SHARD_TOKENS`` tokens, and stand there in order of their keys, so the result does not follow the way the input is split. Scoring runs all
 documents of a batch in step and carries each state from window to window of ``SCORE_STEPS`` tokens, so a document is scored whole.
 
 Counts of words below ``HEAD_SHARE`` are not sent to the tasks: such tokens leave the scan as rows (document, word, number),
@@ -242,8 +243,13 @@ def _learn_chunk(v: Vocabulary, net: Network, ids: list[np.ndarray], state: _Sta
     _pass(v, net, flat[np.arange(n)[:, None] * length + np.arange(length + 1)], state, rate)
 
 
+#: Tokens that a shard of a round learns from, about.
+SHARD_TOKENS = 1_500_000
+
+
 def learn_all(v: Vocabulary, net: Network, texts: DataFrame) -> Network:
-    """The network after ``ROUNDS`` rounds over all rows of ``texts(key, text)``, each of them in the round that its key gives."""
+    """The network after ``ROUNDS`` rounds over all rows of ``texts(key, text)``, each of them in the round and the shard that its key gives."""
+    shards = max(1, -(-v.tokens // (ROUNDS * SHARD_TOKENS)))
     for number, rate in zip(range(ROUNDS), RATES, strict=True):
         shared = texts.sparkSession.sparkContext.broadcast((v, net))
 
@@ -277,7 +283,8 @@ def learn_all(v: Vocabulary, net: Network, texts: DataFrame) -> Network:
             return pdf.iloc[:1].assign(part=pdf["part"].iloc[0] // 64, tokens=int(pdf["tokens"].sum()), change=total.tobytes())[["slot", "part", "tokens", "change"]]
 
         schema = "slot int, part int, tokens long, change binary"
-        rows = texts.where(F.pmod("key", F.lit(ROUNDS)) == number).select("text").mapInArrow(run, schema)
+        dealt = texts.where(F.pmod("key", F.lit(ROUNDS)) == number).repartition(shards, F.xxhash64("key")).sortWithinPartitions("key", "text")
+        rows = dealt.select("text").mapInArrow(run, schema)
         salted = rows.groupBy("slot", F.expr("part div 64")).applyInPandas(add, schema)
         sums = sorted(written(salted.groupBy("slot").applyInPandas(add, schema), "lm-weights").collect(), key=lambda r: r["slot"])
         shared.unpersist()
@@ -438,6 +445,11 @@ def _excerpts(learn: DataFrame, text: str) -> list[tuple[str, bool]]:
     key = text_key(text)
     n = learn.agg(F.countDistinct(key)).first()[0]
     mix = F.pmod(F.xxhash64(key, F.lit("lm")), F.lit(1 << 30)) / float(1 << 30)
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    # the excerpt starts anywhere in the text, at a word
+    start = F.pmod(F.xxhash64(key, F.lit("at")), F.greatest(F.lit(1), F.length(whole) - FIT_CHARS + 1)).cast("int") + 1
+    cut = F.substring(whole, start, F.lit(FIT_CHARS))
+    cut = F.when(start > 1, F.regexp_replace(cut, r"^[^\x20\x09-\x0D]+", "")).otherwise(cut)
     part = (learn.where(mix < min(1.0, 1.5 * FIT_ROWS / max(1, n)))
-            .select(key.alias("key"), mix.alias("mix"), F.substring(F.coalesce(F.col(text).cast("string"), F.lit("")), 1, FIT_CHARS).alias("part"), (F.coalesce(F.length(text), F.lit(0)) <= FIT_CHARS).alias("whole")).distinct())
+            .select(key.alias("key"), mix.alias("mix"), cut.alias("part"), (F.length(whole) <= FIT_CHARS).alias("whole")).distinct())
     return [(r["part"], r["whole"]) for r in part.orderBy("mix", "part").limit(FIT_ROWS).collect()]
