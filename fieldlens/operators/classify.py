@@ -21,6 +21,9 @@ MARKET_REGIONS = [
     ("africa", "east"),
     ("asia", "south"),
 ]
+# Divisions: sources that are one division, and the markets of the others; other markets have none.
+WHOLE_DIVISIONS = ["src0", "src1"]
+DIVISION_MARKETS = [("america", "west"), ("europe", "east")]
 # Cost-center name prefix -> region (LIKE patterns, first match wins).
 COST_CENTER_REGIONS = [
     ("S%", "south"),
@@ -81,6 +84,16 @@ def region_from_market(market: ColumnOrStr = "market", source: ColumnOrStr = "so
     return out.otherwise(col(source))
 
 
+def division_from_market(market: ColumnOrStr = "market", source: ColumnOrStr = "source_database", whole: Sequence[str] = WHOLE_DIVISIONS,
+                         rules: Sequence[tuple[str, str]] = DIVISION_MARKETS) -> Column:
+    """Division next to region (BO-5): a source that is one division, else a narrower market list; NULL for all other markets."""
+    s, m = col(source), col(market)
+    out = F.when(s.isin(*whole), s)
+    for name, division in rules:
+        out = out.when(m == name, F.concat(s, F.lit("_" + division)))
+    return out
+
+
 def region_from_cost_center(name: ColumnOrStr = "cost_center_name", source: ColumnOrStr = "source_database",
                             rules: Sequence[tuple[str, str]] = COST_CENTER_REGIONS) -> Column:
     """Region by cost-center prefix, fallback to the source tag (BO-5)."""

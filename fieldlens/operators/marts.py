@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions.scalars import day_name, dow0, hour_bucket, minutes_between, round_numeric
-from fieldlens.operators.classify import (attendance_flags, hours_variance, level_from_name,
+from fieldlens.operators.classify import (attendance_flags, division_from_market, hours_variance, level_from_name,
                                           region_from_cost_center, region_from_market, run_outcome,
                                           shift_flags)
 from fieldlens.operators.timeline import repair_duration, run_flags, stage_durations
@@ -25,6 +25,7 @@ def run_mart(stage_times: DataFrame) -> DataFrame:
     return df.withColumns({
         "run_outcome": run_outcome(),
         "region": region_from_market(),
+        "division": division_from_market(),
         "date_of_service": F.col("service_date"),
         "day_of_week": day_name("pickup_time"),
         "hour_of_day": hour_bucket("pickup_time"),

@@ -36,13 +36,17 @@ SELECT COALESCE(h.leg_id, r.leg_id) AS leg_id, COALESCE(h.rev, r.rev) AS rev, h.
        r.l_partkey, r.l_quantity
 FROM run_header h FULL OUTER JOIN revisions r ON h.leg_id = r.leg_id AND h.rev = r.rev"""
 
-SQL["star_enrich"] = W("stage_times") + """
-SELECT st.leg_id, st.rev, p.p_type, p.p_brand, s.s_name, n.n_name AS supplier_nation, c.c_name, st.market
+SQL["star_enrich"] = W("stage_times", "cost_centers", "source_zones") + """
+SELECT st.leg_id, st.rev, p.p_type, p.p_brand, s.s_name, n.n_name AS supplier_nation, r.r_name AS supplier_region, c.c_name, cn.n_name AS customer_nation, cr.r_name AS customer_region,
+       st.market, st.calltype_name, z.local_tz, v.name AS cancel_reason_name, cc.cost_center_id,
+       CAST(date_diff('day', DATE '1994-12-25', st.service_date) // 14 + 1 AS INTEGER) AS pay_period_number
 FROM stage_times st
 LEFT JOIN part p ON st.l_partkey = p.p_partkey
-LEFT JOIN supplier s ON st.l_suppkey = s.s_suppkey
-LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
-LEFT JOIN customer c ON st.user_id = c.c_custkey"""
+LEFT JOIN supplier s ON st.l_suppkey = s.s_suppkey LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+LEFT JOIN customer c ON st.user_id = c.c_custkey LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey LEFT JOIN region cr ON cr.r_regionkey = cn.n_regionkey
+LEFT JOIN source_zones z ON z.source_database = st.source_database
+LEFT JOIN (VALUES (0, 'No show'), (1, 'Weather'), (2, 'Facility closed'), (3, 'Duplicate')) v(id, name) ON v.id = st.canceled_reason_id
+LEFT JOIN cost_centers cc ON cc.cost_center_name = p.p_type AND cc.source_database = st.source_database"""
 
 SQL["union_sources"] = """
 SELECT c_custkey AS user_id, 'src' || CAST(c_custkey % 3 AS VARCHAR) AS source_database, c_name AS username,
@@ -58,10 +62,11 @@ SELECT s.assignment_id, s.source_database, s.cost_center_id, s.cost_center_name,
 FROM shifts s JOIN valid_cost_centers v ON (s.cost_center_id, s.source_database) = (v.cost_center_id, v.source_database)"""
 
 SQL["region_classify"] = W("run_header", "shifts") + f"""
-SELECT 'run' AS entity, leg_id AS entity_id, source_database, market AS rule_input, {region_market_sql()} AS region
+SELECT 'run' AS entity, leg_id AS entity_id, source_database, market AS rule_input, {region_market_sql()} AS region,
+  CASE WHEN source_database IN ('src0', 'src1') THEN source_database WHEN market = 'america' THEN source_database || '_west' WHEN market = 'europe' THEN source_database || '_east' END AS division
 FROM run_header
 UNION ALL
-SELECT 'shift', assignment_id, source_database, cost_center_name, {region_cc_sql()} FROM shifts"""
+SELECT 'shift', assignment_id, source_database, cost_center_name, {region_cc_sql()}, NULL FROM shifts"""
 
 SQL["level_from_name"] = W("shifts") + f"""
 SELECT assignment_id, cost_center_name, {level_sql()} AS level_of_service FROM shifts"""

@@ -94,17 +94,31 @@ def q_revision_full_join(spark, root):
 
 
 def q_star_enrich(spark, root):
-    st = stage_times(spark, root).select("leg_id", "rev", "user_id", "l_partkey", "l_suppkey", "market")
+    """Runs with twelve lookups. Nations, regions and the fixed lists are of known size and broadcast; the others are left to the optimizer."""
+    st = stage_times(spark, root).select("leg_id", "rev", "user_id", "l_partkey", "l_suppkey", "market", "source_database", "canceled_reason_id", "service_date",
+                                         F.col("level_of_service").alias("o_orderpriority"))
     part = tables.load_table(spark, root, "part", ["p_partkey", "p_type", "p_brand"])
     supp = tables.load_table(spark, root, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
-    nat = tables.load_table(spark, root, "nation", ["n_nationkey", "n_name"])
-    cust = tables.load_table(spark, root, "customer", ["c_custkey", "c_name"])
-    j = (st.join(part, st.l_partkey == part.p_partkey, "left")
-           .join(supp, st.l_suppkey == supp.s_suppkey, "left")
-           .join(F.broadcast(nat), F.col("s_nationkey") == nat.n_nationkey, "left")
-           .join(cust, st.user_id == cust.c_custkey, "left"))
-    return j.select("leg_id", "rev", "p_type", "p_brand", "s_name", F.col("n_name").alias("supplier_nation"),
-                    "c_name", "market")
+    cust = tables.load_table(spark, root, "customer", ["c_custkey", "c_name", "c_nationkey"])
+    nat = tables.load_table(spark, root, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    reg = tables.load_table(spark, root, "region", ["r_regionkey", "r_name"])
+
+    def places(prefix: str, key: str) -> tuple[list[DataFrame], list[str]]:
+        n = nat.select(F.col("n_nationkey").alias(key), F.col("n_name").alias(f"{prefix}_nation"), F.col("n_regionkey").alias(f"{prefix}_regionkey"))
+        r = reg.select(F.col("r_regionkey").alias(f"{prefix}_regionkey"), F.col("r_name").alias(f"{prefix}_region"))
+        return [F.broadcast(n), F.broadcast(r)], [key, f"{prefix}_regionkey"]
+
+    j = (st.join(part, st.l_partkey == part.p_partkey, "left").join(supp, st.l_suppkey == supp.s_suppkey, "left").join(cust, st.user_id == cust.c_custkey, "left"))
+    for prefix, key in (("supplier", "s_nationkey"), ("customer", "c_nationkey")):
+        for frame, on in zip(*places(prefix, key)):
+            j = j.join(frame, on, "left")
+    centers = roles.cost_centers(spark, root).select("cost_center_id", "source_database", F.col("cost_center_name").alias("p_type"))
+    per = roles.periods(spark, st, "service_date", roles.PERIOD_ANCHOR_ORDERS)
+    j = (j.join(F.broadcast(roles.call_types(spark)), "o_orderpriority", "left").join(F.broadcast(roles.source_zones(spark)), "source_database", "left")
+         .join(F.broadcast(roles.cancel_reasons(spark)), ["canceled_reason_id", "source_database"], "left").join(centers, ["p_type", "source_database"], "left"))
+    j = calendar.assign_period(j, per, "service_date")
+    return j.select("leg_id", "rev", "p_type", "p_brand", "s_name", "supplier_nation", "supplier_region", "c_name", "customer_nation", "customer_region", "market",
+                    "calltype_name", "local_tz", "cancel_reason_name", "cost_center_id", "pay_period_number")
 
 
 def q_union_sources(spark, root):
@@ -135,10 +149,10 @@ def q_values_allowlist(spark, root):
 def q_region_classify(spark, root):
     r = roles.run_header(spark, root).select(
         F.lit("run").alias("entity"), F.col("leg_id").alias("entity_id"), "source_database",
-        F.col("market").alias("rule_input"), classify.region_from_market().alias("region"))
+        F.col("market").alias("rule_input"), classify.region_from_market().alias("region"), classify.division_from_market().alias("division"))
     s = roles.shifts(spark, root).select(
         F.lit("shift").alias("entity"), F.col("assignment_id").alias("entity_id"), "source_database",
-        F.col("cost_center_name").alias("rule_input"), classify.region_from_cost_center().alias("region"))
+        F.col("cost_center_name").alias("rule_input"), classify.region_from_cost_center().alias("region"), F.lit(None).cast("string").alias("division"))
     return r.unionByName(s)
 
 
