@@ -9,8 +9,8 @@ children only when all siblings are full. Amounts are whole tokens, rounded down
 A leaf's budget is spent epoch by epoch: whole epochs first, then the prefix of the last epoch's seeded order (a hash of seed,
 epoch and document) that holds the rest; the document across the end gives only its first tokens.
 
-The order is never sorted as a whole: documents are counted in ``BINS`` ranges of the hash, a running sum over
-a leaf's ranges finds the one in which the budget ends, and only the documents of that range are put in order.
+The order is never sorted as a whole: documents are counted in ranges of the hash, a running sum over
+a leaf's ranges finds the one in which the budget ends, which is divided again, and only the documents of the last range are put in order.
 
 Defined cases: a null level is the node ``(none)``; documents without tokens are not selected; rows that repeat (id, text and
 levels) count as one document; a null doc_id takes part; an empty table gives no rows; other columns are not read.
@@ -101,12 +101,16 @@ def select(docs: DataFrame, levels: list[str], weights: list[dict[str, int]], bu
     plan = (leaf_budgets(leaves, levels, weights, budget_share, epochs)
             .select(*levels, F.expr("cast(budget div tokens as int)").alias("whole"), F.expr("budget % tokens").alias("part")))
     plan = written(plan, "mix-plan")
-    marked = _planned(rows, plan, levels).withColumn("h", _order(seed, F.col("whole") + 1))
-    bins = marked.where("part > 0").groupBy(*levels, "part", F.substring("h", 1, BIN_DIGITS).alias("bin")).agg(F.sum("n_tokens").alias("tokens"))
-    run = Window.partitionBy(*levels).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    ends = (bins.withColumn("start", F.coalesce(F.sum("tokens").over(run), F.lit(0)))
-            .where((F.col("start") < F.col("part")) & (F.col("start") + F.col("tokens") >= F.col("part"))))
-    plan = written(plan.join(ends.select(*levels, "bin", "start"), levels, "left"), "mix-ends")
+    # the range in which a budget ends is found two digits at a time, so a leaf's running sum has at most 256 rows each time
+    plan = plan.withColumns({"bin": F.lit(""), "start": F.lit(0).cast("long")})
+    for digits in range(2, BIN_DIGITS + 1, 2):
+        marked = _planned(rows, plan, levels).withColumn("h", _order(seed, F.col("whole") + 1))
+        bins = (marked.where((F.col("part") > 0) & F.col("h").startswith(F.col("bin"))).groupBy(*levels, "part", "start", F.substring("h", 1, digits).alias("b"))
+                .agg(F.sum("n_tokens").alias("tokens")))
+        run = Window.partitionBy(*levels).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+        ends = (bins.withColumn("at", F.col("start") + F.coalesce(F.sum("tokens").over(run), F.lit(0)))
+                .where((F.col("at") < F.col("part")) & (F.col("at") + F.col("tokens") >= F.col("part"))).select(*levels, F.col("b").alias("bin"), F.col("at").alias("start")))
+        plan = written(plan.drop("bin", "start").join(ends, levels, "left"), "mix-ends")
     marked = _planned(rows, plan, levels).withColumn("h", _order(seed, F.col("whole") + 1)).withColumn("b", F.substring("h", 1, BIN_DIGITS))
     out = [*("doc_id", "text_key"), *levels, "copies", "n_tokens"]
     whole = marked.where("whole > 0").select(*out, F.explode(F.sequence(F.lit(1), F.col("whole"))).alias("epoch"), F.col("n_tokens").alias("tokens_taken"))
@@ -121,17 +125,21 @@ def select(docs: DataFrame, levels: list[str], weights: list[dict[str, int]], bu
 
 def selected(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``docs`` that ``chosen`` (from ``select``) names, once for each epoch, with the columns ``also`` of ``chosen``, epoch,
-    n_tokens and tokens_taken."""
+    n_tokens and tokens_taken. A row is known by its id, its text and those of the levels that ``docs`` holds; of rows that share them one is taken."""
     extra = [*also, "epoch", "n_tokens", "tokens_taken"]
     mine = [c for c in docs.columns if c not in extra]
-    names = chosen.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "copies", *extra)
+    levels = [c for c in chosen.columns if c in mine and c not in ("doc_id", "text_key", "copies")]
+    names = chosen.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), *[F.col(c).alias(f"_at_{c}") for c in levels], "copies", *extra)
 
-    def those(part: DataFrame, base: DataFrame) -> DataFrame:
+    def those(part: DataFrame, base: DataFrame, how: str = "inner") -> DataFrame:
         held, named = base.alias("held"), part.alias("named")
         same = F.col(f"held.`{doc_id}`").eqNullSafe(F.col("named._id")) & (text_key(F.col(f"held.`{text}`")) == F.col("named._key"))
-        return held.join(named, same).select(*[F.col(f"held.`{c}`") for c in mine], *[F.col(f"named.{c}") for c in extra])
+        for c in levels:
+            same = same & (F.coalesce(F.col(f"held.`{c}`").cast("string"), F.lit(NONE)) == F.col(f"named.`_at_{c}`"))
+        joined = held.join(named, same, how)
+        return joined if how == "left_semi" else joined.select(*[F.col(f"held.`{c}`") for c in mine], *[F.col(f"named.{c}") for c in extra])
 
     again = names.where("copies > 1")
-    once = again.select("_id", "_key").distinct()
-    repeated = first_rows(docs.join(once, docs[doc_id].eqNullSafe(once["_id"]) & (text_key(docs[text]) == once["_key"]), "left_semi"), doc_id, text)
+    once = again.select("_id", "_key", *[f"_at_{c}" for c in levels]).distinct()
+    repeated = first_rows(those(once, docs, "left_semi"), doc_id, text, levels)
     return those(names.where("copies = 1"), docs).unionByName(those(again, repeated))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,12 +63,12 @@ def batches_of(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
             yield b.slice(at, rows)
 
 
-def first_rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Of rows that share id and text the first by their other columns, so that a rerun keeps the same one. Each task sends one row of a group."""
+def first_rows(df: DataFrame, doc_id: str, text: str, also: Sequence[str] = ()) -> DataFrame:
+    """Of rows that share id and text, and the columns ``also``, the first by their other columns, so that a rerun keeps the same one. Each task sends one row of a group."""
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     order = F.struct(*[part for c in plain for part in (c.isNull(), c)])
-    keyed = df.select(F.struct(F.col(f"`{doc_id}`"), text_key(F.col(f"`{text}`"))).alias("key"), order.alias("order"), whole.alias("whole"))
+    keyed = df.select(F.struct(F.col(f"`{doc_id}`"), text_key(F.col(f"`{text}`")), *[F.col(f"`{c}`") for c in also]).alias("key"), order.alias("order"), whole.alias("whole"))
     return keyed.groupBy("key").agg(F.min_by("whole", "order").alias("whole")).select("whole.*")
 
 
