@@ -111,9 +111,9 @@ class Model:
         return np.add.reduceat(self.weights[flat], begin, axis=0) + self.odds[known] * self.trust
 
 
-def fit(samples: list[tuple[str, str, bool, bool]], counts: list[tuple[str, str, int]], seed: int = 7, sequences: int = 1600, length: int = 48,
+def fit(samples: list[tuple[str, str] | tuple[str, str, bool, bool]], counts: list[tuple[str, str, int]], seed: int = 7, sequences: int = 1600, length: int = 48,
         rounds: int = 8) -> Model | None:
-    """Trains on (language, excerpt, whether its first and its last word may be cut) and (language, letters, count) rows of the lexicon; None without samples."""
+    """Trains on (language, excerpt, whether its first and its last word may be cut; a pair is a whole text) and (language, letters, count) rows of the lexicon; None without samples."""
     labels = sorted({lang for lang, *_ in samples})
     if not labels:
         return None
@@ -128,7 +128,8 @@ def fit(samples: list[tuple[str, str, bool, bool]], counts: list[tuple[str, str,
     odds[0] = 0
     rng = np.random.default_rng(seed)
     pool = [[] for _ in labels]
-    for lang, text, head, tail in sorted(samples):
+    for lang, text, *cut in sorted(samples):
+        head, tail = cut or (False, False)
         parts = elements(text)
         if words := [c for w in parts[head:len(parts) - tail] if (c := core(w))]:
             pool[at[lang]].append(words)
