@@ -171,6 +171,59 @@ def test_copies_and_long_leads_are_not_fixed_texts(spark):
     assert got == [f"{lead}{i}" for i in range(4)]
 
 
+def article(i, rest=""):
+    return f"<body><nav>go</nav><article><h1>title {i}</h1><p>first words of article {i}, which go on for a while and a while</p>{rest}<p>last words of {i}, which go on too</p></article></body>"
+
+
+@pytest.mark.parametrize("name", ["banner-history", "notice-of-appeal", "market-share", "related-work", "form-of-government"])
+def test_words_in_the_names_of_content_lose_no_text(spark, name):
+    got = pages_of(spark, [("names.example", article(i, f"<section class='{name}'><p>part {i}</p></section>")) for i in range(5)])
+    assert all(f"\npart {i}\n" in text for i, text in enumerate(got))
+
+
+@pytest.mark.parametrize("name", ["sidebar", "ad", "ad-box", "post-comments", "acme-comments", "share-links", "entry-sidebar left", "cookie-notice"])
+def test_names_of_other_parts_go_inside_an_article(spark, name):
+    got = pages_of(spark, [("names.example", article(i, f"<div class='{name}'><p>part {i}</p></div>")) for i in range(5)])
+    assert not any("part" in text for text in got) and all(f"last words of {i}," in text for i, text in enumerate(got))
+
+
+def test_lists_of_links_are_judged_by_what_pages_share(spark):
+    """An article's own sources stay; a menu or a notice that every article repeats goes, whatever its class."""
+    sources = "<ul><li><a href=a>source {0} one</a></li><li><a href=b>source {0} two</a></li></ul>"
+    got = pages_of(spark, [("links.example", article(i, sources.format(i))) for i in range(5)])
+    assert all(f"source {i} one\nsource {i} two" in text for i, text in enumerate(got))
+    menu, notice = sources.format("same"), "<div class=xq><p>call us today</p></div>"
+    got = pages_of(spark, [("menu.example", article(i, menu + notice)) for i in range(5)])
+    assert not any("source" in text or "call us" in text for text in got)
+    assert all("source same" in text and "call us" in text for text in pages_of(spark, [("two.example", article(i, menu + notice)) for i in range(2)]))
+    assert all("call us" in text for text in pages_of(spark, [("copy.example", article(7, notice + f"<p>{i}</p>")) for i in range(6)]))  # near copies of one article
+
+
+def test_headings_and_paragraphs_that_articles_share_stay(spark):
+    got = pages_of(spark, [("share.example", article(i, "<h2>Summary</h2><p>a passage that each article quotes</p>")) for i in range(6)])
+    assert all("\nSummary\na passage that each article quotes\n" in text for text in got)
+    same = "<body><article><h1>place {0}</h1><div><p>nothing is written of this place as yet, and the same is said of all</p></div></article></body>"
+    assert all("nothing is written" in text for text in pages_of(spark, [("stub.example", same.format(i)) for i in range(6)]))
+
+
+def test_one_differing_foot_saves_none(spark):
+    page = "<body><div class=post><h1>head {0}</h1><p>body {0} with all that belongs to it, as long as it takes to be the most</p></div><div class=low><p>{1}</p></div></body>"
+    got = pages_of(spark, [("foot.example", page.format(i, "other foot" if i == 3 else "our foot")) for i in range(5)])
+    assert [text.split("\n")[0] for text in got] == [f"head {i}" for i in range(5)] and not any("foot" in text for text in got)
+
+
+def test_depth_changes_no_decision(spark):
+    for depth in (3, 199, 205, 400):
+        inner = "<p>kept</p><div class=sidebar><div><p>side</p></div><p>more side</p></div><p>kept too</p>"
+        text, = pages_of(spark, [("deep.example", "<body><article>" + "<div>" * depth + inner + "</div>" * depth + "<p>end</p></article><footer>foot</footer></body>")])
+        assert text == ("kept\nkept too\nend" if depth < 198 else text) and "side" not in text and "foot" not in text
+        assert "kept" in text and "kept too" in text and text.endswith("end")
+    stray = wrappers.parse("<x>" * 30_000 + "t" + "</x>" * 30_000)
+    while stray[0][0] != "#":
+        stray = stray[0][1]
+    assert stray == [["#", "t", 0]]
+
+
 # -- revisits ------------------------------------------------------------------------------------------------
 
 def test_canonical_urls(spark):
