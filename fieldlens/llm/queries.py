@@ -25,7 +25,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ann.nearest(_table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
-    return found.select("query_id", "rank", "vec_id", "score", "prefix")
+    return found.select("query_id", "rank", "vec_id", "score", "prefix", "scored")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

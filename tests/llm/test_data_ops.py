@@ -49,9 +49,43 @@ def test_license_plan_runs_no_python(spark):
 
 # -- nearest neighbours --------------------------------------------------------------------------------------
 
-def test_symbols_of_close_vectors_agree_as_told():
-    cos, chance = ann.agreement(64)
-    assert chance[-1] == 1 and abs(chance[0] - 1 / 128) < 0.005 and (np.diff(chance) >= 0).all()
+def unit_rows(rng, n, dim):
+    x = rng.normal(size=(n, dim))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("cosine", [0.2, 0.35, 0.6, 0.9])
+def test_prefixes_of_close_vectors_agree_as_told(cosine):
+    """The share of pairs that no tree holds under a prefix is what ``missed`` tells."""
+    rng = np.random.default_rng(3)
+    a, b = unit_rows(rng, 1500, 40), unit_rows(rng, 1500, 40)
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b = cosine * a + np.sqrt(1 - cosine ** 2) * b / np.linalg.norm(b, axis=1)[:, None]
+    one, two = ann.hash_strings(a), ann.hash_strings(b)
+    for length in (4, 8, 12, 20):
+        share = ((one >> (ann.BITS - length)) != (two >> (ann.BITS - length))).all(axis=1).mean()
+        assert abs(share - ann.missed(np.array(cosine), length)) < 0.06
+        assert abs(ann.missed(np.array(ann.settles(length)), length) - ann.MISS) < 1e-9
+
+
+def test_trees_ascend_together_to_where_a_search_settles():
+    """The rows scored are those that share the prefix of the stop in any tree, and no longer prefix would have been enough."""
+    rng = np.random.default_rng(4)
+    x, k = unit_rows(rng, 900, 32), 5
+    q = np.concatenate([unit_rows(rng, 20, 32), x[:20] + 0.02 * rng.normal(size=(20, 32))])
+    q /= np.linalg.norm(q, axis=1)[:, None]
+    strings, asked = ann.hash_strings(x), ann.hash_strings(q)
+    order = np.argsort(strings.T, axis=1, kind="stable")
+    score, stop = ann._ascend(x, np.take_along_axis(strings.T, order, axis=1), order, q, asked, np.full(40, -1.5), [[]] * 40, k)
+    for i in range(40):
+        def held(length):
+            return ((strings >> (ann.BITS - length)) == (asked[i] >> (ann.BITS - length))).any(axis=1)
+
+        assert (np.isfinite(score[i]) == held(stop[i])).all() and np.allclose(score[i][held(stop[i])], x[held(stop[i])] @ q[i])
+        assert np.sort(score[i])[-k] >= ann.settles(stop[i])
+        if stop[i] < ann.BITS:
+            longer = np.where(held(stop[i] + 1), x @ q[i], -np.inf)
+            assert np.sort(longer)[-k] < ann.settles(stop[i] + 1)
 
 
 def brute(ids, x, k):
@@ -85,17 +119,47 @@ def test_forest_recall_on_clusters_and_edge_rows(spark):
     assert ann.nearest(frame.limit(0), F.col("vec_id") >= 0).count() == 0
 
 
-def test_forest_recall_on_the_table(spark):
-    frame = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+@pytest.mark.parametrize("block_rows", [ann.BLOCK_ROWS, 300])
+def test_forest_recall_on_the_table(spark, monkeypatch, block_rows):
+    """Nine tenths of the nearest rows, from searches that all settle above the root."""
+    monkeypatch.setattr(ann, "BLOCK_ROWS", block_rows)
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     data = [(r.vec_id, r.embedding) for r in frame.collect() if r.embedding]
     want = brute(np.array([i for i, _ in data]), np.array([v for _, v in data], dtype=float), 5)
-    got = {}
+    got, effort = {}, {}
     for r in ann.nearest(frame, F.pmod(F.col("vec_id"), F.lit(50)) == 0).collect():
         got.setdefault(r.query_id, {})[r.vec_id] = r.score
-    assert sum(v in got[q] for q, vs in want.items() for v, _ in vs) >= 0.9 * sum(map(len, want.values()))
+        effort[r.query_id] = r.prefix, r.scored
+    recall = sum(v in got[q] for q, vs in want.items() for v, _ in vs) / sum(map(len, want.values()))
+    share = sum(n for _, n in effort.values()) / len(effort) / len(data)
+    print(block_rows, "recall", recall, "share", share, sorted(p for p, _ in effort.values()))
+    assert recall >= 0.9 and share < 0.7 and min(p for p, _ in effort.values()) > 0
     assert all(abs(got[q][v] - s) < 1e-9 for q, vs in want.items() for v, s in vs if v in got[q])
 
 
+def test_close_neighbours_are_sought_in_few_blocks(spark, monkeypatch):
+    """Clusters lie in few rows of the blocks that the forest names; what is found is what all blocks hold."""
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([c + 0.01 * rng.normal(size=(20, 24)) for c in rng.normal(size=(40, 24))])
+    frame = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    want = brute(np.arange(800), x, 5)
+    sent = []
+    routes = ann._routes
+
+    def counted(index, own):
+        out = routes(index, own)
+        sent.append((out.count(), own.count() * index.select("block").distinct().count()))
+        return out
+
+    monkeypatch.setattr(ann, "_routes", counted)
+    rows = ann.nearest(frame, F.pmod(F.col("vec_id"), F.lit(50)) == 0).collect()
+    got = {(r.query_id, r.vec_id) for r in rows}
+    assert sum((q, v) in got for q, vs in want.items() for v, _ in vs) >= 0.95 * len(got)
+    (used, most), = sent
+    assert used < 0.3 * most
+
+
 # -- wrappers ------------------------------------------------------------------------------------------------
 
 def test_parse_closes_tags_as_browsers_do():
