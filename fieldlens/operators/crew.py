@@ -32,7 +32,7 @@ def crew_seats(crew_shifts: DataFrame, centers: DataFrame, users: DataFrame, all
     """Crew schedule seats with names, cost center, training flag and the allow-list's
     special-event flag (inner join: only allow-listed cost centers, as the reference)."""
     u = users.select("user_id", "source_database", last_first("last_name", "first_name").alias("assigned_name"), "job_title")
-    s = crew_shifts.join(centers, ["cost_center_id", "source_database"], "left").join(u, ["user_id", "source_database"], "left")
+    s = crew_shifts.join(F.broadcast(centers), ["cost_center_id", "source_database"], "left").join(u, ["user_id", "source_database"], "left")
     a = F.broadcast(allow.select("cost_center_id", "source_database", "special_event"))
     s = s.join(a, ["cost_center_id", "source_database"], "inner")
     span = hours_between("shift_end", "shift_start")
@@ -52,15 +52,15 @@ def run_crew(stage_times: DataFrame, link: DataFrame, seats: DataFrame) -> DataF
                  "calltype_name", "pickup_time", "assigned_time", "at_scene_time", "clear_time",
                  "time_on_task_minutes", "time_on_task_excl_transport_minutes", "scene_time_minutes",
                  "transport_time_minutes", "destination_to_clear_minutes", "response_time_minutes")
-    lk = link.select("leg_id", "source_database", "shift_assignment_id").distinct()
+    lk = link.select("leg_id", "source_database", "shift_assignment_id").repartition("leg_id", "source_database").distinct()  # one exchange for distinct and join
     s = seats.select(*SEAT_ATTRS, F.col("assignment_id").alias("shift_assignment_id"))
     return r.join(lk, ["leg_id", "source_database"]).join(s, ["shift_assignment_id", "source_database"])
 
 
 def shift_metrics(rc: DataFrame) -> DataFrame:
     """Per-seat metrics (BO-11): runs, time-on-task hours and averages, first/last run,
-    share of scheduled hours, unit-hour utilization, active hours."""
-    g = rc.groupBy(*SEAT_ATTRS).agg(
+    share of scheduled hours, unit-hour utilization, active hours. Rows are dealt by seat once, which serves the distinct counts and the totals."""
+    g = rc.repartition("assignment_id", "source_database").groupBy(*SEAT_ATTRS).agg(
         F.countDistinct("leg_id").alias("total_runs"),
         F.countDistinct("run_number").alias("total_run_numbers"),
         (F.sum("time_on_task_minutes") / 60.0).alias("total_time_on_task_hours"),
