@@ -10,8 +10,8 @@ A host has up to three wrappers: of its pages with text in an article element, o
 the rest, so pages of one kind do not decide what is content on those of another.
 
 The wrapper tells content from the rest: its article or main element (or, without one, the element that most of the text lies
-in, as long as every page has text there), less the items that are menus, adverts, forms and the like. Each text slot carries the texts of the ``SAMPLE`` pages
-with the least hashes; it is fixed if ``FIXED_PAGES`` of them or more, and a share of ``FIXED_SHARE``, have one text there.
+in, as long as every page has text there), less the items that are menus, adverts, forms and the like. Every page of the host is matched against the wrapper and its texts are
+counted by slot; a slot is fixed if ``FIXED_PAGES`` pages or more, and a share of ``FIXED_SHARE`` of all that have it, have one text there.
 
 * Outside an article fixed slots go, and so do lists of links and all that a tag or a word of a class names.
 * Inside an article an element goes if its tag or the whole of a class name says so (``ad-box``, ``post-comments``). A name that merely holds such a word
@@ -32,8 +32,8 @@ import hashlib
 import html as entities
 import json
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import count
 
 import pandas as pd
 import pyarrow as pa
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from fieldlens.llm.shared import batches_of, written
 
 SALTS = 64
-FIXED_PAGES, FIXED_SHARE, SAMPLE = 3, 0.75, 16
+FIXED_PAGES, FIXED_SHARE = 3, 0.75
 DEPTH, OPEN = 200, 2000
 _MASK = (1 << 52) - 1
 _TOKEN = re.compile(
@@ -152,8 +152,8 @@ def parse(page: str | None) -> list:
 
 # -- wrappers --------------------------------------------------------------------------------------------------
 # A wrapper's item is a dict: k key, o optional, r repeated, n characters, l link characters, w whether all merged have text,
-# t the start of its only text and h the hash of the whole (texts only, absent if they differ), d [page, hash of its texts here] of the SAMPLE least pages (texts only), s items (elements and
-# groups). A group's key is "()".
+# t the start of its only text and h the hash of the whole (texts only, absent if they differ), s items (elements and groups). A group's key
+# is "()". In a finished wrapper a text's i is the number of its slot and f whether it is fixed.
 
 
 def _has_text(items: list[dict]) -> int:
@@ -165,17 +165,17 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") & _MASK
 
 
-def _folded(items: list, page: int) -> list[dict]:
+def _folded(items: list) -> list[dict]:
     """A page's items as a wrapper of that page alone."""
     out: list[dict] = []
     for item in items:
         if item[0] == TEXT:
-            node = {"k": TEXT, "o": 0, "r": 0, "n": len(item[1]), "l": item[2], "w": 1, "t": item[1][:200], "h": (h := _hash(item[1])), "d": [[page, h]]}
+            node = {"k": TEXT, "o": 0, "r": 0, "n": len(item[1]), "l": item[2], "w": 1, "t": item[1][:200], "h": _hash(item[1])}
         else:
-            inner = _folded(item[1], page)
+            inner = _folded(item[1])
             node = {"k": item[0], "o": 0, "r": 0, "n": sum(x["n"] for x in inner), "l": sum(x["l"] for x in inner), "w": _has_text(inner), "s": inner}
         if out and out[-1]["k"] == node["k"]:
-            out[-1] = _merged(out[-1], node, True)
+            out[-1] = _merged(out[-1], node)
             out[-1]["r"] = 1
         else:
             out.append(node)
@@ -194,7 +194,7 @@ def _grouped(items: list[dict], size: int) -> list[dict]:
         if len(keys) == size and keys == [x["k"] for x in items[j:j + size]] and "()" not in keys:
             inner = items[i:j]
             while keys == [x["k"] for x in items[j:j + size]]:
-                inner = [_merged(a, b, True) for a, b in zip(inner, items[j:j + size], strict=True)]
+                inner = [_merged(a, b) for a, b in zip(inner, items[j:j + size], strict=True)]
                 j += size
             out.append({"k": "()", "o": 0, "r": 1, "n": sum(x["n"] for x in inner), "l": sum(x["l"] for x in inner), "w": _has_text(inner), "s": inner})
             i = j
@@ -204,29 +204,22 @@ def _grouped(items: list[dict], size: int) -> list[dict]:
     return out
 
 
-def _merged(a: dict, b: dict, within: bool = False) -> dict:
-    """One item for two with the same key; ``within`` one page the hashes of their texts are added up."""
+def _merged(a: dict, b: dict) -> dict:
+    """One item for two with the same key."""
     out = {"k": a["k"], "o": a["o"] | b["o"], "r": a["r"] | b["r"], "n": a["n"] + b["n"], "l": a["l"] + b["l"], "w": a["w"] & b["w"]}
     if a["k"] != TEXT:
-        return out | {"s": align(a["s"], b["s"], within)}
-    if "t" in a and a["h"] == b.get("h"):
-        out |= {"t": a["t"], "h": a["h"]}
-    if within:
-        return out | {"d": [[a["d"][0][0], (a["d"][0][1] + b["d"][0][1]) & _MASK]]}
-    least: dict[int, int] = {}
-    for page, text in a["d"] + b["d"]:  # copies: the least of their texts
-        least[page] = min(text, least.get(page, text))
-    return out | {"d": [list(x) for x in sorted(least.items())[:SAMPLE]]}
+        return out | {"s": align(a["s"], b["s"])}
+    return out | {"t": a["t"], "h": a["h"]} if "t" in a and a["h"] == b.get("h") else out
 
 
 def _may_pair(a: dict, b: dict) -> bool:
     return a["k"] == b["k"] and (a["k"] != "()" or [x["k"] for x in a["s"]] == [x["k"] for x in b["s"]])
 
 
-def align(a: list[dict], b: list[dict], within: bool = False) -> list[dict]:
+def align(a: list[dict], b: list[dict]) -> list[dict]:
     """One sequence for two: pairs of a longest common subsequence of keys are merged, the rest is optional."""
     if len(a) == len(b) and all(map(_may_pair, a, b)):
-        return [_merged(x, y, within) for x, y in zip(a, b, strict=True)]
+        return [_merged(x, y) for x, y in zip(a, b, strict=True)]
     rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -235,7 +228,7 @@ def align(a: list[dict], b: list[dict], within: bool = False) -> list[dict]:
     i = j = 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and _may_pair(a[i], b[j]) and rows[i][j] == rows[i + 1][j + 1] + 1:
-            out.append(_merged(a[i], b[j], within))
+            out.append(_merged(a[i], b[j]))
             i, j = i + 1, j + 1
         elif j == len(b) or (i < len(a) and rows[i + 1][j] >= rows[i][j + 1]):
             out.append(a[i] | {"o": 1})
@@ -247,12 +240,7 @@ def align(a: list[dict], b: list[dict], within: bool = False) -> list[dict]:
 
 
 def wrapper_of(page: str | None) -> list[dict]:
-    items = parse(page)
-    return wrapper_of_items(items, kind_of(items))
-
-
-def wrapper_of_items(items: list, kind: str) -> list[dict]:
-    return _folded(items, identity_of(items, kind))
+    return _folded(parse(page))
 
 
 def identity_of(items: list, kind: str) -> int:
@@ -304,8 +292,23 @@ def _fixed(x: dict) -> bool:
     """Whether most pages have the same text in this slot, or in all slots of this element."""
     if x["k"] != TEXT:
         return x["n"] > 0 and all(_fixed(y) for y in x["s"] if y["n"])
-    most = max(Counter(text for _, text in x["d"]).values())
-    return most >= FIXED_PAGES and most >= FIXED_SHARE * len(x["d"])
+    return bool(x.get("f"))
+
+
+def numbered(items: list[dict], fixed: Iterable[int] = ()) -> list[dict]:
+    """Sets the slot numbers of a wrapper's texts, in order, and which slots are fixed."""
+    fixed, n = set(fixed), count()
+
+    def number(xs: list[dict]) -> None:
+        for x in xs:
+            if x["k"] == TEXT:
+                x["i"] = next(n)
+                x["f"] = int(x["i"] in fixed)
+            else:
+                number(x["s"])
+
+    number(items)
+    return items
 
 
 def _links(x: dict) -> bool:
@@ -392,8 +395,8 @@ class Matcher:
             self.at.setdefault(x["k"], []).append(i)
         self.inner: dict[int, Matcher] = {}
 
-    def blocks(self, items: list, out: list[str]) -> list[str]:
-        """Appends the content texts of a page's items."""
+    def texts(self, items: list) -> Iterator[tuple[dict, str]]:
+        """A page's texts that have a slot, each with it."""
         place = 0
         for item in items:
             options = self.at.get(item[0])
@@ -406,12 +409,21 @@ class Matcher:
             node = self.flat[i][0]
             place = i
             if item[0] == TEXT:
-                if node.get("m"):
-                    out.append(item[1])
+                yield node, item[1]
             else:
                 if i not in self.inner:
                     self.inner[i] = Matcher(node["s"])
-                self.inner[i].blocks(item[1], out)
+                yield from self.inner[i].texts(item[1])
+
+    def blocks(self, items: list) -> list[str]:
+        """The content texts of a page's items."""
+        return [text for node, text in self.texts(items) if node.get("m")]
+
+    def slots(self, items: list) -> dict[int, int]:
+        """The hash of a page's text in each slot; hashes of texts in one slot are added up."""
+        out: dict[int, int] = {}
+        for node, text in self.texts(items):
+            out[node["i"]] = (out.get(node["i"], 0) + _hash(text)) & _MASK
         return out
 
 
@@ -435,7 +447,7 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
             for host, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 items = parse(text)
                 at = host, kind_of(items)
-                own = wrapper_of_items(items, at[1])
+                own = _folded(items)
                 found[at] = align(found[at], own) if at in found else own
             if len(found) > 2000:
                 yield out()
@@ -453,15 +465,61 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     return salted.groupBy("host", "kind").applyInPandas(join, schema).select("host", "kind", "wrapper")
 
 
+def _with_wrappers(rows: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """Rows with the wrappers of their host: of each kind (at most three) its number, text and fixed slots."""
+    of = wrappers.groupBy(F.col("host").alias("of")).agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct("w", "wrapper", "fixed")))).alias("wrappers"))
+    return rows.join(of, F.col("host") == F.col("of"), "left").drop("host", "of")
+
+
+class _Known:
+    """Matchers by the number of their wrapper."""
+
+    def __init__(self) -> None:
+        self.by: dict[int, Matcher] = {}
+
+    def of(self, own: list, kind: str, marked: bool) -> tuple[int, Matcher]:
+        w = dict(own)[kind]
+        if w["w"] not in self.by:
+            if len(self.by) >= 500:
+                self.by.clear()
+            items = numbered(json.loads(w["wrapper"]), w["fixed"])
+            self.by[w["w"]] = Matcher(mark_content(items, kind) if marked else items)
+        return w["w"], self.by[w["w"]]
+
+
+def fixed_slots(rows: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """``(w, fixed)``: a wrapper's number and its fixed slots, counted over all pages. Copies count once, with the least of their texts in a slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Known()
+        for b in batches_of(batches, 500):
+            out: list[tuple[int, int, int, int]] = []
+            for text, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                items = parse(text)
+                kind = kind_of(items)
+                w, matcher = known.of(own, kind, False)
+                page = identity_of(items, kind)
+                out += [(w, slot, page, h) for slot, h in matcher.slots(items).items()]
+            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["w", "slot", "page", "text"])
+
+    seen = _with_wrappers(rows.where("page is not null").select("page", "host"), wrappers).select("page", "wrappers").mapInArrow(run, "w long, slot int, page long, text long")
+    texts = seen.groupBy("w", "slot", "page").agg(F.min("text").alias("text")).groupBy("w", "slot", "text").agg(F.count(F.lit(1)).alias("n"))
+    slots = texts.groupBy("w", "slot").agg(F.max("n").alias("most"), F.sum("n").alias("pages"))
+    return slots.where((F.col("most") >= FIXED_PAGES) & (F.col("most") >= FIXED_SHARE * F.col("pages"))).groupBy("w").agg(F.collect_list("slot").alias("fixed"))
+
+
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every page."""
-    # at most three kinds
-    wrappers = written(infer(pages, url, page).groupBy(F.col("host").alias("of")).agg(F.map_from_entries(F.collect_list(F.struct("kind", "wrapper"))).alias("wrappers")), "wrappers")
+    none = F.array().cast("array<int>")
+    bare = written(infer(pages, url, page).withColumn("w", F.monotonically_increasing_id()), "wrappers")
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).cast("string").alias("page"), host_of(F.col(url)).alias("host"))
-    joined = rows.join(wrappers, F.col("host") == F.col("of"), "left").select("page_id", "url", "page", "wrappers")
+    fixed = fixed_slots(rows, bare.withColumn("fixed", none))
+    wrappers = written(bare.join(fixed, "w", "left").withColumn("fixed", F.coalesce("fixed", none)), "marked-wrappers")
+    joined = _with_wrappers(rows, wrappers).select("page_id", "url", "page", "wrappers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple[str, str], Matcher] = {}
+        known = _Known()
         for b in batches_of(batches, 500):
             texts = []
             for text, own in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
@@ -469,13 +527,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
                     texts.append("")
                     continue
                 items = parse(text)
-                kind = kind_of(items)
-                w = kind, dict(own)[kind]
-                if w not in known:
-                    if len(known) >= 500:
-                        known.clear()
-                    known[w] = Matcher(mark_content(json.loads(w[1]), kind))
-                texts.append("\n".join(known[w].blocks(items, [])))
+                texts.append("\n".join(known.of(own, kind_of(items), True)[1].blocks(items)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema}
