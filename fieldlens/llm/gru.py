@@ -25,13 +25,13 @@ from __future__ import annotations
 import copy
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,10 @@ STREAMS, STEPS = 48, 24
 ROUNDS, RATES = 3, (0.004, 0.003, 0.0015)
 LEAST_STREAMS, MOST_STREAMS, CHUNK_TOKENS, SLOT = 4, 512, 1_000_000, 65_536
 SCORE_STEPS, SCORE_WORDS, SCORE_ROWS = 64, 1_500_000, 4000
+#: Words counted together in a task, and states whose probabilities are found together.
+COUNT_WORDS, SCORE_STATES = 4_000_000, 65_536
+#: Rows of a softmax at a time, so that its numbers stay in the processor's cache.
+BLOCK = 1024
 
 
 def rare_class(word: str) -> int:
@@ -57,6 +61,15 @@ def rare_class_column(word: Column) -> Column:
     return F.pmod(F.crc32(F.encode(F.substring(word, -2, 2), "UTF-8")), F.lit(RARE)).cast("int")
 
 
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts in a row, as ``words_of`` finds them; text of each)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    words = pc.list_flatten(lists)
+    owner = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    some = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty word
+    return words.filter(some), owner[some.to_numpy(zero_copy_only=False)]
+
+
 @dataclass
 class Vocabulary:
     """What the corpus says: the network's words by frequency, counts of frequent words, totals of the rare classes."""
@@ -75,6 +88,32 @@ class Vocabulary:
         self.ids = {w: i for i, w in enumerate(self.words)}
         self.base_room = self.tokens + 0.5 * (self.distinct + 1)
         self.rare_room = self.rare_tokens + 0.5 * (self.rare_distinct + 1)
+        self._places: tuple | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_places": None}
+
+    @property
+    def places(self) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """(the frequent words; for each its input of the network, log10 of its count, log10 of its share in its class), made once a task."""
+        if self._places is None:
+            ids = np.fromiter(map(self.id_of, self.head), np.int32, len(self.head))
+            logs = np.log10(np.fromiter(self.head.values(), float, len(self.head)) + 0.5)
+            rare = ids - len(self.words)
+            shares = np.where(rare < 0, 0.0, logs - np.log10(self.rare_room)[np.maximum(rare, 0)])
+            self._places = pa.array(self.head, pa.string()), ids, logs, shares
+        return self._places
+
+    def ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(``id_of`` of all words, place of each among the frequent words or -1)."""
+        frequent, of_place, *_ = self.places
+        at = pc.fill_null(pc.index_in(words, value_set=frequent), -1).to_numpy()
+        ids, others = of_place[at], at < 0
+        ends = pc.utf8_slice_codeunits(words.filter(pa.array(others)), -2, 1 << 30).dictionary_encode()
+        of_end = np.array([len(self.words) + rare_class(e) for e in ends.dictionary.to_pylist()], np.int32)
+        if len(of_end):
+            ids[others] = of_end[ends.indices.to_numpy()]
+        return ids, at
 
     def id_of(self, word: str) -> int:
         """Input of the network: a word of its own, or the number of those plus the rare class."""
@@ -82,12 +121,8 @@ class Vocabulary:
         return len(self.words) + rare_class(word) if i is None else i
 
     def classes_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids < len(self.words), ids // self.size, ids - len(self.words) + self.own)
-
-
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=-1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=-1, keepdims=True))
+        """Classes of inputs, at most ``1 / WORD_SHARE`` words and the rare classes, as small numbers that sort fast."""
+        return np.where(ids < len(self.words), ids // self.size, ids - len(self.words) + self.own).astype(np.min_scalar_type(self.classes))
 
 
 class Network:
@@ -118,31 +153,68 @@ class Network:
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """(state, update gate, reset gate, candidate, its recurrent part) after inputs ``x``."""
         k = HIDDEN
-        a = self.table[x]
-        b = h @ self.inner
-        gates = 1 / (1 + np.exp(-(a[:, :2 * k] + b[:, :2 * k])))
-        z, r = gates[:, :k], gates[:, k:]
-        g = np.tanh(a[:, 2 * k:] + r * b[:, 2 * k:])
-        return g + z * (h - g), z, r, g, b[:, 2 * k:]
+        # one column to a text, so that each gate's numbers stand together
+        a = np.ascontiguousarray(self.table[x].T)
+        b = self.inner.T @ h.T
+        gates, r_h, h = a[:2 * k], b[2 * k:], h.T
+        gates += b[:2 * k]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        z, r = gates[:k], gates[k:]
+        g = r * r_h
+        g += a[2 * k:]
+        np.tanh(g, out=g)
+        new = h - g
+        new *= z
+        new += g
+        return new.T, z.T, r.T, g.T, r_h.T
 
     def log_probabilities(self, h: np.ndarray, classes: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Natural log of the class's probability, times the word's where it is the network's own (``words`` >= 0)."""
         out = np.empty(len(h))
-        for a in range(0, len(h), 65536):
-            z = h[a:a + 65536] @ self.to_class + self.class_bias
-            top = z.max(axis=1)
-            out[a:a + 65536] = z[np.arange(len(z)), classes[a:a + 65536]] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
         order = np.argsort(classes, kind="stable")
-        cuts = np.searchsorted(classes[order], np.arange(self.own + 1))
-        for c in range(self.own):
-            at = order[cuts[c]:cuts[c + 1]]
-            if len(at):
-                z = h[at] @ self.to_word[c] + self.word_bias[c]
-                top = z.max(axis=1)
-                out[at] += z[np.arange(len(at)), words[at]] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+        h, classes, words = h[order], classes[order], words[order]
+        for a in range(0, len(h), BLOCK):
+            out[order[a:a + BLOCK]] = _log_share(h[a:a + BLOCK], self.to_class, self.class_bias, classes[a:a + BLOCK])
+        for c, a, b in _runs(classes, self.own):
+            out[order[a:b]] += _log_share(h[a:b], self.to_word[c], self.word_bias[c], words[a:b])
         return out
 
 
+def _exponentials(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials of the outputs for each row of ``h``, their sums, the target's output). A row's largest output is taken off only where sums would leave the range of numbers."""
+    z = h @ weights
+    z += bias
+    rows, ones = np.arange(len(z)), np.ones(z.shape[1], z.dtype)
+    own = z[rows, target]
+    with np.errstate(over="ignore", invalid="ignore"):
+        np.exp(z, out=z)
+        total = z @ ones
+    if not (total.min() > 1e-30 and total.max() < 1e30):
+        z = h @ weights + bias
+        z -= z.max(axis=1)[:, None]
+        own = z[rows, target]
+        np.exp(z, out=z)
+        total = z @ ones
+    return z, total, own
+
+
+def _log_share(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Logarithm of the target's softmax for each row of ``h``."""
+    _, total, own = _exponentials(h, weights, bias, target)
+    return own - np.log(total)
+
+
+def _runs(classes: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
+    """(class, first, end) of parts of at most ``BLOCK`` rows of sorted ``classes``, of those below ``n``."""
+    cuts = np.searchsorted(classes, np.arange(n + 1))
+    for c in np.flatnonzero(np.diff(cuts)).tolist():
+        for a in range(int(cuts[c]), int(cuts[c + 1]), BLOCK):
+            yield c, a, min(a + BLOCK, int(cuts[c + 1]))
+
+
 def fit(v: Vocabulary, texts: list[tuple[str, bool]], seed: int = 3, rounds: int = 3) -> Network:
     """Truncated backpropagation through ``STEPS`` tokens at a time, states carried along ``STREAMS`` streams of (text, whole?)."""
     rng = np.random.default_rng(seed)
@@ -174,66 +246,89 @@ def _pass(v: Vocabulary, net: Network, data: np.ndarray, state: _State, rate: fl
     """One pass over streams of tokens, one to a row; inputs that start a text are no targets."""
     start, k = len(v.words) + RARE, HIDDEN
     n, length = data.shape
-    h = np.zeros((n, k), net.table.dtype)
+    kind = net.table.dtype
+    h = np.zeros((n, k), kind)
     for at in range(0, length - 1, STEPS):
-        x, y = data[:, at:at + STEPS + 1][:, :-1], data[:, at + 1:at + STEPS + 1]
-        kept, states = [], []
-        for t in range(x.shape[1]):
-            h = h * (x[:, t] != start)[:, None]
-            new, z, r, g, u = net.step(x[:, t], h)
-            kept.append((h, z, r, g, u))
-            states.append(new)
-            h = new
-        hs = np.concatenate(states)
-        yt = y.T.ravel()
-        used = yt != start
-        if not used.any():
+        x = np.ascontiguousarray(data[:, at:at + STEPS + 1][:, :-1].T)
+        y = data[:, at + 1:at + STEPS + 1].T.ravel()
+        fresh = [np.flatnonzero(row == start) for row in x]
+        # a column to a stream, as in ``step``
+        h0, hs, z, r, g, u = np.empty((6, len(x), k, n), kind)
+        for t in range(len(x)):
+            h0[t] = h.T
+            h0[t][:, fresh[t]] = 0
+            h, *rest = net.step(x[t], h0[t].T)
+            for kept, new in zip((hs, z, r, g, u), (h, *rest), strict=True):
+                kept[t] = new.T
+        used = np.flatnonzero(y != start)
+        if not len(used):
             continue
-        classes = v.classes_of(np.where(used, yt, 0))
-        p = np.exp(_log_softmax(hs @ net.to_class + net.class_bias))
-        p[np.arange(len(p)), classes] -= 1
-        p *= used[:, None]
-        d_h = p @ net.to_class.T
-        d_to_class, d_class_bias = hs.T @ p, p.sum(axis=0)
-        d_to_word, d_word_bias = np.zeros_like(net.to_word), np.zeros_like(net.word_bias)
-        mine = np.flatnonzero(used & (yt < len(v.words)))
-        order = mine[np.argsort(classes[mine], kind="stable")]
-        cuts = np.searchsorted(classes[order], np.arange(v.own + 1))
-        for c in np.flatnonzero(np.diff(cuts)).tolist():
-            rows = order[cuts[c]:cuts[c + 1]]
-            q = np.exp(_log_softmax(hs[rows] @ net.to_word[c] + net.word_bias[c]))
-            q[np.arange(len(rows)), yt[rows] % v.size] -= 1
-            d_to_word[c], d_word_bias[c] = hs[rows].T @ q, q.sum(axis=0)
-            d_h[rows] += q @ net.to_word[c].T
-        d_table, d_inner = np.zeros_like(net.table), np.zeros_like(net.inner)
-        back = np.zeros((n, k), net.table.dtype)
-        into = np.empty((x.shape[1], n, 3 * k), net.table.dtype)
-        for t in range(x.shape[1] - 1, -1, -1):
-            h0, z, r, g, u = kept[t]
-            d = back + d_h[t * n:(t + 1) * n]
-            d_g = d * (1 - z) * (1 - g * g)
-            d_z = d * (h0 - g) * z * (1 - z)
-            d_r = d_g * u * r * (1 - r)
-            into[t] = np.concatenate((d_z, d_r, d_g), axis=1)
-            inner = np.concatenate((d_z, d_r, d_g * r), axis=1)
-            d_inner += h0.T @ inner
-            back = (d * z + inner @ net.inner.T) * (x[:, t] != start)[:, None]
-        owner = x.T.ravel()
-        order = np.argsort(owner, kind="stable")
-        first = np.flatnonzero(np.diff(owner[order], prepend=-1))
-        d_table[owner[order[first]]] = np.add.reduceat(into.reshape(-1, 3 * k)[order], first, axis=0)
+        # in order of classes, so that the rows of each stand together
+        classes = v.classes_of(y[used])
+        order = np.argsort(classes, kind="stable")
+        classes, order = classes[order], used[order]
+        words, ordered = y[order] % v.size, hs.transpose(0, 2, 1).reshape(-1, k)[order]
+        grads = [np.zeros_like(p) for p in net.params()]
+        d_table, d_inner, d_to_class, d_to_word, d_class_bias, d_word_bias = grads
+        d_ordered = np.empty_like(ordered)
+        for a in range(0, len(order), BLOCK):
+            d_ordered[a:a + BLOCK] = _softmax_back(ordered[a:a + BLOCK], net.to_class, net.class_bias, classes[a:a + BLOCK], d_to_class, d_class_bias)
+        for c, a, e in _runs(classes, v.own):
+            d_ordered[a:e] += _softmax_back(ordered[a:e], net.to_word[c], net.word_bias[c], words[a:e], d_to_word[c], d_word_bias[c])
+        d_h = np.zeros((x.size, k), kind)
+        d_h[order] = d_ordered
+        d_h = np.ascontiguousarray(d_h.reshape(len(x), n, k).transpose(0, 2, 1))
+        by_z, by_g, by_r = (h0 - g) * z * (1 - z), (1 - z) * (1 - g * g), u * r * (1 - r)
+        into, d_g = np.empty((len(x), 3 * k, n), kind), np.empty_like(g)
+        back = np.zeros((k, n), kind)
+        for t in range(len(x) - 1, -1, -1):
+            d = d_h[t]
+            d += back
+            np.multiply(d, by_g[t], out=d_g[t])
+            np.multiply(d, by_z[t], out=into[t, :k])
+            np.multiply(d_g[t], by_r[t], out=into[t, k:2 * k])
+            np.multiply(d_g[t], r[t], out=into[t, 2 * k:])
+            back = net.inner @ into[t]
+            d *= z[t]
+            back += d
+            back[:, fresh[t]] = 0
+            d_inner += h0[t] @ into[t].T
+        into[:, 2 * k:] = d_g
+        inputs, owner = np.unique(x, return_inverse=True)
+        owner = owner.ravel()
+        for i in range(3 * k):
+            d_table[inputs, i] = np.bincount(owner, into[:, i].ravel(), len(inputs))
         state.step += 1
-        grads = [d_table, d_inner, d_to_class, d_to_word, d_class_bias, d_word_bias]
-        norm = math.sqrt(sum(float((g * g).sum()) for g in grads)) / used.sum()
-        scale = float(1 / used.sum() / max(1.0, norm))
-        for param, g, m, s in zip(net.params(), grads, state.mean, state.square, strict=True):
-            g = g * scale
-            m += 0.1 * (g - m)
-            s += 0.01 * (g * g - s)
-            param -= rate * (m / (1 - 0.9 ** state.step)) / (np.sqrt(s / (1 - 0.99 ** state.step)) + 1e-6)
+        norm = math.sqrt(sum(float(np.vdot(d, d)) for d in grads)) / len(used)
+        scale = float(1 / len(used) / max(1.0, norm))
+        for param, d, m, s in zip(net.params(), grads, state.mean, state.square, strict=True):
+            # m += 0.1 * (d - m), s += 0.01 * (d * d - s), without arrays in between
+            d *= scale
+            m *= 0.9
+            m += 0.1 * d
+            d *= d
+            d *= 0.01
+            s *= 0.99
+            s += d
+            np.multiply(s, 1 / (1 - 0.99 ** state.step), out=d)
+            np.sqrt(d, out=d)
+            d += 1e-6
+            np.divide(m, d, out=d)
+            d *= rate / (1 - 0.9 ** state.step)
+            param -= d
         net.word_bias.reshape(-1)[len(v.words):] = -1e9
 
 
+def _softmax_back(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, target: np.ndarray, d_weights: np.ndarray, d_bias: np.ndarray) -> np.ndarray:
+    """Gradient of minus the target's log softmax by ``h``; those by weights and bias are added to ``d_weights`` and ``d_bias``."""
+    p, total, _ = _exponentials(h, weights, bias, target)
+    p /= total[:, None]
+    p[np.arange(len(p)), target] -= 1
+    d_weights += h.T @ p
+    d_bias += np.ones(len(p), p.dtype) @ p
+    return p @ weights.T
+
+
 def _learn_chunk(v: Vocabulary, net: Network, ids: list[np.ndarray], state: _State, rate: float) -> None:
     """A pass over all tokens of ``ids``: streams meet in one token, so each is a target once; the last is filled up with starts."""
     flat = np.concatenate(ids)
@@ -243,6 +338,17 @@ def _learn_chunk(v: Vocabulary, net: Network, ids: list[np.ndarray], state: _Sta
     _pass(v, net, flat[np.arange(n)[:, None] * length + np.arange(length + 1)], state, rate)
 
 
+def _stream(v: Vocabulary, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(inputs of all texts in a row, each between its start and its end; where each text begins, and the last ends; tokens of each)."""
+    words, owner = tokens_of(texts)
+    lengths = np.bincount(owner, minlength=len(texts)) + 1
+    ends = np.concatenate(([0], np.cumsum(lengths + 1)))
+    flat = np.empty(ends[-1], np.int32)
+    flat[ends[:-1]], flat[ends[1:] - 1] = len(v.words) + RARE, v.ids[END]
+    flat[np.arange(len(owner)) + 2 * owner + 1] = v.ids_of(words)[0]
+    return flat, ends, lengths
+
+
 #: Tokens that a shard of a round learns from, about.
 SHARD_TOKENS = 1_500_000
 
@@ -258,11 +364,15 @@ def learn_all(v: Vocabulary, net: Network, texts: DataFrame) -> Network:
             own, tokens, size, ids = copy.deepcopy(before), 0, 0, []
             state = _State(own)
             for b in batches_of(batches, 2000):
-                for t in b.column(0).to_pylist():
-                    words = words_of(t)
-                    at = {w: vocab.id_of(w.decode("utf-8", "replace")) for w in set(words)}
-                    ids.append(np.fromiter((len(vocab.words) + RARE, *map(at.__getitem__, words), vocab.ids[END]), np.int64, len(words) + 2))
-                    size += len(words) + 1
+                flat, ends, lengths = _stream(vocab, b.column(0))
+                row, sums = 0, np.cumsum(lengths)
+                while row < len(sums):
+                    # up to the text that fills the chunk
+                    before_row = int(sums[row - 1]) if row else 0
+                    to = min(len(sums), int(np.searchsorted(sums, before_row + CHUNK_TOKENS - size)) + 1)
+                    ids.append(flat[ends[row]:ends[to]])
+                    size += int(sums[to - 1]) - before_row
+                    row = to
                     if size >= CHUNK_TOKENS:
                         _learn_chunk(vocab, own, ids, state, rate)
                         tokens, size, ids = tokens + size, 0, []
@@ -296,35 +406,26 @@ def learn_all(v: Vocabulary, net: Network, texts: DataFrame) -> Network:
     return net
 
 
-def score_texts(v: Vocabulary, net: Network, texts: list[str | None]) -> list[tuple[int, int, float, float, dict[str, int]]]:
+def score_texts(v: Vocabulary, net: Network, texts: pa.Array) -> list[pa.Array]:
     """(tokens, known tokens, base score, score, words whose counts are elsewhere) of each text; the last are missing in the others."""
-    out = []
-    ids: list[np.ndarray] = []
-    base_log: dict[int, float] = {}
-    for t in texts:
-        words = [w.decode("utf-8", "replace") for w in words_of(t)] + [END]
-        tally = Counter(words)
-        base = extra = 0.0
-        known, tail = 0, {}
-        for w, n in tally.items():
-            c = v.head.get(w)
-            if c is None:
-                tail[w] = n
-                continue
-            known += n
-            log = base_log.get(c)
-            if log is None:
-                log = base_log[c] = math.log10(c + 0.5)
-            base += n * log
-            if w not in v.ids:
-                extra += n * (log - math.log10(v.rare_room[rare_class(w)]))
-        base -= (len(words) - sum(tail.values())) * math.log10(v.base_room)
-        own = {w: v.id_of(w) for w in tally}
-        ids.append(np.fromiter(map(own.__getitem__, words), np.int64, len(words)))
-        out.append([len(words), known, base, extra, tail])
-    for i, s in enumerate(_network_scores(v, net, ids)):
-        out[i][3] += s
-    return [tuple(x) for x in out]
+    words, owner = tokens_of(texts)
+    n, end = len(texts), v.ids[END]
+    ids, at = v.ids_of(words)
+    _, of_place, logs, shares = v.places
+    here = at >= 0
+    last = int(np.flatnonzero(of_place == end)[0])
+    known = np.bincount(owner[here], minlength=n) + 1
+    base = np.bincount(owner[here], logs[at[here]], n) + logs[last] - known * math.log10(v.base_room)
+    lengths = np.bincount(owner, minlength=n) + 1
+    firsts = np.cumsum(lengths) - lengths
+    flat = np.full(len(ids) + n, end, np.int32)
+    flat[np.arange(len(ids)) + owner] = ids
+    own = np.bincount(owner[here], shares[at[here]], n) + _network_scores(v, net, [flat[a:a + m] for a, m in zip(firsts.tolist(), lengths.tolist(), strict=True)])
+    tail = words.filter(pa.array(~here)).dictionary_encode()
+    pairs, times = np.unique(owner[~here] * max(1, len(tail.dictionary)) + tail.indices.to_numpy(), return_counts=True)
+    in_text, word = np.divmod(pairs, max(1, len(tail.dictionary)))
+    tails = pa.MapArray.from_arrays(pa.array(np.searchsorted(in_text, np.arange(n + 1)), pa.int32()), tail.dictionary.take(pa.array(word)), pa.array(times, pa.int64()))
+    return [pa.array(lengths, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(own), tails]
 
 
 def _network_scores(v: Vocabulary, net: Network, ids: list[np.ndarray]) -> np.ndarray:
@@ -332,29 +433,30 @@ def _network_scores(v: Vocabulary, net: Network, ids: list[np.ndarray]) -> np.nd
     length = np.array([len(x) for x in ids])
     order = np.argsort(-length, kind="stable")
     total = np.zeros(len(ids))
-    h = np.zeros((len(ids), HIDDEN), np.float32)
+    h = np.zeros((len(ids), HIDDEN), np.float32, order="F")
     previous = np.full(len(ids), len(v.words) + RARE)
+    numbers = np.arange(len(ids))
     longest = int(length.max()) if len(ids) else 0
-    sorted_ids = [ids[i] for i in order.tolist()]
     sorted_len = length[order]
+    flat = np.concatenate([ids[i] for i in order.tolist()]) if len(ids) else np.zeros(0, np.int32)
+    first = np.cumsum(sorted_len) - sorted_len
+    states, owners, targets, size = [], [], [], 0
     for at in range(0, longest, SCORE_STEPS):
         n = int(np.searchsorted(-sorted_len, -at, side="left"))
         span = np.minimum(sorted_len[:n] - at, SCORE_STEPS)
-        y = np.zeros((int(span.max()), n), np.int64)
-        for i in range(n):
-            y[:span[i], i] = sorted_ids[i][at:at + SCORE_STEPS]
-        states, owners, targets = [], [], []
-        for t in range(len(y)):
+        for t in range(int(span[0])):
             m = int(np.searchsorted(-span, -t, side="left")) if t else n
             # texts are in order of length, so those that still have a token are the first m
-            h[:m] = net.step(previous[:m], h[:m])[0]
-            states.append(h[:m].copy())
-            owners.append(np.arange(m))
-            targets.append(y[t, :m])
-            previous[:m] = y[t, :m]
-        target = np.concatenate(targets)
-        logs = net.log_probabilities(np.concatenate(states), v.classes_of(target), np.where(target < len(v.words), target % v.size, -1))
-        total[order[:n]] += np.bincount(np.concatenate(owners), logs, n)
+            states.append(net.step(previous[:m], h[:m])[0])
+            targets.append(flat[first[:m] + (at + t)])
+            owners.append(numbers[:m])
+            h[:m], previous[:m] = states[-1], targets[-1]
+            size += m
+        if size >= SCORE_STATES or at + SCORE_STEPS >= longest:
+            target = np.concatenate(targets)
+            logs = net.log_probabilities(np.concatenate(states), v.classes_of(target), np.where(target < len(v.words), target % v.size, -1))
+            total[order] += np.bincount(np.concatenate(owners), logs, len(ids))
+            states, owners, targets, size = [], [], [], 0
     return total / math.log(10)
 
 
@@ -362,21 +464,24 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     """``(word, c)`` over all texts; the end of a text counts under the empty word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally: Counter = Counter()
+        parts, size, ends = [], 0, 0
         for b in batches_of(batches, 2000):
-            for t in b.column(0).to_pylist():
-                tally.update(words_of(t))
-            tally[b""] += b.num_rows
-            if len(tally) > 400_000:
-                yield _counted(tally)
-                tally = Counter()
-        yield _counted(tally)
+            words, _ = tokens_of(b.column(0))
+            parts.append(words)
+            size, ends = size + len(words), ends + b.num_rows
+            if size >= COUNT_WORDS:
+                yield _counted(parts)
+                parts, size = [], 0
+        if parts:
+            yield _counted(parts)
+        yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([ends], pa.int64())], ["word", "c"])
 
     return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c")).where("c > 0")
 
 
-def _counted(tally: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in tally], pa.string()), pa.array(list(tally.values()), pa.int64())], ["word", "c"])
+def _counted(words: list[pa.Array]) -> pa.RecordBatch:
+    counts = pa.chunked_array(words, pa.string()).value_counts()
+    return pa.RecordBatch.from_arrays(counts.flatten(), ["word", "c"])
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary | None:
@@ -414,17 +519,14 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         vocab, network = shared.value
         row = TaskContext.get().partitionId() << 36
         for b in batches_of(batches, SCORE_ROWS):
-            texts, done, part, size = b.column(2).to_pylist(), [], [], 0
-            for t in texts:
-                part.append(t)
-                size += len(t or "") // 5
-                if size > SCORE_WORDS:
-                    done += score_texts(vocab, network, part)
-                    part, size = [], 0
-            done += score_texts(vocab, network, part)
-            cols = list(zip(*done, strict=True))
-            tail = pa.array([list(d.items()) for d in cols[4]], pa.map_(pa.string(), pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + b.num_rows)), b.column(0), b.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()), tail], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "own", "tail"])
+            # parts of about SCORE_WORDS words
+            size = np.cumsum(pc.fill_null(pc.utf8_length(b.column(2)), 0).to_numpy() // 5)
+            at = 0
+            while at < b.num_rows:
+                to = min(b.num_rows, int(np.searchsorted(size, (size[at - 1] if at else 0) + SCORE_WORDS, side="right")) + 1)
+                part = b.slice(at, to - at)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row + at, row + to)), part.column(0), part.column(1), *score_texts(vocab, network, part.column(2))], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "own", "tail"])
+                at = to
             row += b.num_rows
 
     scored = written(flat.mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, own double, tail map<string,long>"), "lm-scored")
