@@ -70,6 +70,17 @@ def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(some), owner[some.to_numpy(zero_copy_only=False)]
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int, column: int = 0) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, and of about ``SCORE_WORDS`` words in texts of ``column``."""
+    for b in batches_of(batches, rows):
+        size = np.cumsum(pc.fill_null(pc.utf8_length(b.column(column)), 0).to_numpy() // 5, dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            to = min(b.num_rows, int(np.searchsorted(size, (size[at - 1] if at else 0) + SCORE_WORDS, side="right")) + 1)
+            yield b.slice(at, to - at)
+            at = to
+
+
 @dataclass
 class Vocabulary:
     """What the corpus says: the network's words by frequency, counts of frequent words, totals of the rare classes."""
@@ -154,7 +165,7 @@ class Network:
         """(state, update gate, reset gate, candidate, its recurrent part) after inputs ``x``."""
         k = HIDDEN
         # one column to a text, so that each gate's numbers stand together
-        a = np.ascontiguousarray(self.table[x].T)
+        a = np.ascontiguousarray(self.table.take(x, axis=0).T)
         b = self.inner.T @ h.T
         gates, r_h, h = a[:2 * k], b[2 * k:], h.T
         gates += b[:2 * k]
@@ -363,7 +374,7 @@ def learn_all(v: Vocabulary, net: Network, texts: DataFrame) -> Network:
             vocab, before = shared.value
             own, tokens, size, ids = copy.deepcopy(before), 0, 0, []
             state = _State(own)
-            for b in batches_of(batches, 2000):
+            for b in _parts(batches, 2000):
                 flat, ends, lengths = _stream(vocab, b.column(0))
                 row, sums = 0, np.cumsum(lengths)
                 while row < len(sums):
@@ -465,7 +476,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, ends = [], 0, 0
-        for b in batches_of(batches, 2000):
+        for b in _parts(batches, 2000):
             words, _ = tokens_of(b.column(0))
             parts.append(words)
             size, ends = size + len(words), ends + b.num_rows
@@ -518,15 +529,8 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, network = shared.value
         row = TaskContext.get().partitionId() << 36
-        for b in batches_of(batches, SCORE_ROWS):
-            # parts of about SCORE_WORDS words
-            size = np.cumsum(pc.fill_null(pc.utf8_length(b.column(2)), 0).to_numpy() // 5)
-            at = 0
-            while at < b.num_rows:
-                to = min(b.num_rows, int(np.searchsorted(size, (size[at - 1] if at else 0) + SCORE_WORDS, side="right")) + 1)
-                part = b.slice(at, to - at)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row + at, row + to)), part.column(0), part.column(1), *score_texts(vocab, network, part.column(2))], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "own", "tail"])
-                at = to
+        for b in _parts(batches, SCORE_ROWS, 2):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + b.num_rows)), b.column(0), b.column(1), *score_texts(vocab, network, b.column(2))], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "own", "tail"])
             row += b.num_rows
 
     scored = written(flat.mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, own double, tail map<string,long>"), "lm-scored")
